@@ -1,0 +1,73 @@
+"""Finding groups too large for one task, and working on them apart from the rest.
+
+A window or an exact percentile puts a whole group into one task. Before such a step the group sizes are
+counted (a map-side combined aggregate over the key columns only). Groups beyond the limit are few by
+construction and go another, distributed way; the others take the plain operator.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from paddock.session import max_group_rows
+
+MAX_HOT_GROUPS = 1000
+ALL = "__all"
+SIZE = "__rows"
+
+
+@dataclass(frozen=True)
+class HotGroups:
+    """The largest groups above the limit. At most MAX_HOT_GROUPS rows, so safe to broadcast."""
+
+    table: DataFrame  # keys + SIZE
+    rows: int  # rows in all hot groups together
+    groups: int
+    limit: int  # rows per piece when a hot group is cut up
+
+    def __bool__(self) -> bool:
+        return self.groups > 0
+
+
+def with_keys_only(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Drop rows with a null key: such rows belong to no group."""
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
+def any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def find_hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> HotGroups:
+    """Count rows per key and return the groups with more than `limit` rows.
+
+    Only the MAX_HOT_GROUPS largest are returned: any other group is smaller than a
+    1/MAX_HOT_GROUPS share of the rows and can stay whole. Rows with a null key form no group.
+    """
+    spark = df.sparkSession
+    limit = limit or max_group_rows(spark)
+    sizes = (
+        with_keys_only(df.select(*keys), keys)
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
+        .where(F.col(SIZE) > limit)
+    )
+    found = sizes.orderBy(F.col(SIZE).desc(), *keys).limit(MAX_HOT_GROUPS).collect()
+    total = sum(r[SIZE] for r in found)
+    piece = max(limit, total // MAX_HOT_GROUPS)
+    found = [r for r in found if r[SIZE] > piece]
+    fields = [df.schema[k] for k in keys] + [T.StructField(SIZE, T.LongType())]
+    table = spark.createDataFrame([tuple(r) for r in found], T.StructType(fields))
+    return HotGroups(table, total, len(found), piece)
+
+
+def cold_rows(df: DataFrame, hot: HotGroups, keys: list[str]) -> DataFrame:
+    return df.join(F.broadcast(hot.table.select(*keys)), keys, "left_anti")
+
+
+def hot_rows(df: DataFrame, hot: HotGroups, keys: list[str]) -> DataFrame:
+    return df.join(F.broadcast(hot.table.select(*keys)), keys, "left_semi")
