@@ -11,15 +11,17 @@ from paddock.operators.skew import ALL, HotGroups, find_hot_groups, with_keys_on
 
 def attach_group_stats(
     df: DataFrame, keys: list[str], stats: dict[str, Column], *,
-    hot: HotGroups | None = None, bounded: bool = False, limit: int | None = None,
+    keys_present: bool = False, hot: HotGroups | None = None, bounded: bool | DataFrame = False,
+    limit: int | None = None,
 ) -> DataFrame:
     """Add aggregates of the row's group, such as the team mean. Rows with a null key get null.
 
+    `keys_present` states that no key is null.
+
     Ordinary groups use one window shuffle. Hot groups are aggregated with map-side combine and their few
     result rows are broadcast, so their rows are not moved at all.
     """
-    if hot is None and not bounded:
-        hot = find_hot_groups(df, keys, limit)
+    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
     out = [*df.columns, *stats]
     rest, hot_part = df, None
     if hot:
@@ -27,7 +29,7 @@ def attach_group_stats(
         table = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
         hot_part = rows.join(F.broadcast(table), keys, "left").select(*out)
         rest = skew.cold_rows(df, hot, keys)
-    if any(df.schema[k].nullable for k in keys):
+    if not keys_present:
         # rows without a key get no statistic; deal them out instead of sending them to one task
         rest = rest.withColumn("__spread", F.when(skew.any_null(keys), F.floor(F.rand(5) * 1000)))
         w = W.partitionBy(*keys, "__spread")
@@ -50,7 +52,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]], *,
-    limit: int | None = None,
+    bounded: bool | DataFrame = False, limit: int | None = None,
 ) -> DataFrame:
     """Group aggregates together with exact interpolated quantiles, one row per group.
 
@@ -61,7 +63,7 @@ def exact_quantiles(
     data = df if keys else df.withColumn(ALL, F.lit(0))
     by = keys or [ALL]
     data = with_keys_only(data, keys)
-    hot = find_hot_groups(data, by, limit)
+    hot = find_hot_groups(data, by, bounded, limit)
     plain_aggs = [c.alias(n) for n, c in aggs.items()]
     builtin = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in quantiles.items()]
     out = [*keys, *aggs, *quantiles]
@@ -101,13 +103,16 @@ def _quantiles_by_counting(
     return placed.groupBy(*keys).agg(*picks).select(*keys, *finals)
 
 
-def value_ranks(df: DataFrame, value: str, weight: Column | None = None, *, limit: int | None = None) -> DataFrame:
+def value_ranks(
+    df: DataFrame, value: str, weight: Column | None = None, *,
+    bounded: bool | DataFrame = False, limit: int | None = None,
+) -> DataFrame:
     """Each distinct value with its count and its average rank over all rows (ties share the mean rank).
 
     `weight` is the number of rows a row stands for, when `df` is already counted.
     """
     n = F.sum(weight if weight is not None else F.lit(1)).cast("long")
     counted = df.dropna(subset=[value]).groupBy(value).agg(n.alias("n"))
-    return running_totals(counted, [], [value], {"upto": "n"}, limit=limit).select(
+    return running_totals(counted, [], [value], {"upto": "n"}, bounded=bounded, limit=limit).select(
         value, "n", (F.col("upto") - (F.col("n") - 1) / 2).alias("avg_rank")
     )

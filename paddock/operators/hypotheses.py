@@ -30,7 +30,9 @@ def _row(df: DataFrame, test: str, tail: str, statistic: Column, dof: Column, n:
     )
 
 
-def spearman(df: DataFrame, x: str, y: str, limit: int | None = None) -> DataFrame:
+def spearman(
+    df: DataFrame, x: str, y: str, *, bounded: bool | DataFrame = False, limit: int | None = None
+) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
     Equal pairs are counted first, so the joins below work on distinct pairs; ranks come from the counted
@@ -42,7 +44,8 @@ def spearman(df: DataFrame, x: str, y: str, limit: int | None = None) -> DataFra
     )
     ranked = pairs
     for side in ("x", "y"):
-        ranks = value_ranks(pairs, side, F.col("w"), limit=limit).select(side, F.col("avg_rank").alias(f"r{side}"))
+        ranks = value_ranks(pairs, side, F.col("w"), bounded=bounded, limit=limit)
+        ranks = ranks.select(side, F.col("avg_rank").alias(f"r{side}"))
         ranked = ranked.join(ranks, side, "left")
     sums = ranked.agg(
         F.sum("w").alias("n"),
@@ -115,7 +118,8 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
 
 
 def mann_whitney(
-    df: DataFrame, value: str, first: Column, second: Column, alternative: str, limit: int | None = None
+    df: DataFrame, value: str, first: Column, second: Column, alternative: str, *,
+    bounded: bool | DataFrame = False, limit: int | None = None,
 ) -> DataFrame:
     """U of the first sample; `effect` is the normal score with tie and continuity correction.
 
@@ -127,7 +131,7 @@ def mann_whitney(
         .groupBy(F.col(value).cast("double").alias("v"))
         .agg(F.count_if(first).alias("a"), F.count_if(second).alias("b"))
     )
-    placed = running_totals(counted, [], ["v"], {"upto": "b"}, limit=limit)
+    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bounded=bounded, limit=limit)
     t = (F.col("a") + F.col("b")).cast("double")
     s = placed.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("n1"), F.coalesce(F.sum("b"), F.lit(0)).alias("n2"),

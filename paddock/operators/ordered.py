@@ -3,7 +3,8 @@
 `order` lists column names, ascending; a leading "-" means descending (numeric columns). It must be a
 total order within each group, so that results do not depend on row placement.
 
-With no group above the row limit each operator is one window. Otherwise the hot groups are cut into
+`bounded` is what is known of the group sizes beforehand, see `skew.find_hot_groups`. With no group above the
+row limit each operator is one window. Otherwise the hot groups are cut into
 consecutive order ranges ("segments"); the window runs per (group, segment) and what earlier segments
 contribute is added from a table of one row per hot segment, which is small by construction.
 """
@@ -71,15 +72,11 @@ def _with_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 
 def running_totals(
     df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], *,
-    bounded: bool = False, limit: int | None = None,
+    bounded: bool | DataFrame = False, limit: int | None = None,
 ) -> DataFrame:
-    """Running sum up to and including the current row; `sums` maps output name to input column.
-
-    `bounded=True` states that the group size is fixed by the grain (such as rounds in a season), so that
-    no size check is needed.
-    """
+    """Running sum up to and including the current row; `sums` maps output name to input column."""
     data, by = _with_keys(df, keys)
-    hot = None if bounded else find_hot_groups(data, by, limit)
+    hot = find_hot_groups(data, by, bounded, limit)
     upto = W.unboundedPreceding, W.currentRow
     if not hot:
         w = W.partitionBy(*by).orderBy(*order_columns(order)).rowsBetween(*upto)
@@ -103,19 +100,20 @@ def running_totals(
 
 
 def row_numbers(
-    df: DataFrame, keys: list[str], order: list[str], out: str, *, limit: int | None = None
+    df: DataFrame, keys: list[str], order: list[str], out: str, *,
+    bounded: bool | DataFrame = False, limit: int | None = None,
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return running_totals(one, keys, order, {out: "__one"}, limit=limit).drop("__one")
+    return running_totals(one, keys, order, {out: "__one"}, bounded=bounded, limit=limit).drop("__one")
 
 
 def previous_values(
     df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], *,
-    bounded: bool = False, limit: int | None = None,
+    bounded: bool | DataFrame = False, limit: int | None = None,
 ) -> DataFrame:
     """Value of the preceding row of the group; null on the first row. Maps output name to column."""
-    hot = None if bounded else find_hot_groups(df, keys, limit)
+    hot = find_hot_groups(df, keys, bounded, limit)
     if not hot:
         w = W.partitionBy(*keys).orderBy(*order_columns(order))
         return df.withColumns({name: F.lag(c).over(w) for name, c in previous.items()})
@@ -141,14 +139,14 @@ def previous_values(
 
 def min_rank(
     df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True,
-    hot: HotGroups | None = None, limit: int | None = None,
+    bounded: bool | DataFrame = False, hot: HotGroups | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Competition rank (1, 2, 2, 4) of `value` in its group.
 
     In a hot group equal values are first counted together; the rank of a value is one plus the number of
     rows before it, which is a running total over the counted values.
     """
-    hot = find_hot_groups(df, keys, limit) if hot is None else hot
+    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
     spec = F.col(value).desc() if descending else F.col(value).asc()
     plain = lambda d: d.withColumn(out, F.rank().over(W.partitionBy(*keys).orderBy(spec)))
     if not hot:

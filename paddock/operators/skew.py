@@ -23,7 +23,7 @@ SIZE = "__rows"
 class HotGroups:
     """The largest groups above the limit. At most MAX_HOT_GROUPS rows, so safe to broadcast."""
 
-    table: DataFrame  # keys + SIZE
+    table: DataFrame | None  # keys + SIZE
     rows: int  # rows in all hot groups together
     groups: int
     limit: int  # rows per piece when a hot group is cut up
@@ -43,14 +43,21 @@ def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def find_hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> HotGroups:
+def find_hot_groups(
+    df: DataFrame, keys: list[str], bounded: bool | DataFrame = False, limit: int | None = None
+) -> HotGroups:
     """Count rows per key and return the groups with more than `limit` rows.
 
     Only the MAX_HOT_GROUPS largest are returned: any other group is smaller than a
     1/MAX_HOT_GROUPS share of the rows and can stay whole. Rows with a null key form no group.
+
+    `bounded=True` states that the grain fixes the group size (such as rounds in a season): nothing is
+    counted. A table as `bounded` has at least as many rows as any group; if it is itself within the limit,
+    its row count (file metadata, for a stored table) settles the matter.
     """
-    spark = df.sparkSession
-    limit = limit or max_group_rows(spark)
+    limit = limit or max_group_rows(df.sparkSession)
+    if bounded is True or (isinstance(bounded, DataFrame) and bounded.count() <= limit):
+        return HotGroups(None, 0, 0, limit)
     sizes = (
         with_keys_only(df.select(*keys), keys)
         .groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
@@ -60,8 +67,10 @@ def find_hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) ->
     total = sum(r[SIZE] for r in found)
     piece = max(limit, total // MAX_HOT_GROUPS)
     found = [r for r in found if r[SIZE] > piece]
+    if not found:
+        return HotGroups(None, 0, 0, piece)
     fields = [df.schema[k] for k in keys] + [T.StructField(SIZE, T.LongType())]
-    table = spark.createDataFrame([tuple(r) for r in found], T.StructType(fields))
+    table = df.sparkSession.createDataFrame([tuple(r) for r in found], T.StructType(fields))
     return HotGroups(table, total, len(found), piece)
 
 

@@ -79,7 +79,9 @@ def keep_max(df: DataFrame, keys: list[str], measure: str, ties: list[str]) -> D
     return keep_first(df, keys, [F.col(measure).desc(), *[F.col(t).asc() for t in ties]])
 
 
-def factorize(df: DataFrame, category: str, order: list[str], out: str) -> DataFrame:
+def factorize(
+    df: DataFrame, category: str, order: list[str], out: str, *, bounded: bool | DataFrame = False
+) -> DataFrame:
     """Integer code of each category, numbered by where it first appears in the given order.
 
     The categories are first reduced to one row each; numbering runs over those rows.
@@ -89,7 +91,7 @@ def factorize(df: DataFrame, category: str, order: list[str], out: str) -> DataF
     names = [f"__o{i}" for i in range(len(order))]
     first = with_keys_only(df, [category]).groupBy(category).agg(F.min(F.struct(*order)).alias("__at"))
     flat = first.select(category, *[F.col(f"__at.{o}").alias(n) for o, n in zip(order, names)])
-    numbered = row_numbers(flat, [], [*names, category], "__nr")
+    numbered = row_numbers(flat, [], [*names, category], "__nr", bounded=bounded)
     return numbered.select(category, (F.col("__nr") - 1).cast("int").alias(out))
 
 
@@ -121,7 +123,9 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
-def describe_numbers(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
+def describe_numbers(
+    df: DataFrame, columns: Sequence[str], *, bounded: bool | DataFrame = False, limit: int | None = None
+) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum of each column, as rows."""
     aggs, quantiles = {}, {}
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -129,7 +133,7 @@ def describe_numbers(df: DataFrame, columns: Sequence[str], limit: int | None =
         aggs |= {f"{c}__count": F.count(c), f"{c}__mean": F.avg(c), f"{c}__std": F.stddev_samp(c),
                  f"{c}__min": F.min(c), f"{c}__max": F.max(c)}
         quantiles |= {f"{c}__q25": (c, 0.25), f"{c}__q50": (c, 0.5), f"{c}__q75": (c, 0.75)}
-    wide = exact_quantiles(data, [], aggs, quantiles, limit=limit)
+    wide = exact_quantiles(data, [], aggs, quantiles, bounded=bounded, limit=limit)
     parts = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
     rows = F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{p}").alias(p) for p in parts]) for c in columns
@@ -159,9 +163,12 @@ def count_violations(df: DataFrame, probes: dict[str, Column]) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
+def impute_median(
+    df: DataFrame, columns: Sequence[str], *, bounded: bool | DataFrame = False, limit: int | None = None
+) -> DataFrame:
     """Replace nulls by the exact column median, read back as a scalar subquery."""
-    medians = exact_quantiles(df.select(*columns), [], {}, {f"__m_{c}": (c, 0.5) for c in columns}, limit=limit)
+    wanted = {f"__m_{c}": (c, 0.5) for c in columns}
+    medians = exact_quantiles(df.select(*columns), [], {}, wanted, bounded=bounded, limit=limit)
     return df.withColumns({
         c: F.coalesce(F.col(c).cast("double"), medians.select(f"__m_{c}").scalar()) for c in columns
     })

@@ -160,7 +160,7 @@ def _fill_sentinels(t: Tables) -> DataFrame:
 SELECT l_orderkey, l_linenumber, coalesce(discount, (SELECT median(discount) FROM gappy)) AS discount,
   coalesce(tax, (SELECT median(tax) FROM gappy)) AS tax FROM gappy""", "discount tax")
 def _median_impute(t: Tables) -> DataFrame:
-    return S.impute_median(_gappy(t).drop("flag"), ["discount", "tax"])
+    return S.impute_median(_gappy(t).drop("flag"), ["discount", "tax"], bounded=t.lineitem)
 
 
 @query("drop_nulls", f"WITH {GAPPY} SELECT * FROM gappy WHERE discount IS NOT NULL AND flag IS NOT NULL", "discount tax")

@@ -14,7 +14,7 @@ from paddock.plans.views import Tables, laps, pit_stops
 
 
 def pits(t: Tables) -> DataFrame:
-    return metrics.pit_summary(pit_stops(t).where("is_valid_stop"))
+    return metrics.pit_summary(pit_stops(t).where("is_valid_stop"), t.events)
 
 
 @query("pit_summary", f"WITH {PITS} SELECT * FROM pits",
@@ -31,6 +31,7 @@ def _strategy_reward(t: Tables) -> DataFrame:
         pits(t), ["strategy"],
         {"n": F.count(F.lit(1)), "avg_total": F.avg("total_pit_sec"), "avg_first_lap": F.avg("first_pit_lap")},
         {"median_total": ("total_pit_sec", 0.5)},
+        bounded=t.events,
     )
 
 
@@ -57,7 +58,7 @@ def _lap_events(t: Tables) -> DataFrame:
     ).distinct()
     joined = numbered.select("driverId", "lap", "position").join(stops, ["driverId", "lap"], "left")
     joined = joined.withColumn("pit_stop_lap", F.coalesce("pit_stop_lap", F.lit(False)))
-    return metrics.position_changes(joined, ["driverId"], ["lap"])
+    return metrics.position_changes(joined, ["driverId"], ["lap"], t.events)
 
 
 @query("event_study", f"""WITH {L}, c AS (
@@ -66,7 +67,7 @@ SELECT CAST(c.lap - p.lap AS INT) AS "offset", count(*) AS n, avg(c.position) AS
 FROM l p JOIN c ON p."driverId" = c."driverId" AND c.lap BETWEEN p.lap - 2 AND p.lap + 2
 WHERE p.pit_stop_lap GROUP BY ALL""", "avg_position avg_change")
 def _event_study(t: Tables) -> DataFrame:
-    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"])
+    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"], t.events)
     near = around_events(changed, ["driverId"], "lap", "pit_stop_lap", 2)
     return near.groupBy("offset").agg(
         F.count(F.lit(1)).alias("n"), F.avg("position").alias("avg_position"),
@@ -83,7 +84,7 @@ STINTS = L + """, s AS (
 SELECT "driverId", count(*) AS laps, count(DISTINCT stint) AS stints, max(lap_in_stint) AS longest,
   regr_slope(value, lap_in_stint) AS slope FROM st GROUP BY ALL""", "slope")
 def _stint_slope(t: Tables) -> DataFrame:
-    stints = S.grouped(metrics.stint_laps(laps(t)), ["driverId", "stint"], {
+    stints = S.grouped(metrics.stint_laps(laps(t), t.events), ["driverId", "stint"], {
         "n": F.count(F.lit(1)), "longest": F.max("lap_in_stint"), "sx": F.sum("lap_in_stint"),
         "sy": F.sum("value"), "sxy": F.sum(F.col("value") * F.col("lap_in_stint")),
         "sxx": F.sum(F.col("lap_in_stint") * F.col("lap_in_stint")),
@@ -113,6 +114,7 @@ def _group_percentiles(t: Tables) -> DataFrame:
     return exact_quantiles(
         t.events.select("event_type", "value"), ["event_type"], {"n": F.count(F.lit(1))},
         {n: ("value", p) for n, p in wanted.items()},
+        bounded=t.events,
     )
 
 

@@ -10,23 +10,32 @@ from paddock.operators.joins import Dimension, repeated_keys, star_join, with_me
 from paddock.operators.ordered import min_rank, previous_values
 from paddock.plans import dashboards, hypotheses, metrics
 from paddock.plans.catalog import E, GAPS, LOST, SEASON, SEASON_DOUBLES, TABLE, TEAMS, query
-from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, entries, round_totals
+from paddock.operators.skew import with_keys_only
+from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, entries, round_totals
 
-SEASON_COLUMNS = (*metrics.SEASON_KEYS, "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
+SEASON_COLUMNS = ("driverId", "year", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                   "grid", "grid_vs_finish")
 GAP_COLUMNS = ("raceId", "driverId", "constructorId", "positionOrder", "q1_ms", "q2_ms", "q3_ms", "best_qual_ms")
 
 
 def season(t: Tables) -> DataFrame:
-    return metrics.season_stats(entries(t, *SEASON_COLUMNS))
+    """Season rows of drivers. Entries are aggregated first; names and team join one row per driver season."""
+    stats = metrics.season_stats(entries(t, *SEASON_COLUMNS), ["driverId", "year"])
+    named = attach_team(t, stats).withColumn("era", rules.bucket_label("year", ERAS))
+    measures = [c for c in stats.columns if c not in ("driverId", "year")]
+    return with_keys_only(named, metrics.SEASON_KEYS).select(*metrics.SEASON_KEYS, *measures)
 
 
 def alpha(t: Tables) -> DataFrame:
-    return metrics.with_alpha(season(t))
+    return metrics.with_alpha(season(t), t.supplier)
 
 
 def gaps(t: Tables) -> DataFrame:
-    return metrics.team_gap(entries(t, *GAP_COLUMNS))
+    return metrics.team_gap(entries(t, *GAP_COLUMNS), t.lineitem)
+
+
+def standings(t: Tables) -> DataFrame:
+    return metrics.standings(round_totals(t), bounded=t.supplier)
 
 
 def lost(t: Tables, *columns: str) -> DataFrame:
@@ -35,9 +44,11 @@ def lost(t: Tables, *columns: str) -> DataFrame:
 
 
 def reliability(t: Tables) -> DataFrame:
-    return metrics.reliability_index(
-        lost(t, "resultId", "constructorId", "constructor_name", "era", "dnf_category", "points", "is_win")
+    """Counted per driver season first, then per team season."""
+    counts = metrics.retirement_counts(
+        lost(t, "driverId", "resultId", "dnf_category", "points", "is_win"), ["driverId", "year"]
     )
+    return metrics.reliability_index(attach_team(t, counts).withColumn("era", rules.bucket_label("year", ERAS)))
 
 
 @query("star_join", """
@@ -61,7 +72,7 @@ def _star_join(t: Tables) -> DataFrame:
 
 @query("cumulative_standings", f"WITH {TABLE} SELECT * FROM standing", "points cumulative_points gap_to_leader")
 def cumulative_standings(t: Tables) -> DataFrame:
-    return metrics.standings(round_totals(t))
+    return standings(t)
 
 
 @query("season_agg", f"WITH {SEASON} SELECT * FROM season", SEASON_DOUBLES)
@@ -129,7 +140,7 @@ SELECT * FROM totals LEFT JOIN career USING ("driverId") LEFT JOIN record USING
 def _career_summary(t: Tables) -> DataFrame:
     e = entries(t, "driverId", "full_name", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                 "grid_vs_finish")
-    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600)
+    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600, bounded=t.lineitem)
 
 
 @query("team_gap", f"""WITH {GAPS}
@@ -158,7 +169,7 @@ SELECT "driverId", count(*) AS q_sessions, count(*) FILTER (WHERE q1_vs_team_avg
   median(q1_ms) AS "MedianQ1Ms", count(*) FILTER (WHERE q1_vs_team_avg_ms < 0) / count(*) * 100 AS "QualWinPct"
 FROM gaps GROUP BY ALL HAVING count(*) >= 600""", "MedianQ1Ms QualWinPct")
 def _having_min_n(t: Tables) -> DataFrame:
-    return metrics.qualifying_record(gaps(t), 600)
+    return metrics.qualifying_record(gaps(t), 600, t.lineitem)
 
 
 @query("reliability_index", f"WITH {TEAMS} SELECT * FROM reliability",
@@ -173,7 +184,7 @@ SELECT "raceId", "driverId", "positionOrder", laps, max(laps) OVER (PARTITION BY
   laps / max(laps) OVER (PARTITION BY "raceId") * 100 AS laps_pct_completed FROM e""",
        "laps total_race_laps laps_pct_completed")
 def _pct_of_max(t: Tables) -> DataFrame:
-    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"))
+    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"), t.lineitem)
 
 
 @query("points_lookup", f"""WITH {LOST}
@@ -275,7 +286,7 @@ def _master_flat(t: Tables) -> DataFrame:
     one_gap = metrics.keep_first(
         gaps(t), ["raceId", "driverId"], [F.col(c) for c in ("positionOrder", "q1_ms", "q2_ms", "q3_ms")]
     )
-    table = metrics.standings(round_totals(t))
+    table = standings(t)
     return metrics.master(
         e, one_gap, table, alpha(t), [F.col("cumulative_points")], standing_keys=("year", "round", "driverId")
     )
@@ -335,7 +346,7 @@ def _describe_sql(column: str, source: str) -> str:
        "mean std min q25 q50 q75 max")
 def _describe(t: Tables) -> DataFrame:
     columns = ["points", "laps", "grid", "q2_ms"]
-    return S.describe_numbers(entries(t, *columns), columns)
+    return S.describe_numbers(entries(t, *columns), columns, bounded=t.lineitem)
 
 
 def _describe_text_sql(c: str) -> str:
@@ -462,14 +473,14 @@ def _topk_entities(t: Tables) -> DataFrame:
 @query("leader_counts", f"""WITH {TABLE}
 SELECT "driverId", count(*) AS rounds_led FROM standing WHERE championship_pos = 1 GROUP BY ALL""")
 def _leader_counts(t: Tables) -> DataFrame:
-    return metrics.leader_counts(metrics.standings(round_totals(t)))
+    return metrics.leader_counts(standings(t))
 
 
 @query("champion_points", f"""WITH {TABLE}
 SELECT year, max(cumulative_points) AS points FROM standing
 WHERE (year, round) IN (SELECT (year, max(round)) FROM standing GROUP BY year) GROUP BY year""", "points")
 def _champion_points(t: Tables) -> DataFrame:
-    return metrics.champion_points(metrics.standings(round_totals(t)))
+    return metrics.champion_points(standings(t))
 
 
 @query("next_period_corr", f"""WITH {E}, s AS (SELECT "driverId", year, sum(points) AS points FROM e GROUP BY ALL), r AS (
@@ -478,7 +489,7 @@ def _champion_points(t: Tables) -> DataFrame:
 SELECT count(before) AS n, corr(before, points) AS corr FROM p""", "corr")
 def _next_period_corr(t: Tables) -> DataFrame:
     s = S.grouped(entries(t, "driverId", "year", "points"), ["driverId", "year"], {"points": F.sum("points")})
-    ranked = min_rank(s, ["year"], "points", "pos")
+    ranked = min_rank(s, ["year"], "points", "pos", bounded=t.supplier)
     before = previous_values(ranked, ["driverId"], ["year"], {"before": "pos"}, bounded=True)
     return before.agg(F.count("before").alias("n"), F.corr("before", "points").alias("corr"))
 
@@ -486,7 +497,7 @@ def _next_period_corr(t: Tables) -> DataFrame:
 @query("factorize_codes", f"""WITH {E}
 SELECT era, CAST(row_number() OVER (ORDER BY min("raceId"), era) - 1 AS INT) AS era_code FROM e GROUP BY era""")
 def _factorize_codes(t: Tables) -> DataFrame:
-    return S.factorize(entries(t, "era", "raceId"), "era", ["raceId"], "era_code")
+    return S.factorize(entries(t, "era", "raceId"), "era", ["raceId"], "era_code", bounded=True)
 
 
 @query("keep_max_row", f"""

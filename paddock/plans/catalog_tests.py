@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.operators import hypotheses as H, summaries as S
-from paddock.plans import metrics
 from paddock.plans.catalog import E, TABLE, query
-from paddock.plans.views import Tables, entries, round_totals
+from paddock.plans.catalog_results import standings
+from paddock.plans.views import Tables, entries
 
 CORE = ("test", "statistic", "df", "n", "effect")
 
@@ -19,7 +19,7 @@ def _core(row: DataFrame) -> DataFrame:
 
 
 def spearman(t: Tables) -> DataFrame:
-    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder")
+    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder", bounded=t.lineitem)
 
 
 def welch(t: Tables) -> DataFrame:
@@ -40,9 +40,10 @@ def chi2_2x2(t: Tables) -> DataFrame:
 
 
 def mann_whitney(t: Tables) -> DataFrame:
-    table = metrics.standings(round_totals(t))
+    table = standings(t)
     return H.mann_whitney(
-        table, "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater"
+        table, "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
+        bounded=t.lineitem,
     )
 
 
@@ -156,6 +157,6 @@ def _ols_simple(t: Tables) -> DataFrame:
 SELECT term, coef, std_err, coef / std_err AS t, r2 AS r_squared, n FROM rows""", "coef std_err t r_squared")
 def _ols_multi(t: Tables) -> DataFrame:
     e = entries(t, "points", "grid", "era", "raceId")
-    codes = S.factorize(e, "era", ["raceId"], "era_code")
+    codes = S.factorize(e, "era", ["raceId"], "era_code", bounded=True)
     coded = e.select("points", "grid", "era").join(codes, "era", "left")
     return H.least_squares(coded, "points", ["grid", "era_code"]).drop("p_value")

@@ -39,7 +39,7 @@ def run_joins(tables: dict[str, DataFrame], out_dir: str, options: Options = Opt
         JOINED[3]: lambda: joined.championship(j1),
         JOINED[4]: lambda: joined.pit_strategy(t),
         JOINED[5]: lambda: joined.lap_by_lap(t, options),
-        JOINED[7]: lambda: joined.metrics.reliability_index(j7),
+        JOINED[7]: lambda: joined.constructor_reliability(j7),
     }
     out = {JOINED[0]: j1, JOINED[6]: j7} | {n: _write(build(), out_dir, n) for n, build in rest.items()}
     return {n: out[n] for n in JOINED}

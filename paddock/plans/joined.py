@@ -96,7 +96,7 @@ def master_results(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def driver_alpha(j1: DataFrame) -> DataFrame:
-    return metrics.with_career(metrics.with_alpha(metrics.season_stats(j1)))
+    return metrics.with_career(metrics.with_alpha(metrics.season_stats(j1), j1))
 
 
 def qualifying_analysis(t: dict[str, DataFrame]) -> DataFrame:
@@ -109,7 +109,7 @@ def qualifying_analysis(t: dict[str, DataFrame]) -> DataFrame:
         t["results"].select("raceId", "driverId", "positionOrder", "points", "grid", "is_dnf", "grid_vs_finish"),
         ["raceId", "driverId"], "left",
     )
-    return metrics.team_gap(joined)
+    return metrics.team_gap(joined, t["qualifying"])
 
 
 def championship(j1: DataFrame) -> DataFrame:
@@ -118,13 +118,13 @@ def championship(j1: DataFrame) -> DataFrame:
         "resultId", "year", "raceId", "round", "race_name", "country", "era", "driverId", "full_name",
         "constructorId", "constructor_name", "points", "is_win", "is_podium", "is_dnf", "positionOrder", "grid",
     ]
-    return metrics.standings(j1.select(*columns), tie_order=["resultId"])
+    return metrics.standings(j1.select(*columns), tie_order=["resultId"], bounded=j1)
 
 
 def pit_strategy(t: dict[str, DataFrame]) -> DataFrame:
     """Team and status come from the race entry, so the results are joined before those dimensions."""
     entry = ["constructorId", "positionOrder", "points", "grid", "laps", "is_dnf", "grid_vs_finish", "statusId"]
-    joined = star_join(metrics.pit_summary(t["pit_stops"].where("is_valid_stop")), [
+    joined = star_join(metrics.pit_summary(t["pit_stops"].where("is_valid_stop"), t["pit_stops"]), [
         Dimension(t["races"], {"raceId": "raceId"}, RACE_COLUMNS),
         Dimension(t["circuits"], {"circuitId": "circuitId"}, ["circuit_name", "country"]),
         Dimension(t["drivers"], {"driverId": "driverId"}, ["full_name"]),
@@ -164,10 +164,14 @@ def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFram
         "country", "grid", "positionOrder", "laps", "points", "statusId", "status", "dnf_category", "is_dnf",
         "is_win", "is_podium",
     ]
-    out = metrics.race_completion(j1.select(*columns))
+    out = metrics.race_completion(j1.select(*columns), j1)
     return out.withColumn("potential_points_lost", metrics.points_lost(options.points_regimes))
 
 
+def constructor_reliability(j7: DataFrame) -> DataFrame:
+    return metrics.reliability_index(metrics.retirement_counts(j7, metrics.TEAM_SEASON))
+
+
 def build_all(t: dict[str, DataFrame], options: Options = Options()) -> dict[str, DataFrame]:
     """All joined tables over enriched tables. The job writes J1 and J7 once and reads them back."""
     j1 = master_results(t)
@@ -180,5 +184,5 @@ def build_all(t: dict[str, DataFrame], options: Options = Options()) -> dict[str
         "J5_pit_strategy": pit_strategy(t),
         "J6_lap_by_lap": lap_by_lap(t, options),
         "J7_reliability_dnf": j7,
-        "J8_constructor_reliability": metrics.reliability_index(j7),
+        "J8_constructor_reliability": constructor_reliability(j7),
     }

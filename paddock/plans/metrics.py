@@ -51,9 +51,15 @@ def season_stats(entries: DataFrame, keys: Sequence[str] = SEASON_KEYS) -> DataF
     })
 
 
-def with_alpha(season: DataFrame) -> DataFrame:
-    """Points per race above the mean of the team's drivers in that season."""
-    out = attach_group_stats(season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")})
+def with_alpha(season: DataFrame, drivers: DataFrame | None = None) -> DataFrame:
+    """Points per race above the mean of the team's drivers in that season.
+
+    `drivers` is the driver table, if at hand: a team season has no more rows than there are drivers.
+    """
+    out = attach_group_stats(
+        season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")}, keys_present=True,
+        bounded=drivers if drivers is not None else False,
+    )
     return out.withColumn("driver_alpha", F.col("ppr") - F.col("constructor_avg_ppr"))
 
 
@@ -65,7 +71,7 @@ def with_career(alpha: DataFrame) -> DataFrame:
         "total_races": F.sum("races"),
         "career_wins": F.sum("wins"),
         "career_dnfs": F.sum("dnfs"),
-    }, bounded=True)
+    }, keys_present=True, bounded=True)
     return out.withColumn("career_dnf_rate", ratio("career_dnfs", "total_races")).drop("career_dnfs")
 
 
@@ -87,9 +93,11 @@ def career_stats(alpha: DataFrame) -> DataFrame:
     })
 
 
-def team_gap(qualifying: DataFrame) -> DataFrame:
+def team_gap(qualifying: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
     """First-session time against the team's mean in that race, and which sessions were reached."""
-    out = attach_group_stats(qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")})
+    out = attach_group_stats(
+        qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")}, bounded=bounded
+    )
     return out.withColumns({
         "q1_vs_team_avg_ms": F.col("q1_ms") - F.col("__team"),
         "reached_q2": F.col("q2_ms").isNotNull().cast("int"),
@@ -97,38 +105,43 @@ def team_gap(qualifying: DataFrame) -> DataFrame:
     }).drop("__team")
 
 
-def qualifying_record(gaps: DataFrame, min_sessions: int) -> DataFrame:
+def qualifying_record(gaps: DataFrame, min_sessions: int, bounded: bool | DataFrame = False) -> DataFrame:
     """Share of sessions faster than the team, for drivers with enough sessions."""
     out = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()),
         ["driverId"],
         {"q_sessions": F.count("q1_vs_team_avg_ms"), "q1_faster": F.count_if(F.col("q1_vs_team_avg_ms") < 0)},
         {"MedianQ1Ms": ("q1_ms", 0.5)},
+        bounded=bounded,
     )
     return out.where(F.col("q_sessions") >= min_sessions).withColumn(
         "QualWinPct", F.col("q1_faster") / F.col("q_sessions") * 100
     )
 
 
-def standings(entries: DataFrame, tie_order: list[str] | None = None) -> DataFrame:
+def standings(
+    entries: DataFrame, tie_order: list[str] | None = None, bounded: bool | DataFrame = False
+) -> DataFrame:
     """Running points and wins of a driver in a season, rank in the round and gap to the leader.
 
-    Rows without season or driver have no standing and are left out.
-    `tie_order` orders several rows of a driver in one round. Without it the table holds one row per
-    driver and round, so a driver's season is no longer than the calendar.
+    Rows without season or driver have no standing and are left out. `tie_order` orders several rows of a
+    driver in one round. Without it the table holds one row per driver and round, so a driver's season is no
+    longer than the calendar. `bounded` is a table no smaller than any round's field of drivers.
     """
     ran = running_totals(
-        with_keys_only(entries, ["year", "driverId"]),
+        with_keys_only(entries, ["year", "round", "driverId"]),
         ["year", "driverId"], ["round", *(tie_order or [])],
-        {"cumulative_points": "points", "cumulative_wins": "is_win"}, bounded=tie_order is None,
+        {"cumulative_points": "points", "cumulative_wins": "is_win"}, bounded=bounded if tie_order else True,
     )
-    hot = find_hot_groups(entries, ["year", "round"])
+    hot = find_hot_groups(entries, ["year", "round"], bounded)
     ranked = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", hot=hot)
-    led = attach_group_stats(ranked, ["year", "round"], {"__lead": F.max("cumulative_points")}, hot=hot)
+    led = attach_group_stats(
+        ranked, ["year", "round"], {"__lead": F.max("cumulative_points")}, keys_present=True, hot=hot
+    )
     return led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
 
 
-def pit_summary(valid_stops: DataFrame) -> DataFrame:
+def pit_summary(valid_stops: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
     """Stops, time and laps per race and driver. The highest stop number counts, even if that stop is invalid."""
     out = exact_quantiles(
         valid_stops, ["raceId", "driverId"],
@@ -140,6 +153,7 @@ def pit_summary(valid_stops: DataFrame) -> DataFrame:
             "last_pit_lap": F.max("lap"),
         },
         {"median_pit_ms": ("milliseconds", 0.5)},
+        bounded=bounded,
     )
     return out.withColumns({
         "total_pit_sec": F.col("total_pit_ms") / 1000,
@@ -148,14 +162,16 @@ def pit_summary(valid_stops: DataFrame) -> DataFrame:
     }).withColumn("pit_time_per_stop_sec", ratio("total_pit_sec", "total_stops"))
 
 
-def position_changes(laps: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def position_changes(
+    laps: DataFrame, keys: list[str], order: list[str], bounded: bool | DataFrame = False
+) -> DataFrame:
     """Position on the previous lap and places gained since (positive is a gain)."""
-    out = previous_values(laps, keys, order, {"prev_position": "position"})
+    out = previous_values(laps, keys, order, {"prev_position": "position"}, bounded=bounded)
     return out.withColumn("position_change", F.col("prev_position") - F.col("position"))
 
 
-def race_completion(entries: DataFrame) -> DataFrame:
-    out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")})
+def race_completion(entries: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
+    out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")}, bounded=bounded)
     return out.withColumn("laps_pct_completed", percent_of("laps", "total_race_laps"))
 
 
@@ -164,14 +180,10 @@ def points_lost(regimes=rules.POINTS) -> Column:
     return F.when(F.col("is_dnf") == 1, rules.points_for("year", "positionOrder", regimes)).otherwise(F.lit(0.0))
 
 
-def reliability_index(entries: DataFrame) -> DataFrame:
-    """Team seasons with retirement counts and rates, 3-season rolling mean, and rates of the team's era.
-
-    Era figures are sums over the team's season rows, kept on those rows by a window.
-    """
-    keys = ["constructorId", "constructor_name", "year", "era"]
+def retirement_counts(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Entries, retirements by kind, points and wins per group; all are sums, so groups can be merged."""
     kind = lambda name: F.count_if(F.col("dnf_category") == name)
-    season = with_keys_only(entries, ["constructorId", "era"]).groupBy(*keys).agg(
+    return entries.groupBy(*keys).agg(
         F.count("resultId").alias("entries"),
         F.sum("is_dnf").alias("total_dnfs"),
         kind(MECHANICAL_DNF).alias("mechanical_dnfs"),
@@ -181,9 +193,25 @@ def reliability_index(entries: DataFrame) -> DataFrame:
         F.sum("is_win").alias("total_wins"),
         F.sum("potential_points_lost").alias("pts_lost_to_dnf"),
     )
+
+
+COUNTS = ["entries", "total_dnfs", "mechanical_dnfs", "accident_dnfs", "other_dnfs", "total_points", "total_wins",
+          "pts_lost_to_dnf"]
+TEAM_SEASON = ["constructorId", "constructor_name", "year", "era"]
+
+
+def reliability_index(counts: DataFrame) -> DataFrame:
+    """Team seasons with retirement counts and rates, 3-season rolling mean, and rates of the team's era.
+
+    `counts` holds retirement counts on a grain of a team season or finer. Era figures are sums over the
+    team's season rows, kept on those rows by a window; a team has few seasons.
+    """
+    season = with_keys_only(counts, ["constructorId", "era"]).groupBy(*TEAM_SEASON).agg(
+        *[F.sum(c).alias(c) for c in COUNTS]
+    )
     era = attach_group_stats(season, ["constructorId", "era"], {
         "__entries": F.sum("entries"), "__dnfs": F.sum("total_dnfs"), "__mech": F.sum("mechanical_dnfs"),
-    }, bounded=True)
+    }, keys_present=True, bounded=True)
     rates = with_keys_only(era, ["constructor_name", "year"]).withColumns({
         "dnf_rate": ratio("total_dnfs", "entries"),
         "mechanical_dnf_rate": ratio("mechanical_dnfs", "entries"),
@@ -196,7 +224,9 @@ def reliability_index(entries: DataFrame) -> DataFrame:
     )
 
 
-def career_summary(entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30) -> DataFrame:
+def career_summary(
+    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30, bounded: bool | DataFrame = False
+) -> DataFrame:
     """Dashboard row per driver: totals, rates, career alpha, qualifying record."""
     totals = grouped(entries, ["driverId", "full_name"], {
         "TotalRaces": F.count("raceId"),
@@ -213,7 +243,7 @@ def career_summary(entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_se
         "DNFRate": ratio("TotalDNFs", "TotalRaces"),
     })
     career = grouped(alpha, ["driverId"], {"CareerAlpha": F.avg("driver_alpha")})
-    record = qualifying_record(gaps, min_sessions).select("driverId", "QualWinPct", "MedianQ1Ms")
+    record = qualifying_record(gaps, min_sessions, bounded).select("driverId", "QualWinPct", "MedianQ1Ms")
     return (
         totals.join(career, "driverId", "left").join(record, "driverId", "left")
         .withColumnRenamed("full_name", "Driver")
@@ -256,11 +286,11 @@ def master(entries: DataFrame, gaps: DataFrame, table: DataFrame, alpha: DataFra
     )
 
 
-def stint_laps(laps: DataFrame) -> DataFrame:
+def stint_laps(laps: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
     """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap."""
     flagged = laps.withColumn("__pit", F.col("pit_stop_lap").cast("long"))
-    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}).drop("__pit")
-    started = attach_group_stats(numbered, ["driverId", "stint"], {"__start": F.min("lap")})
+    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, bounded=bounded).drop("__pit")
+    started = attach_group_stats(numbered, ["driverId", "stint"], {"__start": F.min("lap")}, bounded=bounded)
     return started.withColumn("lap_in_stint", F.col("lap") - F.col("__start") + 1).drop("__start")
 
 
@@ -272,6 +302,6 @@ def champion_points(table: DataFrame) -> DataFrame:
     """Champion's points per season: the running total at the season's last round, first rank."""
     last = attach_group_stats(
         grouped(table, ["year", "round"], {"points": F.max("cumulative_points")}),
-        ["year"], {"__last": F.max("round")}, bounded=True,
+        ["year"], {"__last": F.max("round")}, keys_present=True, bounded=True,
     )
     return last.where("round = __last").select("year", "points")

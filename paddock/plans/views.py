@@ -46,7 +46,23 @@ class Tables:
 
 FROM_ORDERS = {"year", "round", "era"}
 FROM_SUPPLIER = {"constructorId", "full_name", "constructor_name"}
-FROM_NATION = {"constructor_name"}
+FROM_NAMES = {"full_name", "constructor_name"}
+
+
+def attach_team(t: Tables, df: DataFrame, driver: str = "driverId", names: bool = True) -> DataFrame:
+    """Add constructorId, and with `names` also full_name and constructor_name, of the driver.
+
+    On an aggregate by driver this joins one row per driver instead of every entry.
+    """
+    supplier = t.supplier.select(
+        F.col("s_suppkey").alias(driver), F.col("s_nationkey").alias("constructorId"),
+        *([F.col("s_name").alias("full_name")] if names else []),
+    )
+    out = df.join(supplier, driver, "left")
+    if not names:
+        return out
+    nation = t.nation.select(F.col("n_nationkey").alias("constructorId"), F.col("n_name").alias("constructor_name"))
+    return out.join(nation, "constructorId", "left")
 
 
 def entries(t: Tables, *columns: str) -> DataFrame:
@@ -57,14 +73,13 @@ def entries(t: Tables, *columns: str) -> DataFrame:
         orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         df = df.join(orders, "l_orderkey", "left")
     if need & FROM_SUPPLIER:
-        supplier = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey")
-        df = df.join(supplier, "l_suppkey", "left")
-    if need & FROM_NATION:
-        df = df.join(t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey", "left")
+        df = attach_team(t, df.withColumnRenamed("l_suppkey", "driverId"), names=bool(need & FROM_NAMES))
+    else:
+        df = df.withColumnRenamed("l_suppkey", "driverId")
 
     year = F.year("o_orderdate")
     base = {
-        "raceId": F.col("l_orderkey"), "resultId": F.col("l_orderkey"), "driverId": F.col("l_suppkey"),
+        "raceId": F.col("l_orderkey"), "resultId": F.col("l_orderkey"), "driverId": F.col("driverId"),
         "positionOrder": F.col("l_linenumber"),
         "position": F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_linenumber")),
         "grid": (F.col("l_partkey") % 8).cast("int"),
@@ -72,9 +87,9 @@ def entries(t: Tables, *columns: str) -> DataFrame:
         "status": F.concat("l_returnflag", "l_linestatus"),
         "q1_ms": F.col("l_extendedprice"), "q2_ms": F.nullif("l_discount", F.lit(0.0)),
         "q3_ms": F.nullif("l_tax", F.lit(0.0)),
-        "constructorId": F.col("s_nationkey") if need & FROM_SUPPLIER else None,
-        "full_name": F.col("s_name") if need & FROM_SUPPLIER else None,
-        "constructor_name": F.col("n_name") if need & FROM_NATION else None,
+        "constructorId": F.col("constructorId") if need & FROM_SUPPLIER else None,
+        "full_name": F.col("full_name") if need & FROM_NAMES else None,
+        "constructor_name": F.col("constructor_name") if need & FROM_NAMES else None,
         "year": year if need & FROM_ORDERS else None,
         "round": F.month("o_orderdate") if need & FROM_ORDERS else None,
         "era": rules.bucket_label(year, ERAS) if need & FROM_ORDERS else None,
@@ -101,7 +116,7 @@ def pit_stops(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("raceId"), F.col("user_id").alias("driverId"), "ts", "event_id",
         F.hour("ts").alias("lap"), F.round(F.col("value") * 1000).cast("bigint").alias("milliseconds"),
     )
-    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop")
+    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop", bounded=t.events)
     return numbered.withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
 
 
@@ -112,4 +127,4 @@ def laps(t: Tables) -> DataFrame:
         (F.floor("value") % 20).cast("int").alias("position"),
         (F.col("event_type") == "error").alias("pit_stop_lap"),
     )
-    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap")
+    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", bounded=t.events)
