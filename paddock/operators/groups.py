@@ -65,19 +65,24 @@ def exact_quantiles(
     data = with_keys_only(data, keys)
     hot = find_hot_groups(data, by, bounded, limit)
     plain_aggs = [c.alias(n) for n, c in aggs.items()]
-    builtin = [F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in quantiles.items()]
-    out = [*keys, *aggs, *quantiles]
+    values = list(dict.fromkeys(c for c, _ in quantiles.values()))
+    shares = {v: [p for c, p in quantiles.values() if c == v] for v in values}
+    builtin = [F.percentile(v, F.array(*map(F.lit, ps))).alias(f"__q_{v}") for v, ps in shares.items()]
+    picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]
     if not hot:
-        return data.groupBy(*keys).agg(*plain_aggs, *builtin).select(*out)
+        return data.groupBy(*keys).agg(*plain_aggs, *builtin).select(*keys, *aggs, *picked)
 
     rows = skew.hot_rows(data, hot, by)
     result = rows.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
-    for value in dict.fromkeys(c for c, _ in quantiles.values()):
+    for value in values:
         wanted = {n: p for n, (c, p) in quantiles.items() if c == value}
-        picked = _quantiles_by_counting(rows, by, value, wanted, limit)
-        result = result.join(F.broadcast(picked), by, "left")  # at most MAX_HOT_GROUPS rows
+        counted = _quantiles_by_counting(rows, by, value, wanted, limit)
+        result = result.join(F.broadcast(counted), by, "left")  # at most MAX_HOT_GROUPS rows
     rest = skew.cold_rows(data, hot, by).groupBy(*by).agg(*plain_aggs, *builtin)
-    return rest.select(*by, *aggs, *quantiles).unionByName(result.select(*by, *aggs, *quantiles)).select(*out)
+    return (
+        rest.select(*by, *aggs, *picked).unionByName(result.select(*by, *aggs, *quantiles))
+        .select(*keys, *aggs, *quantiles)
+    )
 
 
 def _quantiles_by_counting(

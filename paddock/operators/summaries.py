@@ -21,7 +21,10 @@ def grouped(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFram
     return with_keys_only(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
-def rounded(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
+def rounded(df: DataFrame, columns: Sequence[str], digits: int | None) -> DataFrame:
+    """Round the columns; None leaves them as they are."""
+    if digits is None:
+        return df
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
 
 

@@ -11,7 +11,7 @@ from paddock.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-DIGITS = 6
+SCALE = 1e6  # six decimals
 
 
 def query(name: str, sql: str | None = None, doubles: str = ""):
@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 
         QUERIES[name] = run
         if sql:
-            rounds = ", ".join(f'round("{c}", {DIGITS}) AS "{c}"' for c in doubles.split())
+            rounds = ", ".join(f'floor("{c}" * {SCALE} + 0.5) / {SCALE} AS "{c}"' for c in doubles.split())
             ORACLES[name] = f"SELECT * REPLACE ({rounds}) FROM (\n{sql}\n)" if rounds else sql
         return build
 
@@ -31,8 +31,10 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
+    """Six decimals by plain arithmetic: the rounding functions of engines part ways on values like 4.1546875."""
     return df.select(*[
-        F.round(f.name, DIGITS).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+        (F.floor(F.col(f"`{f.name}`") * SCALE + 0.5) / SCALE).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
 

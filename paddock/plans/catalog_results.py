@@ -298,7 +298,7 @@ SELECT constructor_name, avg(laps) AS avg_pit_duration, stddev_samp(laps) AS pit
        "avg_pit_duration pit_duration_std avg_finish_pos avg_points")
 def _kpi_mean_std(t: Tables) -> DataFrame:
     e = entries(t, "constructor_name", "laps", "positionOrder", "points")
-    return hypotheses.kpi_pit_strategy(e.withColumnRenamed("laps", "total_pit_sec"), digits=6)
+    return hypotheses.kpi_pit_strategy(e.withColumnRenamed("laps", "total_pit_sec"), digits=None)
 
 
 @query("kpi_by_bucket", f"""WITH {TEAMS}
@@ -306,7 +306,7 @@ SELECT era, avg(reliability_index) AS reliability_index, CAST(sum(entries) AS BI
   CAST(sum(total_dnfs) AS BIGINT) AS total_dnfs, avg(pts_lost_to_dnf) AS pts_lost_to_dnf
 FROM reliability GROUP BY ALL""", "reliability_index pts_lost_to_dnf")
 def _kpi_by_bucket(t: Tables) -> DataFrame:
-    return hypotheses.kpi_by_era(reliability(t), digits=6)
+    return hypotheses.kpi_by_era(reliability(t), digits=None)
 
 
 PIVOT = ", ".join(f"avg(reliability_index) FILTER (WHERE era = '{n}') AS \"{n}\"" for n in ERA_NAMES)

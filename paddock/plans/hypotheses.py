@@ -81,7 +81,7 @@ def pit_duration_bins(j5: DataFrame) -> DataFrame:
     return binned_mean(_with_change(j5), "total_pit_sec", "position_change", 9)
 
 
-def kpi_pit_strategy(j5: DataFrame, digits: int = 2) -> DataFrame:
+def kpi_pit_strategy(j5: DataFrame, digits: int | None = 2) -> DataFrame:
     out = grouped(j5, ["constructor_name"], {
         "avg_pit_duration": F.avg("total_pit_sec"), "pit_duration_std": F.stddev_samp("total_pit_sec"),
         "avg_finish_pos": F.avg("positionOrder"), "avg_points": F.avg("points"),
@@ -90,7 +90,7 @@ def kpi_pit_strategy(j5: DataFrame, digits: int = 2) -> DataFrame:
     return rounded(out, columns, digits).orderBy("avg_pit_duration", "constructor_name")
 
 
-def kpi_by_era(j8: DataFrame, digits: int = 2) -> DataFrame:
+def kpi_by_era(j8: DataFrame, digits: int | None = 2) -> DataFrame:
     out = grouped(j8, ["era"], {
         "reliability_index": F.avg("reliability_index"), "entries": F.sum("entries"),
         "total_dnfs": F.sum("total_dnfs"), "pts_lost_to_dnf": F.avg("pts_lost_to_dnf"),
