@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -136,14 +136,21 @@ def stop_strategy(stops: Column | str) -> Column:
     return F.when(n == 1, "1-Stop").when(n == 2, "2-Stop").when(n == 3, "3-Stop").otherwise("4+ Stops")
 
 
+def strategy_or_none(strategy: Column | str) -> Column:
+    return F.coalesce(_col(strategy), F.lit("No Pit Data"))
+
+
+def contender(position: Column | str) -> Column:
+    """Label of the leading five of the championship."""
+    return F.when(_col(position) <= 5, "Title Contender").otherwise("Non-Contender")
+
+
+def decade(year: Column | str) -> Column:
+    return (F.floor(_col(year) / 10) * 10).cast("int")
+
+
 def clip(value: Column | str, low: float, high: float) -> Column:
     """Limit to [low, high]; null stays null."""
     v = _col(value)
     return F.when(v < low, F.lit(float(low))).when(v > high, F.lit(float(high))).otherwise(v)
 
-
-def recode(value: Column | str, names: Mapping[str, str], default: str) -> Column:
-    out = F
-    for k, label in names.items():
-        out = out.when(_col(value) == k, F.lit(label))
-    return out.otherwise(F.lit(default))

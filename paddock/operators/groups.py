@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.operators import skew
 from paddock.operators.ordered import running_totals
-from paddock.operators.skew import ALL, HotGroups, find_hot_groups, with_keys_only
+from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups, with_keys_only
+from paddock.session import max_group_rows
+
+# The built-in percentile may hold the values of some 128 groups at once in one task.
+BUFFER_SHARE = 40
 
 
 def attach_group_stats(
     df: DataFrame, keys: list[str], stats: dict[str, Column], *,
-    keys_present: bool = False, hot: HotGroups | None = None, bounded: bool | DataFrame = False,
+    keys_present: bool = False, hot: HotGroups | None = None, bounded: bool | SizeBound = False,
     limit: int | None = None,
 ) -> DataFrame:
     """Add aggregates of the row's group, such as the team mean. Rows with a null key get null.
@@ -52,57 +56,48 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]], *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, limit: int | None = None,
 ) -> DataFrame:
     """Group aggregates together with exact interpolated quantiles, one row per group.
 
-    The built-in percentile keeps all distinct values of a group in one buffer, so it serves only groups
-    within the row limit. In a hot group the values are counted, numbered by a running total and the two
-    values round each wanted position are picked.
+    The built-in percentile keeps the distinct values of a group in a buffer, and many groups at a time, so
+    it serves only where all groups are well below the row limit. Otherwise values are counted, numbered by
+    a running total, and the two values round each wanted position are picked.
     """
-    data = df if keys else df.withColumn(ALL, F.lit(0))
+    limit = limit or max_group_rows(df.sparkSession)
+    data = with_keys_only(df, keys) if keys else df.withColumn(ALL, F.lit(0))
     by = keys or [ALL]
-    data = with_keys_only(data, keys)
-    hot = find_hot_groups(data, by, bounded, limit)
     plain_aggs = [c.alias(n) for n, c in aggs.items()]
     values = list(dict.fromkeys(c for c, _ in quantiles.values()))
-    shares = {v: [p for c, p in quantiles.values() if c == v] for v in values}
-    builtin = [F.percentile(v, F.array(*map(F.lit, ps))).alias(f"__q_{v}") for v, ps in shares.items()]
-    picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]
-    if not hot:
+    if not find_hot_groups(data, by, bounded, max(1, limit // BUFFER_SHARE)):
+        shares = {v: [p for c, p in quantiles.values() if c == v] for v in values}
+        builtin = [F.percentile(v, F.array(*map(F.lit, ps))).alias(f"__q_{v}") for v, ps in shares.items()]
+        picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]
         return data.groupBy(*keys).agg(*plain_aggs, *builtin).select(*keys, *aggs, *picked)
 
-    rows = skew.hot_rows(data, hot, by)
-    result = rows.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
+    result = data.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
     for value in values:
         wanted = {n: p for n, (c, p) in quantiles.items() if c == value}
-        counted = _quantiles_by_counting(rows, by, value, wanted, limit)
-        result = result.join(F.broadcast(counted), by, "left")  # at most MAX_HOT_GROUPS rows
-    rest = skew.cold_rows(data, hot, by).groupBy(*by).agg(*plain_aggs, *builtin)
-    return (
-        rest.select(*by, *aggs, *picked).unionByName(result.select(*by, *aggs, *quantiles))
-        .select(*keys, *aggs, *quantiles)
-    )
+        result = result.join(_quantiles_by_counting(data, by, value, wanted, bounded, limit), by, "left")
+    return result.select(*keys, *aggs, *quantiles)
 
 
 def _quantiles_by_counting(
-    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], limit: int | None
+    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], bounded: bool | SizeBound, limit: int
 ) -> DataFrame:
-    present = df.dropna(subset=[value])
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
-    placed = running_totals(counted, keys, [value], {"__upto": "__n"}, limit=limit).join(
-        F.broadcast(totals), keys, "left"
-    )
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    hot = find_hot_groups(counted, keys, bounded, limit)
+    placed = running_totals(counted, keys, [value], {"__upto": "__n"}, hot=hot)
+    placed = attach_group_stats(placed, keys, {"__total": F.max("__upto")}, keys_present=True, hot=hot)
     v, upto, n = F.col(value).cast("double"), F.col("__upto"), F.col("__n")
     picks, finals = [], []
     for name, p in wanted.items():
-        at = F.col("__total").cast("double") - 1
-        low, high = F.floor(at * p), F.ceil(at * p)
+        at = (F.col("__total") - 1).cast("double") * p
+        low, high = F.floor(at), F.ceil(at)
         for side, index in (("lo", low), ("hi", high)):
             here = (upto - n <= index) & (index < upto)
             picks.append(F.max(F.when(here, v)).alias(f"__{side}_{name}"))
-        picks.append(F.max(at * p - low).alias(f"__frac_{name}"))
+        picks.append(F.max(at - low).alias(f"__frac_{name}"))
         lo, hi, frac = (F.col(f"__{s}_{name}") for s in ("lo", "hi", "frac"))
         finals.append((lo + (hi - lo) * frac).alias(name))
     return placed.groupBy(*keys).agg(*picks).select(*keys, *finals)
@@ -110,7 +105,7 @@ def _quantiles_by_counting(
 
 def value_ranks(
     df: DataFrame, value: str, weight: Column | None = None, *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, limit: int | None = None,
 ) -> DataFrame:
     """Each distinct value with its count and its average rank over all rows (ties share the mean rank).
 

@@ -17,6 +17,7 @@ from paddock.functions import tails
 from paddock.functions.tails import p_value, student_two_sided
 from paddock.operators.groups import value_ranks
 from paddock.operators.ordered import running_totals
+from paddock.operators.skew import SizeBound
 
 # The tail functions travel with the tasks, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(tails)
@@ -31,7 +32,7 @@ def _row(df: DataFrame, test: str, tail: str, statistic: Column, dof: Column, n:
 
 
 def spearman(
-    df: DataFrame, x: str, y: str, *, bounded: bool | DataFrame = False, limit: int | None = None
+    df: DataFrame, x: str, y: str, *, bounded: bool | SizeBound = False, limit: int | None = None
 ) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
@@ -119,7 +120,7 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
 
 def mann_whitney(
     df: DataFrame, value: str, first: Column, second: Column, alternative: str, *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, limit: int | None = None,
 ) -> DataFrame:
     """U of the first sample; `effect` is the normal score with tie and continuity correction.
 

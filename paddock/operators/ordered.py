@@ -14,11 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from paddock.operators import skew
-from paddock.operators.skew import ALL, HotGroups, find_hot_groups
+from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups
 
 SEGMENT = "__segment"
 SAMPLES_PER_SEGMENT = 10
-BLOCK = 32
+BLOCK = 100
 
 
 def order_columns(order: list[str]) -> list[Column]:
@@ -72,11 +72,11 @@ def _with_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 
 def running_totals(
     df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Running sum up to and including the current row; `sums` maps output name to input column."""
     data, by = _with_keys(df, keys)
-    hot = find_hot_groups(data, by, bounded, limit)
+    hot = find_hot_groups(data, by, bounded, limit) if hot is None else hot
     upto = W.unboundedPreceding, W.currentRow
     if not hot:
         w = W.partitionBy(*by).orderBy(*order_columns(order)).rowsBetween(*upto)
@@ -101,7 +101,7 @@ def running_totals(
 
 def row_numbers(
     df: DataFrame, keys: list[str], order: list[str], out: str, *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, limit: int | None = None,
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
@@ -110,7 +110,7 @@ def row_numbers(
 
 def previous_values(
     df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], *,
-    bounded: bool | DataFrame = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, limit: int | None = None,
 ) -> DataFrame:
     """Value of the preceding row of the group; null on the first row. Maps output name to column."""
     hot = find_hot_groups(df, keys, bounded, limit)
@@ -139,7 +139,7 @@ def previous_values(
 
 def min_rank(
     df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True,
-    bounded: bool | DataFrame = False, hot: HotGroups | None = None, limit: int | None = None,
+    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Competition rank (1, 2, 2, 4) of `value` in its group.
 

@@ -1,8 +1,8 @@
 """Finding groups too large for one task, and working on them apart from the rest.
 
 A window or an exact percentile puts a whole group into one task. Before such a step the group sizes are
-counted (a map-side combined aggregate over the key columns only). Groups beyond the limit are few by
-construction and go another, distributed way; the others take the plain operator.
+estimated from a thin sample of the key columns. Groups beyond the limit are few by construction and go
+another, distributed way; the others take the plain operator. Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from paddock.session import max_group_rows
 
-MAX_HOT_GROUPS = 1000
+MAX_HOT_GROUPS = 10_000
+SAMPLES_PER_LIMIT = 200
 ALL = "__all"
 SIZE = "__rows"
 
@@ -32,6 +33,15 @@ class HotGroups:
         return self.groups > 0
 
 
+@dataclass(frozen=True)
+class SizeBound:
+    """A stored table whose groups by `keys` (the whole table, without keys) are no smaller than the groups
+    of a derived table, so that looking at it can spare counting the derived one."""
+
+    table: DataFrame
+    keys: tuple[str, ...] = ()
+
+
 def with_keys_only(df: DataFrame, keys: list[str]) -> DataFrame:
     """Drop rows with a null key: such rows belong to no group."""
     for k in keys:
@@ -43,32 +53,47 @@ def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _large_groups(df: DataFrame, keys: list[str], limit: int, most: int) -> list:
+    """Largest groups above the limit, by a sample that shows such a group about SAMPLES_PER_LIMIT times.
+
+    Only a thin sample of the key columns is shuffled. A group near the limit may be judged either way; that
+    decides how it is computed, not the result. Small limits take every row.
+    """
+    share = min(1.0, SAMPLES_PER_LIMIT / limit)
+    rows = with_keys_only(df.select(*keys), keys)
+    sampled = rows if share == 1.0 else rows.sample(share, 11)
+    size = (F.count(F.lit(1)) / share).cast("long").alias(SIZE)
+    sizes = sampled.groupBy(*keys).agg(size).where(F.col(SIZE) > limit)
+    return sizes.orderBy(F.col(SIZE).desc(), *keys).limit(most).collect()
+
+
 def find_hot_groups(
-    df: DataFrame, keys: list[str], bounded: bool | DataFrame = False, limit: int | None = None
+    df: DataFrame, keys: list[str], bounded: bool | SizeBound = False, limit: int | None = None
 ) -> HotGroups:
-    """Count rows per key and return the groups with more than `limit` rows.
+    """The groups with more than `limit` rows.
 
     Only the MAX_HOT_GROUPS largest are returned: any other group is smaller than a
     1/MAX_HOT_GROUPS share of the rows and can stay whole. Rows with a null key form no group.
 
     `bounded=True` states that the grain fixes the group size (such as rounds in a season): nothing is
-    counted. A table as `bounded` has at least as many rows as any group; if it is itself within the limit,
-    its row count (file metadata, for a stored table) settles the matter.
+    looked at. A SizeBound is looked at first: its row count (file metadata, for a stored table), then
+    its own groups, which need no join.
     """
     limit = limit or max_group_rows(df.sparkSession)
-    if bounded is True or (isinstance(bounded, DataFrame) and bounded.count() <= limit):
-        return HotGroups(None, 0, 0, limit)
-    sizes = (
-        with_keys_only(df.select(*keys), keys)
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
-        .where(F.col(SIZE) > limit)
-    )
-    found = sizes.orderBy(F.col(SIZE).desc(), *keys).limit(MAX_HOT_GROUPS).collect()
+    none = HotGroups(None, 0, 0, limit)
+    if bounded is True:
+        return none
+    if isinstance(bounded, SizeBound):
+        if bounded.table.count() <= limit:
+            return none
+        if bounded.keys and not _large_groups(bounded.table, list(bounded.keys), limit, 1):
+            return none
+    found = _large_groups(df, keys, limit, MAX_HOT_GROUPS)
     total = sum(r[SIZE] for r in found)
     piece = max(limit, total // MAX_HOT_GROUPS)
     found = [r for r in found if r[SIZE] > piece]
     if not found:
-        return HotGroups(None, 0, 0, piece)
+        return none
     fields = [df.schema[k] for k in keys] + [T.StructField(SIZE, T.LongType())]
     table = df.sparkSession.createDataFrame([tuple(r) for r in found], T.StructType(fields))
     return HotGroups(table, total, len(found), piece)

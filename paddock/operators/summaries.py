@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from paddock.operators.groups import exact_quantiles, keep_first
-from paddock.operators.skew import with_keys_only
+from paddock.operators.skew import SizeBound, with_keys_only
 
 
 def count_rows(*keys: str):
@@ -83,7 +83,7 @@ def keep_max(df: DataFrame, keys: list[str], measure: str, ties: list[str]) -> D
 
 
 def factorize(
-    df: DataFrame, category: str, order: list[str], out: str, *, bounded: bool | DataFrame = False
+    df: DataFrame, category: str, order: list[str], out: str, *, bounded: bool | SizeBound = False
 ) -> DataFrame:
     """Integer code of each category, numbered by where it first appears in the given order.
 
@@ -127,7 +127,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def describe_numbers(
-    df: DataFrame, columns: Sequence[str], *, bounded: bool | DataFrame = False, limit: int | None = None
+    df: DataFrame, columns: Sequence[str], *, bounded: bool | SizeBound = False, limit: int | None = None
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum of each column, as rows."""
     aggs, quantiles = {}, {}
@@ -167,7 +167,7 @@ def count_violations(df: DataFrame, probes: dict[str, Column]) -> DataFrame:
 
 
 def impute_median(
-    df: DataFrame, columns: Sequence[str], *, bounded: bool | DataFrame = False, limit: int | None = None
+    df: DataFrame, columns: Sequence[str], *, bounded: bool | SizeBound = False, limit: int | None = None
 ) -> DataFrame:
     """Replace nulls by the exact column median, read back as a scalar subquery."""
     wanted = {f"__m_{c}": (c, 0.5) for c in columns}

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paddock.functions import rules, text, times
 from paddock.operators import summaries as S
 from paddock.operators.groups import keep_first
+from paddock.operators.skew import SizeBound
 from paddock.plans.catalog import query
 from paddock.plans.views import Tables
 
@@ -160,7 +161,7 @@ def _fill_sentinels(t: Tables) -> DataFrame:
 SELECT l_orderkey, l_linenumber, coalesce(discount, (SELECT median(discount) FROM gappy)) AS discount,
   coalesce(tax, (SELECT median(tax) FROM gappy)) AS tax FROM gappy""", "discount tax")
 def _median_impute(t: Tables) -> DataFrame:
-    return S.impute_median(_gappy(t).drop("flag"), ["discount", "tax"], bounded=t.lineitem)
+    return S.impute_median(_gappy(t).drop("flag"), ["discount", "tax"], bounded=SizeBound(t.lineitem))
 
 
 @query("drop_nulls", f"WITH {GAPPY} SELECT * FROM gappy WHERE discount IS NOT NULL AND flag IS NOT NULL", "discount tax")

@@ -8,13 +8,14 @@ from paddock.functions import rules
 from paddock.operators import summaries as S
 from paddock.operators.groups import exact_quantiles
 from paddock.operators.ordered import around_events
+from paddock.operators.skew import SizeBound
 from paddock.plans import metrics
 from paddock.plans.catalog import L, PITS, PS, query
-from paddock.plans.views import Tables, laps, pit_stops
+from paddock.plans.views import Tables, by_user, laps, pit_stops
 
 
 def pits(t: Tables) -> DataFrame:
-    return metrics.pit_summary(pit_stops(t).where("is_valid_stop"), t.events)
+    return metrics.pit_summary(pit_stops(t).where("is_valid_stop"), by_user(t))
 
 
 @query("pit_summary", f"WITH {PITS} SELECT * FROM pits",
@@ -31,7 +32,7 @@ def _strategy_reward(t: Tables) -> DataFrame:
         pits(t), ["strategy"],
         {"n": F.count(F.lit(1)), "avg_total": F.avg("total_pit_sec"), "avg_first_lap": F.avg("first_pit_lap")},
         {"median_total": ("total_pit_sec", 0.5)},
-        bounded=t.events,
+        bounded=SizeBound(t.events),
     )
 
 
@@ -58,7 +59,7 @@ def _lap_events(t: Tables) -> DataFrame:
     ).distinct()
     joined = numbered.select("driverId", "lap", "position").join(stops, ["driverId", "lap"], "left")
     joined = joined.withColumn("pit_stop_lap", F.coalesce("pit_stop_lap", F.lit(False)))
-    return metrics.position_changes(joined, ["driverId"], ["lap"], t.events)
+    return metrics.position_changes(joined, ["driverId"], ["lap"], by_user(t))
 
 
 @query("event_study", f"""WITH {L}, c AS (
@@ -67,7 +68,7 @@ SELECT CAST(c.lap - p.lap AS INT) AS "offset", count(*) AS n, avg(c.position) AS
 FROM l p JOIN c ON p."driverId" = c."driverId" AND c.lap BETWEEN p.lap - 2 AND p.lap + 2
 WHERE p.pit_stop_lap GROUP BY ALL""", "avg_position avg_change")
 def _event_study(t: Tables) -> DataFrame:
-    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"], t.events)
+    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"], by_user(t))
     near = around_events(changed, ["driverId"], "lap", "pit_stop_lap", 2)
     return near.groupBy("offset").agg(
         F.count(F.lit(1)).alias("n"), F.avg("position").alias("avg_position"),
@@ -84,7 +85,7 @@ STINTS = L + """, s AS (
 SELECT "driverId", count(*) AS laps, count(DISTINCT stint) AS stints, max(lap_in_stint) AS longest,
   regr_slope(value, lap_in_stint) AS slope FROM st GROUP BY ALL""", "slope")
 def _stint_slope(t: Tables) -> DataFrame:
-    stints = S.grouped(metrics.stint_laps(laps(t), t.events), ["driverId", "stint"], {
+    stints = S.grouped(metrics.stint_laps(laps(t), by_user(t)), ["driverId", "stint"], {
         "n": F.count(F.lit(1)), "longest": F.max("lap_in_stint"), "sx": F.sum("lap_in_stint"),
         "sy": F.sum("value"), "sxy": F.sum(F.col("value") * F.col("lap_in_stint")),
         "sxx": F.sum(F.col("lap_in_stint") * F.col("lap_in_stint")),
@@ -114,7 +115,7 @@ def _group_percentiles(t: Tables) -> DataFrame:
     return exact_quantiles(
         t.events.select("event_type", "value"), ["event_type"], {"n": F.count(F.lit(1))},
         {n: ("value", p) for n, p in wanted.items()},
-        bounded=t.events,
+        bounded=SizeBound(t.events),
     )
 
 
@@ -132,3 +133,18 @@ def _first_stop_share(t: Tables) -> DataFrame:
     return pits(t).select(
         "raceId", "driverId", "strategy", rules.percent_of("first_pit_lap", "last_pit_lap").alias("first_stop_pct")
     )
+
+
+@query("pit_labels", f"""WITH {PITS}, days AS (
+  SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS "raceId", user_id AS "driverId" FROM events)
+SELECT d."raceId", d."driverId", p.strategy IS NOT NULL AS has_pit_data, coalesce(p.strategy, 'No Pit Data') AS strategy
+FROM days d LEFT JOIN pits p ON d."raceId" = p."raceId" AND d."driverId" = p."driverId" """)
+def _pit_labels(t: Tables) -> DataFrame:
+    days = t.events.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("raceId"), F.col("user_id").alias("driverId")
+    ).distinct()
+    out = days.join(pits(t).select("raceId", "driverId", "strategy"), ["raceId", "driverId"], "left")
+    return out.select(
+        "raceId", "driverId", F.col("strategy").isNotNull().alias("has_pit_data"),
+        rules.strategy_or_none("strategy").alias("strategy"),
+    )

@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from paddock.functions import rules
 from paddock.operators import summaries as S
 from paddock.operators.joins import Dimension, repeated_keys, star_join, with_membership
-from paddock.operators.ordered import min_rank, previous_values
 from paddock.plans import dashboards, hypotheses, metrics
 from paddock.plans.catalog import E, GAPS, LOST, SEASON, SEASON_DOUBLES, TABLE, TEAMS, query
-from paddock.operators.skew import with_keys_only
-from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, entries, round_totals
+from paddock.operators.skew import SizeBound, with_keys_only
+from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, by_driver, by_race, entries, round_totals
 
 SEASON_COLUMNS = ("driverId", "year", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                   "grid", "grid_vs_finish")
@@ -27,15 +26,15 @@ def season(t: Tables) -> DataFrame:
 
 
 def alpha(t: Tables) -> DataFrame:
-    return metrics.with_alpha(season(t), t.supplier)
+    return metrics.with_alpha(season(t), SizeBound(t.supplier, ("s_nationkey",)))
 
 
 def gaps(t: Tables) -> DataFrame:
-    return metrics.team_gap(entries(t, *GAP_COLUMNS), t.lineitem)
+    return metrics.team_gap(entries(t, *GAP_COLUMNS), by_race(t))
 
 
 def standings(t: Tables) -> DataFrame:
-    return metrics.standings(round_totals(t), bounded=t.supplier)
+    return metrics.standings(round_totals(t), bounded=SizeBound(t.supplier))
 
 
 def lost(t: Tables, *columns: str) -> DataFrame:
@@ -140,7 +139,7 @@ SELECT * FROM totals LEFT JOIN career USING ("driverId") LEFT JOIN record USING
 def _career_summary(t: Tables) -> DataFrame:
     e = entries(t, "driverId", "full_name", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                 "grid_vs_finish")
-    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600, bounded=t.lineitem)
+    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600, bounded=by_driver(t))
 
 
 @query("team_gap", f"""WITH {GAPS}
@@ -169,7 +168,7 @@ SELECT "driverId", count(*) AS q_sessions, count(*) FILTER (WHERE q1_vs_team_avg
   median(q1_ms) AS "MedianQ1Ms", count(*) FILTER (WHERE q1_vs_team_avg_ms < 0) / count(*) * 100 AS "QualWinPct"
 FROM gaps GROUP BY ALL HAVING count(*) >= 600""", "MedianQ1Ms QualWinPct")
 def _having_min_n(t: Tables) -> DataFrame:
-    return metrics.qualifying_record(gaps(t), 600, t.lineitem)
+    return metrics.qualifying_record(gaps(t), 600, by_driver(t))
 
 
 @query("reliability_index", f"WITH {TEAMS} SELECT * FROM reliability",
@@ -184,7 +183,7 @@ SELECT "raceId", "driverId", "positionOrder", laps, max(laps) OVER (PARTITION BY
   laps / max(laps) OVER (PARTITION BY "raceId") * 100 AS laps_pct_completed FROM e""",
        "laps total_race_laps laps_pct_completed")
 def _pct_of_max(t: Tables) -> DataFrame:
-    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"), t.lineitem)
+    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"), by_race(t))
 
 
 @query("points_lookup", f"""WITH {LOST}
@@ -346,7 +345,7 @@ def _describe_sql(column: str, source: str) -> str:
        "mean std min q25 q50 q75 max")
 def _describe(t: Tables) -> DataFrame:
     columns = ["points", "laps", "grid", "q2_ms"]
-    return S.describe_numbers(entries(t, *columns), columns, bounded=t.lineitem)
+    return S.describe_numbers(entries(t, *columns), columns, bounded=SizeBound(t.lineitem))
 
 
 def _describe_text_sql(c: str) -> str:
@@ -488,10 +487,47 @@ def _champion_points(t: Tables) -> DataFrame:
   SELECT *, lag(pos) OVER (PARTITION BY "driverId" ORDER BY year) AS before FROM r)
 SELECT count(before) AS n, corr(before, points) AS corr FROM p""", "corr")
 def _next_period_corr(t: Tables) -> DataFrame:
-    s = S.grouped(entries(t, "driverId", "year", "points"), ["driverId", "year"], {"points": F.sum("points")})
-    ranked = min_rank(s, ["year"], "points", "pos", bounded=t.supplier)
-    before = previous_values(ranked, ["driverId"], ["year"], {"before": "pos"}, bounded=True)
-    return before.agg(F.count("before").alias("n"), F.corr("before", "points").alias("corr"))
+    e = entries(t, "driverId", "year", "points")
+    points = S.grouped(e, ["driverId", "year"], {"points": F.sum("points")})
+    return metrics.carry_over(points, bounded=SizeBound(t.supplier))
+
+
+@query("mechanical_by_decade", f"""WITH {E}
+SELECT CAST(year // 10 * 10 AS INT) AS decade, count(*) AS entries,
+  count(*) FILTER (WHERE dnf_category = 'Mechanical DNF') AS mechanical,
+  count(*) FILTER (WHERE dnf_category = 'Mechanical DNF') / count(*) AS mechanical_rate FROM e GROUP BY ALL""",
+       "mechanical_rate")
+def _mechanical_by_decade(t: Tables) -> DataFrame:
+    return metrics.mechanical_rate(entries(t, "year", "dnf_category"))
+
+
+@query("contender_labels", f"""WITH {TABLE}
+SELECT year, CASE WHEN championship_pos <= 5 THEN 'Title Contender' ELSE 'Non-Contender' END AS label, count(*) AS n,
+  sum(points) AS points FROM standing GROUP BY ALL""", "points")
+def _contender_labels(t: Tables) -> DataFrame:
+    labelled = standings(t).withColumn("label", rules.contender("championship_pos"))
+    return S.grouped(labelled, ["year", "label"], {"n": F.count(F.lit(1)), "points": F.sum("points")})
+
+
+@query("season_with_career", f"""WITH {SEASON}, career AS (
+  SELECT "driverId", sum(season_points) AS career_points, CAST(sum(podiums) AS BIGINT) AS career_podiums
+  FROM alpha GROUP BY ALL)
+SELECT "driverId", year, driver_alpha, career_points, career_podiums FROM alpha LEFT JOIN career USING ("driverId")""",
+       "driver_alpha career_points")
+def _season_with_career(t: Tables) -> DataFrame:
+    rows = alpha(t)
+    career = metrics.career_stats(rows).select("driverId", "career_points", "career_podiums")
+    return dashboards.season_with_career(rows.select("driverId", "year", "driver_alpha"), career)
+
+
+@query("entries_with_team", f"""WITH {TEAMS}
+SELECT e."raceId", e."driverId", e."positionOrder", e."constructorId", e.year, e.is_dnf, r.reliability_index,
+  r.rolling3_reliability FROM e LEFT JOIN reliability r ON e."constructorId" = r."constructorId" AND e.year = r.year""",
+       "reliability_index rolling3_reliability")
+def _entries_with_team(t: Tables) -> DataFrame:
+    e = entries(t, "raceId", "driverId", "positionOrder", "constructorId", "year", "is_dnf")
+    team = reliability(t).select("constructorId", "year", "reliability_index", "rolling3_reliability")
+    return dashboards.entries_with_team(e, team, "year")
 
 
 @query("factorize_codes", f"""WITH {E}

@@ -7,9 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.operators import hypotheses as H, summaries as S
-from paddock.plans.catalog import E, TABLE, query
-from paddock.plans.catalog_results import standings
-from paddock.plans.views import Tables, entries
+from paddock.operators.skew import SizeBound
+from paddock.plans import metrics
+from paddock.plans.catalog import E, GAPS, PITS, TABLE, query
+from paddock.plans.catalog_events import pits
+from paddock.plans.catalog_results import gaps, standings
+from paddock.plans.views import Tables, by_driver, entries
 
 CORE = ("test", "statistic", "df", "n", "effect")
 
@@ -19,7 +22,7 @@ def _core(row: DataFrame) -> DataFrame:
 
 
 def spearman(t: Tables) -> DataFrame:
-    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder", bounded=t.lineitem)
+    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder", bounded=SizeBound(t.lineitem))
 
 
 def welch(t: Tables) -> DataFrame:
@@ -43,7 +46,7 @@ def mann_whitney(t: Tables) -> DataFrame:
     table = standings(t)
     return H.mann_whitney(
         table, "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
-        bounded=t.lineitem,
+        bounded=SizeBound(t.lineitem),
     )
 
 
@@ -89,6 +92,47 @@ for _name, (_build, _sql) in TESTS.items():
     query(_name, _sql, "statistic df effect")(lambda t, build=_build: _core(build(t)))
 
 
+@query("chi2_poles", CHI2_RXC.replace("FROM e GROUP BY ALL", "FROM e WHERE grid = 1 GROUP BY ALL"), "statistic df effect")
+def _chi2_poles(t: Tables) -> DataFrame:
+    """Pole to win by era, on pole sitters only."""
+    poles = entries(t, "era", "is_win", "grid").where("grid = 1")
+    return _core(H.chi_squared(poles, "era", "is_win", [0, 1]))
+
+
+@query("chi2_teams", CHI2_2X2.replace("era, is_dnf", "grp, is_dnf").replace("PARTITION BY era", "PARTITION BY grp").replace(
+    "FROM e WHERE era IN ('V10', 'Hybrid')",
+    "FROM (SELECT CAST(\"constructorId\" < 7 AS INT) AS grp, is_dnf FROM e)"), "statistic df effect")
+def _chi2_teams(t: Tables) -> DataFrame:
+    """Retirements of a listed set of teams against the others."""
+    e = entries(t, "constructorId", "is_dnf")
+    e = e.withColumn("listed", F.col("constructorId").isin(list(range(7))).cast("int"))
+    return _core(H.chi_squared(e, "listed", "is_dnf", [0, 1]))
+
+
+@query("spearman_pits", f"""WITH {PITS}, r AS (SELECT
+  rank() OVER (ORDER BY total_pit_sec) + (count(*) OVER (PARTITION BY total_pit_sec) - 1) / 2 AS rx,
+  rank() OVER (ORDER BY first_pit_lap) + (count(*) OVER (PARTITION BY first_pit_lap) - 1) / 2 AS ry FROM pits)
+SELECT 'Spearman' AS test, corr(rx, ry) AS statistic, count(*) - 2.0::DOUBLE AS df, count(*) AS n,
+  corr(rx, ry) AS effect FROM r""", "statistic df effect")
+def _spearman_pits(t: Tables) -> DataFrame:
+    return _core(H.spearman(pits(t), "total_pit_sec", "first_pit_lap", bounded=SizeBound(t.events)))
+
+
+@query("welch_gap", f"""WITH {GAPS}, g AS (
+  SELECT "driverId", median(q1_vs_team_avg_ms) AS gap, avg(points) AS ppr FROM gaps GROUP BY ALL), s AS (
+  SELECT ppr, gap < (SELECT median(gap) FROM g) AS below FROM g), m AS (
+  SELECT avg(ppr) FILTER (WHERE below) AS m1, avg(ppr) FILTER (WHERE NOT below) AS m2,
+    var_samp(ppr) FILTER (WHERE below) AS v1, var_samp(ppr) FILTER (WHERE NOT below) AS v2,
+    count(*) FILTER (WHERE below) AS n1, count(*) FILTER (WHERE NOT below) AS n2 FROM s)
+SELECT 'Welch t' AS test, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS statistic,
+  pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df, n1 + n2 AS n,
+  (m1 - m2) / sqrt((v1 + v2) / 2) AS effect FROM m""", "statistic df effect")
+def _welch_gap(t: Tables) -> DataFrame:
+    """Points per race of drivers with a below-median gap to their team, against the rest."""
+    drivers = metrics.gap_and_points(gaps(t), entries(t, "driverId", "points"), by_driver(t))
+    return _core(H.welch(drivers, "ppr", F.col("below_median"), ~F.col("below_median")))
+
+
 # 5, 1 and 0.1 percent critical values of |z| two-sided, z one-sided, chi2 with 3 and with 1 df.
 CRITICAL = {
     "two": (1.959963985, 2.575829304, 3.290526731), "one": (1.644853627, 2.326347874, 3.090232306),
@@ -141,9 +185,8 @@ def _ols_simple(t: Tables) -> DataFrame:
     return H.least_squares(entries(t, "points", "grid"), "points", ["grid"]).drop("p_value")
 
 
-@query("ols_multi", f"""WITH {E}, codes AS (
-  SELECT era, row_number() OVER (ORDER BY min("raceId"), era) - 1 AS code FROM e GROUP BY era), d AS (
-  SELECT points AS y, grid AS x, code AS z FROM e JOIN codes USING (era)), m AS (
+def _ols2_sql(ctes: str, y: str, x: str, z: str, source: str, names: tuple[str, str]) -> str:
+    return f"""WITH {ctes}, d AS (SELECT {y} AS y, {x} AS x, {z} AS z FROM {source}), m AS (
   SELECT count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) * count(*) AS xx, var_pop(z) * count(*) AS zz,
     covar_pop(x, z) * count(*) AS xz, covar_pop(x, y) * count(*) AS xy, covar_pop(z, y) * count(*) AS zy,
     var_pop(y) * count(*) AS yy FROM d), b AS (
@@ -152,11 +195,25 @@ def _ols_simple(t: Tables) -> DataFrame:
   SELECT *, (yy - bx * xy - bz * zy) / (n - 3) AS v, 1 - (yy - bx * xy - bz * zy) / yy AS r2 FROM b), rows AS (
   SELECT 'const' AS term, my - bx * mx - bz * mz AS coef,
     sqrt(v * (1 / n + (mx * mx * zz - 2 * mx * mz * xz + mz * mz * xx) / det)) AS std_err, r2, n FROM s UNION ALL
-  SELECT 'grid', bx, sqrt(v * zz / det), r2, n FROM s UNION ALL
-  SELECT 'era_code', bz, sqrt(v * xx / det), r2, n FROM s)
-SELECT term, coef, std_err, coef / std_err AS t, r2 AS r_squared, n FROM rows""", "coef std_err t r_squared")
+  SELECT '{names[0]}', bx, sqrt(v * zz / det), r2, n FROM s UNION ALL
+  SELECT '{names[1]}', bz, sqrt(v * xx / det), r2, n FROM s)
+SELECT term, coef, std_err, coef / std_err AS t, r2 AS r_squared, n FROM rows"""
+
+
+ERA_CODES = E + """, codes AS (
+  SELECT era, row_number() OVER (ORDER BY min("raceId"), era) - 1 AS code FROM e GROUP BY era)"""
+
+
+@query("ols_multi", _ols2_sql(ERA_CODES, "points", "grid", "code", "e JOIN codes USING (era)", ("grid", "era_code")),
+       "coef std_err t r_squared")
 def _ols_multi(t: Tables) -> DataFrame:
     e = entries(t, "points", "grid", "era", "raceId")
     codes = S.factorize(e, "era", ["raceId"], "era_code", bounded=True)
     coded = e.select("points", "grid", "era").join(codes, "era", "left")
     return H.least_squares(coded, "points", ["grid", "era_code"]).drop("p_value")
+
+
+@query("ols_pit", _ols2_sql(PITS, "total_pit_sec", "first_pit_lap", "total_stops", "pits", ("first_pit_lap", "total_stops")),
+       "coef std_err t r_squared")
+def _ols_pit(t: Tables) -> DataFrame:
+    return H.least_squares(pits(t), "total_pit_sec", ["first_pit_lap", "total_stops"]).drop("p_value")

@@ -121,6 +121,18 @@ def wide_master(j: dict[str, DataFrame], options: Options = Options()) -> DataFr
     )
 
 
+def season_with_career(season: DataFrame, career: DataFrame) -> DataFrame:
+    """Season rows next to the driver's career row, as the first dashboard links them."""
+    extra = [c for c in career.columns if c not in season.columns]
+    return season.join(career.select("driverId", *extra), "driverId", "left")
+
+
+def entries_with_team(entries: DataFrame, team: DataFrame, season: str = "Season") -> DataFrame:
+    """Entries next to the row of their team's season, as the third dashboard links them."""
+    extra = [c for c in team.columns if c not in entries.columns]
+    return entries.join(team.select("constructorId", season, *extra), ["constructorId", season], "left")
+
+
 def build_all(j: dict[str, DataFrame], options: Options = Options()) -> dict[str, DataFrame]:
     j1, j2, j3 = (j[n] for n in ("J1_master_race_results", "J2_driver_alpha", "J3_qualifying_analysis"))
     return {

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from paddock.operators import hypotheses as tests
 from paddock.operators.summaries import binned_mean, factorize, grouped, pivot_mean, rounded
 from paddock.functions.rules import ERAS, flag
+from paddock.plans import metrics
 
 # Team names counted as top teams.
 TOP_TEAMS = ["Ferrari", "McLaren", "Williams", "Mercedes", "Lotus", "RBR", "Red Bull Racing"]
@@ -77,6 +78,20 @@ def regressions(j: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def proposed(j: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Questions the exploration left open: teammate gap and points, stops and finish in the latest era,
+    mechanical retirements by decade, and a season's rank against the next season's points."""
+    j1, j5 = j["J1_master_race_results"], j["J5_pit_strategy"]
+    by_gap = metrics.gap_and_points(j["J3_qualifying_analysis"], j1)
+    season = grouped(j1, ["constructorId", "year"], {"points": F.sum("points")})
+    return {
+        "gap_points": tests.welch(by_gap, "ppr", F.col("below_median"), ~F.col("below_median")),
+        "stops_finish": tests.spearman(j5.where("era = 'Hybrid'"), "total_stops", "positionOrder"),
+        "mechanical_by_decade": metrics.mechanical_rate(j1),
+        "carry_over": metrics.carry_over(season, ["constructorId"]),
+    }
+
+
 def pit_duration_bins(j5: DataFrame) -> DataFrame:
     return binned_mean(_with_change(j5), "total_pit_sec", "position_change", 9)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paddock.functions import rules, text, times
 from paddock.operators.joins import Dimension, attach_distinct, require_unique, star_join, with_membership
+from paddock.operators.skew import SizeBound
 from paddock.plans import metrics
 
 RACE_COLUMNS = ["race_name", "year", "round", "circuitId", "era"]
@@ -96,7 +97,7 @@ def master_results(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def driver_alpha(j1: DataFrame) -> DataFrame:
-    return metrics.with_career(metrics.with_alpha(metrics.season_stats(j1), j1))
+    return metrics.with_career(metrics.with_alpha(metrics.season_stats(j1), SizeBound(j1, ("constructorId", "year"))))
 
 
 def qualifying_analysis(t: dict[str, DataFrame]) -> DataFrame:
@@ -109,7 +110,7 @@ def qualifying_analysis(t: dict[str, DataFrame]) -> DataFrame:
         t["results"].select("raceId", "driverId", "positionOrder", "points", "grid", "is_dnf", "grid_vs_finish"),
         ["raceId", "driverId"], "left",
     )
-    return metrics.team_gap(joined, t["qualifying"])
+    return metrics.team_gap(joined, SizeBound(t["qualifying"], ("raceId",)))
 
 
 def championship(j1: DataFrame) -> DataFrame:
@@ -118,13 +119,13 @@ def championship(j1: DataFrame) -> DataFrame:
         "resultId", "year", "raceId", "round", "race_name", "country", "era", "driverId", "full_name",
         "constructorId", "constructor_name", "points", "is_win", "is_podium", "is_dnf", "positionOrder", "grid",
     ]
-    return metrics.standings(j1.select(*columns), tie_order=["resultId"], bounded=j1)
+    return metrics.standings(j1.select(*columns), tie_order=["resultId"], bounded=SizeBound(j1, ("year",)))
 
 
 def pit_strategy(t: dict[str, DataFrame]) -> DataFrame:
     """Team and status come from the race entry, so the results are joined before those dimensions."""
     entry = ["constructorId", "positionOrder", "points", "grid", "laps", "is_dnf", "grid_vs_finish", "statusId"]
-    joined = star_join(metrics.pit_summary(t["pit_stops"].where("is_valid_stop"), t["pit_stops"]), [
+    joined = star_join(metrics.pit_summary(t["pit_stops"].where("is_valid_stop"), SizeBound(t["pit_stops"], ("driverId",))), [
         Dimension(t["races"], {"raceId": "raceId"}, RACE_COLUMNS),
         Dimension(t["circuits"], {"circuitId": "circuitId"}, ["circuit_name", "country"]),
         Dimension(t["drivers"], {"driverId": "driverId"}, ["full_name"]),
@@ -154,7 +155,8 @@ def lap_by_lap(t: dict[str, DataFrame], options: Options = Options()) -> DataFra
     laps = laps.withColumns({
         "pit_stop_lap": F.coalesce("pit_stop_lap", F.lit(False)), "lap_time_sec": F.col("milliseconds") / 1000,
     })
-    return metrics.position_changes(laps, ["raceId", "driverId"], ["lap", "constructorId", "pit_duration_ms"])
+    bound = SizeBound(t["lap_times"], ("driverId",))
+    return metrics.position_changes(laps, ["raceId", "driverId"], ["lap", "constructorId", "pit_duration_ms"], bound)
 
 
 def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFrame:
@@ -164,7 +166,7 @@ def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFram
         "country", "grid", "positionOrder", "laps", "points", "statusId", "status", "dnf_category", "is_dnf",
         "is_win", "is_podium",
     ]
-    out = metrics.race_completion(j1.select(*columns), j1)
+    out = metrics.race_completion(j1.select(*columns), SizeBound(j1, ("raceId",)))
     return out.withColumn("potential_points_lost", metrics.points_lost(options.points_regimes))
 
 

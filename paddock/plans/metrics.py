@@ -14,7 +14,7 @@ from paddock.functions import rules
 from paddock.functions.rules import ACCIDENT_DNF, MECHANICAL_DNF, OTHER_DNF, flag, percent_of, ratio
 from paddock.operators.groups import attach_group_stats, exact_quantiles, keep_first
 from paddock.operators.ordered import min_rank, previous_values, rolling_mean, running_totals
-from paddock.operators.skew import find_hot_groups, with_keys_only
+from paddock.operators.skew import SizeBound, find_hot_groups, with_keys_only
 from paddock.operators.summaries import grouped
 
 SEASON_KEYS = ["driverId", "full_name", "year", "constructorId", "constructor_name", "era"]
@@ -51,14 +51,11 @@ def season_stats(entries: DataFrame, keys: Sequence[str] = SEASON_KEYS) -> DataF
     })
 
 
-def with_alpha(season: DataFrame, drivers: DataFrame | None = None) -> DataFrame:
-    """Points per race above the mean of the team's drivers in that season.
-
-    `drivers` is the driver table, if at hand: a team season has no more rows than there are drivers.
-    """
+def with_alpha(season: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+    """Points per race above the mean of the team's drivers in that season."""
     out = attach_group_stats(
         season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")}, keys_present=True,
-        bounded=drivers if drivers is not None else False,
+        bounded=bounded,
     )
     return out.withColumn("driver_alpha", F.col("ppr") - F.col("constructor_avg_ppr"))
 
@@ -93,7 +90,7 @@ def career_stats(alpha: DataFrame) -> DataFrame:
     })
 
 
-def team_gap(qualifying: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
+def team_gap(qualifying: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
     """First-session time against the team's mean in that race, and which sessions were reached."""
     out = attach_group_stats(
         qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")}, bounded=bounded
@@ -105,7 +102,7 @@ def team_gap(qualifying: DataFrame, bounded: bool | DataFrame = False) -> DataFr
     }).drop("__team")
 
 
-def qualifying_record(gaps: DataFrame, min_sessions: int, bounded: bool | DataFrame = False) -> DataFrame:
+def qualifying_record(gaps: DataFrame, min_sessions: int, bounded: bool | SizeBound = False) -> DataFrame:
     """Share of sessions faster than the team, for drivers with enough sessions."""
     out = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()),
@@ -120,13 +117,13 @@ def qualifying_record(gaps: DataFrame, min_sessions: int, bounded: bool | DataFr
 
 
 def standings(
-    entries: DataFrame, tie_order: list[str] | None = None, bounded: bool | DataFrame = False
+    entries: DataFrame, tie_order: list[str] | None = None, bounded: bool | SizeBound = False
 ) -> DataFrame:
     """Running points and wins of a driver in a season, rank in the round and gap to the leader.
 
     Rows without season or driver have no standing and are left out. `tie_order` orders several rows of a
     driver in one round. Without it the table holds one row per driver and round, so a driver's season is no
-    longer than the calendar. `bounded` is a table no smaller than any round's field of drivers.
+    longer than the calendar. `bounded` bounds the field of drivers of a round.
     """
     ran = running_totals(
         with_keys_only(entries, ["year", "round", "driverId"]),
@@ -141,7 +138,7 @@ def standings(
     return led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
 
 
-def pit_summary(valid_stops: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
+def pit_summary(valid_stops: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
     """Stops, time and laps per race and driver. The highest stop number counts, even if that stop is invalid."""
     out = exact_quantiles(
         valid_stops, ["raceId", "driverId"],
@@ -163,14 +160,14 @@ def pit_summary(valid_stops: DataFrame, bounded: bool | DataFrame = False) -> Da
 
 
 def position_changes(
-    laps: DataFrame, keys: list[str], order: list[str], bounded: bool | DataFrame = False
+    laps: DataFrame, keys: list[str], order: list[str], bounded: bool | SizeBound = False
 ) -> DataFrame:
     """Position on the previous lap and places gained since (positive is a gain)."""
     out = previous_values(laps, keys, order, {"prev_position": "position"}, bounded=bounded)
     return out.withColumn("position_change", F.col("prev_position") - F.col("position"))
 
 
-def race_completion(entries: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
+def race_completion(entries: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
     out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")}, bounded=bounded)
     return out.withColumn("laps_pct_completed", percent_of("laps", "total_race_laps"))
 
@@ -225,7 +222,7 @@ def reliability_index(counts: DataFrame) -> DataFrame:
 
 
 def career_summary(
-    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30, bounded: bool | DataFrame = False
+    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30, bounded: bool | SizeBound = False
 ) -> DataFrame:
     """Dashboard row per driver: totals, rates, career alpha, qualifying record."""
     totals = grouped(entries, ["driverId", "full_name"], {
@@ -286,7 +283,7 @@ def master(entries: DataFrame, gaps: DataFrame, table: DataFrame, alpha: DataFra
     )
 
 
-def stint_laps(laps: DataFrame, bounded: bool | DataFrame = False) -> DataFrame:
+def stint_laps(laps: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
     """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap."""
     flagged = laps.withColumn("__pit", F.col("pit_stop_lap").cast("long"))
     numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, bounded=bounded).drop("__pit")
@@ -305,3 +302,29 @@ def champion_points(table: DataFrame) -> DataFrame:
         ["year"], {"__last": F.max("round")}, keys_present=True, bounded=True,
     )
     return last.where("round = __last").select("year", "points")
+
+
+def mechanical_rate(entries: DataFrame) -> DataFrame:
+    """Share of entries with a mechanical retirement, by decade."""
+    out = grouped(entries.withColumn("decade", rules.decade("year")), ["decade"], {
+        "entries": F.count(F.lit(1)), "mechanical": F.count_if(F.col("dnf_category") == MECHANICAL_DNF),
+    })
+    return out.withColumn("mechanical_rate", ratio("mechanical", "entries"))
+
+
+def carry_over(season_points: DataFrame, keys: Sequence[str] = ("driverId",), bounded: bool | SizeBound = False) -> DataFrame:
+    """Correlation of the rank in one season with the points of the next season present."""
+    ranked = min_rank(season_points, ["year"], "points", "pos", bounded=bounded)
+    before = previous_values(ranked, list(keys), ["year"], {"before": "pos"}, bounded=True)
+    return before.agg(F.count("before").alias("n"), F.corr("before", "points").alias("corr"))
+
+
+def gap_and_points(gaps: DataFrame, entries: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+    """Per driver the median gap to the team, points per race, and whether the gap is below the median driver's."""
+    gap = exact_quantiles(
+        gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()), ["driverId"], {},
+        {"median_gap": ("q1_vs_team_avg_ms", 0.5)}, bounded=bounded,
+    )
+    middle = exact_quantiles(gap, [], {}, {"m": ("median_gap", 0.5)}).select("m").scalar()
+    points = grouped(entries, ["driverId"], {"ppr": F.avg("points")})
+    return gap.join(points, "driverId", "left").withColumn("below_median", F.col("median_gap") < middle)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.functions import rules
 from paddock.operators.ordered import row_numbers
+from paddock.operators.skew import SizeBound
 from paddock.operators.summaries import grouped
 from paddock.plans.metrics import result_flags
 
@@ -104,6 +105,18 @@ def entries(t: Tables, *columns: str) -> DataFrame:
     return out.withColumns({n: c for n, c in derived.items() if n in need}).select(*columns)
 
 
+def by_race(t: Tables) -> SizeBound:
+    return SizeBound(t.lineitem, ("l_orderkey",))
+
+
+def by_driver(t: Tables) -> SizeBound:
+    return SizeBound(t.lineitem, ("l_suppkey",))
+
+
+def by_user(t: Tables) -> SizeBound:
+    return SizeBound(t.events, ("user_id",))
+
+
 def round_totals(t: Tables) -> DataFrame:
     """Points and wins per season, round and driver."""
     e = entries(t, "year", "round", "driverId", "points", "is_win")
@@ -116,7 +129,7 @@ def pit_stops(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("raceId"), F.col("user_id").alias("driverId"), "ts", "event_id",
         F.hour("ts").alias("lap"), F.round(F.col("value") * 1000).cast("bigint").alias("milliseconds"),
     )
-    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop", bounded=t.events)
+    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop", bounded=by_user(t))
     return numbered.withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
 
 
@@ -127,4 +140,4 @@ def laps(t: Tables) -> DataFrame:
         (F.floor("value") % 20).cast("int").alias("position"),
         (F.col("event_type") == "error").alias("pit_stop_lap"),
     )
-    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", bounded=t.events)
+    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", bounded=by_user(t))

@@ -166,8 +166,10 @@ def test_cut_segments_cover_only_hot_groups(data):
 def test_size_check_is_skipped_where_the_bound_is_known(data):
     _, df = data
     assert not skew.find_hot_groups(df, ["k"], True, 1)
-    assert not skew.find_hot_groups(df, ["k"], df, 600)
-    assert skew.find_hot_groups(df, ["k"], df, 100)
+    assert not skew.find_hot_groups(df, ["k"], skew.SizeBound(df), 600)
+    assert not skew.find_hot_groups(df, ["k"], skew.SizeBound(df, ("id",)), 100)
+    assert skew.find_hot_groups(df, ["k"], skew.SizeBound(df, ("k",)), 100)
+    assert skew.find_hot_groups(df, ["k"], skew.SizeBound(df), 100)
 
 
 def test_keep_first_is_limited_before_the_shuffle(data):

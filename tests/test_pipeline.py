@@ -214,6 +214,10 @@ def test_dashboards(run):
     career = {r["driverId"]: r for r in p["DB1_driver_career_summary"].collect()}
     assert 8 not in career and career[1]["QualWinPct"] is None
     assert career[1]["TotalRaces"] == sum(r["driverId"] == 1 for r in facts["results"])
+    linked = dashboards.entries_with_team(p["DB3_reliability_dnf"], p["DB3_constructor_reliability"])
+    assert linked.count() == len(facts["results"]) and "Rolling3Reliability" in linked.columns
+    linked = dashboards.season_with_career(p["DB1_driver_alpha_season"], p["DB1_driver_career_summary"])
+    assert linked.count() == j["J2_driver_alpha"].count() and "PodiumRate" in linked.columns
     wide = dashboards.wide_master(j)
     assert wide.count() == len(facts["results"])
     assert {"rolling3_reliability", "strategy", "win_rate"} <= set(wide.columns)
@@ -244,6 +248,9 @@ def test_hypotheses(run):
     terms = {n: [r["term"] for r in df.collect()] for n, df in hypotheses.regressions(j).items()}
     assert terms == {"grid": ["const", "grid"], "grid_era": ["const", "grid", "era_code"],
                      "pit": ["const", "first_pit_lap", "total_stops"]}
+    open_questions = {n: df.first() for n, df in hypotheses.proposed(j).items()}
+    assert open_questions["gap_points"]["n"] == 8 and open_questions["carry_over"]["n"] == 15
+    assert open_questions["mechanical_by_decade"]["entries"] > 0
     assert hypotheses.pit_duration_bins(j["J5_pit_strategy"]).count() == 9
     assert hypotheses.kpi_by_era(j["J8_constructor_reliability"]).count() == 4
     assert hypotheses.reliability_pivot(j["J8_constructor_reliability"]).columns == [
