@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from paddock.operators import skew
 from paddock.operators.ordered import running_totals
 from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups, with_keys_only
-from paddock.session import max_group_rows
+from paddock.session import max_group_rows, stored
 
 # The built-in percentile may hold the values of some 128 groups at once in one task.
 BUFFER_SHARE = 40
@@ -75,6 +75,7 @@ def exact_quantiles(
         picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]
         return data.groupBy(*keys).agg(*plain_aggs, *builtin).select(*keys, *aggs, *picked)
 
+    data = stored(data)
     result = data.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
     for value in values:
         wanted = {n: p for n, (c, p) in quantiles.items() if c == value}
@@ -87,8 +88,9 @@ def _quantiles_by_counting(
 ) -> DataFrame:
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     hot = find_hot_groups(counted, keys, bounded, limit)
-    placed = running_totals(counted, keys, [value], {"__upto": "__n"}, hot=hot)
-    placed = attach_group_stats(placed, keys, {"__total": F.max("__upto")}, keys_present=True, hot=hot)
+    counted = stored(counted) if hot else counted
+    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+    placed = running_totals(counted, keys, [value], {"__upto": "__n"}, hot=hot).join(totals, keys, "left")
     v, upto, n = F.col(value).cast("double"), F.col("__upto"), F.col("__n")
     picks, finals = [], []
     for name, p in wanted.items():

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from paddock.operators import skew
 from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups
+from paddock.session import stored
 
 SEGMENT = "__segment"
 SAMPLES_PER_SEGMENT = 10
@@ -29,7 +30,8 @@ def cut_segments(df: DataFrame, keys: list[str], order: list[str], hot: HotGroup
     """Add SEGMENT: -1 for rows of ordinary groups, 0.. for consecutive ranges of hot groups.
 
     Range borders come from a sample of the hot rows that is collected once, so every later use of the
-    column sees the same borders. Their number is bounded by MAX_HOT_GROUPS pieces plus one per group.
+    column sees the same borders. Their number is bounded by MAX_HOT_GROUPS pieces plus one per group. The
+    result is stored, as the windows and the carried totals each read it.
     """
     spark = df.sparkSession
     point = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_columns(order))])
@@ -43,26 +45,22 @@ def cut_segments(df: DataFrame, keys: list[str], order: list[str], hot: HotGroup
                 .alias("__cuts"))
     )
     rows = [tuple(r) for r in sampled.collect()]
-    cuts = spark.createDataFrame(rows, sampled.schema).withColumn(
-        "__coarse", F.filter("__cuts", lambda _, i: (i % BLOCK) == 0)
-    )
-
-    # Two short scans instead of one long one: first the block of borders, then inside the block.
-    block = F.size(F.filter("__coarse", lambda c: c <= F.col("__point")))
-    inside = F.filter(F.slice("__cuts", (F.col("__block") - 1) * BLOCK + 1, BLOCK), lambda c: c <= F.col("__point"))
     # a hot group that happened to give no sample is one segment
-    marked = df.join(F.broadcast(hot.table.select(*keys).withColumn("__hot", F.lit(True))), keys, "left")
-    return (
-        marked.join(F.broadcast(cuts), keys, "left")
-        .withColumn("__point", point)
-        .withColumn("__block", F.when(F.col("__cuts").isNotNull(), block))
-        .withColumn(
-            SEGMENT,
-            F.when(F.col("__hot").isNull(), F.lit(-1))
-            .when(F.coalesce("__block", F.lit(0)) == 0, F.lit(0))
-            .otherwise((F.col("__block") - 1) * BLOCK + F.size(inside)),
-        )
-        .drop("__point", "__block", "__cuts", "__coarse", "__hot")
+    empty = F.array().cast(sampled.schema["__cuts"].dataType)
+    cuts = hot.table.select(*keys).join(spark.createDataFrame(rows, sampled.schema), keys, "left").select(
+        *keys, F.coalesce("__cuts", empty).alias("__cuts")
+    ).withColumn("__coarse", F.filter("__cuts", lambda _, i: (i % BLOCK) == 0))
+
+    # Two short scans instead of one long one: first the block of borders, then inside the block. The array
+    # of one element binds the block number, so that it is found once per row.
+    before = lambda borders: F.size(F.filter(borders, lambda c: c <= F.col("__point")))
+    inside = lambda b: before(F.slice("__cuts", (b - 1) * BLOCK + 1, BLOCK))
+    segment = F.transform(
+        F.array(before("__coarse")), lambda b: F.when(b == 0, F.lit(0)).otherwise((b - 1) * BLOCK + inside(b))
+    )[0]
+    placed = df.join(F.broadcast(cuts), keys, "left").withColumn("__point", point)
+    return stored(
+        placed.select(*df.columns, F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(segment).alias(SEGMENT))
     )
 
 
@@ -101,19 +99,19 @@ def running_totals(
 
 def row_numbers(
     df: DataFrame, keys: list[str], order: list[str], out: str, *,
-    bounded: bool | SizeBound = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return running_totals(one, keys, order, {out: "__one"}, bounded=bounded, limit=limit).drop("__one")
+    return running_totals(one, keys, order, {out: "__one"}, bounded=bounded, hot=hot, limit=limit).drop("__one")
 
 
 def previous_values(
     df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], *,
-    bounded: bool | SizeBound = False, limit: int | None = None,
+    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Value of the preceding row of the group; null on the first row. Maps output name to column."""
-    hot = find_hot_groups(df, keys, bounded, limit)
+    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
     if not hot:
         w = W.partitionBy(*keys).orderBy(*order_columns(order))
         return df.withColumns({name: F.lag(c).over(w) for name, c in previous.items()})

@@ -12,6 +12,7 @@ from paddock.operators.skew import SizeBound
 from paddock.plans import metrics
 from paddock.plans.catalog import L, PITS, PS, query
 from paddock.plans.views import Tables, by_user, laps, pit_stops
+from paddock.session import stored
 
 
 def pits(t: Tables) -> DataFrame:
@@ -53,13 +54,13 @@ SELECT l."driverId", l.lap, l.position, p.pit_duration_ms, p.lap IS NOT NULL AS
 FROM l LEFT JOIN p ON l."driverId" = p."driverId" AND l.lap = p.lap
 WINDOW w AS (PARTITION BY l."driverId" ORDER BY l.lap)""", "pit_duration_ms")
 def _lap_events(t: Tables) -> DataFrame:
-    numbered = laps(t)
+    numbered, hot = laps(t)
     stops = numbered.where("pit_stop_lap").select(
         "driverId", "lap", (F.col("value") * 1000).alias("pit_duration_ms"), F.lit(True).alias("pit_stop_lap")
     ).distinct()
     joined = numbered.select("driverId", "lap", "position").join(stops, ["driverId", "lap"], "left")
     joined = joined.withColumn("pit_stop_lap", F.coalesce("pit_stop_lap", F.lit(False)))
-    return metrics.position_changes(joined, ["driverId"], ["lap"], by_user(t))
+    return metrics.position_changes(joined, ["driverId"], ["lap"], hot=hot)
 
 
 @query("event_study", f"""WITH {L}, c AS (
@@ -68,7 +69,9 @@ SELECT CAST(c.lap - p.lap AS INT) AS "offset", count(*) AS n, avg(c.position) AS
 FROM l p JOIN c ON p."driverId" = c."driverId" AND c.lap BETWEEN p.lap - 2 AND p.lap + 2
 WHERE p.pit_stop_lap GROUP BY ALL""", "avg_position avg_change")
 def _event_study(t: Tables) -> DataFrame:
-    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"], by_user(t))
+    numbered, hot = laps(t)
+    changed = metrics.position_changes(numbered, ["driverId"], ["lap"], hot=hot)
+    changed = stored(changed) if hot else changed
     near = around_events(changed, ["driverId"], "lap", "pit_stop_lap", 2)
     return near.groupBy("offset").agg(
         F.count(F.lit(1)).alias("n"), F.avg("position").alias("avg_position"),
@@ -85,7 +88,7 @@ STINTS = L + """, s AS (
 SELECT "driverId", count(*) AS laps, count(DISTINCT stint) AS stints, max(lap_in_stint) AS longest,
   regr_slope(value, lap_in_stint) AS slope FROM st GROUP BY ALL""", "slope")
 def _stint_slope(t: Tables) -> DataFrame:
-    stints = S.grouped(metrics.stint_laps(laps(t), by_user(t)), ["driverId", "stint"], {
+    stints = S.grouped(metrics.stint_laps(*laps(t)), ["driverId", "stint"], {
         "n": F.count(F.lit(1)), "longest": F.max("lap_in_stint"), "sx": F.sum("lap_in_stint"),
         "sy": F.sum("value"), "sxy": F.sum(F.col("value") * F.col("lap_in_stint")),
         "sxx": F.sum(F.col("lap_in_stint") * F.col("lap_in_stint")),

@@ -16,11 +16,18 @@ JOINED = [
 ]
 
 
+# Tables at race-entry or lap grain are stored by season; the others are small beside them.
+BY_YEAR = {
+    "J1_master_race_results", "J3_qualifying_analysis", "J4_championship_progression", "J6_lap_by_lap",
+    "J7_reliability_dnf", "MASTER_tableau_ready",
+}
+
+
 def _write(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write and read back, so that later tables start from stored rows, not from the whole lineage."""
     path = f"{folder.rstrip('/')}/{name}"
-    save_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    save_parquet(df, path, "year" if name in BY_YEAR else None)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 def run_clean(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, DataFrame]:

@@ -156,7 +156,7 @@ def lap_by_lap(t: dict[str, DataFrame], options: Options = Options()) -> DataFra
         "pit_stop_lap": F.coalesce("pit_stop_lap", F.lit(False)), "lap_time_sec": F.col("milliseconds") / 1000,
     })
     bound = SizeBound(t["lap_times"], ("driverId",))
-    return metrics.position_changes(laps, ["raceId", "driverId"], ["lap", "constructorId", "pit_duration_ms"], bound)
+    return metrics.position_changes(laps, ["raceId", "driverId"], ["lap", "constructorId", "pit_duration_ms"], bounded=bound)
 
 
 def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFrame:

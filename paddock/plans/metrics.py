@@ -14,8 +14,9 @@ from paddock.functions import rules
 from paddock.functions.rules import ACCIDENT_DNF, MECHANICAL_DNF, OTHER_DNF, flag, percent_of, ratio
 from paddock.operators.groups import attach_group_stats, exact_quantiles, keep_first
 from paddock.operators.ordered import min_rank, previous_values, rolling_mean, running_totals
-from paddock.operators.skew import SizeBound, find_hot_groups, with_keys_only
+from paddock.operators.skew import HotGroups, SizeBound, find_hot_groups, with_keys_only
 from paddock.operators.summaries import grouped
+from paddock.session import stored
 
 SEASON_KEYS = ["driverId", "full_name", "year", "constructorId", "constructor_name", "era"]
 
@@ -131,7 +132,9 @@ def standings(
         {"cumulative_points": "points", "cumulative_wins": "is_win"}, bounded=bounded if tie_order else True,
     )
     hot = find_hot_groups(entries, ["year", "round"], bounded)
+    ran = stored(ran) if hot else ran
     ranked = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", hot=hot)
+    ranked = stored(ranked) if hot else ranked
     led = attach_group_stats(
         ranked, ["year", "round"], {"__lead": F.max("cumulative_points")}, keys_present=True, hot=hot
     )
@@ -160,10 +163,11 @@ def pit_summary(valid_stops: DataFrame, bounded: bool | SizeBound = False) -> Da
 
 
 def position_changes(
-    laps: DataFrame, keys: list[str], order: list[str], bounded: bool | SizeBound = False
+    laps: DataFrame, keys: list[str], order: list[str], *,
+    bounded: bool | SizeBound = False, hot: HotGroups | None = None,
 ) -> DataFrame:
     """Position on the previous lap and places gained since (positive is a gain)."""
-    out = previous_values(laps, keys, order, {"prev_position": "position"}, bounded=bounded)
+    out = previous_values(laps, keys, order, {"prev_position": "position"}, bounded=bounded, hot=hot)
     return out.withColumn("position_change", F.col("prev_position") - F.col("position"))
 
 
@@ -283,11 +287,17 @@ def master(entries: DataFrame, gaps: DataFrame, table: DataFrame, alpha: DataFra
     )
 
 
-def stint_laps(laps: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
-    """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap."""
+def stint_laps(laps: DataFrame, hot: HotGroups) -> DataFrame:
+    """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap.
+
+    `hot` are the drivers with very many laps; without any, no stint is too long either.
+    """
     flagged = laps.withColumn("__pit", F.col("pit_stop_lap").cast("long"))
-    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, bounded=bounded).drop("__pit")
-    started = attach_group_stats(numbered, ["driverId", "stint"], {"__start": F.min("lap")}, bounded=bounded)
+    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, hot=hot).drop("__pit")
+    numbered = stored(numbered) if hot else numbered
+    started = attach_group_stats(
+        numbered, ["driverId", "stint"], {"__start": F.min("lap")}, keys_present=True, bounded=not hot
+    )
     return started.withColumn("lap_in_stint", F.col("lap") - F.col("__start") + 1).drop("__start")
 
 

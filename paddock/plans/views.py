@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.functions import rules
 from paddock.operators.ordered import row_numbers
-from paddock.operators.skew import SizeBound
+from paddock.operators.skew import HotGroups, SizeBound, find_hot_groups
 from paddock.operators.summaries import grouped
 from paddock.plans.metrics import result_flags
+from paddock.session import stored
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -133,11 +134,13 @@ def pit_stops(t: Tables) -> DataFrame:
     return numbered.withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
 
 
-def laps(t: Tables) -> DataFrame:
-    """All events of a user as that driver's laps; errors are pit laps."""
+def laps(t: Tables) -> tuple[DataFrame, HotGroups]:
+    """All events of a user as that driver's laps; errors are pit laps. Also the drivers with too many for one task."""
     e = t.events.select(
         F.col("user_id").alias("driverId"), "ts", "event_id", "value",
         (F.floor("value") % 20).cast("int").alias("position"),
         (F.col("event_type") == "error").alias("pit_stop_lap"),
-    )
-    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", bounded=by_user(t))
+    ).where("driverId is not null")
+    hot = find_hot_groups(e, ["driverId"], by_user(t))
+    numbered = row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", hot=hot)
+    return (stored(numbered) if hot else numbered), hot

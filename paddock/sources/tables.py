@@ -74,9 +74,15 @@ def load_folder(spark: SparkSession, folder: str, *, encoding: str = "UTF-8") ->
 
 
 def save_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Main output format: typed, splittable, pruned by partition."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    """Main output format: typed, splittable, pruned by partition.
+
+    Rebalancing by the partition column keeps files few, and lets Spark split a value that holds much of
+    the data over several tasks instead of writing it in one.
+    """
+    if partition_by:
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def save_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
