@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Characters that count as white space.
+WHITE_SPACE = " \t\n\r\x0b\x0c\u00a0\u2003\u3000"
+
 # Texts that stand for a missing value in the files.
 MISSING_TEXTS = ["", "nan", "NaN", "NaT", "No Time", "Unknown", "\\N"]
 
 
 def strip(c: Column | str) -> Column:
     """Remove white space of every kind at both ends."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def title_case(c: Column | str) -> Column:
@@ -41,8 +44,7 @@ def is_numeric_text(c: Column | str) -> Column:
 
 def number_or_null(c: Column | str) -> Column:
     """Text to double; what is not a number, and the number NaN, become null."""
-    value = strip(_col(c).cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(strip(_col(c).cast("string")).try_cast("double"), F.lit(None).cast("double"))
 
 
 def _col(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from paddock.functions.text import _col, null_if_missing
+from paddock.functions.text import _col, null_if_missing, strip
 
 
 def date_or_null(c: Column | str, *formats: str) -> Column:
@@ -24,15 +24,17 @@ def time_of_day_or_null(c: Column | str) -> Column:
 
 
 def lap_time_ms(c: Column | str) -> Column:
-    """`M:SS.mmm` or `SS.mmm` to milliseconds as double; null where it cannot be read."""
-    parts = F.split(null_if_missing(c), ":", 2)
-    first, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-    with_minutes = (first.try_cast("int") * 60 + second.try_cast("double")) * 1000
-    value = F.when(F.size(parts) == 2, with_minutes).otherwise(first.try_cast("double") * 1000)
-    return F.when(~F.isnan(value), value)
+    """`M:SS.mmm` or `SS.mmm` to milliseconds as double; null where it cannot be read.
+
+    Texts for missing times need no list here: none of them is a number.
+    """
+    text = strip(c)
+    colon = F.instr(text, ":")
+    minutes = F.when(colon > 0, F.substring(text, F.lit(1), colon - 1).try_cast("int") * 60).otherwise(0)
+    seconds = F.substring(text, colon + 1, F.length(text)).try_cast("double")
+    return (minutes + F.nanvl(seconds, F.lit(None).cast("double"))) * 1000
 
 
 def lap_time_whole_ms(c: Column | str) -> Column:
     """`M:SS.mmm` to whole milliseconds, truncated; null without minutes."""
-    text = null_if_missing(c)
-    return F.when(text.contains(":"), lap_time_ms(text).cast("long"))
+    return F.when(_col(c).contains(":"), lap_time_ms(c).cast("long"))

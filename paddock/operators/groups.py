@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.operators import skew
 from paddock.operators.ordered import running_totals
-from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups, with_keys_only
+from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups, may_have_large_groups, with_keys_only
 from paddock.session import max_group_rows, stored
 
 # The built-in percentile may hold the values of some 128 groups at once in one task.
@@ -34,8 +34,10 @@ def attach_group_stats(
         hot_part = rows.join(F.broadcast(table), keys, "left").select(*out)
         rest = skew.cold_rows(df, hot, keys)
     if not keys_present:
-        # rows without a key get no statistic; deal them out instead of sending them to one task
-        rest = rest.withColumn("__spread", F.when(skew.any_null(keys), F.floor(F.rand(5) * 1000)))
+        # Rows without a key get no statistic; deal them out instead of sending them to one task. By content,
+        # not at random, so that a repeated task deals them out alike.
+        dealt = F.pmod(F.xxhash64(*rest.columns), F.lit(1000))
+        rest = rest.withColumn("__spread", F.when(skew.any_null(keys), dealt))
         w = W.partitionBy(*keys, "__spread")
         values = {n: F.when(~skew.any_null(keys), c.over(w)) for n, c in stats.items()}
     else:
@@ -69,7 +71,7 @@ def exact_quantiles(
     by = keys or [ALL]
     plain_aggs = [c.alias(n) for n, c in aggs.items()]
     values = list(dict.fromkeys(c for c, _ in quantiles.values()))
-    if not find_hot_groups(data, by, bounded, max(1, limit // BUFFER_SHARE)):
+    if not may_have_large_groups(data, by, bounded, max(1, limit // BUFFER_SHARE)):
         shares = {v: [p for c, p in quantiles.values() if c == v] for v in values}
         builtin = [F.percentile(v, F.array(*map(F.lit, ps))).alias(f"__q_{v}") for v, ps in shares.items()]
         picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]

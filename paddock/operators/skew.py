@@ -67,6 +67,23 @@ def _large_groups(df: DataFrame, keys: list[str], limit: int, most: int) -> list
     return sizes.orderBy(F.col(SIZE).desc(), *keys).limit(most).collect()
 
 
+def _within_bound(bounded: bool | SizeBound, limit: int) -> bool:
+    """Whether what is known beforehand shows that no group is above the limit."""
+    if not isinstance(bounded, SizeBound):
+        return bounded
+    if bounded.table.count() <= limit:
+        return True
+    return bool(bounded.keys) and not _large_groups(bounded.table, list(bounded.keys), limit, 1)
+
+
+def may_have_large_groups(df: DataFrame, keys: list[str], bounded: bool | SizeBound, limit: int) -> bool:
+    """Whether some group may be above the limit. A SizeBound with keys settles it without counting `df`."""
+    if _within_bound(bounded, limit):
+        return False
+    by_bound = isinstance(bounded, SizeBound) and bool(bounded.keys)
+    return by_bound or bool(_large_groups(df, keys, limit, 1))
+
+
 def find_hot_groups(
     df: DataFrame, keys: list[str], bounded: bool | SizeBound = False, limit: int | None = None
 ) -> HotGroups:
@@ -81,13 +98,8 @@ def find_hot_groups(
     """
     limit = limit or max_group_rows(df.sparkSession)
     none = HotGroups(None, 0, 0, limit)
-    if bounded is True:
+    if _within_bound(bounded, limit):
         return none
-    if isinstance(bounded, SizeBound):
-        if bounded.table.count() <= limit:
-            return none
-        if bounded.keys and not _large_groups(bounded.table, list(bounded.keys), limit, 1):
-            return none
     found = _large_groups(df, keys, limit, MAX_HOT_GROUPS)
     total = sum(r[SIZE] for r in found)
     piece = max(limit, total // MAX_HOT_GROUPS)
