@@ -79,32 +79,43 @@ def exact_quantiles(
 
     data = stored(data)
     result = data.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
-    for value in values:
-        wanted = {n: p for n, (c, p) in quantiles.items() if c == value}
-        result = result.join(_quantiles_by_counting(data, by, value, wanted, bounded, limit), by, "left")
+    result = result.join(_quantiles_by_counting(data, by, values, quantiles, bounded, limit), by, "left")
     return result.select(*keys, *aggs, *quantiles)
 
 
 def _quantiles_by_counting(
-    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], bounded: bool | SizeBound, limit: int
+    df: DataFrame, by: list[str], values: list[str], quantiles: dict[str, tuple[str, float]],
+    bounded: bool | SizeBound, limit: int,
 ) -> DataFrame:
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    """All columns in one pass: as (column number, value) rows, counted and numbered per group and column."""
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("__column"), F.col(c).cast("double").alias("__value")) for i, c in enumerate(values)
+    ])
+    keys = [*by, "__column"]
+    long = df.select(*by, F.inline(cells)).where("__value is not null")
+    counted = long.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
     hot = find_hot_groups(counted, keys, bounded, limit)
-    counted = stored(counted) if hot else counted
-    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    placed = running_totals(counted, keys, [value], {"__upto": "__n"}, hot=hot).join(totals, keys, "left")
-    v, upto, n = F.col(value).cast("double"), F.col("__upto"), F.col("__n")
+    if hot:
+        counted = stored(counted)
+        totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+        placed = running_totals(counted, keys, ["__value"], {"__upto": "__n"}, hot=hot).join(totals, keys, "left")
+    else:
+        placed = running_totals(counted, keys, ["__value"], {"__upto": "__n"}, hot=hot).withColumn(
+            "__total", F.sum("__n").over(W.partitionBy(*keys))
+        )
+    v, upto, n = F.col("__value"), F.col("__upto"), F.col("__n")
     picks, finals = [], []
-    for name, p in wanted.items():
+    for name, (column, p) in quantiles.items():
+        mine = F.col("__column") == values.index(column)
         at = (F.col("__total") - 1).cast("double") * p
         low, high = F.floor(at), F.ceil(at)
         for side, index in (("lo", low), ("hi", high)):
-            here = (upto - n <= index) & (index < upto)
+            here = mine & (upto - n <= index) & (index < upto)
             picks.append(F.max(F.when(here, v)).alias(f"__{side}_{name}"))
-        picks.append(F.max(at - low).alias(f"__frac_{name}"))
+        picks.append(F.max(F.when(mine, at - low)).alias(f"__frac_{name}"))
         lo, hi, frac = (F.col(f"__{s}_{name}") for s in ("lo", "hi", "frac"))
         finals.append((lo + (hi - lo) * frac).alias(name))
-    return placed.groupBy(*keys).agg(*picks).select(*keys, *finals)
+    return placed.groupBy(*by).agg(*picks).select(*by, *finals)
 
 
 def value_ranks(

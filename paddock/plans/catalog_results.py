@@ -10,7 +10,7 @@ from paddock.operators.joins import Dimension, repeated_keys, star_join, with_me
 from paddock.plans import dashboards, hypotheses, metrics
 from paddock.plans.catalog import E, GAPS, LOST, SEASON, SEASON_DOUBLES, TABLE, TEAMS, query
 from paddock.operators.skew import SizeBound, with_keys_only
-from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, by_driver, by_race, entries, round_totals
+from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, attach_team_name, by_driver, by_race, entries, round_totals
 
 SEASON_COLUMNS = ("driverId", "year", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                   "grid", "grid_vs_finish")
@@ -257,8 +257,8 @@ SELECT "constructorId", constructor_name, count(DISTINCT "raceId") AS "TotalRace
   max(year) AS "LastYear", avg(points) FILTER (WHERE is_win = 1) AS "AvgPointsWinner" FROM e GROUP BY ALL""",
        "AvgPointsWinner")
 def _circuit_map(t: Tables) -> DataFrame:
-    e = entries(t, "constructorId", "constructor_name", "raceId", "year", "is_win", "points")
-    return metrics.circuit_map(e, ["constructorId", "constructor_name"])
+    e = entries(t, "constructorId", "raceId", "year", "is_win", "points")
+    return attach_team_name(t, metrics.circuit_map(e, ["constructorId"]))
 
 
 @query("master_flat", f"""WITH {SEASON}, rounds AS (

@@ -61,10 +61,12 @@ def attach_team(t: Tables, df: DataFrame, driver: str = "driverId", names: bool
         *([F.col("s_name").alias("full_name")] if names else []),
     )
     out = df.join(supplier, driver, "left")
-    if not names:
-        return out
+    return attach_team_name(t, out) if names else out
+
+
+def attach_team_name(t: Tables, df: DataFrame) -> DataFrame:
     nation = t.nation.select(F.col("n_nationkey").alias("constructorId"), F.col("n_name").alias("constructor_name"))
-    return out.join(nation, "constructorId", "left")
+    return df.join(nation, "constructorId", "left")
 
 
 def entries(t: Tables, *columns: str) -> DataFrame:
