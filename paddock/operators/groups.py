@@ -124,10 +124,11 @@ def value_ranks(
 ) -> DataFrame:
     """Each distinct value with its count and its average rank over all rows (ties share the mean rank).
 
-    `weight` is the number of rows a row stands for, when `df` is already counted.
+    `weight` is the number of rows a row stands for, when `df` is already counted, without null values.
     """
+    rows = with_keys_only(df, [value]) if weight is None else df
     n = F.sum(weight if weight is not None else F.lit(1)).cast("long")
-    counted = df.dropna(subset=[value]).groupBy(value).agg(n.alias("n"))
+    counted = rows.groupBy(value).agg(n.alias("n"))
     return running_totals(counted, [], [value], {"upto": "n"}, bounded=bounded, limit=limit).select(
         value, "n", (F.col("upto") - (F.col("n") - 1) / 2).alias("avg_rank")
     )

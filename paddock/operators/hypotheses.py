@@ -17,7 +17,7 @@ from paddock.functions import tails
 from paddock.functions.tails import p_value, student_two_sided
 from paddock.operators.groups import value_ranks
 from paddock.operators.ordered import running_totals
-from paddock.operators.skew import SizeBound
+from paddock.operators.skew import SizeBound, with_keys_only
 
 # The tail functions travel with the tasks, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(tails)
@@ -36,13 +36,11 @@ def spearman(
 ) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
-    Equal pairs are counted first, so the joins below work on distinct pairs; ranks come from the counted
-    values. The mean rank is (n+1)/2, hence one pass over the pairs gives the correlation.
+    Equal pairs are counted first, so the joins below work on distinct pairs; ranks come from the same
+    counted pairs, whose shuffle Spark reuses. The mean rank is (n+1)/2, hence one pass over the pairs gives the correlation.
     """
-    pairs = (
-        df.select(F.col(x).alias("x"), F.col(y).alias("y")).dropna()
-        .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
-    )
+    both = with_keys_only(df.select(F.col(x).alias("x"), F.col(y).alias("y")), ["x", "y"])
+    pairs = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     ranked = pairs
     for side in ("x", "y"):
         ranks = value_ranks(pairs, side, F.col("w"), bounded=bounded, limit=limit)
@@ -153,7 +151,7 @@ def least_squares(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     One aggregate yields count, means and covariances; the small linear system is solved on that one row.
     """
     names = [y, *xs]
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
+    data = with_keys_only(df.select(*[F.col(c).cast("double").alias(c) for c in names]), names)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     moments = data.agg(
         F.count(F.lit(1)).alias("n"),

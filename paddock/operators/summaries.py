@@ -40,7 +40,9 @@ def pivot_mean(df: DataFrame, row: str, column: str, values: Sequence[str], meas
 
 def binned_mean(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     """Mean of y in equal-width bins of x. The last bin includes its upper edge; empty bins stay, with null."""
-    data = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    data = with_keys_only(
+        df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")), ["x", "y"]
+    )
     ends = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
     placed = data.withColumn(
