@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MAX_CACHED_WORDS = 400_000  # entries of one task's word cache; it is emptied and filled anew beyond
 
@@ -50,6 +53,24 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
+def map_rows(
+    df: DataFrame, step: Callable[[Iterator[dict[str, list]]], Iterator[list[tuple]]], schema: str
+) -> DataFrame:
+    """Run `step` in each task over batches of rows: columns of plain values in, lists of row tuples out.
+
+    Arrow carries the batches. Unlike in pandas, a long column with nulls stays exact.
+    """
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = ({n: b.column(n).to_pylist() for n in b.schema.names} for b in batches)
+        for rows in step(plain):
+            columns = zip(*rows) if rows else [()] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered; bounded in size."""
 
@@ -77,7 +98,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def odd_numbers(count: int, seed: int) -> np.ndarray:
     """Fixed odd 64-bit multipliers, derived from a seed."""
-    return mixed(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return mixed(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))) | np.uint64(1)
 
 
 def shingle_hashes(words: np.ndarray, width: int, seed: int = 7) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import token_counts
+from paddock.llm import decontaminate, fingerprints, near_dedup, packing, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,31 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(
         table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    return toxicity.toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "windows", "toxic_windows")
+
+
+@query("op7_near_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_hash")
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.against_next(table(spark, folder, "documents"))

@@ -20,11 +20,10 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from paddock.llm.common import text_or_empty
+from paddock.llm.common import map_rows, text_or_empty
 
 SPACE = "▁"
 MAX_STATES = 200_000
@@ -198,7 +197,7 @@ def token_counts(
     ).withColumn("n_bytes", F.octet_length("text").cast("long"))
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def maps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def maps(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:
         counter = transducer(model_file)
         for batch in batches:
             out = []
@@ -209,24 +208,21 @@ def token_counts(
                     continue
                 for number, at in enumerate(range(0, len(text), chunk_chars)):
                     out.append((row, key, size, number, *counter.chunk_map(text[at:at + chunk_chars])))
-            frame = pd.DataFrame(out, columns=["row", "id", "n_bytes", "number", "head", "closed", "tail"])
-            yield frame.astype({"closed": "Int64"})
+            yield out
 
-    def composed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def composed(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:
         counter = transducer(model_file)
         for batch in batches:
-            counts = [
-                m[0]["closed"] if len(m) == 1 and not m[0]["head"] and m[0]["closed"] is not None
-                else counter.composed([(x["head"], x["closed"], x["tail"]) for x in m])
-                for m in batch.pop("maps")
+            yield [
+                (key, size, len(found), counter.composed([(x["head"], x["closed"], x["tail"]) for x in found]))
+                for key, size, found in zip(batch["id"], batch["n_bytes"], batch["maps"])
             ]
-            yield batch.assign(n_tokens=counts)
 
-    chunks = rows.mapInPandas(
-        maps, f"row long, id {id_type}, n_bytes long, number long, head string, closed long, tail string")
+    chunks = map_rows(
+        rows, maps, f"row long, id {id_type}, n_bytes long, number long, head string, closed long, tail string")
     texts = chunks.groupBy("row", "id", "n_bytes").agg(
         F.array_sort(F.collect_list(F.struct("number", "head", "closed", "tail"))).alias("maps"))
-    counted = texts.select("id", "n_bytes", F.size("maps").cast("long").alias("n_chunks"), "maps").mapInPandas(
-        composed, f"id {id_type}, n_bytes long, n_chunks long, n_tokens long")
+    counted = map_rows(
+        texts.select("id", "n_bytes", "maps"), composed, f"id {id_type}, n_bytes long, n_chunks long, n_tokens long")
     return counted.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_chunks")
