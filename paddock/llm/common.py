@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -31,22 +32,42 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_group: list[str] | None = None  # where stored() notes its paths
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Note the paths of all tables that are stored meanwhile, so that their owner can remove them."""
+    global _group
+    before, _group = _group, paths
+    try:
+        yield
+    finally:
+        _group = before
+
+
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write a table that later passes read, and go on from its files: lineage ends here, lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/paddock-llm-{uuid.uuid4().hex}"
+    if _group is not None:
+        _group.append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing will read again."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
 def remove(*tables: DataFrame) -> None:
     """Delete the files of stored tables that nothing will read again."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        hadoop = df.sparkSession._jsc.hadoopConfiguration()
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/paddock-llm-" in name:
-                path = jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(hadoop).delete(path, True)
+        names = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        remove_paths(df.sparkSession, [n for n in names if "/paddock-llm-" in n])
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -165,7 +165,7 @@ def near_duplicates(
 
     Words stand between ASCII white space, A-Z in lower case; a shingle is `width` words, the whole sequence
     where there are fewer. One row per input row, repeated rows included: the id, n_shingles, component_id (the
-    smallest id of the group), kept (it is that document). Texts that are null or have no words have no shingles and
+    smallest id of the group), kept (it is that document), text_hash, first_hash (of the group's first). Texts that are null or have no words have no shingles and
     no links and are kept. A group whose ids are all null has component_id null and all its rows kept; a null id
     beside others is not kept. Two documents at the limit share no band with probability
     (1 - (percent/100)^band_values)^bands, 3e-6 by default, and are pruned with at most `miss` in a step.
@@ -237,11 +237,31 @@ def near_duplicates(
     links = stored(links.unionAll(_linked(_alike(pairs, classes, size, percent, miss), sets, percent)))
     roots = components(links)
 
-    labelled = _rooted(classes.select("node", "key", "id"), roots)
-    least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_key = labelled.select("key", "root").join(least, "root").select("key", "component_id")
-    found = signed.select("id", "n", "key").join(by_key, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    labelled = _rooted(classes.select("node", "key", "id", "text_hash"), roots)
+    least = labelled.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"))
+    by_key = labelled.select("key", "root").join(least, "root").select("key", "first")
+    found = signed.select("id", "text_hash", "n", "key").join(by_key, "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("first.id"))
     return found.select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"))
+        F.col("id").eqNullSafe(component).alias("kept"), "text_hash", F.col("first.text_hash").alias("first_hash"))
+
+
+def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of `docs`, unchanged, of which no near duplicate has a smaller id; texts without words stay.
+
+    One row of each group stays: that with the smallest id (null last), then the smallest hash of the text; of rows
+    that repeat both, one.
+    """
+    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
+    stays = found.where("kept AND n_shingles > 0 AND text_hash = first_hash").select(
+        F.col(id_column).alias("__id"), "text_hash").distinct()
+    stays = stays.select(F.xxhash64("__id", "text_hash").alias("__key"), "__id", F.col("text_hash").alias("__hash"))
+    key, text = F.col(f"`{id_column}`"), text_or_empty(text_column)
+    rows = docs.withColumn("__text", F.xxhash64(text)).withColumn("__key", F.xxhash64(key, "__text"))
+    first = rows.join(stays, "__key").where(key.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")))
+    first = first.dropDuplicates(["__key", "__text", "__id"])
+    words = F.trim(F.translate(text, "\t\n\x0b\x0c\r", " " * 5)) == ""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return first.select(*columns).unionAll(docs.where(words).select(*columns))

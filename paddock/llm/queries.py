@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import decontaminate, fingerprints, near_dedup, packing, token_counts, toxicity
+from paddock.llm import (
+    chat_format, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, token_counts, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_line_dedup", line_dedup.oracle())
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "removed",
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(
@@ -34,6 +43,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query("op3_license_scan", license_scan.oracle())
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_spans(table(spark, folder, "documents")).drop("spans")
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
@@ -46,9 +60,23 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "windows", "toxic_windows")
 
 
+@query("op6_chat_format")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat_format.read_back(*chat_format.format_conversations(rows))
+
+
 @query("op7_near_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=4)
+    found = near_dedup.near_duplicates(table(spark, folder, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_pii", pii.oracle())
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, folder, "documents")))
 
 
 @query("op8_decontamination")
@@ -60,3 +88,10 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.against_next(table(spark, folder, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
