@@ -27,7 +27,7 @@ TEMPLATES = (
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
      "license as published by the free software foundation", "gpl"),
     ("this work is licensed under the gnu general public license", "gpl"),
-    ("under the terms of the gnu lesser general public license as published by the free software foundation", "lgpl"),
+    ("gnu lesser general public license", "lgpl"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
      "following conditions are met", "bsd"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),

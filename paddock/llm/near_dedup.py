@@ -2,9 +2,10 @@
 
 Documents with the same shingle set form one class; only classes are signed, banded and compared. In a bucket (the
 classes that agree in a band) every class is first paired with the bucket's hub, a class chosen by a hash, so pairs
-grow with the rows and not with their square. After the links found so have been joined to components, buckets that
-still hold several components get the remaining pairs between their main component and the others. Pairs
-inside one component can add nothing and are never made, so no component is missed.
+grow with the rows and not with their square. The links found so are joined to components. Pairs inside one
+component can add nothing and are never made. What is left are pairs of different components in one bucket, such as a
+large group of copies and copies that have been changed a little too much. There all are compared with one pivot, and only
+those that differ from it in the same shingles can be linked (see _around_pivots).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from paddock.llm.common import WordHashes, ascii_words, map_rows, odd_numbers, remove, shingle_hashes, stored, text_or_empty
 
@@ -125,6 +126,56 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "xa", "xb").mapInPandas(confirm, "a long, b long")
 
 
+def _around_pivots(around: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of nodes around one pivot that may still be linked, and links to the pivot itself.
+
+    `around` has the nodes of every bucket that holds several components, with the bucket's pivot, a node of its
+    largest component, and each node's own component (root). A node of another component is not linked to the pivot h, or the link is
+    found here. For sets x, y with differences to h of R removed and A added shingles, p = percent:
+    a link of x and y needs (100 + p) * shared >= p * (|x| + |y|) + (100 + p) * (Rx + Ry - |h|), where shared counts the
+    differences both have. As x is not linked to h, p * |x| + (100 + p) * Rx > 100 * |h|. So y has to share
+    at least (p * Ay + 100 * Ry + 1) / (100 + p) of its differences, and x at least (p * |x| + (100 + p) * Rx -
+    100 * |h|) / (100 + p). With the differences in one order, the rare ones first, two such nodes have one in common among their
+    first |differences| - required + 1. Only nodes with such a difference in common are paired.
+    """
+    whole = 100 + percent
+
+    def differ(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:
+        for batch in batches:
+            out = []
+            for pivot, node, root, x, h in zip(*(batch[c] for c in ("pivot", "node", "root", "xb", "xa"))):
+                x, h = np.frombuffer(x, "<u8"), np.frombuffer(h, "<u8")
+                added, removed = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
+                a, r, minor = len(added), len(removed), root != pivot
+                near = 100 * (len(h) - r) >= percent * (len(h) + a)
+                first = a + r + 1 + (-(percent * a + 100 * r + 1)) // whole
+                probes = a + r + 1 - max(1, -((100 * len(h) - percent * len(x) - whole * r) // whole)) if minor and not near else 0
+                differences = np.concatenate([added, removed]).astype(np.int64).tolist() if first > 0 or probes > 0 else []
+                out.append((pivot, node, root, len(x), minor and near, first, probes, a + r, differences))
+            yield out
+
+    both = around.join(sets.select("node", F.col("shingles").alias("xb")), "node").join(
+        sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("xa")), "pivot")
+    nodes = stored(map_rows(
+        both, differ, "pivot long, node long, root long, n long, linked boolean, first long, probes long, size long, differences array<long>"))
+    links = nodes.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+
+    each = nodes.select("pivot", "node", "root", "n", "first", "probes", "size", F.explode("differences").alias("difference"))
+    counts = each.groupBy("pivot", "difference").agg(F.count("*").alias("often")).where("often > 1")
+    shared = each.join(counts, ["pivot", "difference"])
+    mine = Window.partitionBy("pivot", "node")
+    # Differences that no other node has come first and need no row.
+    place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "difference"))
+    placed = stored(shared.withColumn("place", place).where("place <= first OR place <= probes"))
+    probes = placed.where("place <= probes").select(
+        "pivot", "difference", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    firsts = placed.where("place <= first").select(
+        "pivot", "difference", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    pairs = probes.join(firsts, ["pivot", "difference"]).where(
+        f"rx <> ry AND 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), links
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for every node of the links (a, b), by alternating stars.
 
@@ -224,17 +275,13 @@ def near_duplicates(
     links = stored(links.unionAll(_linked(apart(likely.select("a", "b")), sets, percent)))
     roots = stored(components(links))
 
-    members = _rooted(rows.select("bucket", "node", "n"), roots)
+    members = _rooted(rows.select("bucket", "node"), roots)
     parts = members.groupBy("bucket", "root").agg(F.count("*").alias("rows"))
-    mixed = parts.groupBy("bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    members = stored(members.join(mixed.select("bucket", "main"), "bucket"))
-    minor = members.where("root <> main").select(
-        "bucket", F.col("node").alias("x"), F.col("n").alias("na"), F.col("root").alias("rx"))
-    rest = members.select("bucket", F.col("node").alias("y"), F.col("n").alias("nb"), F.col("root").alias("ry"))
-    pairs = minor.join(rest, "bucket").where(sizes_fit & F.expr("rx <> ry")).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = parts.groupBy("bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("pivot"), F.count("*").alias("parts")).where("parts > 1")
+    around = stored(members.join(mixed.select("bucket", "pivot"), "bucket").select("pivot", "node", "root").distinct())
+    pairs, found = _around_pivots(around, sets, percent)
     pairs = pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti")  # those have been decided
-    links = stored(links.unionAll(_linked(_alike(pairs, classes, size, percent, miss), sets, percent)))
+    links = stored(links.unionAll(found).unionAll(_linked(_alike(pairs, classes, size, percent, miss), sets, percent)))
     roots = components(links)
 
     labelled = _rooted(classes.select("node", "key", "id", "text_hash"), roots)

@@ -69,6 +69,26 @@ def test_near_duplicates_against_plain_version(spark, width):
     assert sorted(x.doc_id for x in left.collect()) == sorted(k for k in expected if expected[k] == k)
 
 
+@pytest.mark.parametrize("kind", ["replace", "footer", "delete"])
+def test_large_groups_with_changes_around_the_limit(spark, kind):
+    r, base, docs = random.Random(kind), prose(77, 150), []
+    footer = [f"foot{j}" for j in range(24)]
+    for k in range(160):
+        w = list(base)
+        for _ in range(r.randint(0, 9)):
+            at = r.randrange(len(w))
+            if kind == "delete":
+                del w[at:at + r.randint(1, 4)]
+            else:
+                w[at] = f"new{k}x{r.randrange(999)}"
+        docs.append((k, " ".join(w + footer * (kind == "footer" and k % 2))))
+    r.shuffle(docs)
+    expected = brute.near_components(sorted(docs), 4)
+    assert 1 < len(set(expected.values())) < 120
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, TEXT), width=4)
+    assert {x.doc_id: x.component_id for x in found.collect()} == expected
+
+
 def test_chain_of_links(spark):
     base = prose(9, 100)
     docs = [(k, " ".join([*base[k * 2:], *(f"end{j}" for j in range(k * 2))])) for k in range(12)]
