@@ -18,10 +18,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paddock.llm.common import WordHashes, ascii_words, map_rows, odd_numbers, remove, shingle_hashes, stored, text_or_empty
+from paddock.llm.common import WordHashes, ascii_words, map_rows, mixed, odd_numbers, remove, shingle_hashes, stored, text_or_empty
 
 BLOCK = 8192  # shingles that are hashed at once
 BATCH = 16  # signature values that the sequential test looks at in one step
+BITMAP = 4  # longs of a bitmap of differences
 
 
 def shingle_set(text: str, width: int, hashes: WordHashes) -> np.ndarray:
@@ -126,54 +127,71 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "xa", "xb").mapInPandas(confirm, "a long, b long")
 
 
+def _bitmap(values: np.ndarray) -> list[int]:
+    """BITMAP longs in which each value has set one bit."""
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[(mixed(values) % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64).tolist()
+
+
 def _around_pivots(around: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of nodes around one pivot that may still be linked, and links to the pivot itself.
 
-    `around` has the nodes of every bucket that holds several components, with the bucket's pivot, a node of its
-    largest component, and each node's own component (root). A node of another component is not linked to the pivot h, or the link is
-    found here. For sets x, y with differences to h of R removed and A added shingles, p = percent:
-    a link of x and y needs (100 + p) * shared >= p * (|x| + |y|) + (100 + p) * (Rx + Ry - |h|), where shared counts the
-    differences both have. As x is not linked to h, p * |x| + (100 + p) * Rx > 100 * |h|. So y has to share
-    at least (p * Ay + 100 * Ry + 1) / (100 + p) of its differences, and x at least (p * |x| + (100 + p) * Rx -
-    100 * |h|) / (100 + p). With the differences in one order, the rare ones first, two such nodes have one in common among their
-    first |differences| - required + 1. Only nodes with such a difference in common are paired.
+    `around` has the nodes of every bucket that holds several components, with a pivot of the bucket's
+    largest component and each node's own component: outside is whether that is another one. A node outside is not
+    linked to the pivot h, or the link is found here. For sets x, y with differences to h of R removed and A added shingles,
+    p = percent: a link of x and y needs (100 + p) * shared >= p * (|x| + |y|) + (100 + p) * (Rx + Ry - |h|), where shared
+    counts the differences both have. As x is not linked to h, p * |x| + (100 + p) * Rx > 100 * |h|. So y has to
+    share at least (p * Ay + 100 * Ry + 1) / (100 + p) of its differences, and x at least (p * |x| + (100 + p) * Rx -
+    100 * |h|) / (100 + p). With the differences in one order, the rare ones first, two such nodes have one in common among
+    their first |differences| - required + 1: these are joined. A bitmap of all differences bounds what a joined
+    pair can share, and only pairs that can share enough come out.
     """
     whole = 100 + percent
 
     def differ(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:
         for batch in batches:
             out = []
-            for pivot, node, root, x, h in zip(*(batch[c] for c in ("pivot", "node", "root", "xb", "xa"))):
+            for pivot, node, root, outside, x, h in zip(*(batch[c] for c in ("pivot", "node", "root", "outside", "xb", "xa"))):
                 x, h = np.frombuffer(x, "<u8"), np.frombuffer(h, "<u8")
                 added, removed = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
-                a, r, minor = len(added), len(removed), root != pivot
+                a, r = len(added), len(removed)
                 near = 100 * (len(h) - r) >= percent * (len(h) + a)
                 first = a + r + 1 + (-(percent * a + 100 * r + 1)) // whole
-                probes = a + r + 1 - max(1, -((100 * len(h) - percent * len(x) - whole * r) // whole)) if minor and not near else 0
-                differences = np.concatenate([added, removed]).astype(np.int64).tolist() if first > 0 or probes > 0 else []
-                out.append((pivot, node, root, len(x), minor and near, first, probes, a + r, differences))
+                probes = a + r + 1 - max(1, -((100 * len(h) - percent * len(x) - whole * r) // whole)) if outside and not near else 0
+                # shared * whole >= need of x + need of y
+                need = percent * len(x) + whole * r - (whole * len(h)) // 2
+                differences = np.concatenate([added, removed])
+                out.append((pivot, node, root, len(x), outside and near, first, probes, a + r, need, whole * len(h) % 2, _bitmap(differences),
+                            differences.astype(np.int64).tolist() if first > 0 or probes > 0 else []))
             yield out
 
     both = around.join(sets.select("node", F.col("shingles").alias("xb")), "node").join(
         sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("xa")), "pivot")
     nodes = stored(map_rows(
-        both, differ, "pivot long, node long, root long, n long, linked boolean, first long, probes long, size long, differences array<long>"))
+        both, differ, "pivot long, node long, root long, n long, linked boolean, first long, probes long, size long, need long, odd long, "
+                      "bits array<long>, differences array<long>"))
     links = nodes.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
-    each = nodes.select("pivot", "node", "root", "n", "first", "probes", "size", F.explode("differences").alias("difference"))
+    bits = [F.col("bits")[k].alias(f"bits{k}") for k in range(BITMAP)]
+    each = nodes.select("pivot", "node", "root", "n", "first", "probes", "size", "need", "odd", *bits, F.explode("differences").alias("difference"))
     counts = each.groupBy("pivot", "difference").agg(F.count("*").alias("often")).where("often > 1")
     shared = each.join(counts, ["pivot", "difference"])
     mine = Window.partitionBy("pivot", "node")
     # Differences that no other node has come first and need no row.
     place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "difference"))
     placed = stored(shared.withColumn("place", place).where("place <= first OR place <= probes"))
-    probes = placed.where("place <= probes").select(
-        "pivot", "difference", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    firsts = placed.where("place <= first").select(
-        "pivot", "difference", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-    pairs = probes.join(firsts, ["pivot", "difference"]).where(
-        f"rx <> ry AND 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), links
+    kept = ["node", "root", "n", "size", "need", *(f"bits{k}" for k in range(BITMAP))]
+
+    def side(letter: str) -> DataFrame:
+        return placed.where(f"place <= {'probes' if letter == 'x' else 'first'}").select(
+            "pivot", "difference", "odd", *[F.col(c).alias(letter + c) for c in kept])
+
+    only = lambda one, other: " + ".join(f"bit_count({one}bits{k} & ~{other}bits{k})" for k in range(BITMAP))
+    pairs = side("x").join(side("y").drop("odd"), ["pivot", "difference"]).where(f"""
+        xroot <> yroot AND 100 * least(xn, yn) >= {percent} * greatest(xn, yn)
+        AND {whole} * least(xsize - ({only("x", "y")}), ysize - ({only("y", "x")})) >= xneed + yneed - odd""")
+    return pairs.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct(), links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -277,8 +295,14 @@ def near_duplicates(
 
     members = _rooted(rows.select("bucket", "node"), roots)
     parts = members.groupBy("bucket", "root").agg(F.count("*").alias("rows"))
-    mixed = parts.groupBy("bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("pivot"), F.count("*").alias("parts")).where("parts > 1")
-    around = stored(members.join(mixed.select("bucket", "pivot"), "bucket").select("pivot", "node", "root").distinct())
+    several = parts.groupBy("bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    # The pivot of a component is the class that is alike to most others, so that differences to it are few.
+    ends = likely.where(F.col("matches") * 100 >= percent * size)
+    degree = ends.select(F.col("a").alias("node")).unionAll(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("degree"))
+    pivots = _rooted(degree, roots).groupBy(F.col("root").alias("main")).agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
+    around = members.join(several.select("bucket", "main"), "bucket").select("main", "node", "root").distinct().join(pivots, "main", "left")
+    around = stored(around.select(
+        F.coalesce("pivot", "main").alias("pivot"), "node", "root", (F.col("root") != F.col("main")).alias("outside")))
     pairs, found = _around_pivots(around, sets, percent)
     pairs = pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti")  # those have been decided
     links = stored(links.unionAll(found).unionAll(_linked(_alike(pairs, classes, size, percent, miss), sets, percent)))

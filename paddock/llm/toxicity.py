@@ -1,17 +1,18 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens the windows of a text more.
 
 Each word is spelled by a code of fixed length, so that finding a short word in a dictionary saves as many bytes as
-finding a long one. One dictionary is trained on the windows of ordinary texts; the other on those of toxic texts, less
-the words that the ordinary dictionary already shortens. A window's gap is its compressed length with the ordinary
-dictionary minus that with the toxic one. A text is described by the share of its windows whose gap reaches a
-threshold; the threshold and the mapping of that share to a score are calibrated on labelled texts that took no part
-in training the dictionaries.
+finding a long one. One dictionary is trained on the windows of ordinary texts; the other on those words of toxic texts
+that several toxic and no ordinary texts of the sample have, copies of texts left out. A window's gap is its
+compressed length with the ordinary dictionary minus that with the toxic one. A text is described by the share of its
+windows whose gap reaches a threshold. The threshold and the share from which a text is called toxic are
+calibrated by cross-validation: every labelled text is judged by dictionaries that were trained without its fold.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,7 +26,8 @@ from paddock.llm.common import text_or_empty
 
 CODE = 12  # bytes that spell a word
 FOLDS = 5
-HELD_OUT, CALIBRATION = 0, 4  # folds by crc32(id as text) mod FOLDS; the others train the dictionaries
+HELD_OUT = 0  # fold by crc32(id as text) mod FOLDS that is never learned from
+LEAST_SHARE = 0.01  # of the toxic texts that have a word, for it to be learned; two texts at least
 MAX_CACHED = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 GAPS = range(2, 9)
@@ -75,9 +77,8 @@ class Gaps:
         gap = self.known[words] = len(self.by_ordinary.compress(window)) - len(self.by_toxic.compress(window))
         return gap
 
-    def counts(self, text: str) -> dict[int, int]:
+    def counts(self, words: list[str]) -> dict[int, int]:
         """How many windows of a whole text have which gap."""
-        words = WORD.findall(text.lower())
         found: dict[int, int] = {}
         known, n = self.known, self.window
         for at in range(0, len(words), n):
@@ -89,6 +90,10 @@ class Gaps:
         return found
 
 
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
 def share_at(counts: dict[int, int], gap: int) -> float:
     """Share of windows whose gap is at least `gap`; 0 without windows."""
     total = sum(counts.values())
@@ -101,26 +106,51 @@ def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
         write_checksum=False, write_dict_id=False)
 
 
-def _windows(texts: list[str], codes: Codes, words: int = 16) -> list[bytes]:
+def _dictionary(windows: list[bytes], size: int, segment: int) -> bytes:
+    """A trained dictionary; the windows themselves where there are too few to train on."""
+    try:
+        return zstandard.train_dictionary(size, windows, k=segment, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(windows))[:size] or b" " * 8
+
+
+def _windows(texts: list[list[str]], codes: Codes, words: int = 16) -> list[bytes]:
     """The distinct words of each text in windows; a window that was seen before is a copy and left out."""
-    seen: set[bytes] = set()
-    out = []
+    found: dict[bytes, None] = {}
     for text in texts:
-        spelled = [codes[w] for w in dict.fromkeys(WORD.findall(text.lower()))]
+        spelled = [codes[w] for w in dict.fromkeys(text)]
         for at in range(0, len(spelled), words):
-            window = b"".join(spelled[at:at + words])
-            if window not in seen:
-                seen.add(window)
-                out.append(window)
+            found[b"".join(spelled[at:at + words])] = None
+    return list(found)
+
+
+def _originals(texts: list[list[str]], sample: int = 8) -> list[frozenset[str]]:
+    """The words of each text, without texts that share more than half of a fixed sample of their words with one before."""
+    owner: dict[str, int] = {}
+    out = []
+    for number, text in enumerate(texts):
+        words = frozenset(text)
+        some = sorted(words, key=lambda w: hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest())[:sample]
+        seen = Counter(owner[w] for w in some if w in owner)
+        if seen and 2 * max(seen.values()) > len(some):
+            continue
+        owner.update(dict.fromkeys(some, number))
+        out.append(words)
     return out
 
 
-def _dictionary(windows: list[bytes], size: int, segment: int) -> bytes:
-    """A trained dictionary; the windows themselves where there are too few to train on."""
-    try:
-        return zstandard.train_dictionary(size, windows, k=segment, d=8).as_bytes()
-    except zstandard.ZstdError:
-        return b"".join(windows)[:size]
+def _train(texts: list[list[str]], toxic: np.ndarray, ordinary_bytes: int, toxic_bytes: int) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary."""
+    codes = Codes()
+    clean = [t for t, y in zip(texts, toxic) if not y]
+    foul = _originals([t for t, y in zip(texts, toxic) if y])
+    ordinary = _dictionary(_windows(clean, codes), ordinary_bytes, 2 * CODE)
+    known = set().union(*clean)
+    often = Counter(w for words in foul for w in words)
+    least = max(2, LEAST_SHARE * len(foul))
+    # Each word is a sample of its own, so that the dictionary keeps codes whole.
+    spelled = [codes[w] for words in foul for w in sorted(words) if w not in known and often[w] >= least]
+    return ordinary, _dictionary(spelled, toxic_bytes, CODE) if spelled else ordinary
 
 
 def _auc(values: np.ndarray, labels: np.ndarray) -> float:
@@ -130,45 +160,38 @@ def _auc(values: np.ndarray, labels: np.ndarray) -> float:
 
 
 def fit(
-    texts: list[str], toxic: np.ndarray, folds: np.ndarray, window: int = 1, level: int = 3,
-    ordinary_bytes: int = 112_640, toxic_bytes: int = 2048,
+    texts: list[str], toxic: np.ndarray, folds: np.ndarray, weights: np.ndarray | None = None, window: int = 1,
+    level: int = 3, ordinary_bytes: int = 112_640, toxic_bytes: int = 4096, smallest: float = 1e-4,
 ) -> Model:
-    """Train the dictionaries on the folds other than CALIBRATION and calibrate on that fold."""
-    codes = Codes()
-    learn, check = folds != CALIBRATION, folds == CALIBRATION
-    pick = lambda mask: [t for t, m in zip(texts, mask) if m]
-    ordinary = _dictionary(_windows(pick(learn & ~toxic), codes), ordinary_bytes, 2 * CODE)
-    shorten = _compressor(ordinary, level)
-    rest = []
-    for x in _windows(pick(learn & toxic), codes):
-        new = b"".join(c for c in (x[i:i + CODE] for i in range(0, len(x), CODE)) if len(shorten.compress(c)) >= CODE)
-        if new:
-            rest.append(new)
-    foul = _dictionary(rest, toxic_bytes, CODE)
-    gaps = Gaps(ordinary, foul, window, level)
-    if not check.any():
-        check = learn
-    counts = [gaps.counts(t) for t in pick(check)]
-    labels = toxic[check]
-    shares = {g: np.array([share_at(c, g) for c in counts]) for g in GAPS}
-    gap = max(GAPS, key=lambda g: (round(_auc(shares[g], labels), 4), -g))
-    smallest = 1e-4
-    x = np.log(np.maximum(shares[gap], smallest))
-    slope, middle = _logistic(x, labels)
-    return Model(ordinary, foul, window, level, gap, slope, middle, smallest)
-
-
-def _logistic(x: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of the logistic curve: the middle is where most labels are on their own side."""
-    if not labels.any() or labels.all():
-        return 1.0, float(x.max() + 1 if len(x) and not labels.any() else (x.min() - 1 if len(x) else 0.0))
-    borders = np.unique(x)
-    middles = np.concatenate([(borders[1:] + borders[:-1]) / 2, [borders[-1] + 1]])
-    right = [int(((x > m) == labels).sum()) for m in middles]
-    best = max(right)
-    middle = float(np.median([m for m, r in zip(middles, right) if r == best]))
-    spread = float(np.std(x - middle)) or 1.0
-    return max(1.0, 2.0 / spread), middle
+    """Train the dictionaries and calibrate by cross-validation over `folds`; `weights` undo an uneven sample."""
+    weights = np.ones(len(texts)) if weights is None else weights
+    words = [words_of(t) for t in texts]
+    counts: list[dict[int, int]] = [{}] * len(texts)
+    for f in sorted(set(folds.tolist())):
+        others = folds != f
+        gaps = Gaps(*_train([w for w, o in zip(words, others) if o], toxic[others], ordinary_bytes, toxic_bytes), window, level)
+        for k in np.flatnonzero(~others):
+            counts[k] = gaps.counts(words[k])
+    best = (-1.0, 0.0, 0, 0.0)
+    for gap in GAPS:
+        x = np.log(np.maximum([share_at(c, gap) for c in counts], smallest)) if counts else np.empty(0)
+        right, middle = _middle(x, toxic, weights)
+        best = max(best, (round(right, 6), round(_auc(x, toxic), 6) if len(x) else 0.5, -gap, middle))
+    ordinary, foul = _train(words, toxic, ordinary_bytes, toxic_bytes)
+    return Model(ordinary, foul, window, level, -best[2], 2.0, best[3], smallest)
+
+
+def _middle(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """The largest share of weight on its own side of a border, and the middle of the borders that reach it.
+
+    Without toxic rows no text is called toxic."""
+    if not toxic.any():
+        return 1.0, 1.0
+    values = np.unique(x)
+    borders = np.concatenate([(values[1:] + values[:-1]) / 2, [1.0]])
+    right = np.array([weights[(x > b) == toxic].sum() for b in borders]) / weights.sum()
+    good = borders[right >= right.max() - 1e-12]
+    return float(right.max()), float(good[len(good) // 2])
 
 
 @lru_cache(maxsize=2)
@@ -177,25 +200,29 @@ def _gaps_of(model: Model) -> Gaps:
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_ordinary: int = 9000, max_chars: int = 8000,
+    docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_ordinary: int = 3500, max_chars: int = 8000,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold.
 
     The sample has at most `max_toxic` toxic and `max_ordinary` other rows, those with the smallest hash of
-    their id, and of each text at most `max_chars` characters, so it fits in the driver at any input size. Null
-    ids and labels are not learned from. Only this sample is bounded; scoring reads all rows and whole texts.
+    their id, and of each text at most `max_chars` characters, so it fits in the driver at any input size; weights restore
+    the shares of the two. Null ids and labels are not learned from. Only this sample is bounded; scoring reads all rows
+    and whole texts.
     """
     fold = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)).cast("int")
     marked = labels.select(F.col(f"`{id_column}`").alias("id"), (F.col("toxic") == 1).alias("toxic")).where(
         "id IS NOT NULL AND toxic IS NOT NULL").withColumn("fold", fold).where(F.col("fold") != HELD_OUT)
+    total = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # two rows
     order = [F.xxhash64("id", F.lit("sample")), F.col("id")]
     chosen = marked.where("toxic").orderBy(*order).limit(max_toxic).unionAll(
         marked.where("NOT toxic").orderBy(*order).limit(max_ordinary))
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.substring(text_or_empty(text_column), 1, max_chars).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").limit(2 * (max_toxic + max_ordinary)).toPandas()
     sample = sample.sort_values(["id", "text"], ignore_index=True)
-    return fit(sample["text"].tolist(), sample["toxic"].to_numpy(bool), sample["fold"].to_numpy())
+    toxic = sample["toxic"].to_numpy(bool)
+    weights = np.where(toxic, total.get(True, 0) / max(1, toxic.sum()), total.get(False, 0) / max(1, (~toxic).sum()))
+    return fit(sample["text"].tolist(), toxic, sample["fold"].to_numpy(), weights)
 
 
 def toxicity(
@@ -216,7 +243,7 @@ def toxicity(
         for texts in batches:
             out = []
             for text in texts:
-                counts = gaps.counts(text)
+                counts = gaps.counts(words_of(text))
                 out.append((model.score(share_at(counts, model.gap)), sum(counts.values()),
                             sum(n for g, n in counts.items() if g >= model.gap)))
             yield pd.DataFrame(out, columns=["score", "windows", "toxic_windows"])
