@@ -23,6 +23,25 @@ def chi_squared_upper(x: float, df: float) -> float:
     return _gamma_upper(df / 2, x / 2)
 
 
+def rank_sum_upper(u: int, n1: int, n2: int) -> float:
+    """P(U >= u) of the rank sum statistic of samples of n1 and n2 values without ties.
+
+    ways[k] is the number of orders with U = k, built up one value of the first sample at a time: with m values, U is
+    m times the least count plus the U of the others.
+    """
+    ways = [[1] + [0] * (n1 * n2) for _ in range(n2 + 1)]  # by the size of the second sample, no first values yet
+    for m in range(1, n1 + 1):
+        row = [1] + [0] * (n1 * n2)
+        after = [row]
+        for n in range(1, n2 + 1):
+            # the largest value is of the first sample (it beats all n) or of the second
+            row = [(ways[n][k - n] if k >= n else 0) + row[k] for k in range(n1 * n2 + 1)]
+            after.append(row)
+        ways = after
+    counts = ways[n2]
+    return sum(counts[max(u, 0):]) / sum(counts)
+
+
 def _lentz(b0: float, terms) -> float:
     """Value of the continued fraction b0 + a1/(b1 + a2/(b2 + ...)) by the modified Lentz method."""
     f = b0 or TINY

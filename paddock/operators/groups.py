@@ -4,46 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.operators import skew
+from paddock.operators.keys import ALL, value_bucket, with_keys_only
 from paddock.operators.ordered import running_totals
-from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups, may_have_large_groups, with_keys_only
-from paddock.session import max_group_rows, stored
 
-# The built-in percentile may hold the values of some 128 groups at once in one task.
-BUFFER_SHARE = 40
 
-
-def attach_group_stats(
-    df: DataFrame, keys: list[str], stats: dict[str, Column], *,
-    keys_present: bool = False, hot: HotGroups | None = None, bounded: bool | SizeBound = False,
-    limit: int | None = None,
-) -> DataFrame:
+def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
     """Add aggregates of the row's group, such as the team mean. Rows with a null key get null.
 
-    `keys_present` states that no key is null.
-
-    Ordinary groups use one window shuffle. Hot groups are aggregated with map-side combine and their few
-    result rows are broadcast, so their rows are not moved at all.
+    The aggregate combines before its shuffle, so no group is gathered; its rows are joined back by equality, a join
+    that splits a hot key.
     """
-    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
-    out = [*df.columns, *stats]
-    rest, hot_part = df, None
-    if hot:
-        rows = skew.hot_rows(df, hot, keys)
-        table = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-        hot_part = rows.join(F.broadcast(table), keys, "left").select(*out)
-        rest = skew.cold_rows(df, hot, keys)
-    if not keys_present:
-        # Rows without a key get no statistic; deal them out instead of sending them to one task. By content,
-        # not at random, so that a repeated task deals them out alike.
-        dealt = F.pmod(F.xxhash64(*rest.columns), F.lit(1000))
-        rest = rest.withColumn("__spread", F.when(skew.any_null(keys), dealt))
-        w = W.partitionBy(*keys, "__spread")
-        values = {n: F.when(~skew.any_null(keys), c.over(w)) for n, c in stats.items()}
-    else:
-        values = {n: c.over(W.partitionBy(*keys)) for n, c in stats.items()}
-    plain = rest.withColumns(values).select(*out)
-    return plain if hot_part is None else plain.unionByName(hot_part)
+    table = with_keys_only(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    return df.join(table, keys, "left").select(*df.columns, *stats)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -57,35 +29,22 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]], *,
-    bounded: bool | SizeBound = False, limit: int | None = None,
+    df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]]
 ) -> DataFrame:
     """Group aggregates together with exact interpolated quantiles, one row per group.
 
-    The built-in percentile keeps the distinct values of a group in a buffer, and many groups at a time, so
-    it serves only where all groups are well below the row limit. Otherwise values are counted, numbered by
-    a running total, and the two values round each wanted position are picked.
+    Values are counted, numbered by a running total, and the two values round each wanted position are picked.
     """
-    limit = limit or max_group_rows(df.sparkSession)
     data = with_keys_only(df, keys) if keys else df.withColumn(ALL, F.lit(0))
     by = keys or [ALL]
-    plain_aggs = [c.alias(n) for n, c in aggs.items()]
     values = list(dict.fromkeys(c for c, _ in quantiles.values()))
-    if not may_have_large_groups(data, by, bounded, max(1, limit // BUFFER_SHARE)):
-        shares = {v: [p for c, p in quantiles.values() if c == v] for v in values}
-        builtin = [F.percentile(v, F.array(*map(F.lit, ps))).alias(f"__q_{v}") for v, ps in shares.items()]
-        picked = [F.get(f"__q_{c}", F.lit(shares[c].index(p))).alias(n) for n, (c, p) in quantiles.items()]
-        return data.groupBy(*keys).agg(*plain_aggs, *builtin).select(*keys, *aggs, *picked)
-
-    data = stored(data)
-    result = data.groupBy(*by).agg(*plain_aggs, F.count(F.lit(1)).alias(skew.SIZE))
-    result = result.join(_quantiles_by_counting(data, by, values, quantiles, bounded, limit), by, "left")
-    return result.select(*keys, *aggs, *quantiles)
+    picked = _quantiles_by_counting(data, by, values, quantiles)
+    result = data.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in aggs.items()])
+    return result.join(picked, by, "left").select(*keys, *aggs, *quantiles)
 
 
 def _quantiles_by_counting(
-    df: DataFrame, by: list[str], values: list[str], quantiles: dict[str, tuple[str, float]],
-    bounded: bool | SizeBound, limit: int,
+    df: DataFrame, by: list[str], values: list[str], quantiles: dict[str, tuple[str, float]]
 ) -> DataFrame:
     """All columns in one pass: as (column number, value) rows, counted and numbered per group and column."""
     cells = F.array(*[
@@ -94,15 +53,9 @@ def _quantiles_by_counting(
     keys = [*by, "__column"]
     long = df.select(*by, F.inline(cells)).where("__value is not null")
     counted = long.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
-    hot = find_hot_groups(counted, keys, bounded, limit)
-    if hot:
-        counted = stored(counted)
-        totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-        placed = running_totals(counted, keys, ["__value"], {"__upto": "__n"}, hot=hot).join(totals, keys, "left")
-    else:
-        placed = running_totals(counted, keys, ["__value"], {"__upto": "__n"}, hot=hot).withColumn(
-            "__total", F.sum("__n").over(W.partitionBy(*keys))
-        )
+    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+    placed = running_totals(
+        counted, keys, ["__value"], {"__upto": "__n"}, bucket=value_bucket(F.col("__value"))).join(totals, keys)
     v, upto, n = F.col("__value"), F.col("__upto"), F.col("__n")
     picks, finals = [], []
     for name, (column, p) in quantiles.items():
@@ -118,10 +71,7 @@ def _quantiles_by_counting(
     return placed.groupBy(*by).agg(*picks).select(*by, *finals)
 
 
-def value_ranks(
-    df: DataFrame, value: str, weight: Column | None = None, *,
-    bounded: bool | SizeBound = False, limit: int | None = None,
-) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, weight: Column | None = None) -> DataFrame:
     """Each distinct value with its count and its average rank over all rows (ties share the mean rank).
 
     `weight` is the number of rows a row stands for, when `df` is already counted, without null values.
@@ -129,6 +79,6 @@ def value_ranks(
     rows = with_keys_only(df, [value]) if weight is None else df
     n = F.sum(weight if weight is not None else F.lit(1)).cast("long")
     counted = rows.groupBy(value).agg(n.alias("n"))
-    return running_totals(counted, [], [value], {"upto": "n"}, bounded=bounded, limit=limit).select(
+    return running_totals(counted, [], [value], {"upto": "n"}, bucket=value_bucket(F.col(value))).select(
         value, "n", (F.col("upto") - (F.col("n") - 1) / 2).alias("avg_rank")
     )

@@ -14,26 +14,27 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions import tails
-from paddock.functions.tails import p_value, student_two_sided
+from paddock.functions.tails import p_value, rank_sum_upper, student_two_sided
 from paddock.operators.groups import value_ranks
 from paddock.operators.ordered import running_totals
-from paddock.operators.skew import SizeBound, with_keys_only
+from paddock.operators.keys import value_bucket, with_keys_only
 
 # The tail functions travel with the tasks, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(tails)
 
 
-def _row(df: DataFrame, test: str, tail: str, statistic: Column, dof: Column, n: Column, effect: Column) -> DataFrame:
+MAX_EXACT = 10_000  # pairs of values up to which U has its exact distribution
+
+
+def _row(df: DataFrame, test: str, tail: str | Column, statistic: Column, dof: Column, n: Column, effect: Column) -> DataFrame:
     return df.select(
-        F.lit(test).alias("test"), F.lit(tail).alias("tail"),
+        F.lit(test).alias("test"), (F.lit(tail) if isinstance(tail, str) else tail).alias("tail"),
         statistic.cast("double").alias("statistic"), dof.cast("double").alias("df"),
         n.cast("long").alias("n"), effect.cast("double").alias("effect"),
     )
 
 
-def spearman(
-    df: DataFrame, x: str, y: str, *, bounded: bool | SizeBound = False, limit: int | None = None
-) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation with average ranks for ties.
 
     Equal pairs are counted first, so the joins below work on distinct pairs; ranks come from the same
@@ -43,7 +44,7 @@ def spearman(
     pairs = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     ranked = pairs
     for side in ("x", "y"):
-        ranks = value_ranks(pairs, side, F.col("w"), bounded=bounded, limit=limit)
+        ranks = value_ranks(pairs, side, F.col("w"))
         ranks = ranks.select(side, F.col("avg_rank").alias(f"r{side}"))
         ranked = ranked.join(ranks, side, "left")
     sums = ranked.agg(
@@ -98,7 +99,7 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
     )
     s = table.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("r").alias("n"), F.sum(1 / F.col("r")).alias("inv_r"),
-        F.min_by("o0", row).alias("o"), F.min_by("r", row).alias("r"),
+        F.min_by("r", row).alias("r"), *[F.min_by(c, row).alias(c) for c in cells],
         *[F.sum(c).alias(f"c_{c}") for c in cells],
         *[F.sum(F.col(c) * F.col(c) / F.col("r")).alias(f"q_{c}") for c in cells],
     )
@@ -108,17 +109,18 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
     plain = n * (reduce(lambda a, b: a + b, terms) - 1)
     dof = (F.col("rows") - 1) * (used - 1)
     statistic = plain
-    if yates and len(values) == 2:
-        deviation = F.abs(F.col("o") - F.try_divide(F.col("r") * F.col("c_o0"), n))
+    if yates:  # two rows, and two columns that occur
+        occurs = [F.col(f"c_{c}") > 0 for c in cells]
+        deviation = F.coalesce(*[
+            F.when(o, F.abs(F.col(c) - F.try_divide(F.col("r") * F.col(f"c_{c}"), n))) for o, c in zip(occurs, cells)])
         less = deviation - F.least(F.lit(0.5), deviation)
-        inv_c = F.try_divide(F.lit(1.0), F.col("c_o0")) + F.try_divide(F.lit(1.0), F.col("c_o1"))
-        statistic = F.when(dof == 1, less * less * n * F.col("inv_r") * inv_c).otherwise(plain)
+        inv_c = reduce(lambda a, b: a + b, [F.when(o, 1 / F.col(f"c_{c}")).otherwise(0.0) for o, c in zip(occurs, cells)])
+        statistic = F.when((dof == 1) & (F.col("rows") == 2), less * less * n * F.col("inv_r") * inv_c).otherwise(plain)
     return _row(s, "chi-squared", "chi2", F.when(dof > 0, statistic), dof, n, F.lit(None))
 
 
 def mann_whitney(
-    df: DataFrame, value: str, first: Column, second: Column, alternative: str, *,
-    bounded: bool | SizeBound = False, limit: int | None = None,
+    df: DataFrame, value: str, first: Column, second: Column, alternative: str
 ) -> DataFrame:
     """U of the first sample; `effect` is the normal score with tie and continuity correction.
 
@@ -130,7 +132,7 @@ def mann_whitney(
         .groupBy(F.col(value).cast("double").alias("v"))
         .agg(F.count_if(first).alias("a"), F.count_if(second).alias("b"))
     )
-    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bounded=bounded, limit=limit)
+    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bucket=value_bucket(F.col("v")))
     t = (F.col("a") + F.col("b")).cast("double")
     s = placed.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("n1"), F.coalesce(F.sum("b"), F.lit(0)).alias("n2"),
@@ -142,7 +144,10 @@ def mann_whitney(
     larger = F.col("u1") if alternative == "greater" else n1 * n2 - F.col("u1")
     sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(larger - n1 * n2 / 2 - 0.5, sigma)
-    return _row(s, "Mann-Whitney U", "z_upper", F.when(both, F.col("u1")), F.lit(None), n, F.when(both, z))
+    # As is usual, small samples without ties take the exact distribution of U.
+    exact = both & (F.col("ties") == 0) & (F.least(n1, n2) <= 8) & (n1 * n2 <= MAX_EXACT)
+    tail = F.when(exact, F.concat_ws(":", F.lit("u"), F.lit(alternative), F.col("n1"), F.col("n2"))).otherwise("z_upper")
+    return _row(s, "Mann-Whitney U", tail, F.when(both, F.col("u1")), F.lit(None), n, F.when(both, z))
 
 
 def least_squares(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -173,19 +178,21 @@ def least_squares(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
                 cov[np.triu_indices(k + 1)] = covs
                 cov = cov + np.triu(cov, 1).T
                 sxx, sxy, syy = cov[1:, 1:] * n, cov[1:, 0] * n, cov[0, 0] * n
-                inverse = np.linalg.inv(sxx)
+                inverse = np.linalg.pinv(sxx, hermitian=True)
+                dof = n - np.linalg.matrix_rank(sxx, hermitian=True) - 1
                 slope = inverse @ sxy
                 mean_x = np.asarray(means[1:])
                 residual = syy - slope @ sxy
-                variance = residual / (n - k - 1)
+                variance = residual / dof
                 coef = np.concatenate([[means[0] - slope @ mean_x], slope])
                 spread = np.concatenate([[1 / n + mean_x @ inverse @ mean_x], np.diag(inverse)])
                 error = np.sqrt(variance * spread)
-                t = coef / error
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    t = coef / error
                 yield pd.DataFrame({
                     "term": ["const", *terms], "coef": coef, "std_err": error, "t": t,
-                    "p_value": [student_two_sided(v, n - k - 1) for v in t],
-                    "r_squared": 1 - residual / syy, "n": n,
+                    "p_value": [student_two_sided(v, dof) if np.isfinite(v) else None for v in t],
+                    "r_squared": 1 - residual / syy if syy else None, "n": n,
                 })
 
     return moments.mapInPandas(solve, schema)
@@ -200,6 +207,10 @@ def _add_p_values(log: DataFrame) -> DataFrame:
             if abs(stat) >= 1:
                 return 0.0
             return p_value("t", stat * (dof / ((1 - stat) * (1 + stat))) ** 0.5, dof)
+        if kind.startswith("u:"):
+            _, alternative, n1, n2 = kind.split(":")
+            u = stat if alternative == "greater" else int(n1) * int(n2) - stat
+            return rank_sum_upper(int(u), int(n1), int(n2))
         if kind.startswith("z"):
             return p_value(kind, score, None)
         return p_value(kind, stat, dof)

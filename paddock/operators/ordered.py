@@ -3,132 +3,90 @@
 `order` lists column names, ascending; a leading "-" means descending (numeric columns). It must be a
 total order within each group, so that results do not depend on row placement.
 
-`bounded` is what is known of the group sizes beforehand, see `skew.find_hot_groups`. With no group above the
-row limit each operator is one window. Otherwise the hot groups are cut into
-consecutive order ranges ("segments"); the window runs per (group, segment) and what earlier segments
-contribute is added from a table of one row per hot segment, which is small by construction.
+`bucket` cuts each group into consecutive ranges: an expression that never falls along `order`, such as the day of a
+time. The window then runs per (group, bucket), and what earlier buckets contribute is added from a table of one row
+per (group, bucket), joined by equality. So a group of any size is spread over tasks, and groups of all sizes are
+treated alike. Without `bucket` a group is the work of one task: for groups that their grain bounds, such as the
+seasons of a driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from paddock.operators import skew
-from paddock.operators.skew import ALL, HotGroups, SizeBound, find_hot_groups
-from paddock.session import stored
+from paddock.operators.keys import ALL, same_keys, value_bucket
 
-SEGMENT = "__segment"
-SAMPLES_PER_SEGMENT = 10
-BLOCK = 100
+BUCKET = "__bucket"
+RIGHT = "__right_"
 
 
 def order_columns(order: list[str]) -> list[Column]:
     return [-F.col(c[1:]) if c.startswith("-") else F.col(c) for c in order]
 
 
-def cut_segments(df: DataFrame, keys: list[str], order: list[str], hot: HotGroups) -> DataFrame:
-    """Add SEGMENT: -1 for rows of ordinary groups, 0.. for consecutive ranges of hot groups.
-
-    Range borders come from a sample of the hot rows that is collected once, so every later use of the
-    column sees the same borders. Their number is bounded by MAX_HOT_GROUPS pieces plus one per group. The
-    result is stored, as the windows and the carried totals each read it.
-    """
-    spark = df.sparkSession
-    point = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_columns(order))])
-    share = min(1.0, SAMPLES_PER_SEGMENT / hot.limit)
-    sampled = (
-        skew.hot_rows(df.select(*keys, point.alias("__point")), hot, keys)
-        .where(F.rand(17) < share)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("__point")).alias("__points"))
-        .select(*keys, F.filter("__points", lambda _, i: (i % SAMPLES_PER_SEGMENT) == SAMPLES_PER_SEGMENT - 1)
-                .alias("__cuts"))
-    )
-    rows = [tuple(r) for r in sampled.collect()]
-    # a hot group that happened to give no sample is one segment
-    empty = F.array().cast(sampled.schema["__cuts"].dataType)
-    cuts = hot.table.select(*keys).join(spark.createDataFrame(rows, sampled.schema), keys, "left").select(
-        *keys, F.coalesce("__cuts", empty).alias("__cuts")
-    ).withColumn("__coarse", F.filter("__cuts", lambda _, i: (i % BLOCK) == 0))
-
-    # Two short scans instead of one long one: first the block of borders, then inside the block. The array
-    # of one element binds the block number, so that it is found once per row.
-    before = lambda borders: F.size(F.filter(borders, lambda c: c <= F.col("__point")))
-    inside = lambda b: before(F.slice("__cuts", (b - 1) * BLOCK + 1, BLOCK))
-    segment = F.transform(
-        F.array(before("__coarse")), lambda b: F.when(b == 0, F.lit(0)).otherwise((b - 1) * BLOCK + inside(b))
-    )[0]
-    placed = df.join(F.broadcast(cuts), keys, "left").withColumn("__point", point)
-    return stored(
-        placed.select(*df.columns, F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(segment).alias(SEGMENT))
-    )
-
-
 def _with_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, keys) if keys else (df.withColumn(ALL, F.lit(0)), [ALL])
 
 
+def _join_carry(local: DataFrame, carry: DataFrame, by: list[str]) -> DataFrame:
+    keys = [*by, BUCKET]
+    right = carry.withColumnsRenamed({k: f"{RIGHT}{k}" for k in keys})
+    return local.join(right, same_keys(local, right, keys, RIGHT), "left")
+
+
 def running_totals(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], *,
-    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], *, bucket: Column | None = None
 ) -> DataFrame:
-    """Running sum up to and including the current row; `sums` maps output name to input column."""
+    """Running sum up to and including the current row; `sums` maps output name to input column.
+
+    Nulls are skipped: the total is null until the first value of the group.
+    """
     data, by = _with_keys(df, keys)
-    hot = find_hot_groups(data, by, bounded, limit) if hot is None else hot
     upto = W.unboundedPreceding, W.currentRow
-    if not hot:
+    if bucket is None:
         w = W.partitionBy(*by).orderBy(*order_columns(order)).rowsBetween(*upto)
-        out = data.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
-        return out.select(*df.columns, *sums)
+        return data.withColumns({name: F.sum(c).over(w) for name, c in sums.items()}).select(*df.columns, *sums)
 
-    cut = cut_segments(data, by, order, hot)
-    w = W.partitionBy(*by, SEGMENT).orderBy(*order_columns(order)).rowsBetween(*upto)
+    cut = data.withColumn(BUCKET, bucket)
+    w = W.partitionBy(*by, BUCKET).orderBy(*order_columns(order)).rowsBetween(*upto)
     local = cut.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
-    before = W.partitionBy(*by).orderBy(SEGMENT).rowsBetween(W.unboundedPreceding, -1)
-    carried = {name: f"__carry_{name}" for name in sums}
+    before = W.partitionBy(*by).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        cut.where(F.col(SEGMENT) >= 0)
-        .groupBy(*by, SEGMENT).agg(*[F.sum(c).alias(f"__total_{n}") for n, c in sums.items()])
-        .select(*by, SEGMENT, *[F.sum(f"__total_{n}").over(before).alias(carried[n]) for n in sums])
-    )
-    joined = local.join(F.broadcast(carry), [*by, SEGMENT], "left")
-    return joined.select(
-        *df.columns, *[(F.col(n) + F.coalesce(F.col(c), F.lit(0))).alias(n) for n, c in carried.items()]
+        cut.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"__total_{n}") for n, c in sums.items()])
+        .select(*by, BUCKET, *[F.sum(f"__total_{n}").over(before).alias(f"__carry_{n}") for n in sums])
     )
+    joined = _join_carry(local, carry, by)
+    return joined.select(*df.columns, *[
+        F.coalesce(F.col(n) + F.col(f"__carry_{n}"), F.col(n), F.col(f"__carry_{n}")).alias(n) for n in sums])
 
 
-def row_numbers(
-    df: DataFrame, keys: list[str], order: list[str], out: str, *,
-    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], out: str, *, bucket: Column | None = None) -> DataFrame:
     """Position of each row in its group, from 1."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return running_totals(one, keys, order, {out: "__one"}, bounded=bounded, hot=hot, limit=limit).drop("__one")
+    return running_totals(one, keys, order, {out: "__one"}, bucket=bucket).drop("__one")
 
 
 def previous_values(
-    df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], *,
-    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
+    df: DataFrame, keys: list[str], order: list[str], previous: dict[str, str], *, bucket: Column | None = None
 ) -> DataFrame:
     """Value of the preceding row of the group; null on the first row. Maps output name to column."""
-    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
-    if not hot:
+    if bucket is None:
         w = W.partitionBy(*keys).orderBy(*order_columns(order))
         return df.withColumns({name: F.lag(c).over(w) for name, c in previous.items()})
 
-    cut = cut_segments(df, keys, order, hot)
-    w = W.partitionBy(*keys, SEGMENT).orderBy(*order_columns(order))
+    cut = df.withColumn(BUCKET, bucket)
+    w = W.partitionBy(*keys, BUCKET).orderBy(*order_columns(order))
     local = cut.withColumns({name: F.lag(c).over(w) for name, c in previous.items()}).withColumn(
         "__first", F.row_number().over(w) == 1
     )
     point = F.struct(*order_columns(order))
-    last = cut.where(F.col(SEGMENT) >= 0).groupBy(*keys, SEGMENT).agg(
+    last = cut.groupBy(*keys, BUCKET).agg(
         F.max_by(F.struct(*[F.col(c).alias(n) for n, c in previous.items()]), point).alias("__last")
     )
     carry = last.select(
-        *keys, SEGMENT, F.lag("__last").over(W.partitionBy(*keys).orderBy(SEGMENT)).alias("__carry")
+        *keys, BUCKET, F.lag("__last").over(W.partitionBy(*keys).orderBy(BUCKET)).alias("__carry")
     )
-    joined = local.join(F.broadcast(carry), [*keys, SEGMENT], "left")
+    joined = _join_carry(local, carry, keys)
     return joined.select(
         *df.columns,
         *[F.when(F.col("__first"), F.col(f"__carry.{n}")).otherwise(F.col(n)).alias(n) for n in previous],
@@ -136,28 +94,24 @@ def previous_values(
 
 
 def min_rank(
-    df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True,
-    bounded: bool | SizeBound = False, hot: HotGroups | None = None, limit: int | None = None,
+    df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True, best: str | None = None
 ) -> DataFrame:
-    """Competition rank (1, 2, 2, 4) of `value` in its group.
+    """Competition rank (1, 2, 2, 4) of a numeric `value` in its group; `best` names the value of rank 1.
 
-    In a hot group equal values are first counted together; the rank of a value is one plus the number of
-    rows before it, which is a running total over the counted values.
+    A null value has no rank and moves no other; rows with a null key have none. Equal values are counted together;
+    the rank of a value is one plus the number of rows before it, a running total over the counted values.
     """
-    hot = find_hot_groups(df, keys, bounded, limit) if hot is None else hot
-    spec = F.col(value).desc() if descending else F.col(value).asc()
-    plain = lambda d: d.withColumn(out, F.rank().over(W.partitionBy(*keys).orderBy(spec)))
-    if not hot:
-        return plain(df)
-
-    rows = skew.hot_rows(df, hot, keys)
-    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    sign = -1 if descending else 1
     order = [f"-{value}" if descending else value]
-    ranks = running_totals(counted, keys, order, {"__upto": "__n"}, limit=limit).select(
+    ranks = running_totals(counted, keys, order, {"__upto": "__n"}, bucket=sign * value_bucket(F.col(value))).select(
         *keys, value, (F.col("__upto") - F.col("__n") + 1).cast(T.IntegerType()).alias(out)
     )
-    ranked = rows.join(ranks, [*keys, value], "left").select(*df.columns, out)
-    return plain(skew.cold_rows(df, hot, keys)).select(*df.columns, out).unionByName(ranked)
+    ranked = df.join(ranks, [*keys, value], "left")
+    if best:
+        tops = counted.groupBy(*keys).agg((F.max(value) if descending else F.min(value)).alias(best))
+        ranked = ranked.join(tops, keys, "left")
+    return ranked.select(*df.columns, out, *([best] if best else []))
 
 
 def rolling_mean(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, rows: int) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.operators.groups import exact_quantiles, keep_first
-from paddock.operators.skew import SizeBound, with_keys_only
+from paddock.operators.keys import value_bucket, with_keys_only
 
 
 def count_rows(*keys: str):
@@ -84,10 +84,8 @@ def keep_max(df: DataFrame, keys: list[str], measure: str, ties: list[str]) -> D
     return keep_first(df, keys, [F.col(measure).desc(), *[F.col(t).asc() for t in ties]])
 
 
-def factorize(
-    df: DataFrame, category: str, order: list[str], out: str, *, bounded: bool | SizeBound = False
-) -> DataFrame:
-    """Integer code of each category, numbered by where it first appears in the given order.
+def factorize(df: DataFrame, category: str, order: list[str], out: str) -> DataFrame:
+    """Integer code of each category, numbered by where it first appears in the given order (a number first).
 
     The categories are first reduced to one row each; numbering runs over those rows.
     """
@@ -96,7 +94,7 @@ def factorize(
     names = [f"__o{i}" for i in range(len(order))]
     first = with_keys_only(df, [category]).groupBy(category).agg(F.min(F.struct(*order)).alias("__at"))
     flat = first.select(category, *[F.col(f"__at.{o}").alias(n) for o, n in zip(order, names)])
-    numbered = row_numbers(flat, [], [*names, category], "__nr", bounded=bounded)
+    numbered = row_numbers(flat, [], [*names, category], "__nr", bucket=value_bucket(F.col(names[0])))
     return numbered.select(category, (F.col("__nr") - 1).cast("int").alias(out))
 
 
@@ -128,9 +126,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
-def describe_numbers(
-    df: DataFrame, columns: Sequence[str], *, bounded: bool | SizeBound = False, limit: int | None = None
-) -> DataFrame:
+def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum of each column, as rows."""
     aggs, quantiles = {}, {}
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -138,7 +134,7 @@ def describe_numbers(
         aggs |= {f"{c}__count": F.count(c), f"{c}__mean": F.avg(c), f"{c}__std": F.stddev_samp(c),
                  f"{c}__min": F.min(c), f"{c}__max": F.max(c)}
         quantiles |= {f"{c}__q25": (c, 0.25), f"{c}__q50": (c, 0.5), f"{c}__q75": (c, 0.75)}
-    wide = exact_quantiles(data, [], aggs, quantiles, bounded=bounded, limit=limit)
+    wide = exact_quantiles(data, [], aggs, quantiles)
     parts = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
     rows = F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{p}").alias(p) for p in parts]) for c in columns
@@ -148,17 +144,15 @@ def describe_numbers(
 
 def describe_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, distinct count, commonest value and its frequency of text columns, as rows."""
-    def one(c: str) -> DataFrame:
-        counted = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("v")))  # ties: first in text order
-        return counted.agg(
-            F.lit(c).alias("column_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-            F.count(F.lit(1)).alias("unique"), best.alias("b"),
-        ).select("column_name", "count", "unique", F.col("b.v").alias("top"), (-F.col("b.neg")).alias("freq"))
-
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])
+    counted = df.select(F.inline(cells)).where("v is not null").groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("v")))  # ties: first in text order
+    found = counted.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("b"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    zero = F.lit(0).cast("long")
+    return names.join(found, "column_name", "left").select(
+        "column_name", F.coalesce("count", zero).alias("count"), F.coalesce("unique", zero).alias("unique"),
+        F.col("b.v").alias("top"), (-F.col("b.neg")).alias("freq"))
 
 
 def count_violations(df: DataFrame, probes: dict[str, Column]) -> DataFrame:
@@ -168,12 +162,10 @@ def count_violations(df: DataFrame, probes: dict[str, Column]) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def impute_median(
-    df: DataFrame, columns: Sequence[str], *, bounded: bool | SizeBound = False, limit: int | None = None
-) -> DataFrame:
+def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls by the exact column median, read back as a scalar subquery."""
     wanted = {f"__m_{c}": (c, 0.5) for c in columns}
-    medians = exact_quantiles(df.select(*columns), [], {}, wanted, bounded=bounded, limit=limit)
+    medians = exact_quantiles(df.select(*columns), [], {}, wanted)
     return df.withColumns({
         c: F.coalesce(F.col(c).cast("double"), medians.select(f"__m_{c}").scalar()) for c in columns
     })
@@ -226,6 +218,3 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 def mostly_null(df: DataFrame, share: float = 0.3) -> DataFrame:
     return null_profile(df).where(F.col("share") > share)
 
-
-def is_text(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.StringType)

@@ -12,6 +12,7 @@ from paddock.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 SCALE = 1e6  # six decimals
+EXACT = 9e9  # larger doubles have no sixth decimal that could be cut
 
 
 def query(name: str, sql: str | None = None, doubles: str = ""):
@@ -23,7 +24,7 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 
         QUERIES[name] = run
         if sql:
-            rounds = ", ".join(f'floor("{c}" * {SCALE} + 0.5) / {SCALE} AS "{c}"' for c in doubles.split())
+            rounds = ", ".join(f'CASE WHEN abs("{c}") < {EXACT} THEN floor("{c}" * {SCALE} + 0.5) / {SCALE} ELSE "{c}" END AS "{c}"' for c in doubles.split())
             ORACLES[name] = f"SELECT * REPLACE ({rounds}) FROM (\n{sql}\n)" if rounds else sql
         return build
 
@@ -33,7 +34,8 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 def round_doubles(df: DataFrame) -> DataFrame:
     """Six decimals by plain arithmetic: the rounding functions of engines part ways on values like 4.1546875."""
     return df.select(*[
-        (F.floor(F.col(f"`{f.name}`") * SCALE + 0.5) / SCALE).alias(f.name)
+        F.when(F.abs(F.col(f"`{f.name}`")) < EXACT, F.floor(F.col(f"`{f.name}`") * SCALE + 0.5) / SCALE)
+        .otherwise(F.col(f"`{f.name}`")).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
@@ -71,7 +73,7 @@ L = """l AS (
   SELECT user_id AS "driverId", event_id, value, CAST(floor(value) % 20 AS INT) AS position,
     event_type = 'error' AS pit_stop_lap,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS lap
-  FROM events)"""
+  FROM events WHERE user_id IS NOT NULL)"""
 
 SEASON = E + """, season AS (
   SELECT "driverId", full_name, year, "constructorId", constructor_name, era, count(*) AS races,

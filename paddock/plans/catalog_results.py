@@ -9,8 +9,8 @@ from paddock.operators import summaries as S
 from paddock.operators.joins import Dimension, repeated_keys, star_join, with_membership
 from paddock.plans import dashboards, hypotheses, metrics
 from paddock.plans.catalog import E, GAPS, LOST, SEASON, SEASON_DOUBLES, TABLE, TEAMS, query
-from paddock.operators.skew import SizeBound, with_keys_only
-from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, attach_team_name, by_driver, by_race, entries, round_totals
+from paddock.operators.keys import with_keys_only
+from paddock.plans.views import ERAS, ERA_NAMES, POINTS, TABLES, Tables, attach_team, attach_team_name, entries, round_totals
 
 SEASON_COLUMNS = ("driverId", "year", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                   "grid", "grid_vs_finish")
@@ -26,15 +26,15 @@ def season(t: Tables) -> DataFrame:
 
 
 def alpha(t: Tables) -> DataFrame:
-    return metrics.with_alpha(season(t), SizeBound(t.supplier, ("s_nationkey",)))
+    return metrics.with_alpha(season(t))
 
 
 def gaps(t: Tables) -> DataFrame:
-    return metrics.team_gap(entries(t, *GAP_COLUMNS), by_race(t))
+    return metrics.team_gap(entries(t, *GAP_COLUMNS))
 
 
 def standings(t: Tables) -> DataFrame:
-    return metrics.standings(round_totals(t), bounded=SizeBound(t.supplier))
+    return metrics.standings(round_totals(t))
 
 
 def lost(t: Tables, *columns: str) -> DataFrame:
@@ -139,7 +139,7 @@ SELECT * FROM totals LEFT JOIN career USING ("driverId") LEFT JOIN record USING
 def _career_summary(t: Tables) -> DataFrame:
     e = entries(t, "driverId", "full_name", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
                 "grid_vs_finish")
-    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600, bounded=by_driver(t))
+    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600)
 
 
 @query("team_gap", f"""WITH {GAPS}
@@ -168,7 +168,7 @@ SELECT "driverId", count(*) AS q_sessions, count(*) FILTER (WHERE q1_vs_team_avg
   median(q1_ms) AS "MedianQ1Ms", count(*) FILTER (WHERE q1_vs_team_avg_ms < 0) / count(*) * 100 AS "QualWinPct"
 FROM gaps GROUP BY ALL HAVING count(*) >= 600""", "MedianQ1Ms QualWinPct")
 def _having_min_n(t: Tables) -> DataFrame:
-    return metrics.qualifying_record(gaps(t), 600, by_driver(t))
+    return metrics.qualifying_record(gaps(t), 600)
 
 
 @query("reliability_index", f"WITH {TEAMS} SELECT * FROM reliability",
@@ -183,7 +183,7 @@ SELECT "raceId", "driverId", "positionOrder", laps, max(laps) OVER (PARTITION BY
   laps / max(laps) OVER (PARTITION BY "raceId") * 100 AS laps_pct_completed FROM e""",
        "laps total_race_laps laps_pct_completed")
 def _pct_of_max(t: Tables) -> DataFrame:
-    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"), by_race(t))
+    return metrics.race_completion(entries(t, "raceId", "driverId", "positionOrder", "laps"))
 
 
 @query("points_lookup", f"""WITH {LOST}
@@ -345,7 +345,7 @@ def _describe_sql(column: str, source: str) -> str:
        "mean std min q25 q50 q75 max")
 def _describe(t: Tables) -> DataFrame:
     columns = ["points", "laps", "grid", "q2_ms"]
-    return S.describe_numbers(entries(t, *columns), columns, bounded=SizeBound(t.lineitem))
+    return S.describe_numbers(entries(t, *columns), columns)
 
 
 def _describe_text_sql(c: str) -> str:
@@ -489,7 +489,7 @@ SELECT count(before) AS n, corr(before, points) AS corr FROM p""", "corr")
 def _next_period_corr(t: Tables) -> DataFrame:
     e = entries(t, "driverId", "year", "points")
     points = S.grouped(e, ["driverId", "year"], {"points": F.sum("points")})
-    return metrics.carry_over(points, bounded=SizeBound(t.supplier))
+    return metrics.carry_over(points)
 
 
 @query("mechanical_by_decade", f"""WITH {E}
@@ -533,7 +533,7 @@ def _entries_with_team(t: Tables) -> DataFrame:
 @query("factorize_codes", f"""WITH {E}
 SELECT era, CAST(row_number() OVER (ORDER BY min("raceId"), era) - 1 AS INT) AS era_code FROM e GROUP BY era""")
 def _factorize_codes(t: Tables) -> DataFrame:
-    return S.factorize(entries(t, "era", "raceId"), "era", ["raceId"], "era_code", bounded=True)
+    return S.factorize(entries(t, "era", "raceId"), "era", ["raceId"], "era_code")
 
 
 @query("keep_max_row", f"""

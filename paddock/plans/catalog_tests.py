@@ -7,12 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.operators import hypotheses as H, summaries as S
-from paddock.operators.skew import SizeBound
 from paddock.plans import metrics
 from paddock.plans.catalog import E, GAPS, PITS, TABLE, query
 from paddock.plans.catalog_events import pits
 from paddock.plans.catalog_results import gaps, standings
-from paddock.plans.views import Tables, by_driver, entries
+from paddock.plans.views import Tables, entries
 
 CORE = ("test", "statistic", "df", "n", "effect")
 
@@ -22,7 +21,7 @@ def _core(row: DataFrame) -> DataFrame:
 
 
 def spearman(t: Tables) -> DataFrame:
-    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder", bounded=SizeBound(t.lineitem))
+    return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder")
 
 
 def welch(t: Tables) -> DataFrame:
@@ -46,7 +45,6 @@ def mann_whitney(t: Tables) -> DataFrame:
     table = standings(t)
     return H.mann_whitney(
         table, "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
-        bounded=SizeBound(t.lineitem),
     )
 
 
@@ -115,7 +113,7 @@ def _chi2_teams(t: Tables) -> DataFrame:
 SELECT 'Spearman' AS test, corr(rx, ry) AS statistic, count(*) - 2.0::DOUBLE AS df, count(*) AS n,
   corr(rx, ry) AS effect FROM r""", "statistic df effect")
 def _spearman_pits(t: Tables) -> DataFrame:
-    return _core(H.spearman(pits(t), "total_pit_sec", "first_pit_lap", bounded=SizeBound(t.events)))
+    return _core(H.spearman(pits(t), "total_pit_sec", "first_pit_lap"))
 
 
 @query("welch_gap", f"""WITH {GAPS}, g AS (
@@ -129,7 +127,7 @@ SELECT 'Welch t' AS test, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS statistic,
   (m1 - m2) / sqrt((v1 + v2) / 2) AS effect FROM m""", "statistic df effect")
 def _welch_gap(t: Tables) -> DataFrame:
     """Points per race of drivers with a below-median gap to their team, against the rest."""
-    drivers = metrics.gap_and_points(gaps(t), entries(t, "driverId", "points"), by_driver(t))
+    drivers = metrics.gap_and_points(gaps(t), entries(t, "driverId", "points"))
     return _core(H.welch(drivers, "ppr", F.col("below_median"), ~F.col("below_median")))
 
 
@@ -208,7 +206,7 @@ ERA_CODES = E + """, codes AS (
        "coef std_err t r_squared")
 def _ols_multi(t: Tables) -> DataFrame:
     e = entries(t, "points", "grid", "era", "raceId")
-    codes = S.factorize(e, "era", ["raceId"], "era_code", bounded=True)
+    codes = S.factorize(e, "era", ["raceId"], "era_code")
     coded = e.select("points", "grid", "era").join(codes, "era", "left")
     return H.least_squares(coded, "points", ["grid", "era_code"]).drop("p_value")
 

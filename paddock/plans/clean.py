@@ -14,8 +14,11 @@ def _strip(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _cast(df: DataFrame, to: str, columns: list[str]) -> DataFrame:
-    """Decimal text is read as double first, so that whole-number types truncate."""
-    return df.withColumns({c: F.col(c).cast("double").cast(to) for c in columns})
+    """Decimal text is read as double, so that whole-number types truncate; whole numbers are read as they are."""
+    plain = {c: F.col(c).cast("double").cast(to) for c in columns}
+    if to == "double":
+        return df.withColumns(plain)
+    return df.withColumns({c: F.coalesce(F.col(c).try_cast("bigint").cast(to), plain[c]) for c in columns})
 
 
 def _first_per(df: DataFrame, key: str | list[str]) -> DataFrame:

@@ -56,6 +56,7 @@ CHAMPIONSHIP = COMMON | {
 }
 
 # Columns each output must have.
+# Fixed values.
 REQUIRED = {
     "DB1_driver_alpha_season": ["Driver", "Season", "Constructor", "Era", "DriverAlpha", "PointsPerRace"],
     "DB1_driver_career_summary": ["Driver", "CareerAlpha", "WinRate", "TotalRaces"],

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+from functools import reduce
 
-from paddock.operators.summaries import inventory
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from paddock.operators.summaries import count_violations, inventory
 from paddock.plans import clean, dashboards, hypotheses, joined
 from paddock.plans.joined import Options
 from paddock.session import configure
-from paddock.sources.tables import load_all, load_folder, load_parquet, save_csv, save_parquet
+from paddock.sources.schemas import RAW_ENCODINGS
+from paddock.sources.tables import load_all, load_parquet, load_raw, save_csv, save_parquet
 
 JOINED = [
     "J1_master_race_results", "J2_driver_alpha", "J3_qualifying_analysis", "J4_championship_progression",
@@ -30,11 +34,26 @@ def _write(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-def run_clean(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, DataFrame]:
-    raw = {n: df for n, df in load_folder(spark, raw_dir).items() if n in clean.CLEANERS}
+def run_clean(
+    spark: SparkSession, raw_dir: str, out_dir: str, encodings: Mapping[str, str] = RAW_ENCODINGS, partial: bool = False
+) -> dict[str, DataFrame]:
+    """Clean all raw files into Parquet folders named after the tables, which `run` reads."""
+    raw = load_raw(spark, raw_dir, clean.CLEANERS, encodings=encodings, partial=partial)
     return {n: _write(df, out_dir, n) for n, df in clean.clean_all(raw).items()}
 
 
+def probe(cleaned: dict[str, DataFrame]) -> DataFrame:
+    """table_name, rule, violations of every rule on the cleaned tables that are there."""
+    rules = {
+        "circuits": clean.circuit_probes(), "lap_times": clean.lap_probes(),
+        "driver_standings": clean.standings_probes(), "constructor_standings": clean.standings_probes(),
+    }
+    found = [count_violations(cleaned[n], r).withColumn("table_name", F.lit(n)) for n, r in rules.items() if n in cleaned]
+    if not found:
+        raise ValueError("none of the tables has a rule")
+    return reduce(DataFrame.unionByName, found).select("table_name", "rule", "violations")
+
+
 def run_joins(tables: dict[str, DataFrame], out_dir: str, options: Options = Options()) -> dict[str, DataFrame]:
     """The joined tables, each written as soon as it is built; J1 and J7 feed others from storage."""
     t = joined.enrich(tables, options)
@@ -63,15 +82,21 @@ def run_reports(joins: dict[str, DataFrame], out_dir: str) -> None:
 
 def run(
     spark: SparkSession, stage: str, input_dir: str, joins_dir: str, production_dir: str,
-    reports_dir: str | None = None, options: Options = Options(),
+    reports_dir: str | None = None, options: Options = Options(), raw_dir: str | None = None,
+    encodings: Mapping[str, str] = RAW_ENCODINGS,
 ) -> DataFrame:
-    """Run `all`, `joins` or `production`; production alone starts from stored joins. Returns the inventory."""
+    """Run `all`, `joins` or `production`; production alone starts from stored joins. Returns the inventory.
+
+    With `raw_dir` the raw files there are cleaned first, into `input_dir`.
+    """
     if stage not in ("all", "joins", "production"):
         raise ValueError(f"unknown stage {stage!r}")
     configure(spark)
     if stage == "production":
         joins = load_parquet(spark, joins_dir, JOINED)
     else:
+        if raw_dir:
+            run_clean(spark, raw_dir, input_dir, encodings)
         joins = run_joins(load_all(spark, input_dir), joins_dir, options)
     outputs = dict(joins)
     if stage != "joins":

@@ -14,9 +14,8 @@ from paddock.functions import rules
 from paddock.functions.rules import ACCIDENT_DNF, MECHANICAL_DNF, OTHER_DNF, flag, percent_of, ratio
 from paddock.operators.groups import attach_group_stats, exact_quantiles, keep_first
 from paddock.operators.ordered import min_rank, previous_values, rolling_mean, running_totals
-from paddock.operators.skew import HotGroups, SizeBound, find_hot_groups, with_keys_only
+from paddock.operators.keys import any_null, with_keys_only
 from paddock.operators.summaries import grouped
-from paddock.session import stored
 
 SEASON_KEYS = ["driverId", "full_name", "year", "constructorId", "constructor_name", "era"]
 
@@ -52,24 +51,22 @@ def season_stats(entries: DataFrame, keys: Sequence[str] = SEASON_KEYS) -> DataF
     })
 
 
-def with_alpha(season: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+def with_alpha(season: DataFrame) -> DataFrame:
     """Points per race above the mean of the team's drivers in that season."""
     out = attach_group_stats(
-        season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")}, keys_present=True,
-        bounded=bounded,
-    )
+        season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")}, )
     return out.withColumn("driver_alpha", F.col("ppr") - F.col("constructor_avg_ppr"))
 
 
 def with_career(alpha: DataFrame) -> DataFrame:
-    """Career figures on each season row. A driver has few season rows, so one window per driver serves."""
+    """Career figures on each season row."""
     out = attach_group_stats(alpha, ["driverId"], {
         "career_alpha": F.avg("driver_alpha"),
         "avg_ppr": F.avg("ppr"),
         "total_races": F.sum("races"),
         "career_wins": F.sum("wins"),
         "career_dnfs": F.sum("dnfs"),
-    }, keys_present=True, bounded=True)
+    })
     return out.withColumn("career_dnf_rate", ratio("career_dnfs", "total_races")).drop("career_dnfs")
 
 
@@ -91,10 +88,10 @@ def career_stats(alpha: DataFrame) -> DataFrame:
     })
 
 
-def team_gap(qualifying: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+def team_gap(qualifying: DataFrame) -> DataFrame:
     """First-session time against the team's mean in that race, and which sessions were reached."""
     out = attach_group_stats(
-        qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")}, bounded=bounded
+        qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")}
     )
     return out.withColumns({
         "q1_vs_team_avg_ms": F.col("q1_ms") - F.col("__team"),
@@ -103,45 +100,36 @@ def team_gap(qualifying: DataFrame, bounded: bool | SizeBound = False) -> DataFr
     }).drop("__team")
 
 
-def qualifying_record(gaps: DataFrame, min_sessions: int, bounded: bool | SizeBound = False) -> DataFrame:
+def qualifying_record(gaps: DataFrame, min_sessions: int) -> DataFrame:
     """Share of sessions faster than the team, for drivers with enough sessions."""
     out = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()),
         ["driverId"],
         {"q_sessions": F.count("q1_vs_team_avg_ms"), "q1_faster": F.count_if(F.col("q1_vs_team_avg_ms") < 0)},
         {"MedianQ1Ms": ("q1_ms", 0.5)},
-        bounded=bounded,
     )
     return out.where(F.col("q_sessions") >= min_sessions).withColumn(
         "QualWinPct", F.col("q1_faster") / F.col("q_sessions") * 100
     )
 
 
-def standings(
-    entries: DataFrame, tie_order: list[str] | None = None, bounded: bool | SizeBound = False
-) -> DataFrame:
+def standings(entries: DataFrame, tie_order: list[str] | None = None) -> DataFrame:
     """Running points and wins of a driver in a season, rank in the round and gap to the leader.
 
-    Rows without season or driver have no standing and are left out. `tie_order` orders several rows of a
-    driver in one round. Without it the table holds one row per driver and round, so a driver's season is no
-    longer than the calendar. `bounded` bounds the field of drivers of a round.
+    `tie_order` orders several rows of a driver in one round. Rows without season, round or driver stay, without
+    a standing.
     """
+    keys = ["year", "round", "driverId"]
     ran = running_totals(
-        with_keys_only(entries, ["year", "round", "driverId"]),
-        ["year", "driverId"], ["round", *(tie_order or [])],
-        {"cumulative_points": "points", "cumulative_wins": "is_win"}, bounded=bounded if tie_order else True,
-    )
-    hot = find_hot_groups(entries, ["year", "round"], bounded)
-    ran = stored(ran) if hot else ran
-    ranked = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", hot=hot)
-    ranked = stored(ranked) if hot else ranked
-    led = attach_group_stats(
-        ranked, ["year", "round"], {"__lead": F.max("cumulative_points")}, keys_present=True, hot=hot
+        with_keys_only(entries, keys), ["year", "driverId"], ["round", *(tie_order or [])],
+        {"cumulative_points": "points", "cumulative_wins": "is_win"}, bucket=F.col("round"),
     )
-    return led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
+    led = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", best="__lead")
+    placed = led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
+    return placed.unionByName(entries.where(any_null(keys)), allowMissingColumns=True)
 
 
-def pit_summary(valid_stops: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+def pit_summary(valid_stops: DataFrame) -> DataFrame:
     """Stops, time and laps per race and driver. The highest stop number counts, even if that stop is invalid."""
     out = exact_quantiles(
         valid_stops, ["raceId", "driverId"],
@@ -153,7 +141,6 @@ def pit_summary(valid_stops: DataFrame, bounded: bool | SizeBound = False) -> Da
             "last_pit_lap": F.max("lap"),
         },
         {"median_pit_ms": ("milliseconds", 0.5)},
-        bounded=bounded,
     )
     return out.withColumns({
         "total_pit_sec": F.col("total_pit_ms") / 1000,
@@ -162,17 +149,22 @@ def pit_summary(valid_stops: DataFrame, bounded: bool | SizeBound = False) -> Da
     }).withColumn("pit_time_per_stop_sec", ratio("total_pit_sec", "total_stops"))
 
 
-def position_changes(
-    laps: DataFrame, keys: list[str], order: list[str], *,
-    bounded: bool | SizeBound = False, hot: HotGroups | None = None,
-) -> DataFrame:
-    """Position on the previous lap and places gained since (positive is a gain)."""
-    out = previous_values(laps, keys, order, {"prev_position": "position"}, bounded=bounded, hot=hot)
+LAPS = 100_000  # laps of a group that are ordered together
+
+
+def by_laps(lap: str = "lap") -> Column:
+    """Bucket of a lap number."""
+    return F.floor(F.col(lap) / LAPS)
+
+
+def position_changes(laps: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Position on the previous lap and places gained since (positive is a gain). `order` begins with the lap."""
+    out = previous_values(laps, keys, order, {"prev_position": "position"}, bucket=by_laps(order[0]))
     return out.withColumn("position_change", F.col("prev_position") - F.col("position"))
 
 
-def race_completion(entries: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
-    out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")}, bounded=bounded)
+def race_completion(entries: DataFrame) -> DataFrame:
+    out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")})
     return out.withColumn("laps_pct_completed", percent_of("laps", "total_race_laps"))
 
 
@@ -212,7 +204,7 @@ def reliability_index(counts: DataFrame) -> DataFrame:
     )
     era = attach_group_stats(season, ["constructorId", "era"], {
         "__entries": F.sum("entries"), "__dnfs": F.sum("total_dnfs"), "__mech": F.sum("mechanical_dnfs"),
-    }, keys_present=True, bounded=True)
+    })
     rates = with_keys_only(era, ["constructor_name", "year"]).withColumns({
         "dnf_rate": ratio("total_dnfs", "entries"),
         "mechanical_dnf_rate": ratio("mechanical_dnfs", "entries"),
@@ -226,7 +218,7 @@ def reliability_index(counts: DataFrame) -> DataFrame:
 
 
 def career_summary(
-    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30, bounded: bool | SizeBound = False
+    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30
 ) -> DataFrame:
     """Dashboard row per driver: totals, rates, career alpha, qualifying record."""
     totals = grouped(entries, ["driverId", "full_name"], {
@@ -244,7 +236,7 @@ def career_summary(
         "DNFRate": ratio("TotalDNFs", "TotalRaces"),
     })
     career = grouped(alpha, ["driverId"], {"CareerAlpha": F.avg("driver_alpha")})
-    record = qualifying_record(gaps, min_sessions, bounded).select("driverId", "QualWinPct", "MedianQ1Ms")
+    record = qualifying_record(gaps, min_sessions).select("driverId", "QualWinPct", "MedianQ1Ms")
     return (
         totals.join(career, "driverId", "left").join(record, "driverId", "left")
         .withColumnRenamed("full_name", "Driver")
@@ -287,17 +279,11 @@ def master(entries: DataFrame, gaps: DataFrame, table: DataFrame, alpha: DataFra
     )
 
 
-def stint_laps(laps: DataFrame, hot: HotGroups) -> DataFrame:
-    """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap.
-
-    `hot` are the drivers with very many laps; without any, no stint is too long either.
-    """
+def stint_laps(laps: DataFrame) -> DataFrame:
+    """Stint number and lap within the stint. A stint starts on the flagged lap and on the first lap."""
     flagged = laps.withColumn("__pit", F.col("pit_stop_lap").cast("long"))
-    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, hot=hot).drop("__pit")
-    numbered = stored(numbered) if hot else numbered
-    started = attach_group_stats(
-        numbered, ["driverId", "stint"], {"__start": F.min("lap")}, keys_present=True, bounded=not hot
-    )
+    numbered = running_totals(flagged, ["driverId"], ["lap"], {"stint": "__pit"}, bucket=by_laps()).drop("__pit")
+    started = attach_group_stats(numbered, ["driverId", "stint"], {"__start": F.min("lap")})
     return started.withColumn("lap_in_stint", F.col("lap") - F.col("__start") + 1).drop("__start")
 
 
@@ -309,7 +295,7 @@ def champion_points(table: DataFrame) -> DataFrame:
     """Champion's points per season: the running total at the season's last round, first rank."""
     last = attach_group_stats(
         grouped(table, ["year", "round"], {"points": F.max("cumulative_points")}),
-        ["year"], {"__last": F.max("round")}, keys_present=True, bounded=True,
+        ["year"], {"__last": F.max("round")},
     )
     return last.where("round = __last").select("year", "points")
 
@@ -322,18 +308,18 @@ def mechanical_rate(entries: DataFrame) -> DataFrame:
     return out.withColumn("mechanical_rate", ratio("mechanical", "entries"))
 
 
-def carry_over(season_points: DataFrame, keys: Sequence[str] = ("driverId",), bounded: bool | SizeBound = False) -> DataFrame:
+def carry_over(season_points: DataFrame, keys: Sequence[str] = ("driverId",)) -> DataFrame:
     """Correlation of the rank in one season with the points of the next season present."""
-    ranked = min_rank(season_points, ["year"], "points", "pos", bounded=bounded)
-    before = previous_values(ranked, list(keys), ["year"], {"before": "pos"}, bounded=True)
+    ranked = min_rank(season_points, ["year"], "points", "pos")
+    before = previous_values(ranked, list(keys), ["year"], {"before": "pos"})
     return before.agg(F.count("before").alias("n"), F.corr("before", "points").alias("corr"))
 
 
-def gap_and_points(gaps: DataFrame, entries: DataFrame, bounded: bool | SizeBound = False) -> DataFrame:
+def gap_and_points(gaps: DataFrame, entries: DataFrame) -> DataFrame:
     """Per driver the median gap to the team, points per race, and whether the gap is below the median driver's."""
     gap = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()), ["driverId"], {},
-        {"median_gap": ("q1_vs_team_avg_ms", 0.5)}, bounded=bounded,
+        {"median_gap": ("q1_vs_team_avg_ms", 0.5)},
     )
     middle = exact_quantiles(gap, [], {}, {"m": ("median_gap", 0.5)}).select("m").scalar()
     points = grouped(entries, ["driverId"], {"ppr": F.avg("points")})

@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.functions import rules
 from paddock.operators.ordered import row_numbers
-from paddock.operators.skew import HotGroups, SizeBound, find_hot_groups
 from paddock.operators.summaries import grouped
 from paddock.plans.metrics import result_flags
-from paddock.session import stored
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -108,18 +106,6 @@ def entries(t: Tables, *columns: str) -> DataFrame:
     return out.withColumns({n: c for n, c in derived.items() if n in need}).select(*columns)
 
 
-def by_race(t: Tables) -> SizeBound:
-    return SizeBound(t.lineitem, ("l_orderkey",))
-
-
-def by_driver(t: Tables) -> SizeBound:
-    return SizeBound(t.lineitem, ("l_suppkey",))
-
-
-def by_user(t: Tables) -> SizeBound:
-    return SizeBound(t.events, ("user_id",))
-
-
 def round_totals(t: Tables) -> DataFrame:
     """Points and wins per season, round and driver."""
     e = entries(t, "year", "round", "driverId", "points", "is_win")
@@ -132,17 +118,15 @@ def pit_stops(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("raceId"), F.col("user_id").alias("driverId"), "ts", "event_id",
         F.hour("ts").alias("lap"), F.round(F.col("value") * 1000).cast("bigint").alias("milliseconds"),
     )
-    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop", bounded=by_user(t))
+    numbered = row_numbers(e, ["raceId", "driverId"], ["ts", "event_id"], "stop", bucket=F.col("lap"))
     return numbered.withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
 
 
-def laps(t: Tables) -> tuple[DataFrame, HotGroups]:
-    """All events of a user as that driver's laps; errors are pit laps. Also the drivers with too many for one task."""
+def laps(t: Tables) -> DataFrame:
+    """All events of a user as that driver's laps; errors are pit laps."""
     e = t.events.select(
         F.col("user_id").alias("driverId"), "ts", "event_id", "value",
         (F.floor("value") % 20).cast("int").alias("position"),
         (F.col("event_type") == "error").alias("pit_stop_lap"),
     ).where("driverId is not null")
-    hot = find_hot_groups(e, ["driverId"], by_user(t))
-    numbered = row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", hot=hot)
-    return (stored(numbered) if hot else numbered), hot
+    return row_numbers(e, ["driverId"], ["ts", "event_id"], "lap", bucket=F.to_date("ts"))

@@ -2,53 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
-
-from pyspark.sql import DataFrame, SparkSession
-
-MAX_GROUP_ROWS = "paddock.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 4_000_000
+from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive features the plans count on; leave all sizing to the cluster."""
+    """Turn on the adaptive features the plans count on, and times in UTC; leave all sizing to the cluster.
+
+    These are settings of the caller's session. Every catalogued query and job stage sets them.
+    """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a skewed join side even where a later operator would have reused its partitioning.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def max_group_rows(spark: SparkSession) -> int:
-    """Rows of one group that a single task may be asked to sort."""
-    return int(spark.conf.get(MAX_GROUP_ROWS, str(DEFAULT_MAX_GROUP_ROWS)))
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="paddock-")
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names for checkpoints. A folder of our own only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    return _local_folder() if spark.sparkContext.master.startswith("local") else None
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table that several later passes read, and go on from the files.
-
-    The passes then neither repeat the work before them nor lose it with an executor. Without a shared
-    folder the table is computed anew in each pass.
-    """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/paddock-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Cleaned tables as DDL, in file column order.
+# Cleaned tables as DDL, in file column order.
 CLEAN = {
     "circuits": "circuitId int, circuitRef string, name string, location string, country string, lat double, lng double",
     "constructors": "constructorId int, constructorRef string, name string, nationality string",
@@ -57,3 +57,8 @@ FILE_NAMES = {
     "seasons": ["Cleaned_Seasons.csv", "seasons.csv"],
     "status": ["Cleaned_Status.csv", "status.csv"],
 }
+
+# Raw files that are not in UTF-8. Raw files are named like the tables, in camel case or with underscores.
+RAW_ENCODINGS = dict.fromkeys(
+    ["circuits", "constructors", "constructor_results", "constructor_standings", "drivers", "driver_standings", "lap_times"],
+    "ISO-8859-1")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from paddock.sources.schemas import CLEAN, FILE_NAMES
+from paddock.sources.schemas import CLEAN, FILE_NAMES, RAW_ENCODINGS
 
 
 def _path(spark: SparkSession, path: str):
@@ -61,6 +62,10 @@ def read_csv(
 
 
 def load_table(spark: SparkSession, folder: str, key: str, *, encoding: str = "UTF-8") -> DataFrame:
+    """A cleaned table: the Parquet folder of that name if there is one, else the CSV file."""
+    stored = f"{folder.rstrip('/')}/{key}"
+    if exists(spark, stored):
+        return _conform(spark.read.parquet(stored), CLEAN[key])
     return read_csv(spark, find_table(spark, folder, key), CLEAN[key], encoding=encoding)
 
 
@@ -68,9 +73,24 @@ def load_all(spark: SparkSession, folder: str, *, encoding: str = "UTF-8") -> di
     return {key: load_table(spark, folder, key, encoding=encoding) for key in FILE_NAMES}
 
 
-def load_folder(spark: SparkSession, folder: str, *, encoding: str = "UTF-8") -> dict[str, DataFrame]:
-    """Every CSV file of a folder as text columns, by file name."""
-    return {name: read_csv(spark, path, encoding=encoding) for name, path in list_files(spark, folder, ".csv")}
+def table_key(name: str) -> str:
+    """The table that a raw file is named after: lapTimes, lap_times and Lap Times are all lap_times."""
+    return re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name.strip()).replace(" ", "_").lower()
+
+
+def load_raw(
+    spark: SparkSession, folder: str, wanted: Collection[str], *, encodings: Mapping[str, str] = RAW_ENCODINGS,
+    partial: bool = False,
+) -> dict[str, DataFrame]:
+    """The raw CSV files of a folder as text columns, by table.
+
+    A file that is none of the wanted tables, and unless `partial` a table without a file, is an error.
+    """
+    found = {table_key(name): path for name, path in list_files(spark, folder, ".csv")}
+    unknown, absent = sorted(found.keys() - set(wanted)), sorted(set(wanted) - found.keys())
+    if unknown or (absent and not partial):
+        raise FileNotFoundError(f"raw files in {folder}: not recognised {unknown}, absent {absent}")
+    return {key: read_csv(spark, path, encoding=encodings.get(key, "UTF-8")) for key, path in found.items()}
 
 
 def save_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:

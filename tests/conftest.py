@@ -20,14 +20,3 @@ def spark():
     yield session
     session.stop()
 
-
-@pytest.fixture
-def small_groups(spark):
-    """A row limit so low that the distributed ways of the operators are taken."""
-    from paddock.session import MAX_GROUP_ROWS
-
-    def set_limit(rows):
-        spark.conf.set(MAX_GROUP_ROWS, str(rows))
-
-    yield set_limit
-    spark.conf.unset(MAX_GROUP_ROWS)

@@ -7,13 +7,17 @@ import csv
 import random
 from pathlib import Path
 
+from paddock.sources.schemas import RAW_ENCODINGS
+from paddock.sources.tables import table_key
+
 YEARS = [1959, 1994, 1996, 2008, 2015]
 ROUNDS = 4
 STATUSES = [(1, "Finished"), (2, "+1 lap"), (3, " engine"), (4, "collision"), (5, "disqualified")]
 
 
 def write(folder: Path, name: str, header: list[str], rows: list) -> None:
-    with open(folder / name, "w", newline="", encoding="utf-8") as f:
+    encoding = RAW_ENCODINGS.get(table_key(name.removesuffix(".csv")), "utf-8")
+    with open(folder / name, "w", newline="", encoding=encoding) as f:
         out = csv.writer(f, lineterminator="\r\n")
         out.writerow(header)
         out.writerows(rows)
@@ -28,12 +32,12 @@ def build(folder: Path) -> dict[str, list]:
            (2, "b", "B", "Y", "UNITED KINGDOM", 52.1, -1.0, 3, "u"), (3, "c", "Unused", "Z", "italy", 45.6, 9.3, 1, "u")])
     write(folder, "constructors.csv", ["constructorId", "constructorRef", "name", "nationality", "url", ""],
           [(t, f"team{t}", f" Team {t}", "great british", "u", "") for t in range(1, 5)])
-    write(folder, "constructor_results.csv", ["constructorResultsId", "raceId", "constructorId", "points", "status"],
+    write(folder, "constructorResults.csv", ["constructorResultsId", "raceId", "constructorId", "points", "status"],
           [(1, 1, 1, 14.5, "NULL"), (2, 1, 2, 3.0, "D")])
-    write(folder, "constructor_standings.csv", ["constructorStandingsId", "raceId", "constructorId", "points", "position",
+    write(folder, "constructorStandings.csv", ["constructorStandingsId", "raceId", "constructorId", "points", "position",
                                                 "positionText", "wins", ""],
           [(1, 1, 1, 14.5, 1, "1", 1, ""), (2, 1, 2, 3.0, 2, "E", 0, "")])
-    write(folder, "driver_standings.csv", ["driverStandingsId", "raceId", "driverId", "points", "position",
+    write(folder, "driverStandings.csv", ["driverStandingsId", "raceId", "driverId", "points", "position",
                                            "positionText", "wins"], [(1, 1, 1, 9.0, 1, "1", 1), (2, 1, 2, 4.5, 0, "D", -1)])
     write(folder, "drivers.csv", ["driverId", "driverRef", "number", "code", "forename", "surname", "dob", "nationality", "url"],
           [(d, f"ref{d}", "" if d % 2 else 10 + d, "" if d < 3 else f"d{d} ", f" First{d}", f"Last{d} ",
@@ -79,8 +83,8 @@ def build(folder: Path) -> dict[str, list]:
         for lap in range(1, 10):
             ms = rng.randint(80_000, 90_000) if lap > 1 else 59_000
             laps.append((r["raceId"], r["driverId"], lap, rng.randint(1, 8), f"{ms // 60000}:{ms % 60000 / 1000:06.3f}", ms))
-    write(folder, "pit_stops.csv", ["raceId", "driverId", "stop", "lap", "time", "duration", "milliseconds"], pits)
-    write(folder, "lap_times.csv", ["raceId", "driverId", "lap", "position", "time", "milliseconds"], laps + laps[:3])
+    write(folder, "pitStops.csv", ["raceId", "driverId", "stop", "lap", "time", "duration", "milliseconds"], pits)
+    write(folder, "lapTimes.csv", ["raceId", "driverId", "lap", "position", "time", "milliseconds"], laps + laps[:3])
     write(folder, "seasons.csv", ["year", "url"], [(y, "u") for y in YEARS] + [(YEARS[0], "u")])
     write(folder, "status.csv", ["statusId", "status"], STATUSES)
     return {"results": results, "pits": pits, "laps": laps, "qualifying": qualifying, "teams": teams}

@@ -40,15 +40,14 @@ def test_chi_squared_needs_two_categories(spark):
     assert H.chi_squared(table(spark, {("a", 0): 5, ("a", 1): 5}), "r", "c", [0, 1]).first()["statistic"] is None
 
 
-@pytest.mark.parametrize("limit", [None, 2])
-def test_mann_whitney_counts_pairs(spark, limit):
+def test_mann_whitney_counts_pairs(spark):
     a, b = [1, 2, 2, 5, 7], [2, 3, 3, 9]
     df = spark.createDataFrame([("a", x) for x in a] + [("b", x) for x in b], "g string, v int")
     wins = sum((x > y) + 0.5 * (x == y) for x in a for y in b)
     ties = sum(n ** 3 - n for n in (3, 2))
     sigma = math.sqrt(20 / 12 * (10 - ties / (9 * 8)))
     for alternative, u in (("greater", wins), ("less", 20 - wins)):
-        row = H.mann_whitney(df, "v", F.col("g") == "a", F.col("g") == "b", alternative, limit=limit).first()
+        row = H.mann_whitney(df, "v", F.col("g") == "a", F.col("g") == "b", alternative).first()
         assert row["statistic"] == wins
         assert row["effect"] == pytest.approx((u - 10 - 0.5) / sigma)
 
@@ -61,10 +60,9 @@ def test_mann_whitney_degenerate_samples(spark):
     assert empty["statistic"] is None
 
 
-@pytest.mark.parametrize("limit", [None, 2])
-def test_spearman_with_ties(spark, limit):
+def test_spearman_with_ties(spark):
     xy = [(1, 3), (2, 1), (2, 2), (4, 5), (5, 5), (None, 1), (9, None)]
-    row = H.spearman(spark.createDataFrame(xy, "x int, y int"), "x", "y", limit=limit).first()
+    row = H.spearman(spark.createDataFrame(xy, "x int, y int"), "x", "y").first()
     rx, ry = [1, 2.5, 2.5, 4, 5], [3, 1, 2, 4.5, 4.5]
     top = sum((a - 3) * (b - 3) for a, b in zip(rx, ry))
     expected = top / math.sqrt(sum((a - 3) ** 2 for a in rx) * sum((b - 3) ** 2 for b in ry))
@@ -118,3 +116,24 @@ def test_report_and_summary(spark):
     assert got["H2"]["stars"] == "*" and got["H2"]["significant"]
     assert got["H3"]["verdict"] == "insufficient data" and got["H3"]["p_value"] is None
     assert tuple(H.log_summary(log).first()) == (3, 2, 1, pytest.approx(200 / 3))
+
+
+def test_small_samples_take_the_exact_distribution(spark):
+    df = spark.createDataFrame([("a", x) for x in (1, 2, 3)] + [("b", x) for x in (4, 5, 6)], "g string, v int")
+    found = {alt: H.report({"H": ("t", H.mann_whitney(df, "v", F.col("g") == "a", F.col("g") == "b", alt))}).first()["p_value"]
+             for alt in ("less", "greater")}
+    assert found["less"] == pytest.approx(0.05) and found["greater"] == pytest.approx(1.0)
+
+
+def test_yates_looks_at_the_columns_that_occur(spark):
+    cells = {("a", 0): 10, ("a", 1): 20, ("b", 0): 20, ("b", 1): 14}
+    two, three = (H.chi_squared(table(spark, cells), "r", "c", v).first() for v in ([0, 1], [5, 0, 1]))
+    assert two["statistic"] == pytest.approx(three["statistic"]) and three["df"] == 1
+
+
+def test_constant_predictor_does_not_stop_the_fit(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 7.0), (2.0, 4.1, 7.0), (3.0, 5.9, 7.0), (4.0, 8.2, 7.0)], "x double, y double, c double")
+    found = {r["term"]: r for r in H.least_squares(df, "y", ["x", "c"]).collect()}
+    alone = {r["term"]: r for r in H.least_squares(df, "y", ["x"]).collect()}
+    assert found["x"]["coef"] == pytest.approx(alone["x"]["coef"]) and found["x"]["p_value"] == pytest.approx(alone["x"]["p_value"])
+    assert found["c"]["coef"] == pytest.approx(0)

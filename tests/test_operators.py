@@ -1,4 +1,4 @@
-"""Operators against brute force, each with whole groups and with groups cut up."""
+"""Operators against brute force, ordered ones with whole groups and with groups cut into buckets."""
 
 import random
 from collections import defaultdict
@@ -7,9 +7,13 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from paddock.operators import groups, joins, ordered, skew, summaries
+from paddock.operators import groups, joins, keys, ordered, summaries
 
-LIMITS = [None, 7]
+BUCKETS = [None, "floor(t / 4)"]
+
+
+def column(bucket):
+    return None if bucket is None else F.expr(bucket)
 
 
 def rows_of(df, *columns):
@@ -35,8 +39,8 @@ def by_key(rows):
     return out
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_running_totals_and_numbers(data, limit):
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_running_totals_and_numbers(data, bucket):
     rows, df = data
     expected = []
     for group in by_key(rows).values():
@@ -44,13 +48,13 @@ def test_running_totals_and_numbers(data, limit):
         for n, r in enumerate(group, 1):
             total += r[2]
             expected.append((r[0], total, n))
-    got = ordered.running_totals(df, ["k"], ["t", "id"], {"total": "t"}, limit=limit)
-    got = got.join(ordered.row_numbers(df.select("id", "k", "t"), ["k"], ["t", "id"], "n", limit=limit), "id")
+    got = ordered.running_totals(df, ["k"], ["t", "id"], {"total": "t"}, bucket=column(bucket))
+    got = got.join(ordered.row_numbers(df.select("id", "k", "t"), ["k"], ["t", "id"], "n", bucket=column(bucket)), "id")
     assert rows_of(got, "id", "total", "n") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_previous_values_with_nulls(data, limit):
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_previous_values_with_nulls(data, bucket):
     rows, df = data
     expected = []
     for group in by_key(rows).values():
@@ -58,39 +62,37 @@ def test_previous_values_with_nulls(data, limit):
         for r in group:
             expected.append((r[0], before[0], before[1]))
             before = (r[3], r[0])
-    got = ordered.previous_values(df, ["k"], ["t", "id"], {"pv": "v", "pid": "id"}, limit=limit)
+    got = ordered.previous_values(df, ["k"], ["t", "id"], {"pv": "v", "pid": "id"}, bucket=column(bucket))
     assert rows_of(got, "id", "pv", "pid") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("descending", [True, False])
-def test_min_rank(data, limit, descending):
+def test_min_rank(data, descending):
     rows, df = data
     expected = []
     for group in by_key(rows).values():
         for r in group:
             ahead = sum((o[2] > r[2]) if descending else (o[2] < r[2]) for o in group)
             expected.append((r[0], ahead + 1))
-    got = ordered.min_rank(df, ["k"], "t", "rank", descending=descending, limit=limit)
+    got = ordered.min_rank(df, ["k"], "t", "rank", descending=descending)
     assert rows_of(got, "id", "rank") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_descending_order(data, limit):
+@pytest.mark.parametrize("bucket", [None, "-floor(t / 4)"])
+def test_descending_order(data, bucket):
     rows, df = data
     expected = []
     for group in by_key(rows).values():
         for n, r in enumerate(sorted(group, key=lambda r: (-r[2], r[0])), 1):
             expected.append((r[0], n))
-    got = ordered.row_numbers(df, ["k"], ["-t", "id"], "n", limit=limit)
+    got = ordered.row_numbers(df, ["k"], ["-t", "id"], "n", bucket=column(bucket))
     assert rows_of(got, "id", "n") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_group_stats_leave_null_keys_alone(spark, data, limit):
+def test_group_stats_leave_null_keys_alone(spark, data):
     rows, df = data
     nulls = spark.createDataFrame([(1000 + i, None, i, 1.0) for i in range(20)], df.schema)
-    got = groups.attach_group_stats(df.unionByName(nulls), ["k"], {"m": F.max("t"), "n": F.count("v")}, limit=limit)
+    got = groups.attach_group_stats(df.unionByName(nulls), ["k"], {"m": F.max("t"), "n": F.count("v")})
     expected = [
         (r[0], max(o[2] for o in g), sum(o[3] is not None for o in g)) for g in by_key(rows).values() for r in g
     ] + [(1000 + i, None, None) for i in range(20)]
@@ -107,11 +109,10 @@ def interpolated(values, p):
     return values[low] + (values[high] - values[low]) * (at - low)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_quantiles(data, limit):
+def test_quantiles(data):
     rows, df = data
     got = groups.exact_quantiles(
-        df, ["k"], {"n": F.count("v")}, {"mid": ("v", 0.5), "high": ("v", 0.9), "t_low": ("t", 0.25)}, limit=limit
+        df, ["k"], {"n": F.count("v")}, {"mid": ("v", 0.5), "high": ("v", 0.9), "t_low": ("t", 0.25)}
     )
     found = {r["k"]: r for r in got.collect()}
     assert set(found) == set(by_key(rows))
@@ -121,18 +122,16 @@ def test_quantiles(data, limit):
             assert found[k][name] == pytest.approx(interpolated([r[index] for r in g], p)), (k, name)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_whole_column_quantile(data, limit):
+def test_whole_column_quantile(data):
     rows, df = data
-    got = groups.exact_quantiles(df, [], {}, {"mid": ("v", 0.5)}, limit=limit).first()["mid"]
+    got = groups.exact_quantiles(df, [], {}, {"mid": ("v", 0.5)}).first()["mid"]
     assert got == interpolated([r[3] for r in rows], 0.5)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_average_ranks(data, limit):
+def test_average_ranks(data):
     rows, df = data
     values = [r[2] for r in rows]
-    got = {r["t"]: (r["n"], r["avg_rank"]) for r in groups.value_ranks(df, "t", limit=limit).collect()}
+    got = {r["t"]: (r["n"], r["avg_rank"]) for r in groups.value_ranks(df, "t").collect()}
     for v in set(values):
         below, same = sum(o < v for o in values), values.count(v)
         assert got[v] == (same, below + (same + 1) / 2)
@@ -143,33 +142,32 @@ def test_average_ranks(data, limit):
 def test_running_totals_on_any_rows(spark, pairs):
     rows = [(i, k, t) for i, (k, t) in enumerate(pairs)]
     df = spark.createDataFrame(rows, "id int, k int, t int")
-    got = ordered.running_totals(df, ["k"], ["t", "id"], {"s": "t"}, limit=3)
+    got = ordered.running_totals(df, ["k"], ["t", "id"], {"s": "t"}, bucket=keys.value_bucket(F.col("t")))
     expected = [
         (i, sum(o[2] for o in rows if o[1] == k and (o[2], o[0]) <= (t, i))) for i, k, t in rows
     ]
     assert rows_of(got, "id", "s") == sorted(expected, key=repr)
 
 
-def test_cut_segments_cover_only_hot_groups(data):
-    rows, df = data
-    hot = skew.find_hot_groups(df, ["k"], limit=40)
-    assert hot.groups == 1 and [r["k"] for r in hot.table.collect()] == ["hot"]
-    cut = ordered.cut_segments(df, ["k"], ["t", "id"], hot)
-    assert cut.count() == len(rows)
-    assert cut.where("k <> 'hot'").agg(F.max(ordered.SEGMENT)).first()[0] == -1
-    ranges = cut.where("k = 'hot'").groupBy(ordered.SEGMENT).agg(F.min(F.struct("t", "id")), F.max(F.struct("t", "id")))
-    ranges = sorted(tuple(r) for r in ranges.collect())
-    assert len(ranges) > 1
-    assert all(a[2] < b[1] for a, b in zip(ranges, ranges[1:]))
-
-
-def test_size_check_is_skipped_where_the_bound_is_known(data):
-    _, df = data
-    assert not skew.find_hot_groups(df, ["k"], True, 1)
-    assert not skew.find_hot_groups(df, ["k"], skew.SizeBound(df), 600)
-    assert not skew.find_hot_groups(df, ["k"], skew.SizeBound(df, ("id",)), 100)
-    assert skew.find_hot_groups(df, ["k"], skew.SizeBound(df, ("k",)), 100)
-    assert skew.find_hot_groups(df, ["k"], skew.SizeBound(df), 100)
+def test_nulls_have_no_rank_and_add_nothing(spark):
+    rows = [(i, "a" if i < 30 else None, i % 10, None if i % 3 == 0 else float(i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, k string, t int, v double")
+    group = [r for r in rows if r[1] == "a"]
+    for descending in (True, False):
+        ranked = ordered.min_rank(df, ["k"], "v", "rank", descending=descending)
+        expected = [(r[0], None if r[3] is None or r[1] is None else 1 + sum(
+            o[3] is not None and (o[3] > r[3] if descending else o[3] < r[3]) for o in group)) for r in rows]
+        assert rows_of(ranked, "id", "rank") == sorted(expected, key=repr)
+    plain, cut = (ordered.running_totals(df, ["k"], ["t", "id"], {"s": "v"}, bucket=column(b)) for b in BUCKETS)
+    assert rows_of(plain, "id", "s") == rows_of(cut, "id", "s")
+    before = [ordered.previous_values(df, ["k"], ["t", "id"], {"p": "v"}, bucket=column(b)) for b in BUCKETS]
+    assert rows_of(before[0], "id", "p") == rows_of(before[1], "id", "p")
+
+
+def test_value_buckets_never_fall(spark):
+    values = sorted([-1e300, -5.5, -1.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 1.0005, 2.0, 1e6, 1e6 + 1, 9e15, 1e300])
+    found = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").orderBy("v").select(keys.value_bucket(F.col("v"))).collect()]
+    assert found == sorted(found) and len(set(found)) > 8
 
 
 def test_keep_first_is_limited_before_the_shuffle(data):

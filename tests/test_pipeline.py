@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import season_files
 from paddock.functions.rules import POINTS
 from paddock.operators import summaries as S
-from paddock.plans import clean, dashboards, hypotheses, job, joined
+from paddock.plans import clean, dashboards, hypotheses, job, joined, metrics
+from paddock.plans.catalog import round_doubles
 from paddock.sources import tables as sources
 
 MECH, ACC, OTHER = "Mechanical DNF", "Accident DNF", "Other DNF"
@@ -258,12 +259,10 @@ def test_hypotheses(run):
 
 
 def test_job_stages(run, spark, tmp_path):
-    base, facts, c, _, _ = run
-    source = tmp_path / "csv"
-    for name, df in c.items():
-        sources.save_csv(df.withColumnRenamed("dob", "dob"), str(source / f"{name}.csv"))
+    base, facts, _, _, _ = run
+    source = tmp_path / "clean"
     folders = [str(tmp_path / n) for n in ("joins", "production", "reports")]
-    listing = {r["table_name"]: r["rows"] for r in job.run(spark, "all", str(source), *folders).collect()}
+    listing = {r["table_name"]: r["rows"] for r in job.run(spark, "all", str(source), *folders, raw_dir=str(base / "raw")).collect()}
     assert listing["J1_master_race_results"] == len(facts["results"]) and len(listing) == 17
     again = job.run(spark, "production", str(source), *folders[:2])
     assert {r["table_name"]: r["rows"] for r in again.collect()} == listing
@@ -273,12 +272,44 @@ def test_job_stages(run, spark, tmp_path):
         job.run(spark, "nothing", "", "", "")
 
 
+def test_probes_and_letters(run):
+    _, _, c, _, _ = run
+    assert "Autódromo A" in [r["name"] for r in c["circuits"].collect()]
+    found = {(r["table_name"], r["rule"]): r["violations"] for r in job.probe(c).collect()}
+    assert found[("driver_standings", "negative_wins")] == 1 and found[("circuits", "lat_out_of_range")] == 0
+
+
+def test_whole_numbers_stay_exact(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.7",), (None,)], "x string")
+    assert [r["x"] for r in clean._cast(df, "bigint", ["x"]).collect()] == [9007199254740993, 12, None]
+
+
+def test_rows_without_season_keep_their_place(spark):
+    rows = [(1, 1, 5, 10.0, 1), (1, 2, 5, 4.0, 0), (1, 1, 6, 12.0, 0), (1, 2, 6, None, 0), (None, 1, 5, 3.0, 0)]
+    df = spark.createDataFrame(rows, "year int, round int, driverId int, points double, is_win int")
+    found = {(r["year"], r["round"], r["driverId"]): (r["cumulative_points"], r["championship_pos"], r["gap_to_leader"])
+             for r in metrics.standings(df).collect()}
+    assert found == {(1, 1, 5): (10.0, 2, 2.0), (1, 2, 5): (14.0, 1, 0.0), (1, 1, 6): (12.0, 1, 0.0), (1, 2, 6): (12.0, 2, 2.0),
+                     (None, 1, 5): (None, None, None)}
+
+
+def test_large_doubles_are_not_cut(spark):
+    df = spark.createDataFrame([(1e13,), (1e15 + 0.5,), (1.23456789,), (-2.5e12,)], "x double")
+    assert [r["x"] for r in round_doubles(df).collect()] == [1e13, 1e15 + 0.5, 1.234568, -2.5e12]
+
+
 def test_file_lookup(spark, tmp_path):
     (tmp_path / "Cleaned Status.csv").write_text("statusId,status\n1,Finished\n")
     assert sources.load_table(spark, str(tmp_path), "status").dtypes == [("statusId", "int"), ("status", "string")]
     with pytest.raises(FileNotFoundError, match="Cleaned_Races.csv"):
         sources.load_table(spark, str(tmp_path), "races")
-    assert set(sources.load_folder(spark, str(tmp_path))) == {"Cleaned Status"}
+    with pytest.raises(FileNotFoundError, match="not recognised .'cleaned_status'"):
+        sources.load_raw(spark, str(tmp_path), ["status"])
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "lapTimes.csv").write_text("raceId\n1\n")
+    with pytest.raises(FileNotFoundError, match="absent .'status'"):
+        sources.load_raw(spark, str(tmp_path / "raw"), ["status", "lap_times"])
+    assert set(sources.load_raw(spark, str(tmp_path / "raw"), ["status", "lap_times"], partial=True)) == {"lap_times"}
     assert ("status", "statusId", "int") in S.schema_rows({"status": sources.load_table(spark, str(tmp_path), "status")})
 
 
@@ -299,7 +330,7 @@ def test_repeated_dimension_key_fails_the_join(run):
 
 def test_expected_null_count(run, spark):
     base, _, _, _, _ = run
-    raw = sources.load_folder(spark, str(base / "raw"))["drivers"]
+    raw = sources.load_raw(spark, str(base / "raw"), clean.CLEANERS)["drivers"]
     from paddock.functions.times import birth_date
 
     assert raw.select(F.count_if(birth_date("dob").isNull())).first()[0] == 1
