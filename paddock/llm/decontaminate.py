@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -35,16 +36,20 @@ def words_of(text: str, hashes: WordHashes) -> np.ndarray:
     return hashes.of(WORD.findall(text.lower()))
 
 
+@cache
+def _factors(mask: str) -> list[tuple[int, np.uint64]]:
+    """Positions of the mask's ones, each with an odd factor of its own."""
+    return [(k, f) for k, (bit, f) in enumerate(zip(mask, odd_numbers(len(mask), 1000 + int(mask, 2)))) if bit == "1"]
+
+
 def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the mask's words at each position where the mask fits."""
     n = len(words) - len(mask) + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    factors = odd_numbers(len(mask), 1000 + int(mask, 2))
     total = np.zeros(n, np.uint64)
-    for k, bit in enumerate(mask):
-        if bit == "1":
-            total += mixed(words[k:k + n] + factors[k]) * factors[k]
+    for k, factor in _factors(mask):
+        total += words[k:k + n] * factor
     return mixed(total)
 
 
