@@ -324,3 +324,19 @@ def gap_and_points(gaps: DataFrame, entries: DataFrame) -> DataFrame:
     middle = exact_quantiles(gap, [], {}, {"m": ("median_gap", 0.5)}).select("m").scalar()
     points = grouped(entries, ["driverId"], {"ppr": F.avg("points")})
     return gap.join(points, "driverId", "left").withColumn("below_median", F.col("median_gap") < middle)
+
+
+def strategy_by_place(entries: DataFrame, place: str, finish: str, points: str) -> DataFrame:
+    """Mean and median finish, mean points and count for each place and pit strategy."""
+    return exact_quantiles(
+        entries, [place, "strategy"],
+        {"n": F.count(F.lit(1)), "mean_finish": F.avg(finish), "mean_points": F.avg(points)},
+        {"median_finish": (finish, 0.5)},
+    )
+
+
+def career_gap_seconds(gaps: DataFrame) -> DataFrame:
+    """Mean gap to the team in seconds, per driver with a gap."""
+    return grouped(gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()), ["driverId"], {
+        "sessions": F.count(F.lit(1)), "mean_gap_sec": F.avg("q1_vs_team_avg_ms") / 1000,
+    })
