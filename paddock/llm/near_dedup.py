@@ -144,7 +144,8 @@ def _around_pivots(around: DataFrame, sets: DataFrame, percent: int) -> tuple[Da
     counts the differences both have. As x is not linked to h, p * |x| + (100 + p) * Rx > 100 * |h|. So y has to
     share at least (p * Ay + 100 * Ry + 1) / (100 + p) of its differences, and x at least (p * |x| + (100 + p) * Rx -
     100 * |h|) / (100 + p). With the differences in one order, the rare ones first, two such nodes have one in common among
-    their first |differences| - required + 1: these are joined. A bitmap of all differences bounds what a joined
+    their first |differences| - required + 1: these are joined. The first difference that a pair shares is followed by enough others
+    on both sides; other matches are dropped. A bitmap of all differences bounds what a joined
     pair can share, and only pairs that can share enough come out.
     """
     whole = 100 + percent
@@ -181,7 +182,7 @@ def _around_pivots(around: DataFrame, sets: DataFrame, percent: int) -> tuple[Da
     # Differences that no other node has come first and need no row.
     place = F.col("size") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "difference"))
     placed = stored(shared.withColumn("place", place).where("place <= first OR place <= probes"))
-    kept = ["node", "root", "n", "size", "need", *(f"bits{k}" for k in range(BITMAP))]
+    kept = ["node", "root", "n", "size", "need", "place", *(f"bits{k}" for k in range(BITMAP))]
 
     def side(letter: str) -> DataFrame:
         return placed.where(f"place <= {'probes' if letter == 'x' else 'first'}").select(
@@ -190,6 +191,7 @@ def _around_pivots(around: DataFrame, sets: DataFrame, percent: int) -> tuple[Da
     only = lambda one, other: " + ".join(f"bit_count({one}bits{k} & ~{other}bits{k})" for k in range(BITMAP))
     pairs = side("x").join(side("y").drop("odd"), ["pivot", "difference"]).where(f"""
         xroot <> yroot AND 100 * least(xn, yn) >= {percent} * greatest(xn, yn)
+        AND {whole} * (1 + least(xsize - xplace, ysize - yplace)) >= xneed + yneed - odd
         AND {whole} * least(xsize - ({only("x", "y")}), ysize - ({only("y", "x")})) >= xneed + yneed - odd""")
     return pairs.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct(), links
 
