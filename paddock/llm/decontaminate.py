@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed is a fixed mask over consecutive words: the words at its ones are hashed, those at its zeros may be anything, so
-a passage is found although some of its words have been replaced. The seeds of the benchmark go into an index
+a passage is found although some of its words have been replaced. The masks are chosen by enumeration, so that however
+the allowed replacements lie in a stretch, some mask meets none of them at some place in it. The seeds of the benchmark go into an index
 (hash, item, position) and into a bit filter of fixed size. Each training text is hashed once with all masks;
 positions that pass the filter are joined to the index by their hash. A hit fixes how text and item lie on each other;
 there they are compared word by word, and a stretch of `min_words` words (the whole item if it is shorter) in which at
@@ -13,23 +14,64 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.llm.common import WordHashes, map_rows, mixed, odd_numbers, stored, text_or_empty
 
-MASKS = ("1110111", "11011011", "101101101", "1100111011")
+MOST_MASKS = 4  # for one length of stretch
+ENUMERATED = 13  # words; masks for longer stretches are those of a part that has its share of the replacements
 SHORTEST = 5  # items with fewer words are not looked for
 FILTER_BITS = 24  # two filters of 2^24 bits
 WORD = re.compile(r"\w+")
 ITEM = "row long, item_id {id}, words binary"
 
 
-def masks_for(lengths: list[int]) -> list[str]:
-    """The fixed masks, and a mask of ones for each length of items that are shorter than all of them."""
-    least = min(map(len, MASKS))
-    return [*MASKS, *("1" * n for n in sorted(set(lengths)) if SHORTEST <= n < least)]
+def misses(size: int, percent: int) -> int:
+    """How many of `size` words may differ."""
+    return size - -(-percent * size // 100)
+
+
+@cache
+def cover(size: int, wrong: int) -> tuple[str, ...]:
+    """Masks of which one finds any stretch of `size` words with up to `wrong` replaced, wherever these are.
+
+    The heaviest masks of which MOST_MASKS are enough, taken greedily by the placements of replacements they find."""
+    if size > ENUMERATED:
+        # of so many parts of the stretch, one has no more than its share of the replacements
+        size, wrong = ENUMERATED, wrong // (size // ENUMERATED)
+    if wrong >= size:
+        return ("1",)
+    placements = [set(p) for p in combinations(range(size), wrong)]
+    for weight in range(size - wrong, 1, -1):
+        found = {}
+        for span in range(weight, size + 1):
+            for inner in combinations(range(1, span - 1), weight - 2):
+                ones = (0, *inner, span - 1)
+                shifted = [{at + k for k in ones} for at in range(size - span + 1)]
+                found["".join("01"[k in ones] for k in range(span))] = {
+                    n for n, p in enumerate(placements) if any(p.isdisjoint(x) for x in shifted)}
+        chosen, left = [], set(range(len(placements)))
+        while left and len(chosen) < MOST_MASKS:
+            chosen.append(max(found, key=lambda m: len(found[m] & left)))
+            left -= found[chosen[-1]]
+        if not left:
+            return tuple(chosen)
+    return ("1",)
+
+
+def masks_for(lengths: list[int], min_words: int, percent: int) -> dict[int, tuple[str, ...]]:
+    """The masks for each length of stretch: `min_words` or that of a shorter item.
+
+    Shorter items that may differ in equally many words share the masks of the shortest, so that they are few."""
+    out: dict[int, tuple[str, ...]] = {}
+    shortest: dict[int, int] = {}
+    for n in sorted(set(lengths)):
+        wrong = misses(n, percent)
+        out[n] = cover(n if n >= min_words else shortest.setdefault(wrong, n), wrong)
+    return out
 
 
 def words_of(text: str, hashes: WordHashes) -> np.ndarray:
@@ -67,18 +109,15 @@ def _passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return at[((bits[1][second >> np.uint64(6)] >> (second & np.uint64(63))) & one).astype(bool)]
 
 
-def _index(items: DataFrame, masks: list[str]) -> DataFrame:
-    """hash, item row and position of every seed of the benchmark; a short item has the seed of its own length."""
-    least = min(map(len, MASKS))
-
+def _index(items: DataFrame, masks: dict[int, tuple[str, ...]], min_words: int) -> DataFrame:
+    """hash, item row and position of every seed of the benchmark, with the masks for the item's length."""
     def run(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:
         for batch in batches:
             out = []
             for row, words in zip(batch["row"], batch["words"]):
                 words = np.frombuffer(words, "<u8")
-                for mask in masks if len(words) >= least else ["1" * len(words)] * (len(words) >= SHORTEST):
-                    if len(words) < least or mask in MASKS:
-                        out += [(int(h), row, at) for at, h in enumerate(seeds(words, mask).astype(np.int64))]
+                for mask in masks.get(min(min_words, len(words)), ()) if len(words) >= SHORTEST else ():
+                    out += [(int(h), row, at) for at, h in enumerate(seeds(words, mask).astype(np.int64))]
             yield out
 
     return map_rows(items, run, "hash long, item long, at int")
@@ -139,9 +178,11 @@ def overlaps(
         benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{item_column}`").alias("id"),
                          text_or_empty(text_column).alias("text")),
         item_words, ITEM.format(id=item_type)))
-    short = items.select((F.octet_length("words") / 8).cast("int").alias("n")).where(f"n BETWEEN {SHORTEST} AND 6").distinct()
-    masks = masks_for([r.n for r in short.collect()])  # two lengths at most
-    index = stored(_index(items, masks))
+    sizes = items.select((F.octet_length("words") / 8).cast("int").alias("n")).where(f"n >= {SHORTEST}").select(
+        F.least("n", F.lit(min_words)).alias("n")).distinct()
+    of_size = masks_for([r.n for r in sizes.collect()], min_words, percent)  # at most min_words lengths
+    masks = list(dict.fromkeys(m for n in sorted(of_size) for m in of_size[n]))
+    index = stored(_index(items, of_size, min_words))
     bits = docs.sparkSession.sparkContext.broadcast(_filter(index))  # of fixed size
 
     def regions(batches: Iterator[dict[str, list]]) -> Iterator[list[tuple]]:

@@ -1,5 +1,6 @@
 """Repeated lines, near duplicates, benchmark passages."""
 
+import itertools
 import random
 
 import brute
@@ -178,3 +179,44 @@ def test_decontamination_of_edge_rows(spark):
     assert decontaminate.clean(df, none).count() == len(edge)
     assert decontaminate.clean(spark.createDataFrame([], brute.SCHEMA), bench).collect() == []
     assert decontaminate.clean(brute.clashing(spark), bench).columns == brute.clashing(spark).columns
+
+
+@pytest.mark.parametrize("size", range(5, 21))
+def test_masks_find_every_placement_of_replacements(size):
+    part = min(size, 13)
+    masks = decontaminate.masks_for([size], part, 80)[size] if size <= 13 else decontaminate.masks_for([13], 13, 80)[13]
+    words, text = [f"w{k}" for k in range(size)], [f"v{k}" for k in range(size)]
+    hashes = decontaminate.WordHashes()
+    index = {m: decontaminate.seeds(hashes.of(words), m) for m in masks}
+    n = 0
+    for wrong in range(decontaminate.misses(part, 80) + (size in (14, 15)) + 1):
+        for places in itertools.combinations(range(size), wrong):
+            changed = [text[k] if k in places else w for k, w in enumerate(words)]
+            if not brute.overlaps(" ".join(changed), [(1, " ".join(words))]):
+                continue
+            n += 1
+            assert any((decontaminate.seeds(hashes.of(changed), m) == index[m]).any() for m in masks), places
+    assert n >= size
+
+
+@pytest.mark.parametrize("size, percent", [(20, 80), (40, 70), (13, 50), (26, 4), (9, 30)])
+def test_masks_for_other_limits(size, percent):
+    r, masks = random.Random(size), decontaminate.masks_for([size], size, percent)[size]
+    for _ in range(500):
+        changed = set(r.sample(range(size), decontaminate.misses(size, percent)))
+        assert any(all(at + k not in changed for k, x in enumerate(m) if x == "1")
+                   for m in masks for at in range(size - len(m) + 1)), changed
+
+
+def test_short_items_and_replaced_words_against_plain_version(spark):
+    r, items, docs = random.Random(8), [(n, " ".join(prose(500 + n, n))) for n in (*range(5, 14), 30)], []
+    fixed = [(13, (4, 6)), (30, (12, 14, 17)), (8, (3,)), (7, (3,)), (5, (2,)), (12, (3, 8)), (10, (2, 6))]
+    for k in range(160):
+        n, places = fixed[k] if k < len(fixed) else (r.choice([n for n, _ in items]), None)
+        words = dict(items)[n].split()
+        for at in places or r.sample(range(n), r.randint(1, 3)):
+            words[at] = f"new{k}"
+        docs.append((k, " ".join(prose(900 + k, 6) + words + prose(1900 + k, 6))))
+    df, bench = spark.createDataFrame(docs, TEXT), spark.createDataFrame(items, "item_id long, text string")
+    found = {x.doc_id: x["items"] for x in decontaminate.decontamination(df, bench).collect()}
+    assert found == {k: ",".join(map(str, sorted(brute.overlaps(t, items)))) for k, t in docs}
