@@ -200,15 +200,14 @@ def _gaps_of(model: Model) -> Gaps:
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_ordinary: int = 3500, max_chars: int = 8000,
+    docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_ordinary: int = 3500,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold.
 
     The sample has at most `max_toxic` toxic and `max_ordinary` other rows, those with the smallest hash of
-    their id, and of each text at most `max_chars` characters, so it fits in the driver at any input size; weights restore
-    the shares of the two. Null ids and labels are not learned from. Only this sample is bounded; scoring reads all rows
-    and whole texts.
+    their id, so its number of rows is the same at any input size; weights restore the shares of the two. Null ids and
+    labels are not learned from. The texts of the sample are learned from and calibrated on whole, as they are scored.
     """
     fold = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)).cast("int")
     marked = labels.select(F.col(f"`{id_column}`").alias("id"), (F.col("toxic") == 1).alias("toxic")).where(
@@ -217,7 +216,7 @@ def learn(
     order = [F.xxhash64("id", F.lit("sample")), F.col("id")]
     chosen = marked.where("toxic").orderBy(*order).limit(max_toxic).unionAll(
         marked.where("NOT toxic").orderBy(*order).limit(max_ordinary))
-    texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.substring(text_or_empty(text_column), 1, max_chars).alias("text"))
+    texts = docs.select(F.col(f"`{id_column}`").alias("id"), text_or_empty(text_column).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").limit(2 * (max_toxic + max_ordinary)).toPandas()
     sample = sample.sort_values(["id", "text"], ignore_index=True)
     toxic = sample["toxic"].to_numpy(bool)

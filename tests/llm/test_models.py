@@ -172,3 +172,27 @@ def test_fingerprints_of_edge_rows(spark):
     assert one[0].near_next == 1.0
     made = df.select(fingerprints.fingerprint(df.text).alias("a")).select(fingerprints.likeness("a", "a").alias("x"))
     assert {r.x for r in made.collect()} == {1.0}
+
+
+def labelled(n_toxic_words: int, per_text: int, seed: int = 3) -> tuple[list[str], np.ndarray, list[str]]:
+    """Ordinary texts, toxic ones with words of their own among ordinary ones, labels, and those words."""
+    r = np.random.default_rng(seed)
+    usual, foul = [f"{a}{b}o" for a in "bcdfghjklm" for b in ("an", "el", "ir", "os", "um")], [
+        f"z{a}{b}{c}x" for a in "abcde" for b in "fghij" for c in "klmnopqrstuvwxyz"][:n_toxic_words]
+    texts = [" ".join(f"{a}{b}" for a, b in zip(r.choice(usual, 60), r.choice(usual, 60))) for _ in range(360)]
+    toxic = np.arange(360) % 3 == 0
+    for n, k in enumerate(np.flatnonzero(toxic)):
+        words = texts[k].split()
+        for m, at in enumerate(r.choice(60, per_text, replace=False)):
+            words[at] = foul[(n * per_text + m) % len(foul)]
+        texts[k] = " ".join(words)
+    return texts, toxic, foul
+
+
+def test_toxic_words_behind_a_long_beginning(spark):
+    texts, toxic, _ = labelled(10, 5)
+    long = [(k, f"{'some quiet words first ' * 400}{t}") for k, t in enumerate(texts)]
+    df = spark.createDataFrame(long, TEXT)
+    marks = spark.createDataFrame([(k, int(y)) for k, y in enumerate(toxic)], "doc_id long, toxic int")
+    found = {x.doc_id: x.predicted for x in toxicity.toxicity(df, toxicity.learn(df, marks)).collect()}
+    assert np.mean([found[k] == y for k, y in enumerate(toxic)]) >= 0.95
