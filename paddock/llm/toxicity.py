@@ -1,8 +1,11 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens the windows of a text more.
 
 Each word is spelled by a code of fixed length, so that finding a short word in a dictionary saves as many bytes as
-finding a long one. One dictionary is trained on the windows of ordinary texts; the other on those words of toxic texts
-that several toxic and no ordinary texts of the sample have, copies of texts left out. A window's gap is its
+finding a long one. A word leans toxic if its rate among the toxic texts is many times that among the ordinary ones,
+and by more than chance, copies left out on both sides; a word need not be absent from ordinary texts. Both dictionaries
+begin with what is trained on the windows of ordinary texts. The toxic one goes on with windows of toxic texts, so many
+that each word that leans toxic is there, the ordinary one with the same windows and noise for these words: what stands
+around them is known to both, and both are of one size, by which zstandard chooses its tables. A window's gap is its
 compressed length with the ordinary dictionary minus that with the toxic one. A text is described by the share of its
 windows whose gap reaches a threshold. The threshold and the share from which a text is called toxic are
 calibrated by cross-validation: every labelled text is judged by dictionaries that were trained without its fold.
@@ -27,7 +30,9 @@ from paddock.llm.common import text_or_empty
 CODE = 12  # bytes that spell a word
 FOLDS = 5
 HELD_OUT = 0  # fold by crc32(id as text) mod FOLDS that is never learned from
-LEAST_SHARE = 0.01  # of the toxic texts that have a word, for it to be learned; two texts at least
+LEANING = 8  # times the rate in ordinary texts, half a text added to each count
+SURE = 10.83  # log-likelihood ratio that chance exceeds once in a thousand
+EXAMPLES = 2  # windows kept for a word that leans toxic, where it has so many
 MAX_CACHED = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 GAPS = range(2, 9)
@@ -101,9 +106,9 @@ def share_at(counts: dict[int, int], gap: int) -> float:
 
 
 def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
+    raw = zstandard.ZstdCompressionDict(dictionary, zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(
-        level=level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False,
-        write_checksum=False, write_dict_id=False)
+        level=level, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
 def _dictionary(windows: list[bytes], size: int, segment: int) -> bytes:
@@ -114,14 +119,12 @@ def _dictionary(windows: list[bytes], size: int, segment: int) -> bytes:
         return b"".join(dict.fromkeys(windows))[:size] or b" " * 8
 
 
-def _windows(texts: list[list[str]], codes: Codes, words: int = 16) -> list[bytes]:
-    """The distinct words of each text in windows; a window that was seen before is a copy and left out."""
-    found: dict[bytes, None] = {}
-    for text in texts:
-        spelled = [codes[w] for w in dict.fromkeys(text)]
-        for at in range(0, len(spelled), words):
-            found[b"".join(spelled[at:at + words])] = None
-    return list(found)
+def _windows(text: list[str], words: int) -> list[list[str]]:
+    return [text[at:at + words] for at in range(0, len(text), words)]
+
+
+def _spelled(words: list[str], codes: Codes) -> bytes:
+    return b"".join(map(codes.__getitem__, words))
 
 
 def _originals(texts: list[list[str]], sample: int = 8) -> list[frozenset[str]]:
@@ -139,18 +142,45 @@ def _originals(texts: list[list[str]], sample: int = 8) -> list[frozenset[str]]:
     return out
 
 
-def _train(texts: list[list[str]], toxic: np.ndarray, ordinary_bytes: int, toxic_bytes: int) -> tuple[bytes, bytes]:
+def _leaning(foul: list[frozenset[str]], clean: list[frozenset[str]]) -> set[str]:
+    """The words whose rate in toxic texts is LEANING times that in ordinary ones or more, and surely so."""
+    often, rare = (Counter(w for words in texts for w in words) for texts in (foul, clean))
+    total = len(foul) + len(clean)
+
+    def sure(n: int, m: int) -> bool:
+        parts = ((n, (n + m) * len(foul) / total), (m, (n + m) * len(clean) / total))
+        return 2 * sum(x * np.log(x / mean) for x, mean in parts if x) >= SURE
+
+    return {w for w, n in often.items()
+            if (n + 0.5) / (len(foul) + 1) >= LEANING * (rare[w] + 0.5) / (len(clean) + 1) and sure(n, rare[w])}
+
+
+def _examples(texts: list[list[str]], leaning: set[str], window: int) -> list[list[str]]:
+    """The first windows of toxic texts that have each of the words; their number grows with that of the words only."""
+    wanted, out = dict.fromkeys(leaning, EXAMPLES), {}
+    for text in texts:
+        for words in _windows(text, window):
+            if any(wanted.get(w) for w in words) and tuple(words) not in out:
+                out[tuple(words)] = words
+                for w in words:
+                    if w in wanted:
+                        wanted[w] = max(0, wanted[w] - 1)
+    return list(out.values())
+
+
+def _train(texts: list[list[str]], toxic: np.ndarray, ordinary_bytes: int, window: int) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary."""
     codes = Codes()
     clean = [t for t, y in zip(texts, toxic) if not y]
-    foul = _originals([t for t, y in zip(texts, toxic) if y])
-    ordinary = _dictionary(_windows(clean, codes), ordinary_bytes, 2 * CODE)
-    known = set().union(*clean)
-    often = Counter(w for words in foul for w in words)
-    least = max(2, LEAST_SHARE * len(foul))
-    # Each word is a sample of its own, so that the dictionary keeps codes whole.
-    spelled = [codes[w] for words in foul for w in sorted(words) if w not in known and often[w] >= least]
-    return ordinary, _dictionary(spelled, toxic_bytes, CODE) if spelled else ordinary
+    foul = [t for t, y in zip(texts, toxic) if y]
+    leaning = _leaning(_originals(foul), _originals(clean))
+    # A window that was seen before is a copy and left out.
+    usual = dict.fromkeys(_spelled(w, codes) for t in clean for w in _windows([x for x in t if x not in leaning], window))
+    shared = _dictionary(list(usual), ordinary_bytes, 2 * CODE)
+    examples = _examples(foul, leaning, window)
+    # No word has a digit, so these codes stand for nothing.
+    around = b"".join(_spelled([f"{w}0" if w in leaning else w for w in words], codes) for words in examples)
+    return shared + around, shared + b"".join(_spelled(words, codes) for words in examples)
 
 
 def _auc(values: np.ndarray, labels: np.ndarray) -> float:
@@ -160,8 +190,8 @@ def _auc(values: np.ndarray, labels: np.ndarray) -> float:
 
 
 def fit(
-    texts: list[str], toxic: np.ndarray, folds: np.ndarray, weights: np.ndarray | None = None, window: int = 1,
-    level: int = 3, ordinary_bytes: int = 112_640, toxic_bytes: int = 4096, smallest: float = 1e-4,
+    texts: list[str], toxic: np.ndarray, folds: np.ndarray, weights: np.ndarray | None = None, window: int = 4,
+    level: int = 3, ordinary_bytes: int = 112_640, smallest: float = 1e-4,
 ) -> Model:
     """Train the dictionaries and calibrate by cross-validation over `folds`; `weights` undo an uneven sample."""
     weights = np.ones(len(texts)) if weights is None else weights
@@ -169,7 +199,7 @@ def fit(
     counts: list[dict[int, int]] = [{}] * len(texts)
     for f in sorted(set(folds.tolist())):
         others = folds != f
-        gaps = Gaps(*_train([w for w, o in zip(words, others) if o], toxic[others], ordinary_bytes, toxic_bytes), window, level)
+        gaps = Gaps(*_train([w for w, o in zip(words, others) if o], toxic[others], ordinary_bytes, window), window, level)
         for k in np.flatnonzero(~others):
             counts[k] = gaps.counts(words[k])
     best = (-1.0, 0.0, 0, 0.0)
@@ -177,7 +207,7 @@ def fit(
         x = np.log(np.maximum([share_at(c, gap) for c in counts], smallest)) if counts else np.empty(0)
         right, middle = _middle(x, toxic, weights)
         best = max(best, (round(right, 6), round(_auc(x, toxic), 6) if len(x) else 0.5, -gap, middle))
-    ordinary, foul = _train(words, toxic, ordinary_bytes, toxic_bytes)
+    ordinary, foul = _train(words, toxic, ordinary_bytes, window)
     return Model(ordinary, foul, window, level, -best[2], 2.0, best[3], smallest)
 
 

@@ -189,6 +189,27 @@ def labelled(n_toxic_words: int, per_text: int, seed: int = 3) -> tuple[list[str
     return texts, toxic, foul
 
 
+def test_toxic_words_in_some_ordinary_rows():
+    texts, toxic, foul = labelled(10, 5)
+    fresh, labels, _ = labelled(10, 5, seed=4)
+    planted = list(texts)
+    for n, k in enumerate(np.flatnonzero(~toxic)[:20]):  # each word stands in two ordinary rows
+        planted[k] += f" {foul[n % 10]}"
+    for some in (texts, planted):
+        model = toxicity.fit(some, toxic, np.arange(360) % 5)
+        gaps = toxicity._gaps_of(model)
+        found = np.array([model.score(toxicity.share_at(gaps.counts(toxicity.words_of(t)), model.gap)) >= 0.5 for t in fresh])
+        assert np.mean(found[labels]) >= 0.95 and np.mean(found[~labels]) <= 0.03
+        assert len(model.ordinary) == len(model.toxic)
+
+
+def test_toxic_dictionary_holds_all_learned_words():
+    texts, toxic, foul = labelled(400, 30)
+    model = toxicity.fit(texts, toxic, np.arange(360) % 5)
+    gaps = toxicity._gaps_of(model)
+    assert [w for w in foul if max(gaps.counts([w])) <= 0] == []
+
+
 def test_toxic_words_behind_a_long_beginning(spark):
     texts, toxic, _ = labelled(10, 5)
     long = [(k, f"{'some quiet words first ' * 400}{t}") for k, t in enumerate(texts)]
