@@ -24,22 +24,32 @@ def chi_squared_upper(x: float, df: float) -> float:
 
 
 def rank_sum_upper(u: int, n1: int, n2: int) -> float:
-    """P(U >= u) of the rank sum statistic of samples of n1 and n2 values without ties.
+    """P(U >= u) of the rank sum statistic of samples of n1 and n2 values without ties; exact, in whole numbers.
 
-    ways[k] is the number of orders with U = k, built up one value of the first sample at a time: with m values, U is
-    m times the least count plus the U of the others.
+    With m values in the smaller sample and n in the other, the orders with U = k are counted by the Gaussian binomial, the
+    product of (1 - q^(n+i)) / (1 - q^i) for i = 1 to m, and those with U <= k by that divided by 1 - q. All divisors
+    divide 1 - q^s, s the least common multiple of 1 to m, so that a coefficient is a sum of a few binomials, however
+    large n is. The work grows with s: the smaller sample must have few values.
     """
-    ways = [[1] + [0] * (n1 * n2) for _ in range(n2 + 1)]  # by the size of the second sample, no first values yet
-    for m in range(1, n1 + 1):
-        row = [1] + [0] * (n1 * n2)
-        after = [row]
-        for n in range(1, n2 + 1):
-            # the largest value is of the first sample (it beats all n) or of the second
-            row = [(ways[n][k - n] if k >= n else 0) + row[k] for k in range(n1 * n2 + 1)]
-            after.append(row)
-        ways = after
-    counts = ways[n2]
-    return sum(counts[max(u, 0):]) / sum(counts)
+    m, n = sorted((n1, n2))
+    at_most = n1 * n2 - max(u, 0)  # U and n1*n2 - U are distributed alike
+    step = math.lcm(*range(1, m + 1))
+    part = [0] * ((m + 1) * step + 1)  # (1 - q^step)^(m + 1) divided by all divisors
+    for j in range(m + 2):
+        part[j * step] = (-1) ** j * math.comb(m + 1, j)
+    for i in (1, *range(1, m + 1)):
+        for k in range(i, len(part)):
+            part[k] += part[k - i]
+    above = {0: 1}  # the product of the (1 - q^(n+i)), by exponent
+    for i in range(1, m + 1):
+        for k, c in list(above.items()):
+            above[k + n + i] = above.get(k + n + i, 0) - c
+    count = 0
+    for k, c in above.items():
+        left = at_most - k
+        for r in range(left % step, min(left, len(part) - 1) + 1, step) if left >= 0 else ():
+            count += c * part[r] * math.comb((left - r) // step + m, m)
+    return count / math.comb(m + n, m)
 
 
 def _lentz(b0: float, terms) -> float:

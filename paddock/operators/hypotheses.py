@@ -23,9 +23,6 @@ from paddock.operators.keys import value_bucket, with_keys_only
 cloudpickle.register_pickle_by_value(tails)
 
 
-MAX_EXACT = 10_000  # pairs of values up to which U has its exact distribution
-
-
 def _row(df: DataFrame, test: str, tail: str | Column, statistic: Column, dof: Column, n: Column, effect: Column) -> DataFrame:
     return df.select(
         F.lit(test).alias("test"), (F.lit(tail) if isinstance(tail, str) else tail).alias("tail"),
@@ -145,7 +142,7 @@ def mann_whitney(
     sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(larger - n1 * n2 / 2 - 0.5, sigma)
     # As is usual, small samples without ties take the exact distribution of U.
-    exact = both & (F.col("ties") == 0) & (F.least(n1, n2) <= 8) & (n1 * n2 <= MAX_EXACT)
+    exact = both & (F.col("ties") == 0) & (F.least(n1, n2) <= 8)
     tail = F.when(exact, F.concat_ws(":", F.lit("u"), F.lit(alternative), F.col("n1"), F.col("n2"))).otherwise("z_upper")
     return _row(s, "Mann-Whitney U", tail, F.when(both, F.col("u1")), F.lit(None), n, F.when(both, z))
 

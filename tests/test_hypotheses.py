@@ -137,3 +137,24 @@ def test_constant_predictor_does_not_stop_the_fit(spark):
     alone = {r["term"]: r for r in H.least_squares(df, "y", ["x"]).collect()}
     assert found["x"]["coef"] == pytest.approx(alone["x"]["coef"]) and found["x"]["p_value"] == pytest.approx(alone["x"]["p_value"])
     assert found["c"]["coef"] == pytest.approx(0)
+
+
+def test_a_small_sample_is_exact_beside_any_other(spark):
+    df = spark.createDataFrame([("a", 30_000.5)], "g string, v double").unionAll(spark.range(20_000).selectExpr("'b'", "double(id)"))
+    two = spark.createDataFrame([("a", 9_000.5), ("a", 9_001.5)], "g string, v double").unionAll(spark.range(5_001).selectExpr("'b'", "double(id)"))
+    for data, expected in ((df, 1 / 20_001), (two, 1 / math.comb(5_003, 2))):
+        test = H.mann_whitney(data, "v", F.col("g") == "a", F.col("g") == "b", "greater")
+        assert H.report({"H": ("t", test)}).first()["p_value"] == pytest.approx(expected, rel=1e-12)
+
+
+def test_exact_distribution_against_all_orders():
+    from itertools import combinations
+
+    for m in range(1, 5):
+        for n in range(1, 8):
+            found = [sum(p) - m * (m - 1) // 2 for p in combinations(range(m + n), m)]
+            for u in range(m * n + 1):
+                expected = sum(x >= u for x in found) / len(found)
+                assert H.rank_sum_upper(u, m, n) == H.rank_sum_upper(u, n, m) == expected
+    assert H.rank_sum_upper(8 * 10**9, 8, 10**9) == pytest.approx(1 / math.comb(10**9 + 8, 8), rel=1e-12)
+    assert H.rank_sum_upper(4 * 10**6, 8, 10**6) == pytest.approx(0.5, abs=1e-3)
