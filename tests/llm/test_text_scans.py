@@ -108,3 +108,15 @@ def test_personal_data_of_edge_rows(spark):
     assert found.count() == len(rows)
     assert pii.digest(pii.find_pii(spark.createDataFrame([], brute.SCHEMA))).collect() == []
     assert pii.digest(pii.find_pii(brute.clashing(spark))).count() == 2
+
+
+def test_account_numbers_before_other_words(spark):
+    texts = {
+        "GB82 WEST 1234 5698 7654 32 Please": "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000 EUR 500": "DE89370400440532013000",
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFF": "DE89 3704 0044 0532 0130 00", "to NO9386011117947 7 X1, now": "NO9386011117947",
+        "x MT84MALT011000012345MTLCAST001S.": "MT84MALT011000012345MTLCAST001S", "DE893704004405320130001": None, "XDE89370400440532013000": None,
+        "DE89370400440532013000ab": None, "DE88370400440532013000 ": None,
+    }
+    found = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: next((s.text for s in r.spans if s.kind == "iban"), None) for r in found} == texts
+    assert all(list(texts)[r.doc_id][s.start:s.end] == s.text for r in found for s in r.spans)
