@@ -24,6 +24,23 @@ from paddock.llm.common import stored, text_or_empty
 TEXT_HASH = "__text_hash"
 RANGES = "__ranges"
 LINES = "__lines"
+# White space besides the space, and letters of scripts written without spaces by how many make up a word.
+OTHER_SPACE = r"\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+UNSPACED = {2: r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}", 4: r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"}
+UNBROKEN = 64  # other characters without white space, more than a long word has, that count as a further word
+
+
+def _words(line: str) -> str:
+    """SQL for the number of words of a line: what single spaces separate, what runs of other white space separate, and
+    more for text without any."""
+    space = f"[{OTHER_SPACE}]"
+    letters = [f"length(regexp_replace({line}, r'[^{x}]', '')) div {n}" for n, x in UNSPACED.items()]
+    # Few lines have any of what the slow expressions count, so a quick one is asked first.
+    return rf"""CAST(1 + length(trim({line})) - length(replace(trim({line}), ' ', '')) + CASE
+        WHEN {line} RLIKE r'[\t\x0B\f\r\x{{85}}\x{{A0}}\x{{E00}}-\x{{10FFFF}}]' OR {line} RLIKE r'[^ ]{{{UNBROKEN}}}' THEN
+          regexp_count({line}, r'(?<=[^ {OTHER_SPACE}]){space}++(?=[^ {OTHER_SPACE}])')
+          + regexp_count({line}, r'[^ {OTHER_SPACE}{"".join(UNSPACED.values())}]{{{UNBROKEN}}}') + {' + '.join(letters)}
+        ELSE 0 END AS BIGINT)"""
 
 
 def _positions(docs: DataFrame, min_words: int, id_column: str, text_column: str) -> DataFrame:
@@ -33,11 +50,11 @@ def _positions(docs: DataFrame, min_words: int, id_column: str, text_column: str
     next_line) the lines of the text that go with it, h1 and h2 a hash of 128 bits; ahead and back are the number of
     lines of the shortest runs of min_words words that begin and end here, null if there is none.
     """
-    lines = F.expr("""
+    lines = F.expr(f"""
         transform(
           filter(transform(lines, (x, j) -> struct(x AS text, j AS line)), s -> trim(s.text) <> ''),
           (s, i) -> struct(i, s.line AS line, xxhash64(s.text) AS h1, xxhash64(s.text, 1) AS h2,
-            CAST(1 + length(trim(s.text)) - length(replace(trim(s.text), ' ', '')) AS BIGINT) AS words))""")
+            {_words("s.text")} AS words))""")
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(text_or_empty(text_column)).alias("text_hash"),
                        F.split(text_or_empty(text_column), "\n").alias("lines"))
     rows = rows.select("id", "text_hash", F.size("lines").alias("n_lines"), F.inline(lines))
@@ -115,7 +132,8 @@ def dedup_lines(
     """The rows of `docs` with all their columns, the repeated runs of lines cut out of the text, and n_lines, n_removed, removed.
 
     Lines end at line feeds and are compared as they are. A blank line goes with the line before it and counts for
-    nothing; the words of a line are what single spaces separate. Of equal runs the one in the smallest id, then the
+    nothing; the words of a line are what single spaces or runs of other white space separate, and where there are none two
+    letters (Han, kana) or four (Thai, Lao, Khmer, Burmese, Tibetan) are a word, 64 other characters a further one. Of equal runs the one in the smallest id, then the
     smallest hash of the text, then the first line stays. removed lists the deleted lines as from-to (end exclusive, from 0).
     A null text stays null and has no lines. Rows equal in id and text are one document and get the same result; a
     null id sorts first. Columns named n_lines, n_removed, removed in `docs` are replaced.
@@ -146,7 +164,8 @@ def without_repeats(docs: DataFrame, min_words: int = 10, id_column: str = "doc_
 
 
 def oracle(min_words: int = 10) -> str:
-    """The digest of `dedup_lines` in SQL, for unique `doc_id` and `text` of `documents`: runs are compared as whole strings."""
+    """The digest of `dedup_lines` in SQL, for unique `doc_id` and `text` of `documents`: runs are compared as whole strings.
+    Words are what spaces separate, so it holds for tables without other white space and without long text that has none."""
     return f"""WITH r AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
     len(string_split(text, chr(10))) AS n_lines

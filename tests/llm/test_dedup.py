@@ -220,3 +220,14 @@ def test_short_items_and_replaced_words_against_plain_version(spark):
     df, bench = spark.createDataFrame(docs, TEXT), spark.createDataFrame(items, "item_id long, text string")
     found = {x.doc_id: x["items"] for x in decontaminate.decontamination(df, bench).collect()}
     assert found == {k: ",".join(map(str, sorted(brute.overlaps(t, items)))) for k, t in docs}
+
+
+@pytest.mark.parametrize("line, short", [
+    ("これは同じ文章が何度も出てくる長い一行です", "短い行です"), ("这是一段在许多文件里反复出现的没有空格的长文字", "短行"),
+    ("ข้อความนี้ซ้ำกันในเอกสารหลายฉบับโดยไม่มีช่องว่างเลยสักที่", "สั้น"), ("one\ttwo\tthree\tfour\tfive\tsix\tseven\teight\tnine\tten", "one\ttwo"),
+    ("un\u00a0deux\u00a0trois\u00a0quatre\u00a0cinq\u00a0six\u00a0sept\u00a0huit\u00a0neuf\u00a0dix", "un\u00a0deux"), ("ab3/" * 150, "ab3/" * 12),
+])
+def test_repeated_lines_without_spaces(spark, line, short):
+    docs = [(k, f"{prose(k, 1)[0]}\n{line}\n{prose(90 + k, 1)[0]}\n{short}\n{prose(190 + k, 1)[0]}") for k in range(3)]
+    found = {x.doc_id: x.removed for x in line_dedup.dedup_lines(spark.createDataFrame(docs, TEXT)).collect()}
+    assert found == {0: "", 1: "1-2", 2: "1-2"}
