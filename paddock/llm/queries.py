@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.llm import (
-    chat_format, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, token_counts, toxicity,
+    alignment, chat_format, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, token_counts,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +91,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.against_next(table(spark, folder, "documents"))
 
 
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.token_alignment(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

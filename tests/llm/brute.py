@@ -146,3 +146,32 @@ def sha(text: str) -> str:
 
 def fold(key) -> int:
     return zlib.crc32(str(key).encode()) % 5
+
+
+def aligned(docs: list[tuple], encode_a, decode_a, encode_b, decode_b) -> list[tuple]:
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each row (id, text), token by token."""
+    done, holders = [], defaultdict(int)
+    for key, text in docs:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        whole = (" " + (text or "")).encode()
+        if b"".join(map(decode_a, a)) != whole or b"".join(map(decode_b, b)) != whole:
+            a, b = [], []
+        spans = []
+        for ids, decode in ((a, decode_a), (b, decode_b)):
+            at, side = 0, []
+            for i in ids:
+                side.append((at, at + len(decode(i)), i))
+                at = side[-1][1]
+            spans.append(side)
+        links = [(x, y) for p, q, x in spans[0] for r, s, y in spans[1] if p < s and r < q]
+        groups, ends = [], sorted({s[1] for s in spans[0]} & {s[1] for s in spans[1]})
+        for low, high in zip([0, *ends], ends):
+            groups.append("|".join(",".join(str(i) for p, q, i in side if low <= p and q <= high) for side in spans))
+        for pair in set(links):
+            holders[pair] += 1
+        done.append((key, len(a), len(b), len(groups), links, sha(";".join(groups)) if a else ""))
+    most: dict[int, int] = defaultdict(int)
+    for (x, _), n in holders.items():
+        most[x] = max(most[x], n)
+    return [(key, n_a, n_b, n_groups, len(links), sum(holders[x] == most[x[0]] for x in links), sum(holders[x] for x in links), digest)
+            for key, n_a, n_b, n_groups, links, digest in done]
