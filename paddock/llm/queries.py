@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.llm import (
-    alignment, chat_format, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, token_counts,
-    toxicity,
+    alignment, chat_format, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii,
+    quality, structure_repair, token_counts, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.against_next(table(spark, folder, "documents"))
 
 
+@query("op11_structure_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return structure_repair.repaired_after_damage(table(spark, folder, "conversations"))
+
+
+@query("op12_quality")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.learn(docs, table(spark, folder, "labels"))
+    return quality.quality(docs, model).select("doc_id", "held_out", "score", "predicted", "n_words")
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.token_alignment(

@@ -175,3 +175,64 @@ def aligned(docs: list[tuple], encode_a, decode_a, encode_b, decode_b) -> list[t
         most[x] = max(most[x], n)
     return [(key, n_a, n_b, n_groups, len(links), sum(holders[x] == most[x[0]] for x in links), sum(holders[x] for x in links), digest)
             for key, n_a, n_b, n_groups, links, digest in done]
+
+
+def damage(rows: list[tuple]) -> dict:
+    """Conversations (turn, role, text) by id after damage, in order; ids of dropped rows keep an empty list."""
+    out: dict = {}
+    say = lambda x: " " if x is None else x
+    for key, turn, role, text in rows:
+        turns = out.setdefault(key, [])
+        kind = zlib.crc32(f"{say(key)}:{say(turn)}".encode()) % 20
+        role, text = say(role), say(text)
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        turns += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    for turns in out.values():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+    return out
+
+
+def faults(turns: list[tuple]) -> list[str]:
+    out, seen = [], set()
+    for _, role, text in turns:
+        ends = text.rstrip(" \t\n\x0b\x0c\r")
+        out.append("blank" if not ends else "duplicate" if (role, text) in seen else "" if ends[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def repaired(turns: list[tuple]) -> tuple:
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) by a search over all edits, cheapest and least first."""
+    import heapq
+
+    found = faults(turns)
+    following = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, at, state, rows = heapq.heappop(heap)
+        if at == len(turns) and state in ("", "a"):
+            break
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        steps = [(5, "I", 0, "user", ""), (5, "I", 0, "assistant", "")]
+        if at < len(turns):
+            _, role, text = turns[at]
+            more = 5 if found[at] == "truncated" else 0
+            steps.append((2, "D", 1, None, None))
+            if found[at] not in ("blank", "duplicate"):
+                steps += [(more, "K", 1, role, text), (more + 1, "R", 1, "user", text), (more + 1, "R", 1, "assistant", text)]
+        for price, letter, read, role, text in steps:
+            if role is None:
+                heapq.heappush(heap, (cost + price, audit + letter, at + read, state, rows))
+            elif (state, role[:1]) in following:
+                heapq.heappush(heap, (cost + price, audit + letter, at + read, following[(state, role[:1])], (*rows, f"{role}:{text}")))
+    known = [t for t, _, _ in turns if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+    return (gaps, *(found.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(rows)))
