@@ -6,7 +6,8 @@ size whatever the vocabulary, no word is left out, and whole-number sums come ou
 its texts in numpy and emits its table in slices; each slice is then summed as a stream. What a row has in
 excess of its expectation, scaled to unit length, is its vector.
 
-A document is the mean and the standard deviation of the vectors of its words. The network is fitted in numpy on a bounded
+A document is the mean and the standard deviation of the vectors of its words and the mean product of adjacent ones, which
+tells text that repeats itself. The network is fitted in numpy on a bounded
 sample of labelled rows, of which Spark returns the pooled vectors, not the texts; a fifth of them is kept back and sets
 the temperature by which its output becomes a probability.
 """
@@ -26,6 +27,7 @@ from paddock.llm.common import map_rows, text_or_empty
 
 FOLDS, HELD_OUT = 3, 1  # rows with this remainder of crc32(id as text) are never learned from
 ROWS, WIDTH, SIGNS = 1 << 14, 64, 4  # rows that words share, numbers in a vector, signs in a word's own vector
+FEATURES = 3 * WIDTH + 1
 SLICES = 64
 NEAR = 2  # neighbours on each side
 FLUSH = 1 << 20  # words added up at once
@@ -133,14 +135,18 @@ def word_vectors(table: np.ndarray) -> np.ndarray:
 
 
 def pooled(hashes: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean and standard deviation of the vectors of a text's words; zeros without words."""
-    total, squares = np.zeros(vectors.shape[1]), np.zeros(vectors.shape[1])
+    """FEATURES numbers: mean and standard deviation of the vectors of a text's words, the mean product of the vectors of
+    adjacent words, and the logarithm of the number of words. Zeros without words."""
+    total, squares, products = (np.zeros(vectors.shape[1]) for _ in range(3))
     for at in range(0, len(hashes), LONGEST):
-        some = vectors[row_of(hashes[at:at + LONGEST])]
-        total += some.sum(0, dtype=float)
-        squares += np.einsum("ij,ij->j", some, some, dtype=float)
-    mean = total / max(1, len(hashes))
-    return np.concatenate([mean, np.sqrt(np.maximum(squares / max(1, len(hashes)) - mean * mean, 0))])
+        some = vectors[row_of(hashes[at:at + LONGEST + 1])]  # with the next part's first word
+        own = some[:LONGEST]
+        total += own.sum(0, dtype=float)
+        squares += np.einsum("ij,ij->j", own, own, dtype=float)
+        products += np.einsum("ij,ij->j", some[1:], some[:-1], dtype=float)
+    n = max(1, len(hashes))
+    mean = total / n
+    return np.concatenate([mean, np.sqrt(np.maximum(squares / n - mean * mean, 0)), products / max(1, len(hashes) - 1), [np.log1p(len(hashes))]])
 
 
 @dataclass(frozen=True)
@@ -243,7 +249,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_column: s
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), text_or_empty(text_column).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "good").agg(F.min("text").alias("text"))
     rows = sorted(features(sample, vectors, ["id", "good"]).collect(), key=lambda r: str(r["id"]))  # two times max_rows at most
-    x = np.array([r["pooled"] for r in rows], float).reshape(len(rows), 2 * WIDTH)
+    x = np.array([r["pooled"] for r in rows], float).reshape(len(rows), FEATURES)
     y = np.array([r["good"] for r in rows], bool)
     weights = np.where(y, total.get(True, 0) / max(1, y.sum()), total.get(False, 0) / max(1, (~y).sum()))
     back = np.array([xxhash.xxh3_64_intdigest(str(r["id"])) % 5 == 0 for r in rows], bool)

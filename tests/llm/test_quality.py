@@ -63,7 +63,8 @@ def test_pooling_in_parts(monkeypatch):
     some = vectors[quality.row_of(hashes)].astype(float)
     for size in (1 << 16, 1000):
         monkeypatch.setattr(quality, "LONGEST", size)
-        assert np.allclose(quality.pooled(hashes, vectors), [*some.mean(0), *some.std(0)], atol=1e-6)
+        plain = [*some.mean(0), *some.std(0), *(some[1:] * some[:-1]).mean(0), np.log1p(len(some))]
+        assert len(plain) == quality.FEATURES and np.allclose(quality.pooled(hashes, vectors), plain, atol=1e-6)
     assert not quality.pooled(hashes[:0], vectors).any()
 
 
