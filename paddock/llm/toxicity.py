@@ -6,8 +6,8 @@ and by more than chance, copies left out on both sides; a word need not be absen
 begin with what is trained on the windows of ordinary texts. The toxic one goes on with windows of toxic texts, so many
 that each word that leans toxic is there, the ordinary one with the same windows and noise for these words: what stands
 around them is known to both, and both are of one size, by which zstandard chooses its tables. A window's gap is its
-compressed length with the ordinary dictionary minus that with the toxic one. A text is described by the share of its
-windows whose gap reaches a threshold. The threshold and the share from which a text is called toxic are
+compressed length with the ordinary dictionary minus that with the toxic one. A text is described by the share of windows
+whose gap reaches a threshold that it surely has. The threshold and the share from which a text is called toxic are
 calibrated by cross-validation: every labelled text is judged by dictionaries that were trained without its fold.
 """
 
@@ -99,10 +99,16 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def share_at(counts: dict[int, int], gap: int) -> float:
-    """Share of windows whose gap is at least `gap`; 0 without windows."""
-    total = sum(counts.values())
-    return sum(n for g, n in counts.items() if g >= gap) / total if total else 0.0
+def share_at(counts: dict[int, int], gap: int, z: float = 1.28) -> float:
+    """The share of windows with a gap of at least `gap` that a text surely has: the lower end of Wilson's interval, one
+    sided at 90%. So one odd window says much about a text of two windows and next to nothing about one of hundreds. 0 without
+    such windows."""
+    total, hits = sum(counts.values()), sum(n for g, n in counts.items() if g >= gap)
+    if not hits:
+        return 0.0
+    share, z2 = hits / total, z * z
+    middle, spread = share + z2 / (2 * total), z * (share * (1 - share) / total + z2 / (4 * total * total)) ** 0.5
+    return max(0.0, (middle - spread) / (1 + z2 / total))
 
 
 def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -191,7 +197,7 @@ def _auc(values: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(
     texts: list[str], toxic: np.ndarray, folds: np.ndarray, weights: np.ndarray | None = None, window: int = 4,
-    level: int = 3, ordinary_bytes: int = 112_640, smallest: float = 1e-4,
+    level: int = 3, ordinary_bytes: int = 112_640, smallest: float = 2e-3,
 ) -> Model:
     """Train the dictionaries and calibrate by cross-validation over `folds`; `weights` undo an uneven sample."""
     weights = np.ones(len(texts)) if weights is None else weights

@@ -42,7 +42,7 @@ def plain_sums(texts: list[str]) -> dict:
     return {k: v for k, v in found.items() if v}
 
 
-@pytest.mark.parametrize("flush", [5, 64, 1 << 20])
+@pytest.mark.parametrize("flush", [50, 1000, 1 << 20])
 def test_neighbour_sums_against_plain_version(spark, monkeypatch, flush):
     texts = [t or "" for _, t in documents() if len(t or "") < 2000][:60] + ["", "one", "one two", "a b c d e f g h i j k"]
     if flush == 1 << 20:
