@@ -31,7 +31,8 @@ CODE = 12  # bytes that spell a word
 FOLDS = 5
 HELD_OUT = 0  # fold by crc32(id as text) mod FOLDS that is never learned from
 LEANING = 8  # times the rate in ordinary texts, half a text added to each count
-SURE = 10.83  # log-likelihood ratio that chance exceeds once in a thousand
+SURE = 6.63  # log-likelihood ratio that chance exceeds once in a hundred; what chance lets in is weighed down by calibration
+TOXIC_WEIGHT = 0.25  # of toxic rows in calibration
 EXAMPLES = 2  # windows kept for a word that leans toxic, where it has so many
 MAX_CACHED = 200_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -99,9 +100,9 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def share_at(counts: dict[int, int], gap: int, z: float = 1.28) -> float:
+def share_at(counts: dict[int, int], gap: int, z: float = 0.67) -> float:
     """The share of windows with a gap of at least `gap` that a text surely has: the lower end of Wilson's interval, one
-    sided at 90%. So one odd window says much about a text of two windows and next to nothing about one of hundreds. 0 without
+    sided at 75%. So one odd window says much about a text of two windows and next to nothing about one of hundreds. 0 without
     such windows."""
     total, hits = sum(counts.values()), sum(n for g, n in counts.items() if g >= gap)
     if not hits:
@@ -220,9 +221,10 @@ def fit(
 def _middle(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """The largest share of weight on its own side of a border, and the middle of the borders that reach it.
 
-    Without toxic rows no text is called toxic."""
+    Toxic rows make up TOXIC_WEIGHT of it, however rare they are. Without toxic rows no text is called toxic."""
     if not toxic.any():
         return 1.0, 1.0
+    weights = weights * np.where(toxic, TOXIC_WEIGHT / weights[toxic].sum(), (1 - TOXIC_WEIGHT) / max(1e-9, weights[~toxic].sum()))
     values = np.unique(x)
     borders = np.concatenate([(values[1:] + values[:-1]) / 2, [1.0]])
     right = np.array([weights[(x > b) == toxic].sum() for b in borders]) / weights.sum()
