@@ -70,11 +70,14 @@ def license_spans(
     """
     words = F.filter(F.split(F.translate(text_or_empty(text_column), UPPER, LOWER), SEPARATORS), lambda w: w != "")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("id"), words.alias("words"))
-    # A last pair without a hash stands for the document itself, so that documents without hits stay.
-    pairs = F.expr("concat(transform(words, (w, i) -> xxhash64(w, get(words, i + 1))), array(CAST(NULL AS BIGINT)))")
-    rows = rows.select("row", "id", F.size("words").cast("long").alias("n_words"), "words", F.posexplode(pairs).alias("at", "hash"))
-    hits = rows.join(_table(docs.sparkSession, phrases, templates), "hash", "left").where(
-        F.expr("hash IS NULL OR (w1 = words[at] AND w2 = get(words, at + 1))"))
+    # A last pair without a hash stands for the document itself, so that documents without hits stay. Each pair brings its own
+    # words: a row that carried the document's words would cost their number for every pair.
+    pairs = F.expr("""concat(transform(words, (w, i) -> named_struct('hash', xxhash64(w, get(words, i + 1)), 'a', w, 'b', get(words, i + 1))),
+        array(named_struct('hash', CAST(NULL AS BIGINT), 'a', CAST(NULL AS STRING), 'b', CAST(NULL AS STRING))))""")
+    rows = rows.select("row", "id", F.size("words").cast("long").alias("n_words"), pairs.alias("pairs"))
+    rows = rows.select("row", "id", "n_words", F.posexplode("pairs").alias("at", "pair"))
+    rows = rows.select("row", "id", "n_words", "at", "pair.hash", "pair.a", "pair.b")
+    hits = rows.join(_table(docs.sparkSession, phrases, templates), "hash", "left").where("hash IS NULL OR (w1 = a AND w2 = b)")
     hits = hits.select("row", "id", "n_words", "template", "label", "phrase", "size", "item_at", "at",
                        (F.col("at") - F.col("item_at")).alias("diagonal")).repartition("row")
     diagonals = hits.groupBy("row", "id", "n_words", "template", "label", "phrase", "size", "diagonal").agg(

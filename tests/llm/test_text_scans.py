@@ -120,3 +120,18 @@ def test_account_numbers_before_other_words(spark):
     found = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {list(texts)[r.doc_id]: next((s.text for s in r.spans if s.kind == "iban"), None) for r in found} == texts
     assert all(list(texts)[r.doc_id][s.start:s.end] == s.text for r in found for s in r.spans)
+
+
+def test_license_scan_in_linear_time(spark):
+    """The time of one long text grows with its length, not with the square."""
+    import time
+
+    def seconds(words: int) -> float:
+        text = " ".join(f"w{k % 9973} x" for k in range(words // 2)) + " the mit license "
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert [r.base_labels for r in license_scan.license_spans(df).collect()] == ["mit"]
+        return time.perf_counter() - start
+
+    seconds(40_000)
+    assert min(seconds(160_000) for _ in range(2)) < 4 * min(seconds(40_000) for _ in range(2)) + 2
