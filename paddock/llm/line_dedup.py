@@ -10,7 +10,8 @@ found by grouping (length, rank at the start, rank that ends with the run).
 A run of lines is repeated if the same lines stand elsewhere and they have at least `min_words` words together. The
 shortest such runs from each line on, and those up to each line, cover exactly the lines of all maximal repeated runs,
 so only these are looked up: they have at most `min_words` lines, which bounds the doubling. All but the first copy of
-a run are deleted.
+a run are deleted. Shorter runs meet by chance; but a run that stands `min_copies` times or more is repeated whatever its
+length. Each of its lines stands as often, so the classes of single lines say which.
 
 Only DataFrame functions are used. Every step that could meet a hot class aggregates it first and joins the one row back.
 """
@@ -83,7 +84,8 @@ def _classes(rows: DataFrame, keys: list[str], rank: str) -> DataFrame:
 def _ranks(positions: DataFrame, levels: int) -> list[DataFrame]:
     """For each level k the positions (p, i) in classes of two or more, with their rank r and what is needed later."""
     rows = positions.select("p", "i", "h1", "h2", "ahead", "back")
-    level = stored(rows.join(_classes(rows, ["h1", "h2"], "r"), ["h1", "h2"]).drop("h1", "h2"))
+    lines = rows.groupBy("h1", "h2").agg(F.min("p").alias("r"), F.count("*").alias("members")).where("members > 1")
+    level = stored(rows.join(lines, ["h1", "h2"]).drop("h1", "h2"))
     found = [level]
     for k in range(levels):
         further = Window.partitionBy(F.col("p") - F.col("i")).orderBy("p").rangeBetween(1 << k, 1 << k)
@@ -95,7 +97,7 @@ def _ranks(positions: DataFrame, levels: int) -> list[DataFrame]:
 
 
 def repeated_ranges(
-    docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text",
+    docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text", min_copies: int = 8,
 ) -> DataFrame:
     """id, text_hash and ranges [from, to) of lines to delete, for every document that has such lines."""
     positions = _positions(docs, min_words, id_column, text_column)
@@ -118,7 +120,8 @@ def repeated_ranges(
         by_level.select("k", F.col("p").alias("q"), F.col("r").alias("rb")), ["k", "q"])
     runs = stored(runs.select("p", "n", "ra", "rb"))
     later = runs.join(_classes(runs, ["n", "ra", "rb"], "first"), ["n", "ra", "rb"]).where("p <> first")
-    gone = later.select(F.explode(F.expr("sequence(p, p + n - 1)")).alias("p")).distinct()
+    frequent = first.where((F.col("members") >= min_copies) & (F.col("p") != F.col("r"))).select("p")
+    gone = later.select(F.explode(F.expr("sequence(p, p + n - 1)")).alias("p")).unionAll(frequent).distinct()
     gone = gone.join(positions.select("p", "i", "id", "text_hash", "line", "next_line"), "p")
     doc = Window.partitionBy("id", "text_hash").orderBy("i")
     islands = gone.withColumn("island", F.col("i") - F.row_number().over(doc)).groupBy("id", "text_hash", "island").agg(
@@ -127,7 +130,7 @@ def repeated_ranges(
 
 
 def dedup_lines(
-    docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text",
+    docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text", min_copies: int = 8,
 ) -> DataFrame:
     """The rows of `docs` with all their columns, the repeated runs of lines cut out of the text, and n_lines, n_removed, removed.
 
@@ -135,10 +138,10 @@ def dedup_lines(
     nothing; the words of a line are what single spaces or runs of other white space separate, and where there are none two
     letters (Han, kana) or four (Thai, Lao, Khmer, Burmese, Tibetan) are a word, 64 other characters a further one. Of equal runs the one in the smallest id, then the
     smallest hash of the text, then the first line stays. removed lists the deleted lines as from-to (end exclusive, from 0).
-    A null text stays null and has no lines. Rows equal in id and text are one document and get the same result; a
+    Runs of fewer than `min_words` words count from `min_copies` copies on (2: every later copy of any line goes). A null text stays null and has no lines. Rows equal in id and text are one document and get the same result; a
     null id sorts first. Columns named n_lines, n_removed, removed in `docs` are replaced.
     """
-    ranges = repeated_ranges(docs, min_words, id_column, text_column).select(
+    ranges = repeated_ranges(docs, min_words, id_column, text_column, min_copies).select(
         F.col("id").alias("__id"), F.col("text_hash").alias(TEXT_HASH), F.col("ranges").alias(RANGES))
     same = F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_column)) == F.col(TEXT_HASH))
     rows = docs.join(ranges, same, "left").withColumn(LINES, F.split(F.col(f"`{text_column}`"), "\n"))
@@ -156,14 +159,16 @@ def dedup_lines(
     return rows.select(*columns, *[c.alias(n) for n, c in added.items()])
 
 
-def without_repeats(docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, min_words: int = 10, id_column: str = "doc_id", text_column: str = "text", min_copies: int = 8,
+) -> DataFrame:
     """The rows of `docs` with repeated runs of lines cut out; a text of which nothing is left is dropped with its row."""
-    rows = dedup_lines(docs, min_words, id_column, text_column)
+    rows = dedup_lines(docs, min_words, id_column, text_column, min_copies)
     rows = rows.where((F.col("n_removed") == 0) | (F.trim(F.translate(F.col(f"`{text_column}`"), "\n", " ")) != ""))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def oracle(min_words: int = 10) -> str:
+def oracle(min_words: int = 10, min_copies: int = 8) -> str:
     """The digest of `dedup_lines` in SQL, for unique `doc_id` and `text` of `documents`: runs are compared as whole strings.
     Words are what spaces separate, so it holds for tables without other white space and without long text that has none."""
     return f"""WITH r AS (
@@ -189,9 +194,13 @@ t AS (
   SELECT w.doc_id, s, n, string_agg(line, chr(10) ORDER BY i) AS run
   FROM w JOIN l ON w.doc_id = l.doc_id AND l.i BETWEEN s AND s + n - 1 GROUP BY ALL),
 x AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS copy FROM t),
+q AS (
+  SELECT doc_id, i, pos, next_pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS copy,
+    count(*) OVER (PARTITION BY line) AS copies FROM l),
 g AS (
   SELECT DISTINCT l.doc_id, l.i, l.pos, l.next_pos FROM x JOIN l ON x.doc_id = l.doc_id AND l.i BETWEEN s AND s + n - 1
-  WHERE copy > 1),
+  WHERE copy > 1
+  UNION SELECT doc_id, i, pos, next_pos FROM q WHERE copy > 1 AND copies >= {min_copies}),
 e AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM g),
 f AS (SELECT doc_id, min(pos) AS a, max(next_pos) AS b FROM e GROUP BY doc_id, island),
 k AS (

@@ -66,7 +66,7 @@ def near_components(rows: list[tuple], width: int, percent: int = 80) -> dict[in
     return {k: find(k) for k in range(len(rows))}
 
 
-def cut_lines(rows: list[tuple], min_words: int) -> list[tuple[int, str | None]]:
+def cut_lines(rows: list[tuple], min_words: int, min_copies: int = 8) -> list[tuple[int, str | None]]:
     """(lines removed, text left) of each row (id, text); ids are unique and ascending."""
     lines = {}
     for k, (_, text) in enumerate(rows):
@@ -83,6 +83,12 @@ def cut_lines(rows: list[tuple], min_words: int) -> list[tuple[int, str | None]]
                     runs.append((k, s, e + 1))
                     if total - doc[e][2] >= min_words + 40:
                         break
+    places = defaultdict(list)
+    for k, doc in lines.items():
+        for s, line in enumerate(doc):
+            places[line[1]].append((k, s, s + 1))
+    often = [p for found in places.values() if len(found) >= min_copies for p in found]
+    runs = [*runs, *often]
     for k, s, e in runs:
         seen.setdefault(tuple(x[1] for x in lines[k][s:e]), (k, s))
     gone = defaultdict(set)

@@ -26,6 +26,18 @@ def test_lines_against_plain_version(spark):
         assert (found[key].n_removed, found[key].text) == (removed, left), key
 
 
+@pytest.mark.parametrize("copies", [2, 3, 8, 20])
+def test_short_lines_go_where_they_stand_often(spark, copies):
+    r = random.Random(copies)
+    docs = [(k, "\n".join(r.choices([f"w{n}" for n in range(30)] + ["a b", ""], k=r.randint(0, 9)))) for k in range(50)]
+    found = {x.doc_id: x for x in line_dedup.dedup_lines(spark.createDataFrame(docs, TEXT), min_copies=copies).collect()}
+    for (key, _), (removed, left) in zip(docs, brute.cut_lines(docs, 10, copies)):
+        assert (found[key].n_removed, found[key].text) == (removed, left), key
+    if copies == 2:
+        lines = [x for row in found.values() for x in row.text.split("\n") if x.strip()]
+        assert len(lines) == len(set(lines))
+
+
 def test_lines_of_edge_rows(spark):
     edge = brute.edge_rows()
     df = spark.createDataFrame(edge, brute.SCHEMA)

@@ -133,7 +133,9 @@ def test_pipeline_stages_against_plain_versions(spark, tmp_path):
     assert sum(p.length for p in pieces) == tokens and {p.doc_id for p in pieces} == set(after)
     ran = corpus_pipeline.run(spark, FOLDER)
     key = lambda p: (p.doc_id, p.start, p.length, p.ids_crc32)
-    assert sorted(map(key, ran.collect())) == sorted(map(key, pieces))
+    again = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(key, ran.collect())) == sorted(map(key, pieces))  # a later run leaves it readable
+    assert sorted(map(key, again.collect())) == sorted(map(key, pieces))
 
 
 def test_pipeline_stages_of_edge_rows(spark, tmp_path):
