@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,21 +15,28 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from paddock.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_working: dict[str, list[str]] = {}  # tables that the running stage has stored, by input folder
+_working: dict[str, list[str]] = {}  # tables that the stage before has stored, by input folder
 
 
-def stage(step: Stage) -> Stage:
-    """A stage that first removes the working tables of the stage before it, whose result has been written by now."""
+def stage(step: Stage, first: bool = False) -> Stage:
+    """A stage that first removes the working tables of the stage before it, whose result has been written by now.
+
+    The first stage begins a chain of its own and removes nothing, so an earlier run's result stays readable. Tables that
+    `docs` itself is still read from stay as well.
+    """
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        paths = _working.setdefault(sf_dir, [])
-        common.remove_paths(spark, paths)
-        with common.noting(paths):
+        before = [] if first else _working.get(sf_dir, [])
+        if before:
+            read = set(re.findall(r"paddock-llm-[0-9a-f]+", " ".join(docs.inputFiles())))
+            common.remove_paths(spark, [p for p in before if p.rsplit("/", 1)[-1] not in read])
+        mine = _working[sf_dir] = []
+        with common.noting(mine):
             return step(spark, docs, sf_dir)
 
     return run_stage
 
 
-@stage
+@partial(stage, first=True)
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.toxicity(docs, model).where("predicted = 0").select(*docs.columns)
