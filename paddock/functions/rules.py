@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paddock.functions.text import _col, strip, title_case
 
@@ -104,6 +104,12 @@ def points_for(
     return F.coalesce(out.otherwise(F.lit(0.0)), F.lit(0.0))
 
 
+def points_table(spark: SparkSession, regimes: Sequence[tuple[int, int, Sequence[int]]] = POINTS) -> DataFrame:
+    """The scales as a lookup table: first and last season, place, points."""
+    rows = [(first, last, place, float(p)) for first, last, scale in regimes for place, p in enumerate(scale, 1)]
+    return spark.createDataFrame(rows, "first_year int, last_year int, place int, points double")
+
+
 def flag(predicate: Column) -> Column:
     """1 where true, 0 where false or unknown."""
     return F.coalesce(predicate.cast("int"), F.lit(0))

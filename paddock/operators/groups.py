@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.operators.keys import ALL, value_bucket, with_keys_only
+from paddock.operators.keys import ALL, balanced_bucket, present, with_keys_only, without_nan
 from paddock.operators.ordered import running_totals
+from paddock.operators.selection import refined_quantiles
 
 
 def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
@@ -18,6 +19,15 @@ def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column])
     return df.join(table, keys, "left").select(*df.columns, *stats)
 
 
+def attach_bounded_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    """As attach_group_stats, for groups whose grain bounds them (a team's drivers in a race): one shuffle, no join."""
+    w = W.partitionBy(*keys)
+    known = with_keys_only(df, keys).withColumns({n: c.over(w) for n, c in stats.items()})
+    missing = [F.col(k).isNull() for k in keys]
+    rest = df.where(missing[0] if len(missing) == 1 else F.greatest(*missing))
+    return known.unionByName(rest, allowMissingColumns=True).select(*df.columns, *stats)
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by `order`.
 
@@ -29,56 +39,35 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]]
+    df: DataFrame, keys: list[str], aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]], *, bounded: bool = False
 ) -> DataFrame:
-    """Group aggregates together with exact interpolated quantiles, one row per group.
+    """Group aggregates together with exact interpolated quantiles, one row per group. NaN counts as no value.
 
-    Values are counted, numbered by a running total, and the two values round each wanted position are picked.
+    With `bounded` the caller states that the grain bounds every group (the stops of a driver in a race): one aggregate
+    holds a group's values. Otherwise groups can be of any size, and passes over cells of the number line find the
+    values, see `selection`.
     """
     data = with_keys_only(df, keys) if keys else df.withColumn(ALL, F.lit(0))
     by = keys or [ALL]
-    values = list(dict.fromkeys(c for c, _ in quantiles.values()))
-    picked = _quantiles_by_counting(data, by, values, quantiles)
-    result = data.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in aggs.items()])
-    return result.join(picked, by, "left").select(*keys, *aggs, *quantiles)
-
-
-def _quantiles_by_counting(
-    df: DataFrame, by: list[str], values: list[str], quantiles: dict[str, tuple[str, float]]
-) -> DataFrame:
-    """All columns in one pass: as (column number, value) rows, counted and numbered per group and column."""
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("__column"), F.col(c).cast("double").alias("__value")) for i, c in enumerate(values)
-    ])
-    keys = [*by, "__column"]
-    long = df.select(*by, F.inline(cells)).where("__value is not null")
-    counted = long.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
-    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    placed = running_totals(
-        counted, keys, ["__value"], {"__upto": "__n"}, bucket=value_bucket(F.col("__value"))).join(totals, keys)
-    v, upto, n = F.col("__value"), F.col("__upto"), F.col("__n")
-    picks, finals = [], []
-    for name, (column, p) in quantiles.items():
-        mine = F.col("__column") == values.index(column)
-        at = (F.col("__total") - 1).cast("double") * p
-        low, high = F.floor(at), F.ceil(at)
-        for side, index in (("lo", low), ("hi", high)):
-            here = mine & (upto - n <= index) & (index < upto)
-            picks.append(F.max(F.when(here, v)).alias(f"__{side}_{name}"))
-        picks.append(F.max(F.when(mine, at - low)).alias(f"__frac_{name}"))
-        lo, hi, frac = (F.col(f"__{s}_{name}") for s in ("lo", "hi", "frac"))
-        finals.append((lo + (hi - lo) * frac).alias(name))
-    return placed.groupBy(*by).agg(*picks).select(*by, *finals)
+    named = [c.alias(n) for n, c in aggs.items()]
+    if bounded:
+        exact = [F.percentile(present(F.col(c)), p).alias(n) for n, (c, p) in quantiles.items()]
+        return data.groupBy(*by).agg(*named, *exact).select(*keys, *aggs, *quantiles)
+    result = data.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *named)
+    if keys:
+        return result.join(refined_quantiles(data, by, quantiles), by, "left").select(*keys, *aggs, *quantiles)
+    return result.join(F.broadcast(refined_quantiles(df, [], quantiles))).select(*aggs, *quantiles)  # a row each
 
 
 def value_ranks(df: DataFrame, value: str, weight: Column | None = None) -> DataFrame:
     """Each distinct value with its count and its average rank over all rows (ties share the mean rank).
 
-    `weight` is the number of rows a row stands for, when `df` is already counted, without null values.
+    `weight` is the number of rows a row stands for, when `df` is already counted, without null or NaN values. Values are cut into
+    buckets of about equal numbers of distinct values, however near they lie to each other.
     """
-    rows = with_keys_only(df, [value]) if weight is None else df
+    rows = df.where(without_nan(df, value).isNotNull()) if weight is None else df
     n = F.sum(weight if weight is not None else F.lit(1)).cast("long")
     counted = rows.groupBy(value).agg(n.alias("n"))
-    return running_totals(counted, [], [value], {"upto": "n"}, bucket=value_bucket(F.col(value))).select(
+    return running_totals(counted, [], [value], {"upto": "n"}, bucket=balanced_bucket(counted, value)).select(
         value, "n", (F.col("upto") - (F.col("n") - 1) / 2).alias("avg_rank")
     )

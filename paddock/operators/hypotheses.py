@@ -17,7 +17,7 @@ from paddock.functions import tails
 from paddock.functions.tails import p_value, rank_sum_upper, student_two_sided
 from paddock.operators.groups import value_ranks
 from paddock.operators.ordered import running_totals
-from paddock.operators.keys import value_bucket, with_keys_only
+from paddock.operators.keys import balanced_bucket, present, with_keys_only, without_nan
 
 # The tail functions travel with the tasks, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(tails)
@@ -31,14 +31,30 @@ def _row(df: DataFrame, test: str, tail: str | Column, statistic: Column, dof: C
     )
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation with average ranks for ties.
+def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each combination of the columns with its number of rows, `weight`.
+
+    Tests on columns of few values can share this one aggregate, by `weight="weight"`: its shuffle is written once and read
+    by each.
+    """
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("weight"))
+
+
+def _weight(weight: str | None) -> Column:
+    return F.lit(1).cast("long") if weight is None else F.col(weight)
+
+
+def spearman(df: DataFrame, x: str, y: str, weight: str | None = None) -> DataFrame:
+    """Rank correlation with average ranks for ties. Rows with a null or NaN on either side are left out.
 
     Equal pairs are counted first, so the joins below work on distinct pairs; ranks come from the same
     counted pairs, whose shuffle Spark reuses. The mean rank is (n+1)/2, hence one pass over the pairs gives the correlation.
+    `weight` names the number of rows that a row stands for.
     """
-    both = with_keys_only(df.select(F.col(x).alias("x"), F.col(y).alias("y")), ["x", "y"])
-    pairs = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+    both = df.select(without_nan(df, x).alias("x"), without_nan(df, y).alias("y"), _weight(weight).alias("w"))
+    # Incomplete pairs weigh nothing and go after the count, so that a shared table of frequencies stays as it is.
+    complete = F.col("x").isNotNull() & F.col("y").isNotNull()
+    pairs = both.groupBy("x", "y").agg(F.sum(F.when(complete, F.col("w"))).alias("w")).where("w > 0")
     ranked = pairs
     for side in ("x", "y"):
         ranks = value_ranks(pairs, side, F.col("w"))
@@ -57,13 +73,30 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     return _row(out, "Spearman", "rho", rho, n - 2, F.col("n"), rho)
 
 
-def welch(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
-    """Two-sample t with unequal variances; effect is Cohen's d. Both samples in one pass."""
-    def part(name: str, where: Column) -> list[Column]:
-        v = F.when(where, F.col(value).cast("double"))
-        return [F.avg(v).alias(f"m{name}"), F.var_samp(v).alias(f"v{name}"), F.count(v).alias(f"n{name}")]
+def _moments(df: DataFrame, samples: dict[str, Column], weight: str | None) -> DataFrame:
+    """m, v and n (mean, sample variance, rows) of each named sample, in one row.
 
-    s = df.agg(*part("1", first), *part("2", second))
+    With `weight`, rows of one value count as many. Variances are merged from those of the values, whose own is nothing:
+    squares of the distances from a mean that a first, cheap aggregate finds, so that nothing cancels out.
+    """
+    if weight is None:
+        return df.agg(*[c for name, v in samples.items() for c in (
+            F.avg(v).alias(f"m{name}"), F.var_samp(v).alias(f"v{name}"), F.count(v).alias(f"n{name}"))])
+    w = F.col(weight)
+    first = df.agg(F.struct(*[F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w))).alias(f"m{name}") for name, v in samples.items()]).alias("m"))
+    means = first.select("m").scalar()
+    sums = df.agg(*[c for name, v in samples.items() for c in (
+        F.coalesce(F.sum(F.when(v.isNotNull(), w)), F.lit(0)).alias(f"n{name}"),
+        F.sum((v - means[f"m{name}"]) * (v - means[f"m{name}"]) * w).alias(f"s{name}"))])
+    return sums.select(*[c for name in samples for c in (
+        means[f"m{name}"].alias(f"m{name}"), F.col(f"n{name}"),
+        F.when(F.col(f"n{name}") > 1, F.col(f"s{name}") / (F.col(f"n{name}") - 1)).alias(f"v{name}"))])
+
+
+def welch(df: DataFrame, value: str, first: Column, second: Column, weight: str | None = None) -> DataFrame:
+    """Two-sample t with unequal variances; effect is Cohen's d. Both samples in one pass. NaN is no value."""
+    v = present(F.col(value))
+    s = _moments(df, {"1": F.when(first, v), "2": F.when(second, v)}, weight)
     m1, v1, n1, m2, v2, n2 = (F.col(c) for c in ("m1", "v1", "n1", "m2", "v2", "n2"))
     e1, e2 = F.try_divide(v1, n1), F.try_divide(v2, n2)
     dof = F.try_divide((e1 + e2) * (e1 + e2), F.try_divide(e1 * e1, n1 - 1) + F.try_divide(e2 * e2, n2 - 1))
@@ -73,14 +106,13 @@ def welch(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame
     )
 
 
-def one_sample_t(df: DataFrame, value: Column | str, mean: float = 0.0) -> DataFrame:
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    s = df.agg(F.avg(v).alias("m"), F.stddev_samp(v).alias("s"), F.count(v).alias("k"))
-    k, diff = F.col("k"), F.col("m") - mean
-    return _row(s, "one-sample t", "t", F.try_divide(diff, F.col("s") / F.sqrt("k")), k - 1, k, diff)
+def one_sample_t(df: DataFrame, value: Column | str, mean: float = 0.0, weight: str | None = None) -> DataFrame:
+    s = _moments(df, {"": present(F.col(value) if isinstance(value, str) else value)}, weight)
+    n, diff = F.col("n"), F.col("m") - mean
+    return _row(s, "one-sample t", "t", F.try_divide(diff, F.sqrt("v") / F.sqrt("n")), n - 1, n, diff)
 
 
-def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: bool = True) -> DataFrame:
+def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: bool = True, weight: str | None = None) -> DataFrame:
     """Independence of `row` and `column`, the latter limited to the listed values.
 
     Two aggregates and no join: the first gives the table, the second reduces it. With observed count O,
@@ -88,11 +120,13 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
     where all four cells deviate equally from expectation.
     """
     cells = [f"o{i}" for i in range(len(values))]
+    counted = F.col(row).isNotNull()
     table = (
-        df.where(F.col(row).isNotNull() & F.col(column).isin(list(values)))
-        .groupBy(row)
-        .agg(*[F.count_if(F.col(column) == v).cast("double").alias(c) for v, c in zip(values, cells)])
+        df.groupBy(row)
+        .agg(*[F.coalesce(F.sum(F.when(counted & (F.col(column) == v), _weight(weight))), F.lit(0)).cast("double").alias(c)
+               for v, c in zip(values, cells)])
         .withColumn("r", reduce(lambda a, b: a + b, [F.col(c) for c in cells]))
+        .where("r > 0")
     )
     s = table.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("r").alias("n"), F.sum(1 / F.col("r")).alias("inv_r"),
@@ -117,19 +151,18 @@ def chi_squared(df: DataFrame, row: str, column: str, values: Sequence, yates: b
 
 
 def mann_whitney(
-    df: DataFrame, value: str, first: Column, second: Column, alternative: str
+    df: DataFrame, value: str, first: Column, second: Column, alternative: str, weight: str | None = None
 ) -> DataFrame:
     """U of the first sample; `effect` is the normal score with tie and continuity correction.
 
     Values are counted per sample, then one running total says how many of the second sample lie below.
-    An empty sample gives null statistics.
+    Values may lie as near to each other as they like: the running total goes over buckets of about equal numbers of
+    distinct values. An empty sample gives null statistics.
     """
-    counted = (
-        df.where(F.col(value).isNotNull() & (first | second))
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count_if(first).alias("a"), F.count_if(second).alias("b"))
-    )
-    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bucket=value_bucket(F.col("v")))
+    v, w = present(F.col(value)), _weight(weight)
+    counted = df.where(v.isNotNull() & (first | second)).groupBy(v.alias("v")).agg(*[
+        F.coalesce(F.sum(F.when(side, w)), F.lit(0)).alias(n) for n, side in (("a", first), ("b", second))])
+    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bucket=balanced_bucket(counted, "v"))
     t = (F.col("a") + F.col("b")).cast("double")
     s = placed.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("n1"), F.coalesce(F.sum("b"), F.lit(0)).alias("n2"),

@@ -1,4 +1,4 @@
-"""Rows with and without keys, and an order-preserving bucket for numbers."""
+"""Rows with and without keys, and order-preserving cells and buckets for numbers."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ALL = "__all"
 STEPS = 1024  # buckets per doubling of a number
+COARSE, FINE = 1 << 12, 1 << 20  # cells per doubling, and cells within one of those
+LEAST, GREATEST = 5e-324, 1.7976931348623157e308
 
 
 def with_keys_only(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,3 +36,61 @@ def value_bucket(value: Column) -> Column:
     v = value.cast("double")
     steps = F.floor(F.log2(F.abs(v) + 1) * STEPS)
     return F.when(v < 0, -steps).otherwise(steps)
+
+
+def present(value: Column) -> Column:
+    """The value as a double, null for NaN: NaN means that there is no value."""
+    v = value.cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def without_nan(df: DataFrame, column: str) -> Column:
+    """The column, null for NaN; columns that cannot hold NaN are left as they are."""
+    c = F.col(column)
+    return F.when(~F.isnan(c), c) if dict(df.select(column).dtypes)[column] in ("double", "float") else c
+
+
+def _digits(value: Column) -> Column:
+    """Exponent and fraction of a number's size, exactly: the logarithm is put right where it rounds over a power of two."""
+    size = F.least(F.greatest(F.abs(value), F.lit(LEAST)), F.lit(GREATEST))
+    guess = F.floor(F.log2(size)).cast("double")
+    power = F.pow(F.lit(2.0), guess)
+    exponent = F.when(size < power, guess - 1).when(size / 2 >= power, guess + 1).otherwise(guess)
+    return F.struct(exponent.alias("exponent"), (size / F.pow(F.lit(2.0), exponent) - 1).alias("fraction"))
+
+
+def coarse_cell(value: Column) -> Column:
+    """Cell of a double, COARSE for each doubling, that never falls as the number grows; zero has cell zero."""
+    d = _digits(value)
+    cell = (d["exponent"] + 1100) * COARSE + F.floor(d["fraction"] * COARSE)
+    return (F.signum(value) * cell).cast("long")
+
+
+def fine_cell(value: Column) -> Column:
+    """Cell of a double within its coarse cell. At most 2^20 doubles share both."""
+    steps = _digits(value)["fraction"] * COARSE
+    return (F.signum(value) * F.floor((steps - F.floor(steps)) * FINE)).cast("long")
+
+
+def balanced_bucket(counted: DataFrame, value: str, parts: int | None = None) -> Column:
+    """A bucket that never falls as `value` grows and holds about 1/parts of the rows of `counted` at most.
+
+    Rows are first counted by coarse cell. A cell with more than its share is cut evenly between its least and greatest value;
+    at most `parts` cells are, so what a row looks up is bounded. Counts, least and greatest values are exact, so
+    the buckets are the same however often the counting is run. Infinite values have buckets of their own.
+    """
+    session = counted.sparkSession
+    parts = parts or 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(value).cast("double")
+    cells = counted.where(v.isNotNull() & (F.abs(v) <= GREATEST)).groupBy(coarse_cell(v).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    share = cells.agg(F.greatest(F.ceil(F.sum("n") / parts), F.lit(1)).alias("n")).select("n").scalar()
+    heavy = cells.where((F.col("n") > share) & (F.col("lo") < F.col("hi"))).select(
+        "cell", F.struct("lo", "hi", F.least(F.ceil(F.col("n") / share), F.lit(FINE - 1)).cast("double").alias("cuts")).alias("cut"))
+    table = heavy.agg(F.map_from_entries(F.collect_list(F.struct("cell", "cut"))).alias("cuts")).select("cuts").scalar()
+    cell = coarse_cell(v)
+    cut = F.try_element_at(table, cell)
+    inside = F.least(F.floor((v - cut["lo"]) / (cut["hi"] - cut["lo"]) * cut["cuts"]), F.lit(FINE - 1))
+    edge = 1 << 60
+    return (F.when(v > GREATEST, F.lit(edge)).when(v < -GREATEST, F.lit(-edge))
+            .otherwise(cell * FINE + F.when(cut.isNotNull(), F.greatest(inside, F.lit(0))).otherwise(0)).cast("long"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from paddock.operators.keys import ALL, same_keys, value_bucket
+from paddock.operators.keys import ALL, any_null, balanced_bucket, same_keys, value_bucket, without_nan
 
 BUCKET = "__bucket"
 RIGHT = "__right_"
@@ -94,45 +94,92 @@ def previous_values(
 
 
 def min_rank(
-    df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True, best: str | None = None
+    df: DataFrame, keys: list[str], value: str, out: str, *, descending: bool = True, best: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Competition rank (1, 2, 2, 4) of a numeric `value` in its group; `best` names the value of rank 1.
 
-    A null value has no rank and moves no other; rows with a null key have none. Equal values are counted together;
-    the rank of a value is one plus the number of rows before it, a running total over the counted values.
+    A null or NaN value has no rank and moves no other; rows with a null key have none. With `bounded` the caller states that
+    the grain bounds every group (the drivers of a race), and one window ranks it. Otherwise equal values are counted
+    together; the rank of a value is one plus the number of rows before it, a running total over the counted values.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    known = without_nan(df, value)
+    if bounded:
+        w = W.partitionBy(*keys)
+        last = known.desc_nulls_last() if descending else known.asc_nulls_last()
+        has = known.isNotNull() & ~any_null(keys) if keys else known.isNotNull()
+        ranked = df.withColumn(out, F.when(has, F.rank().over(w.orderBy(last))).cast(T.IntegerType()))
+        if best:
+            top = (F.max(known) if descending else F.min(known)).over(w)
+            ranked = ranked.withColumn(best, F.when(~any_null(keys), top) if keys else top)
+        return ranked.select(*df.columns, out, *([best] if best else []))
+    counted = df.where(known.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     sign = -1 if descending else 1
     order = [f"-{value}" if descending else value]
-    ranks = running_totals(counted, keys, order, {"__upto": "__n"}, bucket=sign * value_bucket(F.col(value))).select(
+    bucket = value_bucket(F.col(value)) if keys else balanced_bucket(counted, value)
+    ranks = running_totals(counted, keys, order, {"__upto": "__n"}, bucket=sign * bucket).select(
         *keys, value, (F.col("__upto") - F.col("__n") + 1).cast(T.IntegerType()).alias(out)
     )
-    ranked = df.join(ranks, [*keys, value], "left")
+    ranked = df.join(ranks, [*keys, value], "left") if keys else df.join(ranks, value, "left")
     if best:
         tops = counted.groupBy(*keys).agg((F.max(value) if descending else F.min(value)).alias(best))
-        ranked = ranked.join(tops, keys, "left")
+        ranked = ranked.join(tops, keys, "left") if keys else ranked.join(F.broadcast(tops))  # one row
     return ranked.select(*df.columns, out, *([best] if best else []))
 
 
-def rolling_mean(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, rows: int) -> DataFrame:
-    """Mean over the current and the `rows - 1` preceding rows present, one row being enough.
+def _with_halo(df: DataFrame, number: str, size: int, reach: int) -> DataFrame:
+    """Rows in ranges of `size` numbers, and copies of those within `reach` of a border in the range behind it."""
+    cell = lambda by: F.floor((F.col(number) - 1 + by) / size)
+    spread = F.explode(F.sequence(cell(-reach), cell(reach)))
+    return df.select("*", cell(0).alias("__home"), spread.alias(BUCKET))
 
-    For tables already at period grain (one row per entity and season), whose groups are calendar-bounded.
+
+def neighbours(
+    df: DataFrame, keys: list[str], number: str, wanted: dict[str, tuple[str, int]], *, size: int = 100_000
+) -> DataFrame:
+    """Values of rows at fixed distances: `wanted` maps output name to (column, distance), 1 being the preceding row.
+
+    `number` is the row number in the group, without gaps. A group is cut into ranges of numbers, each with copies of the few
+    rows beyond its borders, and one window per range sees all it needs: the rows are shuffled once, and no group
+    gathers in a task. Where no such row exists the value is null.
     """
-    w = W.partitionBy(*keys).orderBy(*order_columns(order)).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(out, F.avg(value).over(w))
+    reach = max(abs(d) for _, d in wanted.values())
+    if reach >= size:
+        raise ValueError("a range must be longer than the reach")
+    w = W.partitionBy(*keys, BUCKET).orderBy(number)
+    cut = _with_halo(df, number, size, reach)
+    found = cut.withColumns({n: F.lag(c, d).over(w) for n, (c, d) in wanted.items()})
+    return found.where(F.col(BUCKET) == F.col("__home")).select(*df.columns, *wanted)
+
+
+def rolling_mean(
+    df: DataFrame, keys: list[str], order: list[str], value: str, out: str, rows: int, *, number: str | None = None,
+    size: int = 100_000,
+) -> DataFrame:
+    """Mean over the current and the `rows - 1` preceding rows present, one row being enough; nulls are not counted.
+
+    Without `number` a group is one task's work: for tables at period grain (one row per entity and season), whose groups
+    the calendar bounds. With `number`, the row number in the group, groups can be of any length, see `neighbours`.
+    """
+    if number is None:
+        w = W.partitionBy(*keys).orderBy(*order_columns(order)).rowsBetween(-(rows - 1), 0)
+        return df.withColumn(out, F.avg(value).over(w))
+    w = W.partitionBy(*keys, BUCKET).orderBy(number).rowsBetween(-(rows - 1), 0)
+    found = _with_halo(df, number, size, rows - 1).withColumn(out, F.avg(value).over(w))
+    return found.where(F.col(BUCKET) == F.col("__home")).select(*df.columns, out)
 
 
 def around_events(
-    df: DataFrame, keys: list[str], number: str, event: str, reach: int, offset: str = "offset"
+    df: DataFrame, keys: list[str], number: str, event: str, reach: int, offset: str = "offset",
+    wanted: dict[str, tuple[str, int]] | None = None, *, size: int = 100_000,
 ) -> DataFrame:
-    """Rows within `reach` positions of each flagged row, with their offset from it.
+    """Rows within `reach` positions of each flagged row, with their offset from it; a row near two events comes twice.
 
-    `number` is the row number in the group. Each flagged row asks for its 2*reach+1 neighbours by number,
-    an equality join on (group, number) that spreads a long group over all tasks.
+    `number` is the row number in the group, without gaps; `wanted` are neighbours' values to add, as in `neighbours`. Each row
+    looks at the flags of the rows round it, so the events need no join.
     """
-    wanted = df.where(event).select(
-        *keys, F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias(offset), F.col(number).alias("__at")
-    )
-    wanted = wanted.select(*keys, offset, (F.col("__at") + F.col(offset)).alias(number))
-    return wanted.join(df, [*keys, number], "inner")
+    near = range(-reach, reach + 1)
+    flags = {f"__event{d}": (event, d) for d in near}
+    found = neighbours(df, keys, number, flags | (wanted or {}), size=size)
+    offsets = F.array(*[F.when(F.col(f"__event{d}"), F.lit(d)) for d in near])
+    return found.withColumn(offset, F.explode(F.array_compact(offsets))).drop(*flags)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.operators.groups import exact_quantiles, keep_first
 from paddock.operators.keys import value_bucket, with_keys_only
+from paddock.operators.selection import column_profile
 
 
 def count_rows(*keys: str):
@@ -127,19 +128,9 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, minimum, exact quartiles and maximum of each column, as rows."""
-    aggs, quantiles = {}, {}
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    for c in columns:
-        aggs |= {f"{c}__count": F.count(c), f"{c}__mean": F.avg(c), f"{c}__std": F.stddev_samp(c),
-                 f"{c}__min": F.min(c), f"{c}__max": F.max(c)}
-        quantiles |= {f"{c}__q25": (c, 0.25), f"{c}__q50": (c, 0.5), f"{c}__q75": (c, 0.75)}
-    wide = exact_quantiles(data, [], aggs, quantiles)
-    parts = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{p}").alias(p) for p in parts]) for c in columns
-    ])
-    return wide.select(F.inline(rows))
+    """Count, mean, standard deviation, minimum, exact quartiles and maximum of each column, as rows. NaN is no value."""
+    found = column_profile(df, list(columns), {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return found.select("column_name", F.col("n").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def _lap_events(t: Tables) -> DataFrame:
     ).distinct()
     joined = numbered.select("driverId", "lap", "position").join(stops, ["driverId", "lap"], "left")
     joined = joined.withColumn("pit_stop_lap", F.coalesce("pit_stop_lap", F.lit(False)))
-    return metrics.position_changes(joined, ["driverId"], ["lap"])
+    return metrics.position_changes(joined, ["driverId"], ["lap"], number="lap")
 
 
 @query("event_study", f"""WITH {L}, c AS (
@@ -66,8 +66,9 @@ SELECT CAST(c.lap - p.lap AS INT) AS "offset", count(*) AS n, avg(c.position) AS
 FROM l p JOIN c ON p."driverId" = c."driverId" AND c.lap BETWEEN p.lap - 2 AND p.lap + 2
 WHERE p.pit_stop_lap GROUP BY ALL""", "avg_position avg_change")
 def _event_study(t: Tables) -> DataFrame:
-    changed = metrics.position_changes(laps(t), ["driverId"], ["lap"])
-    near = around_events(changed, ["driverId"], "lap", "pit_stop_lap", 2)
+    near = around_events(
+        laps(t), ["driverId"], "lap", "pit_stop_lap", 2, wanted={"prev_position": ("position", 1)}, size=metrics.LAPS)
+    near = near.withColumn("position_change", F.col("prev_position") - F.col("position"))
     return near.groupBy("offset").agg(
         F.count(F.lit(1)).alias("n"), F.avg("position").alias("avg_position"),
         F.avg("position_change").alias("avg_change"),

@@ -8,11 +8,11 @@ from paddock.functions import rules
 from paddock.operators import summaries as S
 from paddock.operators.joins import Dimension, attach_distinct, star_join
 from paddock.operators.ordered import min_rank, running_totals
-from paddock.plans import metrics
+from paddock.plans import joined, metrics
 from paddock.plans.catalog import GAPS, L, PITS, SEASON, TEAMS, query
 from paddock.plans.catalog_events import pits
 from paddock.plans.catalog_results import alpha, gaps, reliability
-from paddock.plans.views import Tables, laps
+from paddock.plans.views import ERAS, Tables, laps
 
 ENTERED = PITS + """, entered AS (
   SELECT p.*, c_name, n_name AS place FROM pits p LEFT JOIN customer ON p."driverId" = c_custkey
@@ -128,3 +128,41 @@ def _null_ranks(t: Tables) -> DataFrame:
     ran = running_totals(rows, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], {"total": "v"},
                          bucket=F.floor(F.col("l_orderkey") / 100_000))
     return min_rank(ran, ["l_suppkey"], "v", "place").select("l_orderkey", "l_linenumber", "total", "place")
+
+
+@query("lap_join", """
+WITH stops AS (
+  SELECT event_id AS race, CAST(user_id % 100 + 1 AS BIGINT) AS driver, CAST(hour(ts) % 7 + 1 AS BIGINT) AS lap,
+    CAST(round(value * 1000) AS BIGINT) AS ms FROM events WHERE round(value * 1000) BETWEEN 2000 AND 120000), laps AS (
+  SELECT l_orderkey AS "raceId", l_suppkey AS "driverId", CAST(l_linenumber AS BIGINT) AS lap, CAST(l_partkey % 20 AS INT) AS position,
+    CAST(year(o_orderdate) AS INT) AS year, s_name AS full_name, s_nationkey AS "constructorId", n_name AS constructor_name,
+    floor(l_extendedprice) / 1000 AS lap_time_sec, ms AS pit_duration_ms
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN nation ON s_nationkey = n_nationkey
+    LEFT JOIN stops ON race = l_orderkey AND driver = l_suppkey AND stops.lap = l_linenumber)
+SELECT *, pit_duration_ms IS NOT NULL AS pit_stop_lap, lag(position) OVER w AS prev_position,
+  lag(position) OVER w - position AS position_change
+FROM laps WINDOW w AS (PARTITION BY "raceId", "driverId" ORDER BY lap, pit_duration_ms NULLS FIRST)""", "lap_time_sec")
+def _lap_join(t: Tables) -> DataFrame:
+    """The joined lap table, built from order lines as laps and events as pit stops."""
+    order = F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId")
+    stops = t.events.select(
+        F.col("event_id").alias("raceId"), (F.col("user_id") % 100 + 1).cast("long").alias("driverId"),
+        (F.hour("ts") % 7 + 1).cast("long").alias("lap"), F.round(F.col("value") * 1000).cast("bigint").alias("milliseconds"),
+    ).withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
+    tables = {
+        "lap_times": t.lineitem.select(
+            *order, F.col("l_linenumber").cast("long").alias("lap"), (F.col("l_partkey") % 20).cast("int").alias("position"),
+            F.floor("l_extendedprice").alias("milliseconds")),
+        "races": t.orders.select(
+            F.col("o_orderkey").alias("raceId"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("round"),
+            F.col("o_orderpriority").alias("race_name"), rules.bucket_label(F.year("o_orderdate"), ERAS).alias("era")),
+        "drivers": t.supplier.select(F.col("s_suppkey").alias("driverId"), F.col("s_name").alias("full_name")),
+        "results": t.lineitem.select(*order).join(
+            t.supplier.select(F.col("s_suppkey").alias("driverId"), F.col("s_nationkey").alias("constructorId")), "driverId"),
+        "constructors": t.nation.select(F.col("n_nationkey").alias("constructorId"), F.col("n_name").alias("constructor_name")),
+        "pit_stops": stops,
+    }
+    return joined.lap_by_lap(tables).select(
+        "raceId", "driverId", "lap", "position", "year", "full_name", "constructorId", "constructor_name", "lap_time_sec",
+        "pit_duration_ms", "pit_stop_lap", "prev_position", "position_change")

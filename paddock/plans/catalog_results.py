@@ -39,7 +39,7 @@ def standings(t: Tables) -> DataFrame:
 
 def lost(t: Tables, *columns: str) -> DataFrame:
     e = entries(t, *dict.fromkeys(["year", "positionOrder", "is_dnf", *columns]))
-    return e.withColumn("potential_points_lost", metrics.points_lost(POINTS))
+    return metrics.with_points_lost(e, rules.points_table(t.spark, POINTS))
 
 
 def reliability(t: Tables) -> DataFrame:
@@ -137,9 +137,10 @@ def _prod_rename(t: Tables) -> DataFrame:
 SELECT * FROM totals LEFT JOIN career USING ("driverId") LEFT JOIN record USING ("driverId")""",
        "TotalPoints AvgFinishPos AvgGridDelta PPR WinRate PodiumRate DNFRate CareerAlpha QualWinPct MedianQ1Ms")
 def _career_summary(t: Tables) -> DataFrame:
-    e = entries(t, "driverId", "full_name", "raceId", "points", "is_win", "is_podium", "is_dnf", "positionOrder",
-                "grid_vs_finish")
-    return metrics.career_summary(e, alpha(t), gaps(t), min_sessions=600)
+    """Here entries carry their own qualifying times, so they are read once for totals and record, and once for alpha."""
+    e = entries(t, *GAP_COLUMNS, "points", "is_win", "is_podium", "is_dnf", "grid_vs_finish")
+    summary = metrics.career_summary(metrics.team_gap(e), alpha(t), min_sessions=600)
+    return attach_team(t, summary).withColumnRenamed("full_name", "Driver").drop("constructorId", "constructor_name")
 
 
 @query("team_gap", f"""WITH {GAPS}

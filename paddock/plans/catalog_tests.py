@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.operators import hypotheses as H, summaries as S
-from paddock.plans import metrics
+from paddock.plans import hypotheses, metrics
 from paddock.plans.catalog import E, GAPS, PITS, TABLE, query
 from paddock.plans.catalog_events import pits
 from paddock.plans.catalog_results import gaps, standings
@@ -20,31 +20,49 @@ def _core(row: DataFrame) -> DataFrame:
     return row.select(*CORE)
 
 
-def spearman(t: Tables) -> DataFrame:
+FACTORS = ("grid", "positionOrder", "points", "era", "is_win", "is_dnf")  # columns of few values
+
+
+def frequencies(t: Tables) -> DataFrame:
+    """How many entries have each combination of the tested columns; several tests share this one table."""
+    return H.frequencies(entries(t, *FACTORS), FACTORS)
+
+
+def spearman(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    if counted is not None:
+        return H.spearman(counted, "grid", "positionOrder", "weight")
     return H.spearman(entries(t, "grid", "positionOrder"), "grid", "positionOrder")
 
 
-def welch(t: Tables) -> DataFrame:
-    return H.welch(entries(t, "points", "grid"), "points", F.col("grid") <= 5, F.col("grid") > 5)
+def welch(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    sides = F.col("grid") <= 5, F.col("grid") > 5
+    if counted is not None:
+        return H.welch(counted, "points", *sides, "weight")
+    return H.welch(entries(t, "points", "grid"), "points", *sides)
 
 
-def one_sample(t: Tables) -> DataFrame:
+def one_sample(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    if counted is not None:
+        return H.one_sample_t(counted, F.col("points") - 25, weight="weight")
     return H.one_sample_t(entries(t, "points"), F.col("points") - 25)
 
 
-def chi2_rxc(t: Tables) -> DataFrame:
+def chi2_rxc(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    if counted is not None:
+        return H.chi_squared(counted, "era", "is_win", [0, 1], weight="weight")
     return H.chi_squared(entries(t, "era", "is_win"), "era", "is_win", [0, 1])
 
 
-def chi2_2x2(t: Tables) -> DataFrame:
-    e = entries(t, "era", "is_dnf").where(F.col("era").isin("V10", "Hybrid"))
-    return H.chi_squared(e, "era", "is_dnf", [0, 1])
+def chi2_2x2(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    e = entries(t, "era", "is_dnf") if counted is None else counted
+    two = e.withColumn("era", F.when(F.col("era").isin("V10", "Hybrid"), F.col("era")))  # a null era is not counted
+    return H.chi_squared(two, "era", "is_dnf", [0, 1], weight=None if counted is None else "weight")
 
 
-def mann_whitney(t: Tables) -> DataFrame:
-    table = standings(t)
+def mann_whitney(t: Tables, counted: DataFrame | None = None) -> DataFrame:
+    """On standings, which no table of entries has."""
     return H.mann_whitney(
-        table, "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
+        standings(t), "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
     )
 
 
@@ -157,7 +175,8 @@ def _log_sql() -> str:
 
 
 def log(t: Tables) -> DataFrame:
-    return H.report({name: (name, build(t)) for name, (build, _) in TESTS.items()})
+    counted = frequencies(t)
+    return H.report({name: (name, build(t, counted)) for name, (build, _) in TESTS.items()})
 
 
 @query("hypothesis_log", _log_sql(), "statistic")
@@ -215,3 +234,15 @@ def _ols_multi(t: Tables) -> DataFrame:
        "coef std_err t r_squared")
 def _ols_pit(t: Tables) -> DataFrame:
     return H.least_squares(pits(t), "total_pit_sec", ["first_pit_lap", "total_stops"]).drop("p_value")
+
+
+POINTED = PITS + """, pointed AS (
+  SELECT pits.*, c_acctbal AS points FROM pits JOIN customer ON "driverId" = c_custkey WHERE c_acctbal IS NOT NULL)"""
+
+
+@query("ols_points", _ols2_sql(POINTED, "points", "first_pit_lap", "total_stops", "pointed", ("first_pit_lap", "total_stops")),
+       "coef std_err t r_squared")
+def _ols_points(t: Tables) -> DataFrame:
+    """What a driver's account holds, as points, on the first stop and the number of stops."""
+    points = t.customer.select(F.col("c_custkey").alias("driverId"), F.col("c_acctbal").alias("points"))
+    return hypotheses.pit_model(pits(t).join(points, "driverId", "left")).drop("p_value")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paddock.functions.rules import percent_of
 from paddock.operators.joins import require_unique
+from paddock.operators.keys import with_keys_only
 from paddock.operators.summaries import missing_columns, mostly_null, rename_known
 from paddock.plans import metrics
 from paddock.plans.joined import Options
@@ -92,34 +93,29 @@ def master(j: dict[str, DataFrame], options: Options = Options()) -> DataFrame:
 
 
 def wide_master(j: dict[str, DataFrame], options: Options = Options()) -> DataFrame:
-    """The documented wider flat table: alpha of the team with most races, plus pit, reliability and team columns."""
+    """The documented wider flat table: every column of the joined tables at entry grain, alpha of the team with most races.
+
+    Everything that is joined must have unique keys, or entries would repeat.
+    """
     from paddock.operators.summaries import keep_max
 
+    for name, keys in (("J3_qualifying_analysis", ["raceId", "driverId"]), ("J5_pit_strategy", ["raceId", "driverId"]),
+                       ("J7_reliability_dnf", ["resultId"]), ("J8_constructor_reliability", ["constructorId", "year"])):
+        require_unique(with_keys_only(j[name], keys), keys, name)
+
     order = [F.col("resultId")] if options.keep == "first" else [F.desc("resultId")]
-    alpha = keep_max(j["J2_driver_alpha"], ["driverId", "year"], "races", ["constructorId"]).select(
-        "driverId", "year", "driver_alpha", "career_alpha", "ppr", "constructor_avg_ppr", "win_rate",
-        "season_points", "avg_finish_pos",
-    )
-    table = metrics.keep_first(j["J4_championship_progression"], ["raceId", "driverId"], order).select(
-        "raceId", "driverId", "cumulative_points", "cumulative_wins", "championship_pos", "gap_to_leader"
-    )
-    pits = j["J5_pit_strategy"].select(
-        "raceId", "driverId", "total_stops", "median_pit_sec", "total_pit_sec", "first_pit_lap", "strategy"
-    )
-    extras = j["J7_reliability_dnf"].select("resultId", "total_race_laps", "laps_pct_completed", "potential_points_lost")
-    team = j["J8_constructor_reliability"].select(
-        "constructorId", "year", "reliability_index", "mechanical_dnf_rate", "rolling3_reliability"
-    )
-    gaps = j["J3_qualifying_analysis"].select(
-        "raceId", "driverId", "q1_ms", "q2_ms", "q3_ms", "best_qual_ms", "q1_vs_team_avg_ms", "reached_q2",
-        "reached_q3",
-    )
-    return (
-        j["J1_master_race_results"].join(alpha, ["driverId", "year"], "left")
-        .join(gaps, ["raceId", "driverId"], "left").join(table, ["raceId", "driverId"], "left")
-        .join(pits, ["raceId", "driverId"], "left").join(extras, "resultId", "left")
-        .join(team, ["constructorId", "year"], "left")
-    )
+    parts = [
+        (keep_max(j["J2_driver_alpha"], ["driverId", "year"], "races", ["constructorId"]), ["driverId", "year"]),
+        (j["J3_qualifying_analysis"], ["raceId", "driverId"]),
+        (metrics.keep_first(j["J4_championship_progression"], ["raceId", "driverId"], order), ["raceId", "driverId"]),
+        (j["J5_pit_strategy"], ["raceId", "driverId"]),
+        (j["J7_reliability_dnf"], ["resultId"]),
+        (j["J8_constructor_reliability"], ["constructorId", "year"]),
+    ]
+    out = j["J1_master_race_results"]
+    for table, keys in parts:  # a column that is there already is the entry's own
+        out = out.join(table.select(*keys, *[c for c in table.columns if c not in out.columns]), keys, "left")
+    return out
 
 
 def season_with_career(season: DataFrame, career: DataFrame) -> DataFrame:

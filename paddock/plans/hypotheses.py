@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from paddock.operators import hypotheses as tests
@@ -67,6 +69,11 @@ def hypothesis_log(j: dict[str, DataFrame]) -> DataFrame:
     return tests.report({h: (TEXTS[h], row) for h, row in run_tests(j).items()})
 
 
+def pit_model(j5: DataFrame) -> DataFrame:
+    """Points on the lap of the first stop and the number of stops."""
+    return tests.least_squares(j5, "points", ["first_pit_lap", "total_stops"])
+
+
 def regressions(j: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Points on grid; points on grid and era code; points on first stop and number of stops."""
     j1 = j["J1_master_race_results"].dropna(subset=["grid", "points", "era"])
@@ -74,7 +81,7 @@ def regressions(j: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "grid": tests.least_squares(j["J1_master_race_results"], "points", ["grid"]),
         "grid_era": tests.least_squares(j1.join(codes, "era", "left"), "points", ["grid", "era_code"]),
-        "pit": tests.least_squares(j["J5_pit_strategy"], "points", ["first_pit_lap", "total_stops"]),
+        "pit": pit_model(j["J5_pit_strategy"]),
     }
 
 
@@ -124,9 +131,20 @@ def reliability_pivot(j8: DataFrame) -> DataFrame:
 
 
 def build_all(j: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All report tables: test log, KPIs, regressions, the bins and pivot behind the charts, and the open questions."""
+    fits = regressions(j)
+    terms = reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("model"), *df.columns) for n, df in fits.items()])
+    open_ = proposed(j)
+    compared = tests.report({n: (n, open_[n]) for n in ("gap_points", "stops_finish")})
     return {
         "hypothesis_testing_results": hypothesis_log(j),
         "KPI_pit_strategy": kpi_pit_strategy(j["J5_pit_strategy"]),
         "KPI_dnf_by_era": kpi_by_era(j["J8_constructor_reliability"]),
         "KPI_driver_career": kpi_driver_career(j["J2_driver_alpha"]),
+        "regression_terms": terms,
+        "pit_duration_bins": pit_duration_bins(j["J5_pit_strategy"]),
+        "reliability_pivot": reliability_pivot(j["J8_constructor_reliability"]),
+        "open_questions": compared,
+        "mechanical_by_decade": open_["mechanical_by_decade"],
+        "rank_carry_over": open_["carry_over"],
     }

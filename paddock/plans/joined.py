@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paddock.functions import rules, text, times
 from paddock.operators.joins import Dimension, attach_distinct, require_unique, star_join, with_membership
+from paddock.operators.keys import any_null, with_keys_only
 from paddock.plans import metrics
 
 RACE_COLUMNS = ["race_name", "year", "round", "circuitId", "era"]
@@ -136,25 +137,49 @@ def pit_strategy(t: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+LAP_KEYS = ["raceId", "driverId"]
+
+
 def lap_by_lap(t: dict[str, DataFrame], options: Options = Options()) -> DataFrame:
-    """Laps with their pit stop, if any, and the places gained on each lap."""
+    """Laps with their pit stop, if any, and the places gained on each lap.
+
+    Names and stops are first put on one row per driver and race, whose stops are a short list. Laps then meet that row in one
+    join by (race, driver), look their stop up in its list, and the lag over the same keys needs no other layout: laps
+    are shuffled once, and not at all if they are stored in buckets of these keys (`sources.tables.save_bucketed`).
+    """
+    laps = t["lap_times"]
+    whole = with_keys_only(laps, LAP_KEYS)
+    entries = _lap_entries(t, whole.select(*LAP_KEYS).distinct(), options)
+    # A lap without a race or driver has no entry; what it does have is looked up for it alone.
+    rest = laps.where(any_null(LAP_KEYS))
+    alone = _lap_entries(t, rest.select(*LAP_KEYS).distinct(), options)
+    renamed = alone.withColumnsRenamed({k: f"__{k}" for k in LAP_KEYS})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in LAP_KEYS]
+    parts = [whole.join(entries, LAP_KEYS, "left"), rest.join(renamed, same, "left").drop(*[f"__{k}" for k in LAP_KEYS])]
+    return _with_stops(parts[0]).unionByName(_with_stops(parts[1]))
+
+
+def _lap_entries(t: dict[str, DataFrame], keys: DataFrame, options: Options) -> DataFrame:
     stops = t["pit_stops"] if options.pit_filter == "all" else t["pit_stops"].where("is_valid_stop")
-    stops = stops.select(
-        "raceId", "driverId", "lap", F.col("milliseconds").alias("pit_duration_ms"),
-        F.lit(True).alias("pit_stop_lap"), "is_valid_stop",
-    )
-    laps = star_join(t["lap_times"], [
+    lists = with_keys_only(stops, [*LAP_KEYS, "lap"]).groupBy(*LAP_KEYS).agg(
+        F.collect_list(F.struct("lap", F.col("milliseconds").alias("pit_duration_ms"), "is_valid_stop")).alias("__stops"))
+    named = star_join(keys, [
         Dimension(t["races"], {"raceId": "raceId"}, ["year", "round", "race_name", "era"]),
         Dimension(t["drivers"], {"driverId": "driverId"}, ["full_name"]),
     ])
-    laps = attach_distinct(laps, t["results"], ["raceId", "driverId"], ["constructorId"])
-    laps = star_join(laps, [
-        Dimension(t["constructors"], {"constructorId": "constructorId"}, ["constructor_name"]),
-    ]).join(stops, ["raceId", "driverId", "lap"], "left")
-    laps = laps.withColumns({
-        "pit_stop_lap": F.coalesce("pit_stop_lap", F.lit(False)), "lap_time_sec": F.col("milliseconds") / 1000,
-    })
-    return metrics.position_changes(laps, ["raceId", "driverId"], ["lap", "constructorId", "pit_duration_ms"])
+    named = attach_distinct(named, t["results"], LAP_KEYS, ["constructorId"])
+    named = star_join(named, [Dimension(t["constructors"], {"constructorId": "constructorId"}, ["constructor_name"])])
+    return named.join(lists, LAP_KEYS, "left")
+
+
+def _with_stops(laps: DataFrame) -> DataFrame:
+    """Laps with the list of their race's stops: one row per stop on the lap or one without, and places gained."""
+    mine = F.filter("__stops", lambda s: s["lap"] == F.col("lap"))
+    out = laps.withColumn("__stop", F.explode_outer(mine)).withColumns({
+        "pit_duration_ms": F.col("__stop.pit_duration_ms"), "is_valid_stop": F.col("__stop.is_valid_stop"),
+        "pit_stop_lap": F.col("__stop").isNotNull(), "lap_time_sec": F.col("milliseconds") / 1000,
+    }).drop("__stop", "__stops")
+    return metrics.position_changes(out, LAP_KEYS, ["lap", "constructorId", "pit_duration_ms"], bounded=True)
 
 
 def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFrame:
@@ -165,7 +190,7 @@ def reliability_entries(j1: DataFrame, options: Options = Options()) -> DataFram
         "is_win", "is_podium",
     ]
     out = metrics.race_completion(j1.select(*columns))
-    return out.withColumn("potential_points_lost", metrics.points_lost(options.points_regimes))
+    return metrics.with_points_lost(out, rules.points_table(j1.sparkSession, options.points_regimes))
 
 
 def constructor_reliability(j7: DataFrame) -> DataFrame:

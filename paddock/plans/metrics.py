@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions import rules
 from paddock.functions.rules import ACCIDENT_DNF, MECHANICAL_DNF, OTHER_DNF, flag, percent_of, ratio
-from paddock.operators.groups import attach_group_stats, exact_quantiles, keep_first
-from paddock.operators.ordered import min_rank, previous_values, rolling_mean, running_totals
+from paddock.operators.groups import attach_bounded_stats, attach_group_stats, exact_quantiles, keep_first
+from paddock.operators.ordered import min_rank, neighbours, previous_values, rolling_mean, running_totals
+from paddock.operators.intervals import attach_by_range, require_disjoint
 from paddock.operators.keys import any_null, with_keys_only
 from paddock.operators.summaries import grouped
 
@@ -53,14 +54,13 @@ def season_stats(entries: DataFrame, keys: Sequence[str] = SEASON_KEYS) -> DataF
 
 def with_alpha(season: DataFrame) -> DataFrame:
     """Points per race above the mean of the team's drivers in that season."""
-    out = attach_group_stats(
-        season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")}, )
+    out = attach_bounded_stats(season, ["constructorId", "year"], {"constructor_avg_ppr": F.avg("ppr")})
     return out.withColumn("driver_alpha", F.col("ppr") - F.col("constructor_avg_ppr"))
 
 
 def with_career(alpha: DataFrame) -> DataFrame:
     """Career figures on each season row."""
-    out = attach_group_stats(alpha, ["driverId"], {
+    out = attach_bounded_stats(alpha, ["driverId"], {
         "career_alpha": F.avg("driver_alpha"),
         "avg_ppr": F.avg("ppr"),
         "total_races": F.sum("races"),
@@ -89,10 +89,11 @@ def career_stats(alpha: DataFrame) -> DataFrame:
 
 
 def team_gap(qualifying: DataFrame) -> DataFrame:
-    """First-session time against the team's mean in that race, and which sessions were reached."""
-    out = attach_group_stats(
-        qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")}
-    )
+    """First-session time against the team's mean in that race, and which sessions were reached.
+
+    A team enters a few drivers in a race, so a window sees them all after one shuffle.
+    """
+    out = attach_bounded_stats(qualifying, ["raceId", "constructorId"], {"__team": F.avg("q1_ms")})
     return out.withColumns({
         "q1_vs_team_avg_ms": F.col("q1_ms") - F.col("__team"),
         "reached_q2": F.col("q2_ms").isNotNull().cast("int"),
@@ -101,12 +102,12 @@ def team_gap(qualifying: DataFrame) -> DataFrame:
 
 
 def qualifying_record(gaps: DataFrame, min_sessions: int) -> DataFrame:
-    """Share of sessions faster than the team, for drivers with enough sessions."""
+    """Share of sessions faster than the team, for drivers with enough sessions. A driver's career bounds the group."""
     out = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()),
         ["driverId"],
         {"q_sessions": F.count("q1_vs_team_avg_ms"), "q1_faster": F.count_if(F.col("q1_vs_team_avg_ms") < 0)},
-        {"MedianQ1Ms": ("q1_ms", 0.5)},
+        {"MedianQ1Ms": ("q1_ms", 0.5)}, bounded=True,
     )
     return out.where(F.col("q_sessions") >= min_sessions).withColumn(
         "QualWinPct", F.col("q1_faster") / F.col("q_sessions") * 100
@@ -117,14 +118,14 @@ def standings(entries: DataFrame, tie_order: list[str] | None = None) -> DataFra
     """Running points and wins of a driver in a season, rank in the round and gap to the leader.
 
     `tie_order` orders several rows of a driver in one round. Rows without season, round or driver stay, without
-    a standing.
+    a standing. A driver's season and a round's drivers are bounded by the calendar and the grid, so each is one window.
     """
     keys = ["year", "round", "driverId"]
     ran = running_totals(
         with_keys_only(entries, keys), ["year", "driverId"], ["round", *(tie_order or [])],
-        {"cumulative_points": "points", "cumulative_wins": "is_win"}, bucket=F.col("round"),
+        {"cumulative_points": "points", "cumulative_wins": "is_win"},
     )
-    led = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", best="__lead")
+    led = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", best="__lead", bounded=True)
     placed = led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
     return placed.unionByName(entries.where(any_null(keys)), allowMissingColumns=True)
 
@@ -140,7 +141,7 @@ def pit_summary(valid_stops: DataFrame) -> DataFrame:
             "first_pit_lap": F.min("lap"),
             "last_pit_lap": F.max("lap"),
         },
-        {"median_pit_ms": ("milliseconds", 0.5)},
+        {"median_pit_ms": ("milliseconds", 0.5)}, bounded=True,
     )
     return out.withColumns({
         "total_pit_sec": F.col("total_pit_ms") / 1000,
@@ -157,20 +158,36 @@ def by_laps(lap: str = "lap") -> Column:
     return F.floor(F.col(lap) / LAPS)
 
 
-def position_changes(laps: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Position on the previous lap and places gained since (positive is a gain). `order` begins with the lap."""
-    out = previous_values(laps, keys, order, {"prev_position": "position"}, bucket=by_laps(order[0]))
+def position_changes(laps: DataFrame, keys: list[str], order: list[str], *, bounded: bool = False, number: str | None = None) -> DataFrame:
+    """Position on the previous lap and places gained since (positive is a gain). `order` begins with the lap.
+
+    With `bounded` the keys name a driver's laps in one race, which one window sees. With `number`, laps numbered without
+    gaps, ranges of laps with copies at their borders do. Otherwise laps may be missing and any number of them follow.
+    """
+    if number is not None:
+        out = neighbours(laps, keys, number, {"prev_position": ("position", 1)}, size=LAPS)
+    else:
+        out = previous_values(laps, keys, order, {"prev_position": "position"}, bucket=None if bounded else by_laps(order[0]))
     return out.withColumn("position_change", F.col("prev_position") - F.col("position"))
 
 
 def race_completion(entries: DataFrame) -> DataFrame:
-    out = attach_group_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")})
+    out = attach_bounded_stats(entries, ["raceId"], {"total_race_laps": F.max("laps")})
     return out.withColumn("laps_pct_completed", percent_of("laps", "total_race_laps"))
 
 
-def points_lost(regimes=rules.POINTS) -> Column:
-    """Points the final position would have brought, for retirements only."""
-    return F.when(F.col("is_dnf") == 1, rules.points_for("year", "positionOrder", regimes)).otherwise(F.lit(0.0))
+def with_points_lost(entries: DataFrame, scales: DataFrame) -> DataFrame:
+    """Points the final position would have brought, for retirements only, from a table of scales by season and place.
+
+    The table has first_year, last_year, place, points; its seasons must not overlap within a place.
+    """
+    require_disjoint(scales, ["place"], "first_year", "last_year")
+    names = {"points": "__lost", "place": "__place"}
+    found = attach_by_range(
+        entries.withColumn("__year", F.col("year").cast("int")).withColumn("__at", F.col("positionOrder").cast("int")),
+        scales.withColumnsRenamed(names), "__year", "first_year", "last_year", ["__lost"], {"__at": "__place"})
+    lost = F.when(F.col("is_dnf") == 1, F.coalesce("__lost", F.lit(0.0))).otherwise(F.lit(0.0))
+    return found.withColumn("potential_points_lost", lost).select(*entries.columns, "potential_points_lost")
 
 
 def retirement_counts(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -202,7 +219,7 @@ def reliability_index(counts: DataFrame) -> DataFrame:
     season = with_keys_only(counts, ["constructorId", "era"]).groupBy(*TEAM_SEASON).agg(
         *[F.sum(c).alias(c) for c in COUNTS]
     )
-    era = attach_group_stats(season, ["constructorId", "era"], {
+    era = attach_bounded_stats(season, ["constructorId", "era"], {
         "__entries": F.sum("entries"), "__dnfs": F.sum("total_dnfs"), "__mech": F.sum("mechanical_dnfs"),
     })
     rates = with_keys_only(era, ["constructor_name", "year"]).withColumns({
@@ -218,10 +235,14 @@ def reliability_index(counts: DataFrame) -> DataFrame:
 
 
 def career_summary(
-    entries: DataFrame, alpha: DataFrame, gaps: DataFrame, min_sessions: int = 30
+    entries: DataFrame, alpha: DataFrame, gaps: DataFrame | None = None, min_sessions: int = 30
 ) -> DataFrame:
-    """Dashboard row per driver: totals, rates, career alpha, qualifying record."""
-    totals = grouped(entries, ["driverId", "full_name"], {
+    """Dashboard row per driver: totals, rates, career alpha, qualifying record.
+
+    Without `gaps` the entries themselves carry the qualifying times and gaps, and one aggregate gives totals and record.
+    Names must go with the driver; they are taken from the aggregate's rows.
+    """
+    totals = {
         "TotalRaces": F.count("raceId"),
         "TotalPoints": F.sum("points"),
         "TotalWins": F.sum("is_win"),
@@ -229,18 +250,28 @@ def career_summary(
         "TotalDNFs": F.sum("is_dnf"),
         "AvgFinishPos": F.avg("positionOrder"),
         "AvgGridDelta": F.avg("grid_vs_finish"),
-    }).withColumns({
+    }
+    names = [c for c in ("full_name",) if c in entries.columns]
+    if gaps is None:
+        faster = F.col("q1_vs_team_avg_ms")
+        timed = entries.withColumn("__q1", F.when(faster.isNotNull(), F.col("q1_ms")))
+        enough = F.col("__sessions") >= min_sessions
+        out = exact_quantiles(
+            timed, ["driverId", *names], totals | {"__sessions": F.count(faster), "__faster": F.count_if(faster < 0)},
+            {"__median": ("__q1", 0.5)}, bounded=True,
+        ).withColumns({
+            "QualWinPct": F.when(enough, ratio("__faster", "__sessions") * 100), "MedianQ1Ms": F.when(enough, F.col("__median")),
+        }).drop("__sessions", "__faster", "__median")
+    else:
+        record = qualifying_record(gaps, min_sessions).select("driverId", "QualWinPct", "MedianQ1Ms")
+        out = grouped(entries, ["driverId", *names], totals).join(record, "driverId", "left")
+    career = grouped(alpha, ["driverId"], {"CareerAlpha": F.avg("driver_alpha")})
+    return out.withColumns({
         "PPR": ratio("TotalPoints", "TotalRaces"),
         "WinRate": ratio("TotalWins", "TotalRaces"),
         "PodiumRate": ratio("TotalPodiums", "TotalRaces"),
         "DNFRate": ratio("TotalDNFs", "TotalRaces"),
-    })
-    career = grouped(alpha, ["driverId"], {"CareerAlpha": F.avg("driver_alpha")})
-    record = qualifying_record(gaps, min_sessions).select("driverId", "QualWinPct", "MedianQ1Ms")
-    return (
-        totals.join(career, "driverId", "left").join(record, "driverId", "left")
-        .withColumnRenamed("full_name", "Driver")
-    )
+    }).join(career, "driverId", "left").withColumnsRenamed({n: "Driver" for n in names})
 
 
 def circuit_map(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -293,7 +324,7 @@ def leader_counts(table: DataFrame) -> DataFrame:
 
 def champion_points(table: DataFrame) -> DataFrame:
     """Champion's points per season: the running total at the season's last round, first rank."""
-    last = attach_group_stats(
+    last = attach_bounded_stats(
         grouped(table, ["year", "round"], {"points": F.max("cumulative_points")}),
         ["year"], {"__last": F.max("round")},
     )
@@ -310,7 +341,7 @@ def mechanical_rate(entries: DataFrame) -> DataFrame:
 
 def carry_over(season_points: DataFrame, keys: Sequence[str] = ("driverId",)) -> DataFrame:
     """Correlation of the rank in one season with the points of the next season present."""
-    ranked = min_rank(season_points, ["year"], "points", "pos")
+    ranked = min_rank(season_points, ["year"], "points", "pos", bounded=True)
     before = previous_values(ranked, list(keys), ["year"], {"before": "pos"})
     return before.agg(F.count("before").alias("n"), F.corr("before", "points").alias("corr"))
 
@@ -319,7 +350,7 @@ def gap_and_points(gaps: DataFrame, entries: DataFrame) -> DataFrame:
     """Per driver the median gap to the team, points per race, and whether the gap is below the median driver's."""
     gap = exact_quantiles(
         gaps.where(F.col("q1_vs_team_avg_ms").isNotNull()), ["driverId"], {},
-        {"median_gap": ("q1_vs_team_avg_ms", 0.5)},
+        {"median_gap": ("q1_vs_team_avg_ms", 0.5)}, bounded=True,
     )
     middle = exact_quantiles(gap, [], {}, {"m": ("median_gap", 0.5)}).select("m").scalar()
     points = grouped(entries, ["driverId"], {"ppr": F.avg("points")})

@@ -10,19 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from paddock.sources.schemas import CLEAN, FILE_NAMES, RAW_ENCODINGS
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it lies on."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
+    p, fs = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> Iterator[tuple[str, str]]:
     """(name without suffix, full path) of the matching entries of a folder, by name."""
-    p, fs = _path(spark, folder)
+    p, fs = hadoop_path(spark, folder)
     found = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(p)]
     return ((n.removesuffix(suffix), full) for n, full in sorted(found) if n.endswith(suffix))
 
@@ -105,6 +106,34 @@ def save_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> N
         df.write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Replace those partitions of a stored table that `df` has rows of; the files of the others are not touched.
+
+    The table may be there or not. Rows of one partition must all be in `df`.
+    """
+    rows = df.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy(partition_by).parquet(path)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """Store a table in buckets of its keys, sorted within, as the catalogue table `name` over the folder `path`.
+
+    Joins and windows by these keys then need no shuffle of it. Rows are dealt out by the keys first, so that each task writes
+    its buckets whole: one file per bucket.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, *order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, ddl: str, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """A table that an earlier session has stored in buckets; the files do not say so themselves."""
+    listed = lambda names: ", ".join(f"`{c}`" for c in names)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY ({listed(keys)}) "
+              f"SORTED BY ({listed([*keys, *order])}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def save_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
     """CSV with header. `single_file` is for report tables of a few rows only."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
