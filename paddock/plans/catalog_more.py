@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paddock.functions import rules
 from paddock.operators import summaries as S
+from paddock.operators.groups import exact_quantiles
 from paddock.operators.joins import Dimension, attach_distinct, star_join
 from paddock.operators.ordered import min_rank, running_totals
 from paddock.plans import joined, metrics
@@ -133,11 +134,13 @@ def _null_ranks(t: Tables) -> DataFrame:
 @query("lap_join", """
 WITH stops AS (
   SELECT event_id AS race, CAST(user_id % 100 + 1 AS BIGINT) AS driver, CAST(hour(ts) % 7 + 1 AS BIGINT) AS lap,
-    CAST(round(value * 1000) AS BIGINT) AS ms FROM events WHERE round(value * 1000) BETWEEN 2000 AND 120000), laps AS (
-  SELECT l_orderkey AS "raceId", l_suppkey AS "driverId", CAST(l_linenumber AS BIGINT) AS lap, CAST(l_partkey % 20 AS INT) AS position,
+    CAST(round(value * 1000) AS BIGINT) AS ms FROM events WHERE round(value * 1000) BETWEEN 2000 AND 120000), lines AS (
+  SELECT l_orderkey, l_suppkey, l_linenumber, min(l_partkey % 20) AS place, min(l_extendedprice) AS l_extendedprice
+  FROM lineitem GROUP BY ALL), laps AS (
+  SELECT l_orderkey AS "raceId", l_suppkey AS "driverId", CAST(l_linenumber AS BIGINT) AS lap, CAST(place AS INT) AS position,
     CAST(year(o_orderdate) AS INT) AS year, s_name AS full_name, s_nationkey AS "constructorId", n_name AS constructor_name,
     floor(l_extendedprice) / 1000 AS lap_time_sec, ms AS pit_duration_ms
-  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+  FROM lines LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
     LEFT JOIN nation ON s_nationkey = n_nationkey
     LEFT JOIN stops ON race = l_orderkey AND driver = l_suppkey AND stops.lap = l_linenumber)
 SELECT *, pit_duration_ms IS NOT NULL AS pit_stop_lap, lag(position) OVER w AS prev_position,
@@ -151,9 +154,8 @@ def _lap_join(t: Tables) -> DataFrame:
         (F.hour("ts") % 7 + 1).cast("long").alias("lap"), F.round(F.col("value") * 1000).cast("bigint").alias("milliseconds"),
     ).withColumn("is_valid_stop", rules.within("milliseconds", rules.PIT_MS))
     tables = {
-        "lap_times": t.lineitem.select(
-            *order, F.col("l_linenumber").cast("long").alias("lap"), (F.col("l_partkey") % 20).cast("int").alias("position"),
-            F.floor("l_extendedprice").alias("milliseconds")),
+        "lap_times": t.lineitem.groupBy(*order, F.col("l_linenumber").cast("long").alias("lap")).agg(
+            F.min(F.col("l_partkey") % 20).cast("int").alias("position"), F.floor(F.min("l_extendedprice")).alias("milliseconds")),
         "races": t.orders.select(
             F.col("o_orderkey").alias("raceId"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("round"),
             F.col("o_orderpriority").alias("race_name"), rules.bucket_label(F.year("o_orderdate"), ERAS).alias("era")),
@@ -166,3 +168,26 @@ def _lap_join(t: Tables) -> DataFrame:
     return joined.lap_by_lap(tables).select(
         "raceId", "driverId", "lap", "position", "year", "full_name", "constructorId", "constructor_name", "lap_time_sec",
         "pit_duration_ms", "pit_stop_lap", "prev_position", "position_change")
+
+
+@query("nan_ranks", """
+WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, nullif(l_discount, 0) AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN v IS NOT NULL THEN CAST(rank() OVER (
+  PARTITION BY v IS NULL ORDER BY v DESC) AS INT) END AS place FROM v""", "l_extendedprice")
+def _nan_ranks(t: Tables) -> DataFrame:
+    """Ranks over a whole column in which NaN stands for what is not known."""
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+        F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_discount")).alias("v"))
+    return min_rank(rows, [], "v", "place").drop("v")
+
+
+@query("nan_quantiles", """
+SELECT l_returnflag, count(*) AS n, median(nullif(l_discount, 0)) AS mid, quantile_cont(nullif(l_discount, 0), 0.9) AS high,
+  quantile_cont(CASE WHEN l_tax > 0.02 THEN l_extendedprice END, 0.25) AS low FROM lineitem GROUP BY ALL""", "mid high low")
+def _nan_quantiles(t: Tables) -> DataFrame:
+    nan = F.lit(float("nan"))
+    rows = t.lineitem.select(
+        "l_returnflag", F.nanvl(F.when(F.col("l_discount") == 0, nan).otherwise(F.col("l_discount")), nan).alias("v"),
+        F.when(F.col("l_tax") > 0.02, F.col("l_extendedprice")).otherwise(nan).alias("w"))
+    return exact_quantiles(rows, ["l_returnflag"], {"n": F.count(F.lit(1))}, {"mid": ("v", 0.5), "high": ("v", 0.9), "low": ("w", 0.25)})
