@@ -242,3 +242,36 @@ def repaired(turns: list[tuple]) -> tuple:
     gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
     illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
     return (gaps, *(found.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(rows)))
+
+
+WRAP = (1 << 64) - 1
+
+
+def mix(x: int) -> int:
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & WRAP
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & WRAP
+    return x ^ (x >> 31)
+
+
+def fingerprint(text: str | None, width: int = 5, bins: int = 256, bits: int = 4) -> str:
+    """One bin after the other: its least shingle hash, or that of the first bin it probes that has one."""
+    import xxhash
+
+    w = [xxhash.xxh3_64_intdigest(x) for x in words(text)]
+    if not w:
+        return ""
+    size = min(width, len(w))
+    factors = [mix((k + 7 * 0x9E3779B97F4A7C15) & WRAP) | 1 for k in range(1, size + 1)]
+    hashes = [mix((size + sum(mix((x + f) & WRAP) * f for x, f in zip(w[i:], factors))) & WRAP) for i in range(len(w) - size + 1)]
+    shift = 64 - (bins.bit_length() - 1)
+    least: dict[int, int] = {}
+    for h in hashes:
+        least[h >> shift] = min(h, least.get(h >> shift, h))
+    cells = []
+    for b in range(bins):
+        at, probe = b, 0
+        while at not in least:
+            at, probe = mix(((b << 32) + probe + 0x51ED) & WRAP) >> shift, probe + 1
+        cells.append(mix(least[at]) & ((1 << bits) - 1))
+    per = 8 // bits
+    return bytes(sum(cells[i + k] << (k * bits) for k in range(per)) for i in range(0, bins, per)).hex()

@@ -137,6 +137,14 @@ def test_fingerprints_against_next(spark):
     assert np.mean(errors) < 0.03 and np.max(errors) < 0.2
 
 
+@pytest.mark.parametrize("bins, bits", [(256, 4), (8, 8), (64, 1), (1024, 2)])
+def test_fingerprints_against_plain_version(bins, bits):
+    maker = fingerprints.Fingerprints(bins=bins, bits=bits)
+    texts = [t for _, t in documents()[:40]] + [t for t in brute.EDGE_TEXTS if len(t or "") < 5000] + ["a", "a b", "A  b", "one two three four five six"]
+    for t in texts:
+        assert maker.of(t or "") == brute.fingerprint(t, 5, bins, bits)
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_next_across_tasks(spark, partitions):
     docs = [(k, f"text number {k} " * (k + 1)) for k in range(23)]
