@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.operators.keys import ALL, balanced_bucket, present, with_keys_only, without_nan
+from paddock.operators.keys import ALL, any_null, balanced_bucket, null_spread, present, with_keys_only, without_nan
 from paddock.operators.ordered import running_totals
 from paddock.operators.selection import refined_quantiles
 
@@ -20,12 +20,12 @@ def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column])
 
 
 def attach_bounded_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
-    """As attach_group_stats, for groups whose grain bounds them (a team's drivers in a race): one shuffle, no join."""
-    w = W.partitionBy(*keys)
-    known = with_keys_only(df, keys).withColumns({n: c.over(w) for n, c in stats.items()})
-    missing = [F.col(k).isNull() for k in keys]
-    rest = df.where(missing[0] if len(missing) == 1 else F.greatest(*missing))
-    return known.unionByName(rest, allowMissingColumns=True).select(*df.columns, *stats)
+    """As attach_group_stats, for groups whose grain bounds them (a team's drivers in a race): one shuffle, no join.
+
+    Rows with a null key are no group and can be many; they are spread by their content.
+    """
+    w = W.partitionBy(*keys, null_spread(df, keys))
+    return df.withColumns({n: F.when(~any_null(keys), c.over(w)) for n, c in stats.items()}).select(*df.columns, *stats)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -23,6 +23,11 @@ def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def null_spread(df: DataFrame, keys: list[str], parts: int = 1024) -> Column:
+    """A further key that spreads the rows with a null key over tasks, and is the same for all other rows."""
+    return F.when(any_null(keys), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)))
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
     """Equality of keys, nulls being equal, with the right side's columns under a prefix."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])

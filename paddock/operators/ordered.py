@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from paddock.operators.keys import ALL, any_null, balanced_bucket, same_keys, value_bucket, without_nan
+from paddock.operators.keys import ALL, any_null, balanced_bucket, null_spread, same_keys, value_bucket, without_nan
 
 BUCKET = "__bucket"
 RIGHT = "__right_"
@@ -105,7 +105,7 @@ def min_rank(
     """
     known = without_nan(df, value)
     if bounded:
-        w = W.partitionBy(*keys)
+        w = W.partitionBy(*keys, null_spread(df, keys)) if keys else W.partitionBy()
         last = known.desc_nulls_last() if descending else known.asc_nulls_last()
         has = known.isNotNull() & ~any_null(keys) if keys else known.isNotNull()
         ranked = df.withColumn(out, F.when(has, F.rank().over(w.orderBy(last))).cast(T.IntegerType()))

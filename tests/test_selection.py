@@ -175,3 +175,15 @@ def test_neighbours_shuffle_once(spark):
     assert text.count("Exchange") == 1 and "Join" not in text
     with pytest.raises(ValueError):
         ordered.neighbours(df, ["k"], "n", {"x": ("id", 9)}, size=5)
+
+
+def test_bounded_stats_and_null_keys(spark):
+    rows = [(1, 1, 2.0), (1, 1, 4.0), (2, 1, 8.0), (None, 1, 1.0), (None, 1, 3.0), (2, None, 5.0)]
+    df = spark.createDataFrame(rows, "a int, b int, v double")
+    for attach in (groups.attach_bounded_stats, groups.attach_group_stats):
+        got = attach(df, ["a", "b"], {"m": F.avg("v"), "n": F.count("v")}).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([
+            (1, 1, 2.0, 3.0, 2), (1, 1, 4.0, 3.0, 2), (2, 1, 8.0, 8.0, 1), (None, 1, 1.0, None, None), (None, 1, 3.0, None, None),
+            (2, None, 5.0, None, None)], key=str)
+    plan = groups.attach_bounded_stats(df, ["a"], {"m": F.avg("v")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Union" not in plan
