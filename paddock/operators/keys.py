@@ -55,26 +55,21 @@ def without_nan(df: DataFrame, column: str) -> Column:
     return F.when(~F.isnan(c), c) if dict(df.select(column).dtypes)[column] in ("double", "float") else c
 
 
-def _digits(value: Column) -> Column:
-    """Exponent and fraction of a number's size, exactly: the logarithm is put right where it rounds over a power of two."""
+def _place(value: Column) -> Column:
+    """Place of a number's size on a logarithmic scale with COARSE * FINE steps for each doubling: one logarithm, which never
+    falls as the size grows. About 2^20 doubles share a step."""
     size = F.least(F.greatest(F.abs(value), F.lit(LEAST)), F.lit(GREATEST))
-    guess = F.floor(F.log2(size)).cast("double")
-    power = F.pow(F.lit(2.0), guess)
-    exponent = F.when(size < power, guess - 1).when(size / 2 >= power, guess + 1).otherwise(guess)
-    return F.struct(exponent.alias("exponent"), (size / F.pow(F.lit(2.0), exponent) - 1).alias("fraction"))
+    return F.floor((F.log2(size) + 1100) * (COARSE * FINE))
 
 
 def coarse_cell(value: Column) -> Column:
     """Cell of a double, COARSE for each doubling, that never falls as the number grows; zero has cell zero."""
-    d = _digits(value)
-    cell = (d["exponent"] + 1100) * COARSE + F.floor(d["fraction"] * COARSE)
-    return (F.signum(value) * cell).cast("long")
+    return (F.signum(value) * F.floor(_place(value) / FINE)).cast("long")
 
 
 def fine_cell(value: Column) -> Column:
-    """Cell of a double within its coarse cell. At most 2^20 doubles share both."""
-    steps = _digits(value)["fraction"] * COARSE
-    return (F.signum(value) * F.floor((steps - F.floor(steps)) * FINE)).cast("long")
+    """Cell of a double within its coarse cell, FINE of them."""
+    return (F.signum(value) * F.pmod(_place(value), F.lit(FINE))).cast("long")
 
 
 def balanced_bucket(counted: DataFrame, value: str, parts: int | None = None) -> Column:

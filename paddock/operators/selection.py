@@ -2,8 +2,7 @@
 
 Every pass counts rows by cell of the number line, with the least and greatest value of each cell, and finds the cells
 that hold the wanted positions. The first pass has 2^12 cells for each doubling, the second cuts the cells that were found
-into 2^20 each, by the exact digits of the number, and what is left in one of those are at most 2^20 distinct doubles, which
-the third pass counts. So what is shuffled and what meets in one place is bounded by the number type, not by the rows or
+into 2^20 each, and what is left in one of those are about 2^20 distinct doubles at most, which the third pass counts. So what is shuffled and what meets in one place is bounded by the number type, not by the rows or
 the number of distinct values, and nothing is sorted. A cell whose least and greatest value agree is finished; if all are,
 the later passes have nothing to look for and adaptive execution drops them.
 """
