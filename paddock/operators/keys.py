@@ -84,10 +84,12 @@ def balanced_bucket(counted: DataFrame, value: str, parts: int | None = None) ->
     v = F.col(value).cast("double")
     cells = counted.where(v.isNotNull() & (F.abs(v) <= GREATEST)).groupBy(coarse_cell(v).alias("cell")).agg(
         F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    share = cells.agg(F.greatest(F.ceil(F.sum("n") / parts), F.lit(1)).alias("n")).select("n").scalar()
-    heavy = cells.where((F.col("n") > share) & (F.col("lo") < F.col("hi"))).select(
-        "cell", F.struct("lo", "hi", F.least(F.ceil(F.col("n") / share), F.lit(FINE - 1)).cast("double").alias("cuts")).alias("cut"))
-    table = heavy.agg(F.map_from_entries(F.collect_list(F.struct("cell", "cut"))).alias("cuts")).select("cuts").scalar()
+    # One row with all cells, whose number the type bounds: one subquery.
+    listed = cells.agg(F.sum("n").alias("total"), F.collect_list(F.struct("cell", "n", "lo", "hi")).alias("cells"))
+    share = F.greatest(F.ceil(F.col("total") / parts), F.lit(1))
+    cuts = F.transform(F.filter("cells", lambda c: (c["n"] > share) & (c["lo"] < c["hi"])), lambda c: F.struct(c["cell"], F.struct(
+        c["lo"].alias("lo"), c["hi"].alias("hi"), F.least(F.ceil(c["n"] / share), F.lit(FINE - 1)).cast("double").alias("cuts"))))
+    table = listed.select(F.map_from_entries(cuts).alias("cuts")).scalar()
     cell = coarse_cell(v)
     cut = F.try_element_at(table, cell)
     inside = F.least(F.floor((v - cut["lo"]) / (cut["hi"] - cut["lo"]) * cut["cuts"]), F.lit(FINE - 1))
