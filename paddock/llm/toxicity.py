@@ -134,10 +134,12 @@ def _spelled(words: list[str], codes: Codes) -> bytes:
     return b"".join(map(codes.__getitem__, words))
 
 
-def _originals(texts: list[list[str]], sample: int = 8) -> list[frozenset[str]]:
-    """The words of each text, without texts that share more than half of a fixed sample of their words with one before."""
+def _originals(texts: list[list[str]], sample: int = 8) -> tuple[Counter[str], int]:
+    """How many texts have each word, and how many texts there are, without texts that share more than half of a fixed
+    sample of their words with one before."""
     owner: dict[str, int] = {}
-    out = []
+    having: Counter[str] = Counter()
+    total = 0
     for number, text in enumerate(texts):
         words = frozenset(text)
         some = sorted(words, key=lambda w: hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest())[:sample]
@@ -145,21 +147,22 @@ def _originals(texts: list[list[str]], sample: int = 8) -> list[frozenset[str]]:
         if seen and 2 * max(seen.values()) > len(some):
             continue
         owner.update(dict.fromkeys(some, number))
-        out.append(words)
-    return out
+        having.update(words)
+        total += 1
+    return having, total
 
 
-def _leaning(foul: list[frozenset[str]], clean: list[frozenset[str]]) -> set[str]:
+def _leaning(foul: tuple[Counter[str], int], clean: tuple[Counter[str], int]) -> set[str]:
     """The words whose rate in toxic texts is LEANING times that in ordinary ones or more, and surely so."""
-    often, rare = (Counter(w for words in texts for w in words) for texts in (foul, clean))
-    total = len(foul) + len(clean)
+    (often, fouls), (rare, cleans) = foul, clean
+    total = fouls + cleans
 
     def sure(n: int, m: int) -> bool:
-        parts = ((n, (n + m) * len(foul) / total), (m, (n + m) * len(clean) / total))
+        parts = ((n, (n + m) * fouls / total), (m, (n + m) * cleans / total))
         return 2 * sum(x * np.log(x / mean) for x, mean in parts if x) >= SURE
 
     return {w for w, n in often.items()
-            if (n + 0.5) / (len(foul) + 1) >= LEANING * (rare[w] + 0.5) / (len(clean) + 1) and sure(n, rare[w])}
+            if (n + 0.5) / (fouls + 1) >= LEANING * (rare[w] + 0.5) / (cleans + 1) and sure(n, rare[w])}
 
 
 def _examples(texts: list[list[str]], leaning: set[str], window: int) -> list[list[str]]:
@@ -182,8 +185,10 @@ def _train(texts: list[list[str]], toxic: np.ndarray, ordinary_bytes: int, windo
     foul = [t for t, y in zip(texts, toxic) if y]
     leaning = _leaning(_originals(foul), _originals(clean))
     # A window that was seen before is a copy and left out.
-    usual = dict.fromkeys(_spelled(w, codes) for t in clean for w in _windows([x for x in t if x not in leaning], window))
-    shared = _dictionary(list(usual), ordinary_bytes, 2 * CODE)
+    usual = list(dict.fromkeys(
+        _spelled(w, codes) for t in clean for w in _windows([x for x in t if x not in leaning], window)))
+    shared = _dictionary(usual, ordinary_bytes, 2 * CODE)
+    del usual
     examples = _examples(foul, leaning, window)
     # No word has a digit, so these codes stand for nothing.
     around = b"".join(_spelled([f"{w}0" if w in leaning else w for w in words], codes) for words in examples)
@@ -202,13 +207,15 @@ def fit(
 ) -> Model:
     """Train the dictionaries and calibrate by cross-validation over `folds`; `weights` undo an uneven sample."""
     weights = np.ones(len(texts)) if weights is None else weights
-    words = [words_of(t) for t in texts]
+    known: dict[str, str] = {}  # one string for each word
+    words = [[known.setdefault(w, w) for w in words_of(t)] for t in texts]
     counts: list[dict[int, int]] = [{}] * len(texts)
     for f in sorted(set(folds.tolist())):
         others = folds != f
         gaps = Gaps(*_train([w for w, o in zip(words, others) if o], toxic[others], ordinary_bytes, window), window, level)
         for k in np.flatnonzero(~others):
             counts[k] = gaps.counts(words[k])
+        del gaps  # before the next are trained
     best = (-1.0, 0.0, 0, 0.0)
     for gap in GAPS:
         x = np.log(np.maximum([share_at(c, gap) for c in counts], smallest)) if counts else np.empty(0)

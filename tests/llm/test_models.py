@@ -1,5 +1,7 @@
 """Toxicity, chat formatting, fingerprints."""
 
+import tracemalloc
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -225,3 +227,14 @@ def test_toxic_words_behind_a_long_beginning(spark):
     marks = spark.createDataFrame([(k, int(y)) for k, y in enumerate(toxic)], "doc_id long, toxic int")
     found = {x.doc_id: x.predicted for x in toxicity.toxicity(df, toxicity.learn(df, marks)).collect()}
     assert np.mean([found[k] == y for k, y in enumerate(toxic)]) >= 0.95
+
+
+def test_toxicity_fit_holds_each_word_once():
+    bodies = [" ".join(f"{chr(97 + k)}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}xyz" for i in range(500)) for k in range(4)]
+    texts = [bodies[k % 4] for k in range(400)]
+    marks, folds = np.array([k % 4 == 0 for k in range(400)]), np.array([1 + k // 4 % 4 for k in range(400)])
+    tracemalloc.start()
+    toxicity.fit(texts, marks, folds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * 400 * 500  # bytes: a reference a word, not a string
