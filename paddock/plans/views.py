@@ -67,13 +67,13 @@ def attach_team_name(t: Tables, df: DataFrame) -> DataFrame:
     return df.join(nation, "constructorId", "left")
 
 
-def entries(t: Tables, *columns: str) -> DataFrame:
-    """Race entries with the wanted columns."""
+def entries(t: Tables, *columns: str, parts: int | None = None) -> DataFrame:
+    """Race entries with the wanted columns. `parts` cuts the join with the races into so many tasks."""
     need = set(columns)
-    df = t.lineitem
+    df = t.lineitem if parts is None else t.lineitem.repartition(parts, "l_orderkey")
     if need & FROM_ORDERS:
         orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-        df = df.join(orders, "l_orderkey", "left")
+        df = df.join(orders if parts is None else orders.repartition(parts, "l_orderkey"), "l_orderkey", "left")
     if need & FROM_SUPPLIER:
         df = attach_team(t, df.withColumnRenamed("l_suppkey", "driverId"), names=bool(need & FROM_NAMES))
     else:
