@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.operators.keys import ALL, any_null, balanced_bucket, null_spread, present, with_keys_only, without_nan
+from paddock.operators.keys import ALL, any_null, null_spread, present, with_balanced_bucket, with_keys_only, without_nan
 from paddock.operators.ordered import running_totals
 from paddock.operators.selection import refined_quantiles
 
@@ -28,6 +28,13 @@ def attach_bounded_stats(df: DataFrame, keys: list[str], stats: dict[str, Column
     return df.withColumns({n: F.when(~any_null(keys), c.over(w)) for n, c in stats.items()}).select(*df.columns, *stats)
 
 
+def attach_bounded_first(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """Replace the columns by those of the group's first row by `order`, for groups whose grain bounds them; null without a key."""
+    first = F.first(F.struct(*columns)).over(W.partitionBy(*keys, null_spread(df, keys)).orderBy(*order))
+    found = df.withColumn("__first", F.when(~any_null(keys), first))
+    return found.withColumns({c: F.col(f"__first.{c}") for c in columns}).drop("__first")
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by `order`.
 
@@ -68,6 +75,7 @@ def value_ranks(df: DataFrame, value: str, weight: Column | None = None) -> Data
     rows = df.where(without_nan(df, value).isNotNull()) if weight is None else df
     n = F.sum(weight if weight is not None else F.lit(1)).cast("long")
     counted = rows.groupBy(value).agg(n.alias("n"))
-    return running_totals(counted, [], [value], {"upto": "n"}, bucket=balanced_bucket(counted, value)).select(
+    cut = with_balanced_bucket(counted, value, "__at")
+    return running_totals(cut, [], [value], {"upto": "n"}, bucket=F.col("__at")).select(
         value, "n", (F.col("upto") - (F.col("n") - 1) / 2).alias("avg_rank")
     )

@@ -17,7 +17,7 @@ from paddock.functions import tails
 from paddock.functions.tails import p_value, rank_sum_upper, student_two_sided
 from paddock.operators.groups import value_ranks
 from paddock.operators.ordered import running_totals
-from paddock.operators.keys import balanced_bucket, present, with_keys_only, without_nan
+from paddock.operators.keys import present, with_balanced_bucket, with_keys_only, without_nan
 
 # The tail functions travel with the tasks, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(tails)
@@ -84,8 +84,10 @@ def _moments(df: DataFrame, samples: dict[str, Column], weight: str | None) -> D
             F.avg(v).alias(f"m{name}"), F.var_samp(v).alias(f"v{name}"), F.count(v).alias(f"n{name}"))])
     w = F.col(weight)
     first = df.agg(F.struct(*[F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w))).alias(f"m{name}") for name, v in samples.items()]).alias("m"))
-    means = first.select("m").scalar()
-    sums = df.agg(*[c for name, v in samples.items() for c in (
+    means = F.col("__m")
+    # Joined, not a subquery: a subquery would count the shared table again. The row of means comes once for all rows.
+    rows = df.crossJoin(F.broadcast(first.withColumnRenamed("m", "__m")))
+    sums = rows.agg(F.first("__m").alias("__m"), *[c for name, v in samples.items() for c in (
         F.coalesce(F.sum(F.when(v.isNotNull(), w)), F.lit(0)).alias(f"n{name}"),
         F.sum((v - means[f"m{name}"]) * (v - means[f"m{name}"]) * w).alias(f"s{name}"))])
     return sums.select(*[c for name in samples for c in (
@@ -162,7 +164,7 @@ def mann_whitney(
     v, w = present(F.col(value)), _weight(weight)
     counted = df.where(v.isNotNull() & (first | second)).groupBy(v.alias("v")).agg(*[
         F.coalesce(F.sum(F.when(side, w)), F.lit(0)).alias(n) for n, side in (("a", first), ("b", second))])
-    placed = running_totals(counted, [], ["v"], {"upto": "b"}, bucket=balanced_bucket(counted, "v"))
+    placed = running_totals(with_balanced_bucket(counted, "v", "at"), [], ["v"], {"upto": "b"}, bucket=F.col("at"))
     t = (F.col("a") + F.col("b")).cast("double")
     s = placed.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("n1"), F.coalesce(F.sum("b"), F.lit(0)).alias("n2"),

@@ -79,17 +79,34 @@ def balanced_bucket(counted: DataFrame, value: str, parts: int | None = None) ->
     at most `parts` cells are, so what a row looks up is bounded. Counts, least and greatest values are exact, so
     the buckets are the same however often the counting is run. Infinite values have buckets of their own.
     """
+    return _cut_bucket(F.col(value).cast("double"), _cuts(counted, value, parts).scalar())
+
+
+def with_balanced_bucket(counted: DataFrame, value: str, out: str, parts: int | None = None) -> DataFrame:
+    """`counted` with its balanced bucket. The cuts are one joined row, so that a costly `counted` is made once for both; as
+    subquery they would make it again."""
+    cut = counted.join(F.broadcast(_cuts(counted, value, parts).withColumnRenamed("cuts", "__cuts")))
+    return cut.withColumn(out, _cut_bucket(F.col(value).cast("double"), F.col("__cuts"))).drop("__cuts")
+
+
+def _cuts(counted: DataFrame, value: str, parts: int | None) -> DataFrame:
+    """One row: a map from the coarse cells that are cut to where and into how many."""
     session = counted.sparkSession
     parts = parts or 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
-    cells = counted.where(v.isNotNull() & (F.abs(v) <= GREATEST)).groupBy(coarse_cell(v).alias("cell")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    finite = F.when(F.abs(v) <= GREATEST, v)
+    # Other values go after the count: a filter before it would make `counted` another plan, which shares nothing.
+    cells = counted.groupBy(F.when(finite.isNotNull(), coarse_cell(v)).alias("cell")).agg(
+        F.count(finite).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi")).where("n > 0")
     # One row with all cells, whose number the type bounds: one subquery.
     listed = cells.agg(F.sum("n").alias("total"), F.collect_list(F.struct("cell", "n", "lo", "hi")).alias("cells"))
     share = F.greatest(F.ceil(F.col("total") / parts), F.lit(1))
     cuts = F.transform(F.filter("cells", lambda c: (c["n"] > share) & (c["lo"] < c["hi"])), lambda c: F.struct(c["cell"], F.struct(
         c["lo"].alias("lo"), c["hi"].alias("hi"), F.least(F.ceil(c["n"] / share), F.lit(FINE - 1)).cast("double").alias("cuts"))))
-    table = listed.select(F.map_from_entries(cuts).alias("cuts")).scalar()
+    return listed.select(F.map_from_entries(cuts).alias("cuts"))
+
+
+def _cut_bucket(v: Column, table: Column) -> Column:
     cell = coarse_cell(v)
     cut = F.try_element_at(table, cell)
     inside = F.least(F.floor((v - cut["lo"]) / (cut["hi"] - cut["lo"]) * cut["cuts"]), F.lit(FINE - 1))

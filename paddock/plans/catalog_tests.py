@@ -62,7 +62,7 @@ def chi2_2x2(t: Tables, counted: DataFrame | None = None) -> DataFrame:
 def mann_whitney(t: Tables, counted: DataFrame | None = None) -> DataFrame:
     """On standings, which no table of entries has."""
     return H.mann_whitney(
-        standings(t), "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
+        standings(t, wins=False), "points", F.col("championship_pos") <= 5, F.col("championship_pos") > 5, "greater",
     )
 
 

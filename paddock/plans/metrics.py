@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions import rules
 from paddock.functions.rules import ACCIDENT_DNF, MECHANICAL_DNF, OTHER_DNF, flag, percent_of, ratio
-from paddock.operators.groups import attach_bounded_stats, attach_group_stats, exact_quantiles, keep_first
+from paddock.operators.groups import attach_bounded_first, attach_bounded_stats, attach_group_stats, exact_quantiles, keep_first
 from paddock.operators.ordered import min_rank, neighbours, previous_values, rolling_mean, running_totals
 from paddock.operators.intervals import attach_by_range, require_disjoint
 from paddock.operators.keys import any_null, with_keys_only
@@ -114,20 +114,21 @@ def qualifying_record(gaps: DataFrame, min_sessions: int) -> DataFrame:
     )
 
 
-def standings(entries: DataFrame, tie_order: list[str] | None = None) -> DataFrame:
+def standings(entries: DataFrame, tie_order: list[str] | None = None, *, complete: bool = False) -> DataFrame:
     """Running points and wins of a driver in a season, rank in the round and gap to the leader.
 
     `tie_order` orders several rows of a driver in one round. Rows without season, round or driver stay, without
     a standing. A driver's season and a round's drivers are bounded by the calendar and the grid, so each is one window.
+    With `complete` the caller states that no row lacks a key, and nothing is looked for. Entries without is_win have no wins.
     """
     keys = ["year", "round", "driverId"]
     ran = running_totals(
         with_keys_only(entries, keys), ["year", "driverId"], ["round", *(tie_order or [])],
-        {"cumulative_points": "points", "cumulative_wins": "is_win"},
+        {"cumulative_points": "points"} | ({"cumulative_wins": "is_win"} if "is_win" in entries.columns else {}),
     )
     led = min_rank(ran, ["year", "round"], "cumulative_points", "championship_pos", best="__lead", bounded=True)
     placed = led.withColumn("gap_to_leader", F.col("__lead") - F.col("cumulative_points")).drop("__lead")
-    return placed.unionByName(entries.where(any_null(keys)), allowMissingColumns=True)
+    return placed if complete else placed.unionByName(entries.where(any_null(keys)), allowMissingColumns=True)
 
 
 def pit_summary(valid_stops: DataFrame) -> DataFrame:
@@ -292,17 +293,31 @@ def circuit_map(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def master(entries: DataFrame, gaps: DataFrame, table: DataFrame, alpha: DataFrame, order: Sequence[Column], *,
+GAP_FIGURES = ["q1_ms", "q2_ms", "q3_ms", "best_qual_ms", "q1_vs_team_avg_ms", "reached_q2", "reached_q3"]
+
+
+def attach_first_gap(gaps: DataFrame, order: list[str]) -> DataFrame:
+    """The qualifying figures of a driver's first row in the race, by `order`, on each of the driver's rows there.
+
+    Rows without race or driver have none. A window in the shuffle that the team's mean has already made, instead of a join.
+    """
+    return attach_bounded_first(gaps, ["raceId", "driverId"], order, GAP_FIGURES)
+
+
+def master(entries: DataFrame, gaps: DataFrame | None, table: DataFrame, alpha: DataFrame, order: Sequence[Column], *,
            standing_keys: Sequence[str] = ("raceId", "driverId")) -> DataFrame:
-    """Entries with qualifying gaps, standings (first row per key in the given order) and alpha attached."""
-    gap_columns = ["q1_ms", "q2_ms", "q3_ms", "best_qual_ms", "q1_vs_team_avg_ms", "reached_q2", "reached_q3"]
+    """Entries with qualifying gaps, standings (first row per key in the given order) and alpha attached.
+
+    Without `gaps` the entries themselves carry the qualifying figures.
+    """
     keys = list(standing_keys)
     kept = keep_first(table, keys, list(order)).select(
         *keys, "cumulative_points", "championship_pos", "gap_to_leader"
     )
+    if gaps is not None:
+        entries = entries.join(gaps.select("raceId", "driverId", *GAP_FIGURES), ["raceId", "driverId"], "left")
     return (
-        entries.join(gaps.select("raceId", "driverId", *gap_columns), ["raceId", "driverId"], "left")
-        .join(kept, keys, "left")
+        entries.join(kept, keys, "left")
         .join(
             alpha.select("driverId", "year", "constructorId", "driver_alpha", "constructor_avg_ppr", "ppr"),
             ["driverId", "year", "constructorId"], "left",

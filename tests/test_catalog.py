@@ -1,6 +1,7 @@
 """Every catalogued query against its SQL."""
 
 import os
+import re
 
 import pytest
 
@@ -36,3 +37,19 @@ def test_entry(spark):
 def test_tables_are_opened_by_name_only(spark):
     with pytest.raises(AttributeError):
         Tables(spark, FOLDER).no_such_table
+
+
+def lineitem_scans(df):
+    """The different scans of lineitem in a plan: each is shuffled anew."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {re.sub(r"#\d+L?", "", line.split("FileScan")[1]) for line in plan.split("\n") if "FileScan" in line and "l_orderkey" in line}
+
+
+@pytest.mark.parametrize("name, scans", [("hypothesis_log", 2), ("hypothesis_summary", 2), ("master_flat", 2)])
+def test_tests_and_tables_share_their_scans(spark, name, scans):
+    assert len(lineitem_scans(contract.queries()[name](spark, FOLDER))) == scans
+
+
+def test_circuit_map_cuts_its_join(spark):
+    plan = contract.queries()["circuit_map"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
