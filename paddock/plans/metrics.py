@@ -305,10 +305,12 @@ def attach_first_gap(gaps: DataFrame, order: list[str]) -> DataFrame:
 
 
 def master(entries: DataFrame, gaps: DataFrame | None, table: DataFrame, alpha: DataFrame, order: Sequence[Column], *,
-           standing_keys: Sequence[str] = ("raceId", "driverId")) -> DataFrame:
+           standing_keys: Sequence[str] = ("raceId", "driverId"), alpha_by_standing: bool = False) -> DataFrame:
     """Entries with qualifying gaps, standings (first row per key in the given order) and alpha attached.
 
-    Without `gaps` the entries themselves carry the qualifying figures.
+    Without `gaps` the entries themselves carry the qualifying figures. With `alpha_by_standing` the caller states that every
+    entry with alpha has a standing, whose key has driver and year: alpha is joined to the fewer standings, as a list over the
+    driver's teams in the year, and each entry takes its team's rows from it.
     """
     keys = list(standing_keys)
     kept = keep_first(table, keys, list(order)).select(
@@ -316,6 +318,13 @@ def master(entries: DataFrame, gaps: DataFrame | None, table: DataFrame, alpha:
     )
     if gaps is not None:
         entries = entries.join(gaps.select("raceId", "driverId", *GAP_FIGURES), ["raceId", "driverId"], "left")
+    if alpha_by_standing:
+        figures = ["driver_alpha", "constructor_avg_ppr", "ppr"]
+        listed = alpha.groupBy("driverId", "year").agg(F.collect_list(F.struct("constructorId", *figures)).alias("__teams"))
+        found = entries.join(kept.join(listed, ["driverId", "year"], "left"), keys, "left")
+        own = F.filter("__teams", lambda x: x["constructorId"] == F.col("constructorId"))
+        return found.withColumn("__team", F.explode_outer(own)).select(
+            *[c for c in found.columns if c != "__teams"], *[F.col(f"__team.{c}") for c in figures])
     return (
         entries.join(kept, keys, "left")
         .join(
