@@ -34,7 +34,7 @@ LEANING = 8  # times the rate in ordinary texts, half a text added to each count
 SURE = 6.63  # log-likelihood ratio that chance exceeds once in a hundred; what chance lets in is weighed down by calibration
 TOXIC_WEIGHT = 0.25  # of toxic rows in calibration
 EXAMPLES = 2  # windows kept for a word that leans toxic, where it has so many
-MAX_CACHED = 200_000
+MAX_CACHED = 50_000  # words, and windows, that a task remembers; nine of ten windows are met once, so more would only hold memory
 WORD = re.compile(r"[^\W\d_]+")
 GAPS = range(2, 9)
 
@@ -76,6 +76,10 @@ class Gaps:
         self.codes = Codes()
         self.known: dict[tuple, int] = {}
 
+    def forget(self) -> None:
+        self.codes.clear()
+        self.known.clear()
+
     def _gap(self, words: tuple) -> int:
         if len(self.known) >= MAX_CACHED:
             self.known.clear()
@@ -239,7 +243,7 @@ def _middle(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[floa
     return float(right.max()), float(good[len(good) // 2])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _gaps_of(model: Model) -> Gaps:
     return Gaps(model.ordinary, model.toxic, model.window, model.level)
 
@@ -269,6 +273,22 @@ def learn(
     return fit(sample["text"].tolist(), toxic, sample["fold"].to_numpy(), weights)
 
 
+def _scored(batches: Iterator[pd.Series], model: Model) -> Iterator[pd.DataFrame]:
+    """score, windows, toxic_windows of each text. What was remembered on the way goes with the task: its Python worker
+    lives on, and so would the words and windows beside what later steps need."""
+    gaps = _gaps_of(model)
+    try:
+        for texts in batches:
+            out = []
+            for text in texts:
+                counts = gaps.counts(words_of(text))
+                out.append((model.score(share_at(counts, model.gap)), sum(counts.values()),
+                            sum(n for g, n in counts.items() if g >= model.gap)))
+            yield pd.DataFrame(out, columns=["score", "windows", "toxic_windows"])
+    finally:
+        gaps.forget()
+
+
 def toxicity(
     docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
@@ -283,14 +303,7 @@ def toxicity(
 
     @F.pandas_udf("score double, windows long, toxic_windows long")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        gaps = _gaps_of(model)
-        for texts in batches:
-            out = []
-            for text in texts:
-                counts = gaps.counts(words_of(text))
-                out.append((model.score(share_at(counts, model.gap)), sum(counts.values()),
-                            sum(n for g, n in counts.items() if g >= model.gap)))
-            yield pd.DataFrame(out, columns=["score", "windows", "toxic_windows"])
+        yield from _scored(batches, model)
 
     held_out = F.pmod(F.crc32(F.col(f"`{id_column}`").cast("string")), F.lit(FOLDS)) == HELD_OUT
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(held_out, F.lit(False)).alias("held_out"),

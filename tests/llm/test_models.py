@@ -238,3 +238,31 @@ def test_toxicity_fit_holds_each_word_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 25 * 400 * 500  # bytes: a reference a word, not a string
+
+
+def test_toxicity_remembers_few_windows():
+    letters = [chr(97 + k) for k in range(26)]
+    words = [f"{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in letters]
+    gaps = toxicity.Gaps(b"some quiet words " * 500, b"other quiet words" * 500, 4, 1)
+    tracemalloc.start()
+    try:
+        for at in range(0, len(words), 400):
+            gaps.counts([w.upper() for w in words[at:at + 400]])  # strings of the text's own
+        assert tracemalloc.get_traced_memory()[1] < 45e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_toxicity_leaves_nothing_in_the_workers(spark):
+    texts, toxic, _ = labelled(10, 5)
+    model = toxicity.fit(texts, toxic, np.arange(360) % 5)
+    df = spark.createDataFrame(list(enumerate(texts)), TEXT).repartition(8, "doc_id")
+    assert toxicity.toxicity(df, model).where("windows > 0").count() == 360
+
+    def remembered(batches):
+        gaps = toxicity._gaps_of(model)
+        for batch in batches:
+            yield batch.assign(id=len(gaps.known) + len(gaps.codes))
+
+    left = spark.range(0, 8, 1, 8).mapInPandas(remembered, "id long").collect()
+    assert [x.id for x in left] == [0] * 8
